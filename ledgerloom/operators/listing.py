@@ -18,6 +18,22 @@ from ledgerloom.operators.skew import lookup_join
 SLICE_VALUES = 10_000
 
 
+def _sliced(
+    rows: DataFrame, keys: Sequence[str], spread: str, slice_size: int
+) -> DataFrame:
+    """Add ``slice``: rows of a large key are dealt out by the hash of ``spread``."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > slice_size).select(
+        *keys, F.ceil(F.col("n") / slice_size).cast("int").alias("_slices")
+    )
+    dealt = F.pmod(F.xxhash64(spread), F.coalesce("_slices", F.lit(1))).cast("int")
+    return (
+        lookup_join(rows, large, keys, "left", counts=sizes)
+        .withColumn("slice", dealt)
+        .drop("_slices")
+    )
+
+
 def joined_values(
     pairs: DataFrame,
     keys: Sequence[str],
@@ -31,19 +47,43 @@ def joined_values(
         .select(*keys, as_text(F.col(value)).alias("_value"))
         .distinct()
     )
-    sizes = values.groupBy(*keys).agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > slice_size).select(
-        *keys, F.ceil(F.col("n") / slice_size).cast("int").alias("_slices")
-    )
-    sliced = lookup_join(values, large, keys, "left", counts=sizes).withColumn(
-        "slice", F.pmod(F.xxhash64("_value"), F.coalesce("_slices", F.lit(1))).cast("int")
-    )
-    return sliced.groupBy(*keys, "slice").agg(
+    return _sliced(values, keys, "_value", slice_size).groupBy(*keys, "slice").agg(
         F.count("*").alias("n_values"),
         F.array_join(F.array_sort(F.collect_list("_value")), sep).alias("text"),
     )
 
 
+def joined_records(
+    rows: DataFrame,
+    keys: Sequence[str],
+    entity: str,
+    columns: Sequence[str],
+    sep: str = " | ",
+    null_label: str = "NULL",
+    slice_size: int = SLICE_VALUES,
+) -> DataFrame:
+    """Records of each (non-null) key as parallel texts, in the order of the ids.
+
+    ``columns`` become one text each, so the i-th entries of all texts belong together.
+    Copies of a whole record are listed once.
+    """
+    records = rows.select(
+        *keys,
+        as_text(F.col(entity)).alias("_id"),
+        *[F.coalesce(as_text(F.col(c)), F.lit(null_label)).alias(f"_{c}") for c in columns],
+    ).distinct()
+    fields = ["_id", *[f"_{c}" for c in columns]]
+    listed = _sliced(records, keys, "_id", slice_size).groupBy(*keys, "slice").agg(
+        F.count("*").alias("n_values"),
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_records"),
+    )
+    texts = [
+        F.array_join(F.col(f"_records.{field}"), sep).alias(name)
+        for field, name in zip(fields, [f"{entity}s", *[f"{c}_texts" for c in columns]])
+    ]
+    return listed.select(*keys, "slice", "n_values", *texts)
+
+
 def value_counts_text(
     rows: DataFrame,
     keys: Sequence[str],

@@ -37,10 +37,6 @@ def missing_parents(master: DataFrame, child: DataFrame, key: str = ID) -> DataF
     return master.join(ids_of(child).withColumnRenamed(ID, key), key, "left_anti")
 
 
-in_master = restrict_to_master
-exists_in = restrict_to_master
-
-
 def with_master(
     child: DataFrame,
     master: DataFrame,
@@ -164,9 +160,6 @@ def evidence_counts(master: DataFrame, tables: Mapping[str, DataFrame]) -> DataF
     )
 
 
-evidence_flags = evidence_counts
-
-
 def value_range(rows: DataFrame, value: str, keys: Sequence[str] = (ID,)) -> DataFrame:
     """Per key: least, greatest and number of distinct values; no set is collected."""
     return (
