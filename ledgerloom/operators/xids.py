@@ -330,4 +330,6 @@ def xid_quality(xids: DataFrame, master: DataFrame) -> DataFrame:
         rows, [ID], ["provider", "provider_property", "confidence", "dob_check"], null_label=None
     )
     joined = master.join(totals, ID, "left").join(texts, ID, "left")
-    return joined.fillna(0, ["xid_rows", "xid_keys", "providers", "qid_count"]).fillna("")
+    return joined.fillna(0, ["xid_rows", "xid_keys", "providers", "qid_count"]).fillna(
+        "", [c for c in texts.columns if c != ID]
+    )
