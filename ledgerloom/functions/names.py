@@ -64,7 +64,8 @@ def name_key(text: str, rule: NameRule) -> str:
 def _once_per_name(one: Callable[[str], str]) -> Callable[[Column], Column]:
     @F.pandas_udf("string")
     def batch(names: pd.Series) -> pd.Series:
-        return names.map({name: one(name) for name in names.dropna().unique()})
+        keys = {name: one(name) for name in names.dropna().unique()}
+        return pd.Series([keys.get(name) for name in names], dtype=object)
 
     return batch
 

@@ -17,15 +17,15 @@ from ledgerloom.functions.exprs import (
 )
 from ledgerloom.operators.collide import (
     colliding,
-    collision_members,
     collision_totals,
     key_stats,
+    pair_members,
     relation_of,
 )
 from ledgerloom.operators.listing import value_counts_text
 from ledgerloom.operators.profile import entities_with
 from ledgerloom.operators.relate import ID, restrict_to_master, value_range
-from ledgerloom.operators.skew import lookup_join
+from ledgerloom.operators.skew import beside, key_counts, lookup_join
 
 Key = Callable[[Column], Column]
 
@@ -45,7 +45,7 @@ def alias_collisions(keyed: DataFrame) -> DataFrame:
     normal = collision_totals(
         keyed.select(ID, "normalized_alias").distinct(), ["normalized_alias"], "normalized_"
     )
-    return exact.select("*", *[normal.select(c).scalar().alias(c) for c in normal.columns])
+    return beside(exact, normal)
 
 
 def alias_label_relations(keyed: DataFrame, master: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def _held_in_common(members: DataFrame, xids: DataFrame) -> DataFrame:
         clean(F.col("provider")).alias("_p"),
         clean_or_null(F.col("external_id")).alias("_x"),
     ).where(F.col("_x").isNotNull() & F.col(ID).isNotNull())
-    shared = collision_members(pairs.distinct(), ["_p", "_x"]).select(ID, "_p", "_x")
+    shared = pair_members(pairs, ["_p", "_x"]).select(ID, "_p", "_x")
     meets = members.select(ID, "normalized_alias").join(shared, ID)
     counted = meets.groupBy("normalized_alias", "_p", "_x").agg(F.count("*").alias("_n"))
     return (
@@ -86,9 +86,7 @@ def alias_collision_profile(
     keyed: DataFrame, master: DataFrame, links: DataFrame, xids: DataFrame
 ) -> DataFrame:
     """Colliding aliases with the relation of labels, genders, QIDs, external ids, statuses."""
-    members = collision_members(
-        keyed.select(ID, "normalized_alias").distinct(), ["normalized_alias"]
-    )
+    members = pair_members(keyed, ["normalized_alias"])
     attributes = master.select(
         ID,
         F.coalesce("label", F.lit("")).alias("label"),
@@ -100,7 +98,8 @@ def alias_collision_profile(
         attributes.join(value_range(links, "qid"), ID, "left")
         .join(holders.select(ID).distinct().withColumn("has_xid", F.lit(True)), ID, "left")
     )
-    described = lookup_join(members, facts, ID, "left")
+    per_entity = key_counts(keyed, [ID])
+    described = lookup_join(members, facts, ID, "left", per_entity, distinct=True)
     ends = []
     for a in ("label", "gender", "status"):
         ends += [F.min(a).alias(f"{a}_low"), F.max(a).alias(f"{a}_high")]
@@ -136,7 +135,7 @@ def alias_collision_profile(
 
 
 def _collisions_per_entity(keyed: DataFrame, key: str, name: str) -> DataFrame:
-    members = collision_members(keyed.select(ID, key).distinct(), [key])
+    members = pair_members(keyed, [key])
     return members.groupBy(ID).agg(F.count("*").alias(name))
 
 

@@ -7,14 +7,14 @@ group that owns a third of the table is still spread over the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.exprs import count_if, relation
 from ledgerloom.operators.listing import joined_records
 from ledgerloom.operators.relate import ID, value_range
-from ledgerloom.operators.skew import lookup_join
+from ledgerloom.operators.skew import beside, lookup_join
 
 
 def key_stats(
@@ -40,13 +40,21 @@ def relation_of(attribute: str, none: str, one: str, many: str) -> Column:
 
 
 def collision_members(
-    rows: DataFrame, keys: Sequence[str], stats: DataFrame | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    stats: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Rows whose key collides, with the size of their group."""
     stats = key_stats(rows, keys) if stats is None else stats
     groups = colliding(stats).select(*keys, F.col("n_entities").alias("group_size"))
     counts = stats.select(*keys, F.col("n_rows").alias("n"))
-    return lookup_join(rows, groups, keys, "inner", counts=counts)
+    return lookup_join(rows, groups, keys, "inner", counts, distinct)
+
+
+def pair_members(rows: DataFrame, keys: Sequence[str], entity: str = ID) -> DataFrame:
+    """The same over distinct (key, entity) pairs, one row per member of a group."""
+    return collision_members(rows.select(*keys, entity).distinct(), keys, distinct=True)
 
 
 def entities_in(members: DataFrame, entity: str = ID) -> DataFrame:
@@ -62,8 +70,7 @@ def collision_totals(rows: DataFrame, keys: Sequence[str], prefix: str = "") ->
         count_if(hit).alias("groups"),
         F.coalesce(F.sum(F.when(hit, F.col("n_entities"))), F.lit(0)).alias("memberships"),
     )
-    involved = entities_in(collision_members(rows, keys, stats)).scalar()
-    totals = totals.withColumn("entities", involved)
+    totals = beside(totals, entities_in(pair_members(rows, keys)))
     return totals.toDF(*[f"{prefix}{c}" for c in totals.columns])
 
 
@@ -84,7 +91,7 @@ def name_collisions(named: DataFrame, key: str = "normalized_name") -> DataFrame
     """Every record of a colliding name, one row each, with the size of its group."""
     counted = named.groupBy(key).agg(F.count("*").alias("n"))
     groups = counted.where(F.col("n") > 1).withColumnRenamed("n", "record_count")
-    return lookup_join(named, groups, key, "inner", counts=counted)
+    return lookup_join(named, groups, key, "inner", counted, distinct=True)
 
 
 def collision_summary(named: DataFrame, key: str = "normalized_name") -> DataFrame:
@@ -121,9 +128,7 @@ def label_collisions(master: DataFrame, key: Callable[[Column], Column]) -> Data
     exact = collision_totals(labels, ["label"], "exact_")
     keyed = with_key(labels, key, "key").where(F.col("key") != "").select(ID, "key")
     normal = collision_totals(keyed, ["key"], "normalized_")
-    return exact.select(
-        "*", *[normal.select(c).scalar().alias(c) for c in normal.columns]
-    )
+    return beside(exact, normal)
 
 
 def label_collision_profile(
@@ -173,7 +178,7 @@ def entity_label_profile(
     shared = counted.where((F.col("n") > 1) & (F.col("normalized_label") != "")).withColumnRenamed(
         "n", "group_size"
     )
-    grouped = lookup_join(keyed, shared, "normalized_label", "left", counts=counted)
+    grouped = lookup_join(keyed, shared, "normalized_label", "left", counted, distinct=True)
     qids = value_range(links.where(F.trim(F.col("qid").cast("string")) != ""), "qid")
     joined = grouped.join(qids.select(ID, "qid_count"), ID, "left")
     return joined.select(
@@ -210,7 +215,3 @@ def class_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     )
     return df.select(F.inline(entries)).groupBy("field", "value").agg(F.count("*").alias("n"))
-
-
-def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(names))

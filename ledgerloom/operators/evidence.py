@@ -17,13 +17,14 @@ from ledgerloom.functions.exprs import (
     yes_no,
 )
 from ledgerloom.functions.names import norm_space
-from ledgerloom.operators.collide import collision_members
+from ledgerloom.operators.collide import pair_members
 from ledgerloom.operators.profile import distinct_entities, field_profile
 from ledgerloom.operators.relate import (
     ID,
     evidence_counts,
     ids_of,
     relationships_touching,
+    restrict_to_master,
     value_range,
     with_master,
 )
@@ -132,8 +133,8 @@ def identity_evidence(
             for c in ("provider", "property", "external_id")
         ],
     )
-    known = keyed.distinct().join(master.select(ID), ID, "left_semi")
-    in_collision = collision_members(known, ["provider", "property", "external_id"])
+    known = restrict_to_master(keyed, master)
+    in_collision = pair_members(known, ["provider", "property", "external_id"])
     counted = evidence_counts(
         master,
         {

@@ -69,9 +69,9 @@ def gender_identity(
     shared = counted.where((F.col("n") > 1) & (F.col("normalized_label") != "")).select(
         "normalized_label", F.lit(True).alias("label_collision")
     )
-    marked = lookup_join(keyed, shared, "normalized_label", "left", counts=counted).join(
-        of_entity, ID, "left"
-    )
+    marked = lookup_join(
+        keyed, shared, "normalized_label", "left", counted, distinct=True
+    ).join(of_entity, ID, "left")
     marked = marked.fillna(False, ["label_collision"])
     conflict: Column = F.coalesce(F.col("gender") != F.col("entity_gender"), F.lit(False))
     missing = F.col("gender").isNull()

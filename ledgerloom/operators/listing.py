@@ -28,7 +28,7 @@ def _sliced(
     )
     dealt = F.pmod(F.xxhash64(spread), F.coalesce("_slices", F.lit(1))).cast("int")
     return (
-        lookup_join(rows, large, keys, "left", counts=sizes)
+        lookup_join(rows, large, keys, "left", sizes, distinct=True)
         .withColumn("slice", dealt)
         .drop("_slices")
     )

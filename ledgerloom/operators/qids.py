@@ -10,7 +10,7 @@ from ledgerloom.functions.exprs import as_text, is_present, join_set
 from ledgerloom.functions.names import norm_casefold
 from ledgerloom.operators.collide import colliding, collision_members, key_stats, relation_of
 from ledgerloom.operators.relate import ID, not_subset, restrict_to_master, value_range, with_master
-from ledgerloom.operators.skew import lookup_join
+from ledgerloom.operators.skew import key_counts, lookup_join
 from ledgerloom.roles import MASTER_TYPE
 
 
@@ -45,22 +45,31 @@ def qid_collision_detail(
     one = links.where(is_present(F.col("qid"))).groupBy("qid", ID).agg(
         F.min(F.struct("confidence", "dob_check")).alias("_link")
     )
-    members = collision_members(one, ["qid"]).select(
-        "qid", ID, "group_size", "_link.confidence", "_link.dob_check"
-    )
-    named = with_master(members, master, ["label", "status", "gender"])
-    keyed = named.withColumn("_key", F.nullif(label_key(F.col("label")), F.lit("")))
-    stats = keyed.groupBy("qid").agg(
-        F.count("*").alias("n"),
+    keyed = master.withColumn("_key", F.nullif(label_key(F.col("label")), F.lit("")))
+    named = with_master(one, keyed, ["label", "status", "gender", "_key"], distinct=True)
+    stats = named.groupBy("qid").agg(
+        F.count("*").alias("group_size"),
         F.min("_key").alias("key_low"),
         F.max("_key").alias("key_high"),
     )
-    relations = stats.select(
+    groups = stats.where(F.col("group_size") > 1).select(
         "qid",
+        "group_size",
         relation_of("key", "same_label", "same_label", "different_label").alias("label_relation"),
     )
-    return lookup_join(keyed, relations, "qid", "inner", counts=stats.select("qid", "n")).drop(
-        "_key"
+    members = lookup_join(
+        named.drop("_key"), groups, "qid", "inner", key_counts(one, ["qid"]), distinct=True
+    )
+    return members.select(
+        "qid",
+        ID,
+        "group_size",
+        "_link.confidence",
+        "_link.dob_check",
+        "label",
+        "status",
+        "gender",
+        "label_relation",
     )
 
 

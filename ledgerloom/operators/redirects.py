@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.exprs import as_text, clean_or_null, count_if, is_present, ladder
 from ledgerloom.functions.names import norm_space
-from ledgerloom.operators.collide import class_counts, colliding, key_stats
+from ledgerloom.operators.collide import colliding, key_stats
 from ledgerloom.operators.relate import ID, evidence_counts, ids_of, with_endpoints
-from ledgerloom.operators.skew import lookup_flag, lookup_join
+from ledgerloom.operators.skew import key_counts, lookup_flag, lookup_join, one_per_key
 from ledgerloom.operators.slices import cut
 from ledgerloom.roles import ACTIVE, REDIRECTED, RETIRED
 
@@ -22,7 +22,7 @@ def redirect_scope(redirects: DataFrame, master: DataFrame, side: str = "either"
     """
     ids = ids_of(master)
     flagged = lookup_flag(redirects, ids, "from_id", "from_known")
-    flagged = lookup_flag(flagged, ids, "to_id", "to_known")
+    flagged = lookup_flag(flagged, ids, "to_id", "to_known", key_counts(redirects, ["to_id"]))
     source, target = F.col("from_known"), F.col("to_known")
     scope = {"from": source, "either": source | target, "both": source & target, "all": F.lit(True)}
     return flagged.where(scope[side])
@@ -64,7 +64,7 @@ def redirect_chains(edges: DataFrame, include_self: bool = False) -> DataFrame:
     onward = steps.select(
         F.col("from_id").alias("to_id"), F.col("to_id").alias("target_redirects_to")
     )
-    chained = lookup_join(steps, onward, "to_id", "inner")
+    chained = lookup_join(steps, onward, "to_id", "inner", distinct=True)
     kept = chained if include_self else chained.where(F.col("from_id") != F.col("to_id"))
     return kept.select("from_id", "to_id", "target_redirects_to")
 
@@ -88,7 +88,7 @@ def redirect_walk(edges: DataFrame) -> DataFrame:
     steps = first_targets(edges)
     sources = steps.select(F.col("from_id").alias("to_id"), F.lit(False).alias("done"))
     state = cut(
-        lookup_join(steps, sources, "to_id", "left").select(
+        lookup_join(steps, sources, "to_id", "left", distinct=True).select(
             "from_id",
             F.col("to_id").alias("at"),
             F.lit(1).cast("long").alias("hops"),
@@ -103,7 +103,8 @@ def redirect_walk(edges: DataFrame) -> DataFrame:
             F.col("hops").alias("next_hops"),
             F.col("done").alias("next_done"),
         )
-        moved = lookup_join(state.where(~F.col("done")), ahead, "at", "inner").select(
+        walking = state.where(~F.col("done"))
+        moved = lookup_join(walking, ahead, "at", "inner", distinct=True).select(
             "from_id",
             F.col("next_at").alias("at"),
             (F.col("hops") + F.col("next_hops")).alias("hops"),
@@ -157,11 +158,11 @@ def _shared(edges: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     held = pairs.where(F.col(ID).isNotNull() & F.col("key").isNotNull()).distinct()
     counted = held.groupBy("key").agg(F.count("*").alias("n"))
     common = counted.where(F.col("n") > 1).select("key")
-    common_held = lookup_join(held, common, "key", "left_semi", counts=counted)
+    common_held = lookup_join(held, common, "key", "left_semi", counted, distinct=True)
     ends = edges.where(F.col("to_id").isNotNull()).select("from_id", "to_id").distinct()
     carried = ends.join(common_held.withColumnRenamed(ID, "from_id"), "from_id")
     at_target = common_held.withColumnRenamed(ID, "to_id")
-    met = lookup_join(carried, at_target, ["to_id", "key"], "left_semi")
+    met = lookup_join(carried, at_target, ["to_id", "key"], "left_semi", distinct=True)
     return met.groupBy("from_id", "to_id").agg(F.count("*").alias(name))
 
 
@@ -170,7 +171,8 @@ def shared_keys(edges: DataFrame, xids: DataFrame) -> DataFrame:
     held = _xid_key(xids).distinct()
     ends = edges.where(F.col("to_id").isNotNull()).select("from_id", "to_id").distinct()
     carried = ends.join(held.withColumnRenamed(ID, "from_id"), "from_id")
-    return lookup_join(carried, held.withColumnRenamed(ID, "to_id"), ["to_id", "key"], "left_semi")
+    at_target = held.withColumnRenamed(ID, "to_id")
+    return lookup_join(carried, at_target, ["to_id", "key"], "left_semi", distinct=True)
 
 
 def redirect_detail(
@@ -183,6 +185,7 @@ def redirect_detail(
 ) -> DataFrame:
     """Edges that start in the master, with both records and what the two ends share.
 
+    One row per distinct edge; ``copies`` says how often the table has it.
     ``label_key`` is how labels are compared: as written, trimmed, folded, and so on.
     """
     qids = links.where(is_present(F.col("qid"))).select(ID, as_text(F.col("qid")).alias("key"))
@@ -193,19 +196,22 @@ def redirect_detail(
         {"qid": qids.distinct(), "xid": keys.distinct(), "alias": aliases},
     )
     columns = ["label", "status", "gender", "label_key", "present", "n_qid", "n_xid", "n_alias"]
-    ended = with_endpoints(edges, facts, columns)
+    once = edges.groupBy("from_id", "to_id", "reason").agg(F.count("*").alias("copies"))
+    ended = with_endpoints(once, facts, columns)
     for count in ("n_qid", "n_xid", "n_alias"):
         ended = ended.withColumn(f"to_{count}", F.coalesce(f"to_{count}", F.lit(0)))
+    shared = _shared(once, qids, "shared_qids").join(
+        _shared(once, keys, "shared_xids"), ["from_id", "to_id"], "full_outer"
+    )
+    pairs = once.groupBy("from_id", "to_id").agg(F.count("*").alias("n"))
     joined = lookup_join(
-        lookup_join(ended, _shared(edges, qids, "shared_qids"), ["from_id", "to_id"], "left"),
-        _shared(edges, keys, "shared_xids"),
-        ["from_id", "to_id"],
-        "left",
+        ended, shared, ["from_id", "to_id"], "left", pairs, distinct=True
     ).fillna(0, ["shared_qids", "shared_xids"])
     return joined.select(
         "from_id",
         "to_id",
         "reason",
+        "copies",
         "from_label",
         "from_status",
         "from_gender",
@@ -248,35 +254,48 @@ def _side_relation(what: str, shared: str, apart: str) -> Column:
     )
 
 
-def endpoint_labels(detail: DataFrame) -> DataFrame:
-    return class_counts(detail, ["label_relation"])
-
-
-def endpoint_qids(detail: DataFrame) -> DataFrame:
-    return class_counts(detail, ["qid_relation"])
+def endpoint_relations(detail: DataFrame, inside_only: bool = True) -> DataFrame:
+    """Edges by the relation of labels, QIDs and external ids: ``field, value, n``.
 
-
-def endpoint_xids(detail: DataFrame) -> DataFrame:
-    return class_counts(detail, ["xid_relation"])
+    ``inside_only`` keeps the edges whose target is in the master as well.
+    """
+    kept = detail.where(F.col("target_in_master")) if inside_only else detail
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("field"), F.col(c).alias("value"))
+            for c in ("label_relation", "qid_relation", "xid_relation")
+        ]
+    )
+    return kept.select("copies", F.inline(entries)).groupBy("field", "value").agg(
+        F.sum("copies").alias("n")
+    )
 
 
 def redirects_without_evidence(detail: DataFrame) -> DataFrame:
     """One row: edges of which neither end has a QID, or an external id."""
+    def edges_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+
     return detail.agg(
-        F.count("*").alias("edges"),
-        count_if((F.col("from_qids") == 0) & (F.col("to_qids") == 0)).alias("no_qid_either_side"),
-        count_if((F.col("from_xids") == 0) & (F.col("to_xids") == 0)).alias("no_xid_either_side"),
+        edges_where(F.lit(True)).alias("edges"),
+        edges_where((F.col("from_qids") == 0) & (F.col("to_qids") == 0)).alias(
+            "no_qid_either_side"
+        ),
+        edges_where((F.col("from_xids") == 0) & (F.col("to_xids") == 0)).alias(
+            "no_xid_either_side"
+        ),
     )
 
 
 def status_transitions(edges: DataFrame, master: DataFrame) -> DataFrame:
     """Edges inside the master by the statuses of their two ends."""
-    ended = with_endpoints(edges, master.withColumn("present", F.lit(True)), ["status", "present"])
-    inside = ended.where(F.col("to_present"))
+    once = edges.groupBy("from_id", "to_id").agg(F.count("*").alias("n"))
+    nodes = one_per_key(master.select(ID, "status", F.lit(True).alias("present")), [ID])
+    inside = with_endpoints(once, nodes, ["status", "present"]).where(F.col("to_present"))
     return inside.groupBy(
         F.coalesce("from_status", F.lit("NULL")).alias("from_status"),
         F.coalesce("to_status", F.lit("NULL")).alias("to_status"),
-    ).agg(F.count("*").alias("n"))
+    ).agg(F.sum("n").alias("n"))
 
 
 def redirect_distributions(edges: DataFrame, master: DataFrame) -> DataFrame:

@@ -44,13 +44,14 @@ def with_master(
     prefix: str = "",
     how: str = "inner",
     key: str = ID,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Child rows with columns of their master row; a hot id stays where it is."""
+    """Child rows with columns of their master row (``distinct`` as in ``lookup_join``)."""
     picked = one_per_key(
         master.select(F.col(ID).alias(key), *[F.col(c).alias(f"{prefix}{c}") for c in columns]),
         [key],
     )
-    return lookup_join(child, picked, key, how)
+    return lookup_join(child, picked, key, how, distinct=distinct)
 
 
 def split_by_master(child: DataFrame, master: DataFrame, key: str = ID) -> DataFrame:
@@ -70,20 +71,28 @@ def split_by_master(child: DataFrame, master: DataFrame, key: str = ID) -> DataF
 
 
 def with_endpoints(
-    edges: DataFrame, master: DataFrame, columns: Sequence[str], inner_source: bool = True
+    edges: DataFrame, nodes: DataFrame, columns: Sequence[str], inner_source: bool = True
 ) -> DataFrame:
-    """Edges with the columns of both end nodes, as ``from_*`` and ``to_*``."""
-    left = with_master(
-        edges, master, columns, "from_", "inner" if inner_source else "left", "from_id"
-    )
-    return with_master(left, master, columns, "to_", "left", "to_id")
+    """Distinct edges with the columns of both end nodes, as ``from_*`` and ``to_*``.
+
+    ``nodes`` is unique by id. Hot ends are counted on the edges themselves, once per end.
+    """
+    def end(side: str) -> DataFrame:
+        return nodes.select(
+            F.col(ID).alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in columns]
+        )
+
+    how = "inner" if inner_source else "left"
+    sources, targets = key_counts(edges, ["from_id"]), key_counts(edges, ["to_id"])
+    left = lookup_join(edges, end("from"), "from_id", how, sources, distinct=True)
+    return lookup_join(left, end("to"), "to_id", "left", targets, distinct=True)
 
 
 def relationships_touching(relationships: DataFrame, master: DataFrame) -> DataFrame:
     """Edges of which either end is in the master (two flags instead of an OR join)."""
     ids = ids_of(master)
     flagged = lookup_flag(relationships, ids, "from_id", "from_known")
-    flagged = lookup_flag(flagged, ids, "to_id", "to_known")
+    flagged = lookup_flag(flagged, ids, "to_id", "to_known", key_counts(relationships, ["to_id"]))
     return flagged.where(F.col("from_known") | F.col("to_known"))
 
 
@@ -95,18 +104,19 @@ def unpublished_links(
     reasons = redirects.groupBy(F.col("from_id").alias(ID)).agg(
         F.min(F.coalesce("reason", F.lit("NULL"))).alias("redirect_reason")
     )
-    outside = orphans(links, master)
-    known = with_master(
-        outside, entities.withColumn("entity_known", F.lit(True)), [*details, "entity_known"],
-        "", "left",
+    known = one_per_key(entities.select(ID, *details, F.lit(True).alias("_known")), [ID])
+    facts = (
+        ids_of(links)
+        .join(ids_of(master), ID, "left_anti")
+        .join(known, ID, "left")
+        .join(reasons, ID, "left")
     )
-    described = lookup_join(known, reasons, ID, "left")
+    described = lookup_join(links, facts, ID, "inner")
     return described.withColumn(
-        "entity_presence",
-        F.when(F.col("entity_known"), "entity_present").otherwise("entity_missing"),
+        "entity_presence", F.when(F.col("_known"), "entity_present").otherwise("entity_missing")
     ).withColumn(
         "redirect_reason", F.coalesce("redirect_reason", F.lit("no_redirect"))
-    ).drop("entity_known")
+    ).drop("_known")
 
 
 def unpublished_summary(unpublished: DataFrame, columns: Sequence[str]) -> DataFrame:

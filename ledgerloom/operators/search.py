@@ -8,6 +8,7 @@ from ledgerloom.functions.exprs import count_if, differs_blank, is_short
 from ledgerloom.functions.names import norm_trim
 from ledgerloom.operators.profile import coverage, duplicate_extra_rows, rows_per_entity_buckets
 from ledgerloom.operators.relate import ID, missing_parents, orphans, split_by_master, with_master
+from ledgerloom.operators.skew import beside
 from ledgerloom.roles import MASTER_TYPE
 
 
@@ -15,9 +16,7 @@ def search_coverage(master: DataFrame, search: DataFrame) -> DataFrame:
     """One row: master entities with search rows, and how many rows they have."""
     covered = coverage(master, search)
     buckets = rows_per_entity_buckets(master, search)
-    return covered.select(
-        "*", *[buckets.select(c).scalar().alias(c) for c in buckets.columns if c != "entities"]
-    )
+    return beside(covered, buckets.drop("entities"))
 
 
 def _texts(search: DataFrame) -> DataFrame:
@@ -48,9 +47,7 @@ def search_text_quality(search: DataFrame) -> DataFrame:
         count_if(F.col("search_text").isNull() | (trimmed == "")).alias("blank_texts"),
         count_if(is_short(F.col("search_text"))).alias("short_texts"),
     )
-    return texts.select(
-        "*", *[duplicates.select(c).scalar().alias(c) for c in duplicates.columns]
-    )
+    return beside(texts, duplicates)
 
 
 def search_consistency(search: DataFrame, entities: DataFrame) -> DataFrame:
@@ -64,8 +61,8 @@ def search_consistency(search: DataFrame, entities: DataFrame) -> DataFrame:
         count_if(F.col("entity_type") != kind).alias("type_mismatches"),
         count_if(differs_blank(F.col("label"), F.col("known_label"))).alias("label_mismatches"),
     )
-    outside = split_by_master(search, entities).select("rows_outside").scalar()
-    return counts.select("*", outside.alias("orphan_rows"))
+    outside = split_by_master(search, entities).select(F.col("rows_outside").alias("orphan_rows"))
+    return beside(counts, outside)
 
 
 def search_evidence(master: DataFrame, search: DataFrame) -> DataFrame:

@@ -24,9 +24,13 @@ def key_counts(rows: DataFrame, keys: Sequence[str], name: str = "n") -> DataFra
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n") -> DataFrame:
-    """Keys with more rows than an average partition: fewer than P rows."""
+    """Keys with more rows than an average partition, and how many partitions they would
+    fill (``_hot_slices``): fewer than P rows, and fewer than 2 P slices in all."""
     total = counts.agg(F.sum(n)).scalar()
-    return counts.where(F.col(n) * partitions(counts) > total).select(*keys)
+    filled = F.col(n) * partitions(counts)
+    return counts.where(filled > total).select(
+        *keys, F.ceil(filled / total).cast("int").alias("_hot_slices")
+    )
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -48,27 +52,63 @@ def lookup_join(
     on: Sequence[str] | str,
     how: str = "inner",
     counts: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to a ``lookup`` that is unique on ``on``, without hot partitions.
 
-    Rows of hot keys never move: they meet the broadcast of the hot keys' lookup rows
-    (fewer than P, see above). The rest is a plain shuffle join. Rows whose key is NULL
-    match nothing and skip the join. ``counts`` are rows per key when already known.
+    ``counts`` are rows per key (``on`` and ``n``) when the caller knows them; counts from
+    before a filter or a lookup do as well, as they can only be too high.
+
+    ``distinct=False`` suits raw tables, where a third of the rows may be copies of one:
+    rows of hot keys never move, they meet the broadcast of the hot keys' lookup rows.
+    The table is read once for each of the two halves.
+
+    ``distinct=True`` suits derived rows without copies: rows of a hot key are dealt over
+    as many slices as the key would fill partitions, by their hash, and the lookup row is
+    repeated once per slice. ``rows`` is worked out once, which matters for long plans.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not do {how}")
     counts = key_counts(rows, on) if counts is None else counts
     hot = F.broadcast(hot_keys(counts.where(_all_set(on)), on))
+    lookup = lookup.where(_all_set(on))
+    join = _dealt_join if distinct else _halved_join
+    return join(rows, lookup, on, how, hot)
+
+
+def _halved_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame
+) -> DataFrame:
+    """Hot and NULL keys stay in place, the others are shuffled."""
     few = F.broadcast(lookup.join(hot, on, "left_semi"))
-    hot_part = rows.join(hot, on, "left_semi").join(few, on, how)
-    if how in ("inner", "left_semi"):
-        rest = rows.join(hot, on, "left_anti").join(lookup, on, how)
-        return hot_part.unionByName(rest)
-    keyed = rows.where(_all_set(on))
-    rest = keyed.join(hot, on, "left_anti").join(lookup, on, how)
-    unkeyed = rows.where(~_all_set(on))
-    return hot_part.unionByName(rest).unionByName(unkeyed, allowMissingColumns=True)
+    marked = rows.join(hot, on, "left")
+    far = F.col("_hot_slices").isNull() & _all_set(on)
+    near_part = marked.where(~far).drop("_hot_slices").join(few, on, how)
+    far_part = marked.where(far).drop("_hot_slices").join(lookup, on, how)
+    return near_part.unionByName(far_part)
+
+
+def _dealt_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame
+) -> DataFrame:
+    """Hot and NULL keys are dealt over slices, the others have one."""
+    spread = F.pmod(F.xxhash64(*rows.columns), F.col("_hot_slices"))
+    wide = F.when(~_all_set(on), F.lit(partitions(rows))).otherwise(
+        F.coalesce(F.col("_hot_slices"), F.lit(1))
+    )
+    dealt = (
+        rows.join(hot, on, "left")
+        .withColumn("_hot_slices", wide)
+        .withColumn("_hot_slice", spread.cast("int"))
+        .drop("_hot_slices")
+    )
+    repeated = (
+        lookup.join(hot, on, "left")
+        .withColumn("_hot_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_hot_slices", F.lit(1)) - 1)))
+        .drop("_hot_slices")
+    )
+    return dealt.join(repeated, [*on, "_hot_slice"], how).drop("_hot_slice")
 
 
 def lookup_flag(
@@ -76,8 +116,19 @@ def lookup_flag(
     ids: DataFrame,
     key: str,
     flag: str,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add a boolean: does ``key`` occur in the one-column frame ``ids``?"""
     known = ids.select(F.col(ids.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
-    marked = lookup_join(rows, known.withColumn(flag, F.lit(True)), key, "left")
+    marked = lookup_join(rows, known.withColumn(flag, F.lit(True)), key, "left", counts)
     return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def beside(left: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Put one-row frames beside ``left``; each is a single scalar subquery."""
+    names = [f"_beside{i}" for i in range(len(one_row))]
+    packed = [
+        df.select(F.struct(*df.columns).alias(name)).scalar().alias(name)
+        for name, df in zip(names, one_row)
+    ]
+    return left.select("*", *packed).select(*left.columns, *[f"{name}.*" for name in names])

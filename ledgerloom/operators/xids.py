@@ -19,14 +19,14 @@ from ledgerloom.functions.exprs import (
 from ledgerloom.functions.names import norm_compact, norm_words
 from ledgerloom.operators.collide import (
     colliding,
-    collision_members,
     collision_totals,
     key_stats,
+    pair_members,
     relation_of,
 )
 from ledgerloom.operators.listing import value_counts_text
 from ledgerloom.operators.relate import ID, with_master
-from ledgerloom.operators.skew import lookup_join
+from ledgerloom.operators.skew import beside, lookup_join
 
 EXACT = ["provider", "property", "external_id"]
 PROVIDER = ["provider", "external_id"]
@@ -78,7 +78,7 @@ def xid_collision_totals(rows: DataFrame) -> DataFrame:
     """One row: distinct keys, groups, memberships and entities for both kinds of key."""
     exact = collision_totals(rows, EXACT, "exact_")
     provider = collision_totals(rows, PROVIDER, "provider_")
-    return exact.select("*", *[provider.select(c).scalar().alias(c) for c in provider.columns])
+    return beside(exact, provider)
 
 
 def xid_provider_collisions(rows: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def xid_collision_by_provider(rows: DataFrame) -> DataFrame:
         F.count_distinct(F.col("external_id")).alias("external_ids"),
     )
     pairs = rows.select(*EXACT, ID).distinct()
-    members = collision_members(pairs, EXACT)
+    members = pair_members(pairs, EXACT)
     hit = members.groupBy("provider").agg(
         F.count("*").alias("collision_rows"),
         F.count_distinct(F.col(ID)).alias("collision_entities"),
@@ -208,17 +208,17 @@ def entity_conflicts(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
 def conflict_members(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One row per (provider, id, entity) of the conflict groups, with the group's columns."""
     pairs = rows.select(*PROVIDER, ID).distinct()
-    return lookup_join(pairs, conflicts, PROVIDER, "inner")
+    return lookup_join(pairs, conflicts, PROVIDER, "inner", distinct=True)
 
 
 def exact_collision_entities(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One row: entities that hold a colliding exact key themselves, and the wider count of
     all entities in groups that contain one."""
-    true_members = collision_members(rows.select(*EXACT, ID).distinct(), EXACT)
+    true_members = pair_members(rows, EXACT)
     wide = conflict_members(rows, conflicts.where(F.col("exact_collision_keys") > 0))
-    return true_members.agg(F.count_distinct(F.col(ID)).alias("exact_members")).select(
-        "exact_members",
-        wide.agg(F.count_distinct(F.col(ID)).alias("n")).scalar().alias("group_members"),
+    return beside(
+        true_members.agg(F.count_distinct(F.col(ID)).alias("exact_members")),
+        wide.agg(F.count_distinct(F.col(ID)).alias("group_members")),
     )
 
 

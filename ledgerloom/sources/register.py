@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerloom.roles import require_tables
 
 # The shape of one record of the profile feed.
-FEED_SCHEMA = T.StructType.fromDDL(
+FEED_SCHEMA = (
     "entity_id string, label string, profile_feed_version string, schema_version string, "
     "status string, gender string, country string, "
     "position struct<primary: string, secondary: string, status: string, "

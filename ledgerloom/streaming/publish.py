@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.functions.exprs import count_if, display_label, is_present, or_blank
 from ledgerloom.operators.relate import ID
 from ledgerloom.operators.skew import lookup_join
-from ledgerloom.operators.slices import with_previous
+from ledgerloom.operators.slices import cut, with_previous
 
 # Actions and states of a publishing run.
 CREATE, UPDATE = "CREATE", "UPDATE"
@@ -76,7 +76,7 @@ def upsert_plan(batch: DataFrame, published: DataFrame, position: str = "feed_in
         F.min(position).alias("_first"), F.count("*").alias("n")
     )
     seen = first.join(known, ID, "left").select(ID, "_first", "_known")
-    planned = lookup_join(batch, seen, ID, "left", counts=first.select(ID, "n"))
+    planned = lookup_join(batch, seen, ID, "left", first.select(ID, "n"), distinct=True)
     action = (
         F.when(~is_present(F.col(ID)), FAILED)
         .when(F.col("_known").isNotNull(), UPDATE)
@@ -127,8 +127,13 @@ def _published(spark: SparkSession, folder: str, schema, before: int) -> DataFra
 
 
 def publish_batch(batch: DataFrame, batch_id: int, sink: str, position: str = "feed_index") -> None:
-    """Publish one batch into folders of its own; doing it again changes nothing."""
+    """Publish one batch into folders of its own; doing it again changes nothing.
+
+    Records without a position get one from their place in the batch, fixed by a checkpoint.
+    """
     spark = batch.sparkSession
+    if position not in batch.columns:
+        batch = cut(batch.withColumn(position, F.monotonically_increasing_id()))
     published = _published(spark, f"{sink}/published", batch.select(ID).schema, batch_id)
     plan = upsert_plan(batch, published.select(ID), position)
     good = plan.where(F.col("action") != FAILED)
