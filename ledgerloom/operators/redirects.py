@@ -149,30 +149,25 @@ def _xid_key(xids: DataFrame) -> DataFrame:
     return rows.select(ID, F.to_json(F.struct(*[as_text(F.col(p)).alias(p) for p in parts])).alias("key"))
 
 
-def _shared(edges: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """Distinct (from_id, to_id) with the number of keys that both ends hold.
+def _ends(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("to_id").isNotNull()).select("from_id", "to_id").distinct()
 
-    Keys of a single holder cannot be shared and are dropped first; what is left of the
-    source's keys is looked up at the target, so no two sets are ever held in memory.
+
+def _met(edges: DataFrame, held: DataFrame) -> DataFrame:
+    """Keys that both ends of a distinct edge hold, one row each.
+
+    The source's keys are carried along its edges and looked up at the target, so no set
+    of keys is ever held in memory, however many keys a node has.
     """
-    held = pairs.where(F.col(ID).isNotNull() & F.col("key").isNotNull()).distinct()
-    counted = held.groupBy("key").agg(F.count("*").alias("n"))
-    common = counted.where(F.col("n") > 1).select("key")
-    common_held = lookup_join(held, common, "key", "left_semi", counted, distinct=True)
-    ends = edges.where(F.col("to_id").isNotNull()).select("from_id", "to_id").distinct()
-    carried = ends.join(common_held.withColumnRenamed(ID, "from_id"), "from_id")
-    at_target = common_held.withColumnRenamed(ID, "to_id")
-    met = lookup_join(carried, at_target, ["to_id", "key"], "left_semi", distinct=True)
-    return met.groupBy("from_id", "to_id").agg(F.count("*").alias(name))
+    carried = _ends(edges).join(held.withColumnRenamed(ID, "from_id"), "from_id")
+    at_target = held.withColumnRenamed(ID, "to_id")
+    on = ["to_id", *[c for c in held.columns if c != ID]]
+    return lookup_join(carried, at_target, on, "left_semi", distinct=True)
 
 
 def shared_keys(edges: DataFrame, xids: DataFrame) -> DataFrame:
     """The external keys that both ends of an edge hold, one row each."""
-    held = _xid_key(xids).distinct()
-    ends = edges.where(F.col("to_id").isNotNull()).select("from_id", "to_id").distinct()
-    carried = ends.join(held.withColumnRenamed(ID, "from_id"), "from_id")
-    at_target = held.withColumnRenamed(ID, "to_id")
-    return lookup_join(carried, at_target, ["to_id", "key"], "left_semi", distinct=True)
+    return _met(edges, _xid_key(xids).distinct())
 
 
 def redirect_detail(
@@ -190,23 +185,33 @@ def redirect_detail(
     """
     qids = links.where(is_present(F.col("qid"))).select(ID, as_text(F.col("qid")).alias("key"))
     keys = _xid_key(xids)
+    held = (
+        qids.where(F.col(ID).isNotNull())
+        .withColumn("what", F.lit("qid"))
+        .unionByName(keys.where(F.col(ID).isNotNull()).withColumn("what", F.lit("xid")))
+        .distinct()
+    )
     facts = evidence_counts(
         master.select(ID, "label", "status", "gender", label_key(F.col("label")).alias("label_key"))
         .withColumn("present", F.lit(True)),
-        {"qid": qids.distinct(), "xid": keys.distinct(), "alias": aliases},
+        {
+            "qid": held.where(F.col("what") == "qid"),
+            "xid": held.where(F.col("what") == "xid"),
+            "alias": aliases,
+        },
     )
     columns = ["label", "status", "gender", "label_key", "present", "n_qid", "n_xid", "n_alias"]
     once = edges.groupBy("from_id", "to_id", "reason").agg(F.count("*").alias("copies"))
     ended = with_endpoints(once, facts, columns)
     for count in ("n_qid", "n_xid", "n_alias"):
         ended = ended.withColumn(f"to_{count}", F.coalesce(f"to_{count}", F.lit(0)))
-    shared = _shared(once, qids, "shared_qids").join(
-        _shared(once, keys, "shared_xids"), ["from_id", "to_id"], "full_outer"
+    shared = _met(once, held).groupBy("from_id", "to_id").agg(
+        count_if(F.col("what") == "qid").alias("shared_qids"),
+        count_if(F.col("what") == "xid").alias("shared_xids"),
+    )
+    joined = ended.join(shared, ["from_id", "to_id"], "left").fillna(
+        0, ["shared_qids", "shared_xids"]
     )
-    pairs = once.groupBy("from_id", "to_id").agg(F.count("*").alias("n"))
-    joined = lookup_join(
-        ended, shared, ["from_id", "to_id"], "left", pairs, distinct=True
-    ).fillna(0, ["shared_qids", "shared_xids"])
     return joined.select(
         "from_id",
         "to_id",

@@ -31,7 +31,7 @@ def search_duplicates(search: DataFrame) -> DataFrame:
     keys are shuffled.
     """
     keyed = _texts(search).select(
-        ID, F.sha2("search_value", 256).alias("digest"), F.length("search_value").alias("chars")
+        ID, F.sha2("search_value", 256).alias("digest"), F.length("search_value").cast("long").alias("chars")
     )
     counted = keyed.groupBy(ID, "digest", "chars").agg(F.count("*").alias("n"))
     return counted.where(F.col("n") > 1)
