@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.exprs import count_if, relation
 from ledgerloom.operators.listing import joined_records
 from ledgerloom.operators.relate import ID, value_range
-from ledgerloom.operators.skew import beside, lookup_join
+from ledgerloom.operators.skew import beside, key_counts, lookup_join
 
 
 def key_stats(
@@ -54,7 +54,13 @@ def collision_members(
 
 def pair_members(rows: DataFrame, keys: Sequence[str], entity: str = ID) -> DataFrame:
     """The same over distinct (key, entity) pairs, one row per member of a group."""
-    return collision_members(rows.select(*keys, entity).distinct(), keys, distinct=True)
+    return _pair_members(rows.select(*keys, entity).distinct(), keys)
+
+
+def _pair_members(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    counts = key_counts(pairs, keys)
+    groups = counts.where(F.col("n") > 1).withColumnRenamed("n", "group_size")
+    return lookup_join(pairs, groups, keys, "inner", counts, distinct=True)
 
 
 def entities_in(members: DataFrame, entity: str = ID) -> DataFrame:
@@ -63,14 +69,14 @@ def entities_in(members: DataFrame, entity: str = ID) -> DataFrame:
 
 def collision_totals(rows: DataFrame, keys: Sequence[str], prefix: str = "") -> DataFrame:
     """One row: distinct keys, colliding groups, memberships, and entities involved."""
-    stats = key_stats(rows, keys)
-    hit = F.col("n_entities") > 1
-    totals = stats.agg(
+    pairs = rows.select(*keys, ID).distinct()
+    n = F.col("n")
+    totals = key_counts(pairs, keys).agg(
         F.count("*").alias("distinct_keys"),
-        count_if(hit).alias("groups"),
-        F.coalesce(F.sum(F.when(hit, F.col("n_entities"))), F.lit(0)).alias("memberships"),
+        count_if(n > 1).alias("groups"),
+        F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("memberships"),
     )
-    totals = beside(totals, entities_in(pair_members(rows, keys)))
+    totals = beside(totals, entities_in(_pair_members(pairs, keys)))
     return totals.toDF(*[f"{prefix}{c}" for c in totals.columns])
 
 

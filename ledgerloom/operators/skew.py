@@ -1,17 +1,23 @@
-"""Joins and slices that hold when one key owns a third of all rows.
+"""Joins that hold when one key owns a third of all rows.
 
 A key is *hot* when it has more rows than an average shuffle partition. With P shuffle
 partitions and N rows there are fewer than P such keys, because each owns more than N / P
-rows. That bound does not grow with the data, which is what makes the hot part of a
-lookup safe to broadcast; everything else goes through an ordinary shuffle join.
+rows. That bound does not grow with the data: it is what makes the list of hot keys safe
+to fetch, and the hot part of a unique lookup safe to broadcast.
+
+Hot keys are measured before a join is planned, by a count over 8-byte key hashes. Most
+joins have none and stay plain joins, for which Catalyst and AQE pick the strategy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from math import ceil
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
+# A key with fewer rows than this cannot hold up a task, however small the table.
+HOT_FLOOR = 10_000
 
 
 def partitions(df: DataFrame) -> int:
@@ -23,14 +29,27 @@ def key_counts(rows: DataFrame, keys: Sequence[str], name: str = "n") -> DataFra
     return rows.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n") -> DataFrame:
-    """Keys with more rows than an average partition, and how many partitions they would
-    fill (``_hot_slices``): fewer than P rows, and fewer than 2 P slices in all."""
-    total = counts.agg(F.sum(n)).scalar()
-    filled = F.col(n) * partitions(counts)
-    return counts.where(filled > total).select(
-        *keys, F.ceil(filled / total).cast("int").alias("_hot_slices")
+def measure_hot(counts: DataFrame, keys: Sequence[str], n: str = "n") -> dict[int, int]:
+    """Hash of each hot key -> the number of partitions that its rows would fill.
+
+    One job, which fetches at most P rows: the P greatest counts and, as a metric of the
+    same pass, the total. Hotness only decides which way a row takes, so a stale count or
+    two keys with one hash cost time but never change a result.
+    """
+    parts = partitions(counts)
+    seen = Observation()
+    top = (
+        counts.select(F.xxhash64(*keys).alias("h"), F.col(n).alias("n"))
+        .observe(seen, F.sum("n").alias("total"))
+        .where(F.col("n") > HOT_FLOOR)
+        .orderBy(F.desc("n"))
+        .limit(parts)
+        .collect()
     )
+    if not top:
+        return {}
+    total = seen.get["total"]
+    return {row.h: ceil(row.n * parts / total) for row in top if row.n * parts > total}
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,10 +61,6 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def _all_set(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -57,7 +72,8 @@ def lookup_join(
     """Join ``rows`` to a ``lookup`` that is unique on ``on``, without hot partitions.
 
     ``counts`` are rows per key (``on`` and ``n``) when the caller knows them; counts from
-    before a filter or a lookup do as well, as they can only be too high.
+    before a filter or a lookup do as well, as they can only be too high. NULL keys match
+    nothing, but they are counted and kept apart like any other key.
 
     ``distinct=False`` suits raw tables, where a third of the rows may be copies of one:
     rows of hot keys never move, they meet the broadcast of the hot keys' lookup rows.
@@ -70,42 +86,50 @@ def lookup_join(
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not do {how}")
-    counts = key_counts(rows, on) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts.where(_all_set(on)), on))
-    lookup = lookup.where(_all_set(on))
+    for key in on:
+        kinds = rows.schema[key].dataType, lookup.schema[key].dataType
+        if kinds[0] != kinds[1]:  # hashes of the two sides must agree
+            raise TypeError(f"{key} is {kinds[0]} in the rows and {kinds[1]} in the lookup")
+    hot = measure_hot(key_counts(rows.select(*on), on) if counts is None else counts, on)
+    if not hot:
+        return rows.join(lookup, on, how)
+    spark = rows.sparkSession
+    listed = spark.createDataFrame(list(hot.items()), "_hot_key bigint, _hot_slices int")
     join = _dealt_join if distinct else _halved_join
-    return join(rows, lookup, on, how, hot)
+    return join(rows, lookup, on, how, F.broadcast(listed))
+
+
+def _mark(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``_hot_slices``, NULL for keys that are not hot."""
+    keyed = df.withColumn("_hot_key", F.xxhash64(*on))
+    return keyed.join(hot, "_hot_key", "left").drop("_hot_key")
 
 
 def _halved_join(
     rows: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame
 ) -> DataFrame:
-    """Hot and NULL keys stay in place, the others are shuffled."""
-    few = F.broadcast(lookup.join(hot, on, "left_semi"))
-    marked = rows.join(hot, on, "left")
-    far = F.col("_hot_slices").isNull() & _all_set(on)
-    near_part = marked.where(~far).drop("_hot_slices").join(few, on, how)
-    far_part = marked.where(far).drop("_hot_slices").join(lookup, on, how)
-    return near_part.unionByName(far_part)
+    """Hot keys stay in place, the others are shuffled."""
+    is_hot = F.col("_hot_slices").isNotNull()
+    marked = _mark(rows, on, hot)
+    few = F.broadcast(_mark(lookup, on, hot).where(is_hot).drop("_hot_slices"))
+    near = marked.where(is_hot).drop("_hot_slices").join(few, on, how)
+    far = marked.where(~is_hot).drop("_hot_slices").join(lookup, on, how)
+    return near.unionByName(far)
 
 
 def _dealt_join(
     rows: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame
 ) -> DataFrame:
-    """Hot and NULL keys are dealt over slices, the others have one."""
-    spread = F.pmod(F.xxhash64(*rows.columns), F.col("_hot_slices"))
-    wide = F.when(~_all_set(on), F.lit(partitions(rows))).otherwise(
-        F.coalesce(F.col("_hot_slices"), F.lit(1))
-    )
+    """Hot keys are dealt over slices, the others have one."""
+    slices = F.coalesce(F.col("_hot_slices"), F.lit(1))
     dealt = (
-        rows.join(hot, on, "left")
-        .withColumn("_hot_slices", wide)
-        .withColumn("_hot_slice", spread.cast("int"))
+        _mark(rows, on, hot)
+        .withColumn("_hot_slice", F.pmod(F.xxhash64(*rows.columns), slices).cast("int"))
         .drop("_hot_slices")
     )
     repeated = (
-        lookup.join(hot, on, "left")
-        .withColumn("_hot_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_hot_slices", F.lit(1)) - 1)))
+        _mark(lookup, on, hot)
+        .withColumn("_hot_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_hot_slices")
     )
     return dealt.join(repeated, [*on, "_hot_slice"], how).drop("_hot_slice")
