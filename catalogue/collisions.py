@@ -8,6 +8,7 @@ from catalogue.registers import over, sql
 from ledgerloom.functions import names
 from ledgerloom.operators import aliases, collide, listing, qids, xids
 from ledgerloom.operators.profile import value_distribution
+from ledgerloom.operators.slices import cut
 
 # SQL forms of the name keys, right for text in Latin letters.
 CONSERVATIVE = "TRIM(REGEXP_REPLACE(LOWER(STRIP_ACCENTS(COALESCE({}, ''))), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'))"
@@ -36,8 +37,27 @@ def keyed_aliases(r):
     return aliases.keyed_aliases(r.aliases, r.master, names.norm_alias)
 
 
-def order_rows(r):
-    return xids.master_xids(r.order_xids, r.orders_master)
+def order_rows(r, label_key=None):
+    """Lines as external ids of orders, written once because the queries read them often."""
+    return cut(xids.master_xids(r.order_xids, r.orders_master, label_key))
+
+
+def conflicts_over(build):
+    """A query over the external ids with word keys, and their conflicts."""
+    def query(r):
+        rows = order_rows(r, names.norm_words)
+        return build(rows, xids.xid_conflicts(rows))
+
+    return over(query)
+
+
+def identity_over(build):
+    """A query over the external ids with compact keys, their identity groups, the master."""
+    def query(r):
+        rows = order_rows(r, names.norm_compact)
+        return build(rows, xids.xid_identity_groups(rows), r.orders_master)
+
+    return over(query)
 
 
 ROWS = (
@@ -429,11 +449,13 @@ QUERIES = {
         ),
     ),
     "xid_conflicts": (
-        over(lambda r: xids.xid_conflicts(order_rows(r))),
+        conflicts_over(lambda rows, conflicts: conflicts),
         sql("order_xids orders_master", "SELECT * FROM conflicts", ROWS, CONFLICTS),
     ),
     "xid_conflict_types": (
-        over(lambda r: value_distribution(xids.xid_conflicts(order_rows(r)).select("conflict_type"), "conflict_type").drop("pct")),
+        conflicts_over(
+            lambda rows, conflicts: value_distribution(conflicts.select("conflict_type"), "conflict_type").drop("pct")
+        ),
         sql(
             "order_xids orders_master",
             "SELECT conflict_type, COUNT(*) AS n FROM conflicts GROUP BY 1",
@@ -442,8 +464,8 @@ QUERIES = {
         ),
     ),
     "conflict_members": (
-        over(
-            lambda r: xids.conflict_members(order_rows(r), xids.xid_conflicts(order_rows(r))).select(
+        conflicts_over(
+            lambda rows, conflicts: xids.conflict_members(rows, conflicts).select(
                 "provider", "external_id", "entity_id", "n_entities", "conflict_type"
             )
         ),
@@ -456,7 +478,7 @@ QUERIES = {
         ),
     ),
     "entity_conflicts": (
-        over(lambda r: xids.entity_conflicts(order_rows(r), xids.xid_conflicts(order_rows(r)))),
+        conflicts_over(xids.entity_conflicts),
         sql(
             "order_xids orders_master",
             "SELECT entity_id, COUNT(*) AS provider_collision_groups, CAST(SUM(exact_collision_keys) AS BIGINT) AS "
@@ -471,7 +493,7 @@ QUERIES = {
         ),
     ),
     "exact_collision_entities": (
-        over(lambda r: xids.exact_collision_entities(order_rows(r), xids.xid_conflicts(order_rows(r)))),
+        conflicts_over(xids.exact_collision_entities),
         sql(
             "order_xids orders_master",
             f"SELECT (SELECT COUNT(DISTINCT entity_id) FROM held JOIN exact USING ({EXACT}) WHERE n > 1) AS exact_members, "
@@ -482,15 +504,11 @@ QUERIES = {
         ),
     ),
     "xid_identity_groups": (
-        over(lambda r: xids.xid_identity_groups(order_rows(r))),
+        identity_over(lambda rows, groups, master: groups),
         sql("order_xids orders_master", "SELECT * FROM ident", ROWS, IDENTITY),
     ),
     "entity_xid_identity": (
-        over(
-            lambda r: xids.entity_xid_identity(
-                order_rows(r), xids.xid_identity_groups(order_rows(r)), r.orders_master
-            )
-        ),
+        identity_over(xids.entity_xid_identity),
         sql(
             "order_xids orders_master",
             "SELECT m.entity_id, m.label, m.status, m.gender, COALESCE(n, 0) AS conflict_group_count, "
@@ -528,9 +546,9 @@ QUERIES = {
         ),
     ),
     "collision_class_counts": (
-        over(
-            lambda r: collide.class_counts(
-                xids.xid_identity_groups(order_rows(r)),
+        identity_over(
+            lambda rows, groups, master: collide.class_counts(
+                groups,
                 ["name_relation", "gender_relation", "qid_relation", "dob_relation"],
             )
         ),

@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources.register import spread
+
 
 @dataclass(frozen=True)
 class Role:
@@ -263,6 +265,10 @@ ROLES: dict[str, list[Role]] = {
 }
 
 
+# roles with long texts, or with much work per row
+HEAVY = ("order_xids", "aliases", "search", "texts")
+
+
 class Register:
     """The role frames over one folder of the given tables."""
 
@@ -272,9 +278,10 @@ class Register:
     def __getattr__(self, role: str) -> DataFrame:
         if role not in ROLES:
             raise AttributeError(role)
-        return reduce(
-            DataFrame.unionByName, [r.frame(self.spark, self.folder) for r in ROLES[role]]
-        )
+        frames = [r.frame(self.spark, self.folder) for r in ROLES[role]]
+        if role in HEAVY:
+            frames = [spread(f) for f in frames]
+        return reduce(DataFrame.unionByName, frames)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

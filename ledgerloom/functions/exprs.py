@@ -6,8 +6,14 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Java's Unicode \s misses U+001C..U+001F, which count as blanks in the register's cleaner.
+# Every character that counts as a blank, as a pattern and as a list.
+# (Java's Unicode \s misses U+001C..U+001F.)
 BLANK = r"[\s\x1c-\x1f]"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def ladder(rungs: Iterable[tuple[Column, str]], default: str) -> Column:
@@ -19,8 +25,13 @@ def ladder(rungs: Iterable[tuple[Column, str]], default: str) -> Column:
 
 
 def strip(column: Column) -> Column:
-    """Remove every kind of Unicode blank at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(column, f"(?U)^{BLANK}+|{BLANK}+$", "")
+    """Remove every kind of Unicode blank at both ends (``trim`` removes spaces only).
+
+    Texts that begin and end with a visible ASCII character, nearly all, are left alone.
+    """
+    first, last = F.ascii(column), F.ascii(F.substring(column, -1, 1))
+    plain = first.between(33, 126) & last.between(33, 126)
+    return F.when(plain, column).otherwise(F.btrim(column, F.lit(BLANKS)))
 
 
 def as_text(column: Column) -> Column:
@@ -116,8 +127,37 @@ def cardinality_class(values: Column) -> Column:
     return ladder([(F.size(values) == 0, "none"), (F.size(values) == 1, "single")], "multiple")
 
 
+def value_mark(column: Column) -> Column:
+    """64-bit mark of a value, NULL for NULL.
+
+    Least and greatest marks fit fixed-width aggregation buffers, so Spark hashes where it
+    would sort the rows for the least and greatest of a text. Different marks prove
+    different values; a group whose values differ but all share one mark has odds of one
+    in 2^64 per pair.
+    """
+    return F.when(column.isNotNull(), F.xxhash64(column))
+
+
+def ends(**columns: Column) -> list[Column]:
+    """Aggregates ``<name>_low`` and ``<name>_high`` over the marks of the columns."""
+    found = []
+    for name, column in columns.items():
+        found.append(F.min(value_mark(column)).alias(f"{name}_low"))
+        found.append(F.max(value_mark(column)).alias(f"{name}_high"))
+    return found
+
+
+def merged_ends(*names: str) -> list[Column]:
+    """The same over frames that already hold both ends."""
+    found = []
+    for name in names:
+        found.append(F.min(f"{name}_low").alias(f"{name}_low"))
+        found.append(F.max(f"{name}_high").alias(f"{name}_high"))
+    return found
+
+
 def relation(low: Column, high: Column, none: str, one: str, many: str) -> Column:
-    """Class of a set of values by its least and greatest member.
+    """Class of a set of values by the ends of its marks.
 
     Equal ends mean one value, so no set is collected: the class of a group of any size
     needs only two partial aggregates.

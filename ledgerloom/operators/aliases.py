@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.exprs import (
     clean,
     clean_or_null,
+    ends,
     is_provider_name,
     is_short_alias,
     ladder,
+    merged_ends,
     relation,
     yes_no,
 )
@@ -24,7 +26,8 @@ from ledgerloom.operators.collide import (
 )
 from ledgerloom.operators.listing import value_counts_text
 from ledgerloom.operators.profile import entities_with
-from ledgerloom.operators.relate import ID, restrict_to_master, value_range
+from ledgerloom.operators.relate import ID, restrict_to_master, value_count, value_marks
+from ledgerloom.operators.slices import cut
 from ledgerloom.operators.skew import beside, key_counts, lookup_join
 
 Key = Callable[[Column], Column]
@@ -86,7 +89,8 @@ def alias_collision_profile(
     keyed: DataFrame, master: DataFrame, links: DataFrame, xids: DataFrame
 ) -> DataFrame:
     """Colliding aliases with the relation of labels, genders, QIDs, external ids, statuses."""
-    members = pair_members(keyed, ["normalized_alias"])
+    pairs = cut(keyed.select(ID, "normalized_alias").distinct())
+    members = pair_members(pairs, ["normalized_alias"])
     attributes = master.select(
         ID,
         F.coalesce("label", F.lit("")).alias("label"),
@@ -95,19 +99,15 @@ def alias_collision_profile(
     )
     holders = xids.where(clean_or_null(F.col("external_id")).isNotNull())
     facts = (
-        attributes.join(value_range(links, "qid"), ID, "left")
+        attributes.join(value_marks(links, "qid"), ID, "left")
         .join(holders.select(ID).distinct().withColumn("has_xid", F.lit(True)), ID, "left")
     )
-    per_entity = key_counts(keyed, [ID])
+    per_entity = key_counts(pairs, [ID])
     described = lookup_join(members, facts, ID, "left", per_entity, distinct=True)
-    ends = []
-    for a in ("label", "gender", "status"):
-        ends += [F.min(a).alias(f"{a}_low"), F.max(a).alias(f"{a}_high")]
     groups = described.groupBy("normalized_alias").agg(
         F.count("*").alias("n_entities"),
-        *ends,
-        F.min("qid_low").alias("qid_low"),
-        F.max("qid_high").alias("qid_high"),
+        *ends(label=F.col("label"), gender=F.col("gender"), status=F.col("status")),
+        *merged_ends("qid"),
         F.coalesce(F.bool_or("has_xid"), F.lit(False)).alias("any_xid"),
     )
     joined = groups.join(_held_in_common(members, xids), "normalized_alias", "left")
@@ -143,6 +143,7 @@ def entity_alias_profile(
     keyed: DataFrame, master: DataFrame, links: DataFrame, xids: DataFrame
 ) -> DataFrame:
     """Each entity: conflict, aliases of its own, or none; with counts and alias flags."""
+    keyed = cut(keyed)
     held = keyed.groupBy(ID).agg(
         F.count("*").alias("alias_count"),
         F.bool_or(is_provider_name(F.coalesce("kind", F.lit("")))).alias("_provider"),
@@ -159,7 +160,7 @@ def entity_alias_profile(
         .join(
             _collisions_per_entity(keyed, "normalized_alias", "normalized_collisions"), ID, "left"
         )
-        .join(value_range(links, "qid").select(ID, "qid_count"), ID, "left")
+        .join(value_count(links, "qid", "qid_count"), ID, "left")
         .join(xid_counts, ID, "left")
     )
     counts = ["alias_count", "exact_collisions", "normalized_collisions", "qid_count", "xid_count"]

@@ -11,23 +11,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.exprs import count_if, relation
+from ledgerloom.functions.exprs import count_if, ends, is_present, merged_ends, relation
 from ledgerloom.operators.listing import joined_records
-from ledgerloom.operators.relate import ID, value_range
+from ledgerloom.operators.relate import ID, value_count, value_marks
 from ledgerloom.operators.skew import beside, key_counts, lookup_join
 
 
 def key_stats(
     rows: DataFrame, keys: Sequence[str], attributes: Sequence[str] = (), entity: str = ID
 ) -> DataFrame:
-    """Per key: rows, distinct entities, and both ends of every attribute."""
-    ends = []
-    for a in attributes:
-        ends += [F.min(a).alias(f"{a}_low"), F.max(a).alias(f"{a}_high")]
+    """Per key: rows, distinct entities, and both ends of every attribute's marks."""
     return rows.groupBy(*keys).agg(
         F.count("*").alias("n_rows"),
         F.count_distinct(F.col(entity)).alias("n_entities"),
-        *ends,
+        *ends(**{a: F.col(a) for a in attributes}),
     )
 
 
@@ -141,7 +138,7 @@ def label_collision_profile(
     master: DataFrame, links: DataFrame, key: Callable[[Column], Column]
 ) -> DataFrame:
     """Colliding labels with the relation of their labels, genders and QIDs."""
-    qids = value_range(links.where(F.trim(F.col("qid").cast("string")) != ""), "qid")
+    qids = value_marks(links.where(is_present(F.col("qid"))), "qid")
     keyed = (
         with_key(master, key, "normalized_label")
         .where(F.col("normalized_label") != "")
@@ -155,12 +152,8 @@ def label_collision_profile(
     )
     stats = keyed.groupBy("normalized_label").agg(
         F.count("*").alias("n_entities"),
-        F.min("label").alias("label_low"),
-        F.max("label").alias("label_high"),
-        F.min("gender").alias("gender_low"),
-        F.max("gender").alias("gender_high"),
-        F.min("qid_low").alias("qid_low"),
-        F.max("qid_high").alias("qid_high"),
+        *ends(label=F.col("label"), gender=F.col("gender")),
+        *merged_ends("qid"),
     )
     return colliding(stats).select(
         "normalized_label",
@@ -185,8 +178,8 @@ def entity_label_profile(
         "n", "group_size"
     )
     grouped = lookup_join(keyed, shared, "normalized_label", "left", counted, distinct=True)
-    qids = value_range(links.where(F.trim(F.col("qid").cast("string")) != ""), "qid")
-    joined = grouped.join(qids.select(ID, "qid_count"), ID, "left")
+    qids = value_count(links.where(is_present(F.col("qid"))), "qid", "qid_count")
+    joined = grouped.join(qids, ID, "left")
     return joined.select(
         *master.columns,
         "normalized_label",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.exprs import as_text, is_present, join_set
+from ledgerloom.functions.exprs import as_text, ends, is_present, join_set
 from ledgerloom.functions.names import norm_casefold
 from ledgerloom.operators.collide import colliding, collision_members, key_stats, relation_of
 from ledgerloom.operators.relate import ID, not_subset, restrict_to_master, value_range, with_master
@@ -49,8 +49,7 @@ def qid_collision_detail(
     named = with_master(one, keyed, ["label", "status", "gender", "_key"], distinct=True)
     stats = named.groupBy("qid").agg(
         F.count("*").alias("group_size"),
-        F.min("_key").alias("key_low"),
-        F.max("_key").alias("key_high"),
+        *ends(key=F.col("_key")),
     )
     groups = stats.where(F.col("group_size") > 1).select(
         "qid",

@@ -10,7 +10,7 @@ from ledgerloom.functions.exprs import as_text, clean_or_null, count_if, is_pres
 from ledgerloom.functions.names import norm_space
 from ledgerloom.operators.collide import colliding, key_stats
 from ledgerloom.operators.relate import ID, evidence_counts, ids_of, with_endpoints
-from ledgerloom.operators.skew import key_counts, lookup_flag, lookup_join, one_per_key
+from ledgerloom.operators.skew import key_counts, lookup_flag, lookup_join
 from ledgerloom.operators.slices import cut
 from ledgerloom.roles import ACTIVE, REDIRECTED, RETIRED
 
@@ -146,7 +146,7 @@ def _xid_key(xids: DataFrame) -> DataFrame:
     parts = ["provider", "property", "external_id"]
     rows = xids.where(F.col("provider").isNotNull() & F.col("property").isNotNull())
     rows = rows.where(clean_or_null(F.col("external_id")).isNotNull())
-    return rows.select(ID, F.to_json(F.struct(*[as_text(F.col(p)).alias(p) for p in parts])).alias("key"))
+    return rows.select(ID, F.concat_ws("\u001f", *[as_text(F.col(p)) for p in parts]).alias("key"))
 
 
 def _ends(edges: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def redirects_without_evidence(detail: DataFrame) -> DataFrame:
 def status_transitions(edges: DataFrame, master: DataFrame) -> DataFrame:
     """Edges inside the master by the statuses of their two ends."""
     once = edges.groupBy("from_id", "to_id").agg(F.count("*").alias("n"))
-    nodes = one_per_key(master.select(ID, "status", F.lit(True).alias("present")), [ID])
+    nodes = master.select(ID, "status", F.lit(True).alias("present"))
     inside = with_endpoints(once, nodes, ["status", "present"]).where(F.col("to_present"))
     return inside.groupBy(
         F.coalesce("from_status", F.lit("NULL")).alias("from_status"),

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.exprs import count_if, null_bucket
+from ledgerloom.functions.exprs import count_if, ends, null_bucket
 from ledgerloom.operators.skew import key_counts, lookup_flag, lookup_join, one_per_key
 
 ID = "entity_id"
@@ -46,10 +46,12 @@ def with_master(
     key: str = ID,
     distinct: bool = False,
 ) -> DataFrame:
-    """Child rows with columns of their master row (``distinct`` as in ``lookup_join``)."""
-    picked = one_per_key(
-        master.select(F.col(ID).alias(key), *[F.col(c).alias(f"{prefix}{c}") for c in columns]),
-        [key],
+    """Child rows with columns of their master row (``distinct`` as in ``lookup_join``).
+
+    Ids of the master must be unique, which ``plans.gates.validate_rows`` checks first.
+    """
+    picked = master.select(
+        F.col(ID).alias(key), *[F.col(c).alias(f"{prefix}{c}") for c in columns]
     )
     return lookup_join(child, picked, key, how, distinct=distinct)
 
@@ -170,6 +172,18 @@ def evidence_counts(master: DataFrame, tables: Mapping[str, DataFrame]) -> DataF
     )
 
 
+def value_count(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Per id: the number of distinct values."""
+    kept = rows.where(F.col(value).isNotNull())
+    return kept.groupBy(ID).agg(F.count_distinct(F.col(value)).alias(name))
+
+
+def value_marks(rows: DataFrame, value: str) -> DataFrame:
+    """Per id: both ends of the marks of a column."""
+    kept = rows.where(F.col(value).isNotNull())
+    return kept.groupBy(ID).agg(*ends(**{value: F.col(value)}))
+
+
 def value_range(rows: DataFrame, value: str, keys: Sequence[str] = (ID,)) -> DataFrame:
     """Per key: least, greatest and number of distinct values; no set is collected."""
     return (

@@ -8,7 +8,7 @@ from ledgerloom.functions.exprs import count_if, differs_blank, is_short
 from ledgerloom.functions.names import norm_trim
 from ledgerloom.operators.profile import coverage, duplicate_extra_rows, rows_per_entity_buckets
 from ledgerloom.operators.relate import ID, missing_parents, orphans, split_by_master, with_master
-from ledgerloom.operators.skew import beside
+from ledgerloom.operators.skew import beside, one_per_key
 from ledgerloom.roles import MASTER_TYPE
 
 
@@ -50,9 +50,17 @@ def search_text_quality(search: DataFrame) -> DataFrame:
     return beside(texts, duplicates)
 
 
+def _linked(search: DataFrame, entities: DataFrame) -> DataFrame:
+    """Search rows with the type and label of their entity; the entity table is not checked,
+    so of several records of an id the least is taken."""
+    columns = ["entity_type", "label"]
+    known = one_per_key(entities.select(ID, *columns), [ID])
+    return with_master(search, known, columns, "known_")
+
+
 def search_consistency(search: DataFrame, entities: DataFrame) -> DataFrame:
     """One row: linked rows by type, orphans, and type and label mismatches."""
-    linked = with_master(search, entities, ["entity_type", "label"], "known_")
+    linked = _linked(search, entities)
     kind = F.col("known_entity_type")
     counts = linked.agg(
         F.count("*").alias("linked_rows"),
@@ -99,7 +107,7 @@ def problem_samples(
     master: DataFrame, search: DataFrame, entities: DataFrame, n: int = 25
 ) -> dict[str, DataFrame]:
     """The first n examples of each problem, in a stable order."""
-    linked = with_master(search, entities, ["entity_type", "label"], "known_")
+    linked = _linked(search, entities)
     return {
         "without_search": missing_parents(master, search).select(ID, "label").orderBy(ID).limit(n),
         "orphans": orphans(search, entities)

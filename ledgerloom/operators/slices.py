@@ -5,17 +5,18 @@ a third of it there. Here a range partitioning cuts the order into even slices,
 slice works alone, and a summary of one row per slice carries the state across.
 
 The slice number must be the same however often a task runs, so the sliced rows are
-written to the reliable checkpoint folder before anything is computed from them.
+written to the shared checkpoint folder before anything is computed from them.
 """
 
 from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerloom.operators.skew import partitions
+from ledgerloom.operators.skew import key_counts, measure_hot, partitions
 
 SLICE = "_slice"
 
@@ -39,13 +40,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table into the checkpoint folder and go on from there.
+
+    For frames that several later steps read, and to end a growing plan. Being Parquet in
+    shared storage, the table outlives its executors, and later steps read only their columns.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/ledgerloom-{uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def range_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Cut the order into even slices, numbered in order, and fix them in a checkpoint."""
+    """Cut the order into even slices, numbered in order, and fix them by writing them."""
     ranged = df.repartitionByRange(partitions(df), *order)
     return cut(ranged.withColumn(SLICE, F.spark_partition_id()))
 
@@ -70,9 +77,14 @@ def with_previous(
 ) -> DataFrame:
     """Each row with ``values`` of the row before it under the same key (NULL for the first).
 
-    The last row of every (slice, key) is all that crosses a slice border; a key spans a
-    slice only as often as there are slices, so the summary per key is short.
+    Without a hot key this is a window. With one, the order is cut into slices: the last
+    row of every (slice, key) is all that crosses a slice border, and a key spans a slice
+    only as often as there are slices, so the summary per key is short.
     """
+    if not measure_hot(key_counts(df, [key]), [key]):
+        whole = Window.partitionBy(key).orderBy(*order)
+        previous = [F.lag(name).over(whole).alias(f"{prefix}{name}") for name in values]
+        return df.select("*", *previous)
     sliced = range_slices(df, [key, *order])
     inside = Window.partitionBy(SLICE, key).orderBy(*order)
     carried = F.struct(*values)

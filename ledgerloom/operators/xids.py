@@ -12,11 +12,12 @@ from ledgerloom.functions.exprs import (
     clean_gender,
     clean_or_null,
     count_if,
+    ends,
     is_present,
     join_set,
     ladder,
+    merged_ends,
 )
-from ledgerloom.functions.names import norm_compact, norm_words
 from ledgerloom.operators.collide import (
     colliding,
     collision_totals,
@@ -32,8 +33,14 @@ EXACT = ["provider", "property", "external_id"]
 PROVIDER = ["provider", "external_id"]
 
 
-def master_xids(xids: DataFrame, master: DataFrame) -> DataFrame:
-    """External ids of master entities, keys cleaned, with label, status and gender."""
+def master_xids(
+    xids: DataFrame, master: DataFrame, label_key: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """External ids of master entities, keys cleaned, with label, status and gender.
+
+    With ``label_key``, also ``name``, the label's key, worked out once per master record.
+    The operators below read this frame several times; ``cut`` it when it is large.
+    """
     rows = xids.select(
         ID,
         *[clean(F.col(c)).alias(c) for c in EXACT],
@@ -42,7 +49,11 @@ def master_xids(xids: DataFrame, master: DataFrame) -> DataFrame:
         clean_or_null(F.col("dob_check")).alias("dob_check"),
         clean_or_null(F.col("qid")).alias("qid"),
     ).where(F.col("external_id") != "")
-    return with_master(rows, master, ["label", "status", "gender"])
+    columns = ["label", "status", "gender"]
+    if label_key is not None:
+        master = master.withColumn("name", label_key(F.col("label")))
+        columns.append("name")
+    return with_master(rows, master, columns)
 
 
 # --- exact-key collisions -----------------------------------------------------------------
@@ -55,8 +66,7 @@ def xid_collisions(rows: DataFrame) -> DataFrame:
         F.count("*").alias("n_rows"),
         F.count_distinct(F.col(ID)).alias("n_entities"),
         F.count_distinct(F.col("qid")).alias("qid_count"),
-        F.min("label").alias("label_low"),
-        F.max("label").alias("label_high"),
+        *ends(label=F.col("label")),
     )
     groups = colliding(stats).select(
         *EXACT,
@@ -117,36 +127,30 @@ def xid_collision_by_provider(rows: DataFrame) -> DataFrame:
 
 
 def _holders(rows: DataFrame) -> DataFrame:
-    """One row per (provider, property, id, entity) with both ends of its QIDs and checks."""
+    """One row per (provider, property, id, entity) with the ends of its attributes."""
     return rows.groupBy(*EXACT, ID).agg(
-        F.min("qid").alias("qid_low"),
-        F.max("qid").alias("qid_high"),
-        F.min("dob_check").alias("dob_low"),
-        F.max("dob_check").alias("dob_high"),
-        F.min("name").alias("name"),
-        F.min("gender").alias("gender"),
+        *ends(
+            qid=F.col("qid"),
+            dob=F.col("dob_check"),
+            name=F.col("name"),
+            gender=F.col("gender"),
+        ),
     )
 
 
 def _group_ends(holders: DataFrame) -> DataFrame:
     return holders.groupBy(*PROVIDER).agg(
         F.count_distinct(F.col(ID)).alias("n_entities"),
-        F.min("name").alias("name_low"),
-        F.max("name").alias("name_high"),
-        F.min("gender").alias("gender_low"),
-        F.max("gender").alias("gender_high"),
-        F.min("qid_low").alias("qid_low"),
-        F.max("qid_high").alias("qid_high"),
-        F.min("dob_low").alias("dob_low"),
-        F.max("dob_high").alias("dob_high"),
+        *merged_ends("name", "gender", "qid", "dob"),
     )
 
 
-def xid_conflicts(
-    rows: DataFrame, label_key: Callable[[Column], Column] = norm_words
-) -> DataFrame:
-    """Conflicts on (provider, id): their type, and how labels, genders, QIDs, checks relate."""
-    named = rows.withColumn("name", F.nullif(label_key(F.col("label")), F.lit(""))).withColumn(
+def xid_conflicts(rows: DataFrame) -> DataFrame:
+    """Conflicts on (provider, id): their type, and how labels, genders, QIDs, checks relate.
+
+    ``rows`` carry the name by which labels are compared, ``norm_words`` in the register.
+    """
+    named = rows.withColumn("name", F.nullif("name", F.lit(""))).withColumn(
         "gender", clean_or_null(F.col("gender"))
     )
     holders = _holders(named)
@@ -225,16 +229,17 @@ def exact_collision_entities(rows: DataFrame, conflicts: DataFrame) -> DataFrame
 # --- identity of the holders --------------------------------------------------------------
 
 
-def xid_identity_groups(
-    rows: DataFrame, label_key: Callable[[Column], Column] = norm_compact
-) -> DataFrame:
-    """Shared (provider, id) by how names, genders, QIDs and checks of the holders relate."""
+def xid_identity_groups(rows: DataFrame) -> DataFrame:
+    """Shared (provider, id) by how names, genders, QIDs and checks of the holders relate.
+
+    ``rows`` carry the name by which labels are compared, ``norm_compact`` in the register.
+    """
     named = rows.where(F.col("provider") != "").select(
         *EXACT,
         ID,
         "qid",
         F.lower("dob_check").alias("dob_check"),
-        label_key(F.col("label")).alias("name"),
+        "name",
         clean_gender(F.col("gender")).alias("gender"),
     )
     holders = _holders(named)
