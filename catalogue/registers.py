@@ -265,8 +265,8 @@ ROLES: dict[str, list[Role]] = {
 }
 
 
-# roles with long texts, or with much work per row
-HEAVY = ("order_xids", "aliases", "search", "texts")
+# roles with long texts that are worked on row by row
+HEAVY = ("aliases", "texts")
 
 
 class Register:
