@@ -186,8 +186,10 @@ def value_distribution(
         keyed.append(F.col(entity).alias("_entity"))
         aggregates.append(F.count_distinct(F.col("_entity")).alias("entities"))
     counted = df.select(*keyed).groupBy(*columns).agg(*aggregates)
-    total = counted.agg(F.sum("n")).scalar()
-    return counted.withColumn("pct", pct(F.col("n"), total))
+    total = counted.agg(F.sum("n")).scalar().alias("_total")
+    return counted.select("*", total).select(
+        *counted.columns, pct(F.col("n"), F.col("_total")).alias("pct")
+    )
 
 
 def most_common(df: DataFrame, column: str, k: int, null_label: str = "NULL") -> DataFrame:

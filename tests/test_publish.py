@@ -97,3 +97,31 @@ def test_sinks_keep_nulls_and_refuse_to_overwrite(spark, tmp_path):
     report = df.agg(F.count("*").alias("n")).select(sinks.nested_report(sizes=df.agg(F.count("*").alias("rows"))).alias("r"))
     sinks.write_report(report, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).first().r.sizes.rows == 1
+
+
+def test_register_reads_describes_and_keeps_provenance(spark, tmp_path):
+    people = spark.range(3).withColumnRenamed("id", "entity_id")
+    root = str(tmp_path / "register")
+    sinks.write_tables({"people": people}, root)
+    try:
+        sinks.write_tables({"people": people}, root)
+        raise AssertionError("overwrote")
+    except Exception as error:
+        assert "already exists" in str(error)
+    sinks.write_tables({"people": people}, root, mode="overwrite")
+    tables = register.load_register(spark, root, ["people"], views=True)
+    assert spark.sql("SELECT COUNT(*) AS n FROM people").first().n == 3
+    assert rows(register.describe_tables(tables)) == [("people", "entity_id", "bigint", 0)]
+    assert rows(register.catalog_profile(tables)) == [("people", "entity_id", 0, 3)]
+    assert register.sample_tables(tables, 2)["people"].count() == 2
+    report = register.with_provenance(people.agg(F.count("*").alias("n")), tables["people"]).first()
+    assert report.n == 3 and report.input_files >= 1 and report.input_bytes > 0 and report.generated_at
+
+
+def test_slices_of_the_feed(spark):
+    feed = feed_rows(spark, [(i, str(i), None) for i in range(10)])
+    assert [r.feed_index for r in publish.feed_slice(feed, 4, 3).orderBy("feed_index").collect()] == [4, 5, 6]
+    assert rows(publish.feed_slices(feed, 4)) == [(0, 0, 3, 4), (1, 4, 7, 4), (2, 8, 9, 2)]
+    sent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "publish_id long, entity_id string")
+    back = spark.createDataFrame([(1, "a"), (2, "x")], "publish_id long, entity_id string")
+    assert rows(publish.identity_mismatches(sent, back)) == [(2, "b", "x"), (3, "c", None)]
