@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import packing
+from ledgerloom.llm import oracles as sql, packing, pii
+from ledgerloom.llm.common import documents
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(documents(_table(spark, folder, "documents")))
+    counts = [pii.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined(F.col("spans"), pii.is_base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op7_pii": (op7_pii, sql.PII),
     "op8_packing": (op8_packing, None),
 }
