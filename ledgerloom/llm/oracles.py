@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import pii
+from ledgerloom.llm import pii, url_filter
 
 
 def _hits(kind: str, order: int, pattern: str) -> str:
@@ -64,3 +64,70 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
     coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN j USING (rid)
 """
+
+TOKEN_COUNTS = r"""
+WITH d AS (
+    SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents
+), kept AS (
+    SELECT source, lang, trim(regexp_replace(t, '[ \t\n\r\f]+', ' ', 'g')) AS t FROM d
+    WHERE doc_id IS NOT DISTINCT FROM (SELECT min(e.doc_id) FROM d e WHERE e.t = d.t)
+), c AS (
+    SELECT source, lang, 'bytes-1' AS tokenizer_version, octet_length(encode(t)) AS n FROM kept
+    UNION ALL
+    SELECT source, lang, 'words-1', len(regexp_extract_all(t, '[^ \t\n\r\f]+')) FROM kept
+)
+SELECT source, lang, tokenizer_version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+FROM c GROUP BY ALL
+"""
+
+
+def _fits(host: str, path: str) -> str:
+    return (
+        f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+    )
+
+
+_BY_LENGTH = sorted(url_filter.RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0])))
+_RULE = " ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in _BY_LENGTH)
+_VERDICT = " ".join(f"WHEN rule = '{h}{p}' THEN '{v}'" for h, p, v in _BY_LENGTH)
+
+URL_FILTER = f"""
+WITH r AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), p AS (
+    SELECT page_id, rest,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+        list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
+            lambda x: x <> '' AND NOT regexp_matches(x, '{url_filter.TRACKING}'))) AS params
+    FROM r
+), c AS (
+    SELECT page_id, host, path, CASE {_RULE} END AS rule,
+        CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '')
+            || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical
+    FROM p
+), l AS (
+    SELECT canonical FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) > 1
+), f AS (
+    SELECT c.page_id, host, path, rule, l.canonical IS NOT NULL AS listed FROM c LEFT JOIN l USING (canonical)
+)
+SELECT page_id, host, path, rule, CASE {_VERDICT} WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM f
+"""
+
+TOP_K = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.v, c.v) AS BIGINT)) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id, score
+FROM s QUALIFY rank <= 10
+"""

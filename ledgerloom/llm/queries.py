@@ -2,16 +2,70 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import oracles as sql, packing, pii
+from ledgerloom.llm import mtree, oracles as sql, packing, pii, token_rollups, url_filter
 from ledgerloom.llm.common import documents
+from ledgerloom.operators.slices import cut, ensure_checkpoint_dir
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches: all documents come in, exact copies of a document with a
+    lesser id go, and the white space of the rest is squeezed. One batch is sent twice."""
+    docs = _table(spark, folder, "documents")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slim = token_rollups.squeezed(text)
+    counts = F.array(
+        *[
+            F.struct(
+                F.lit(version).alias("tokenizer_version"),
+                count(text).alias("n"),
+                count(slim).alias("slim"),
+            )
+            for version, count in token_rollups.COUNTERS.items()
+        ]
+    )
+    seen = cut(docs.select("doc_id", "source", "lang", F.sha2(text, 256).alias("h"), counts.alias("counts")))
+    first = seen.groupBy("h").agg(F.min("doc_id").alias("first_id"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id"))
+    told = seen.join(first, "h").withColumn("stays", stays)
+
+    def changes(rows: DataFrame, op: str, tokens: str, old: str | None = None) -> DataFrame:
+        each = rows.select("source", "lang", F.explode("counts").alias("c"))
+        return each.select(
+            F.lit(op).alias("op"),
+            "source",
+            "lang",
+            "c.tokenizer_version",
+            F.col(tokens).alias("tokens"),
+            (F.col(old) if old else F.lit(None).cast("bigint")).alias("old_tokens"),
+        )
+
+    rollup = token_rollups.TokenRollup(spark, f"{ensure_checkpoint_dir(spark)}/rollup-{uuid4().hex}")
+    copies = changes(told.where(~F.col("stays")), "delete", "c.n")
+    rollup.commit("load", changes(seen, "insert", "c.n"))
+    rollup.commit("copies", copies)
+    rollup.commit("copies", copies)
+    rollup.commit("squeeze", changes(told.where("stays"), "revise", "c.slim", "c.n"))
+    return rollup.totals()
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules, and a list of the canonical URLs that several pages have."""
+    pages = _table(spark, folder, "pages")
+    return url_filter.judge(pages, url_filter.repeated_urls(pages))
+
+
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(documents(_table(spark, folder, "documents")))
     counts = [pii.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE]
@@ -28,6 +82,9 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
+    "op4_url_filter": (op4_url_filter, sql.URL_FILTER),
+    "op5_top_k": (op5_top_k, sql.TOP_K),
     "op7_pii": (op7_pii, sql.PII),
     "op8_packing": (op8_packing, None),
 }
