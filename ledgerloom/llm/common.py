@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.slices import cut
 
-#: Entries of a worker's word cache before it starts anew; about 100 MB.
+#: Entries of a worker's word cache before it is cut down; about 100 MB.
 CACHE_ENTRIES = 400_000
 
 
@@ -23,6 +25,13 @@ def documents(df: DataFrame) -> DataFrame:
     return pick(df, ("doc_id", "bigint"), ("text", "string")).na.fill("", ["text"])
 
 
+def shrink(cache: dict) -> None:
+    """Keep the quarter of a word cache that was met first: frequent words come early."""
+    kept = list(islice(cache.items(), CACHE_ENTRIES // 4))
+    cache.clear()
+    cache.update(kept)
+
+
 class BytePairs(dict):
     """Words after a space -> their ids as little-endian unsigned 32-bit integers.
 
@@ -50,7 +59,7 @@ class BytePairs(dict):
 
     def __missing__(self, chunk: str) -> bytes | None:
         if len(self) >= CACHE_ENTRIES:
-            self.clear()
+            shrink(self)
         odd = not chunk or chunk[0].isspace() or chunk[-1].isspace()
         found = None if odd else self.encode(f" {chunk}")
         if len(chunk) < 64:
@@ -68,13 +77,19 @@ class BytePairs(dict):
             return self.encode(text)
 
 
+@lru_cache(maxsize=1)
+def byte_pairs(ranks_path: str | None) -> BytePairs:
+    """A worker's vocabulary, which it keeps from task to task."""
+    return BytePairs(ranks_path)
+
+
 def token_counts(df: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """doc_id, tokens of every text under the byte-pair vocabulary."""
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        pairs = BytePairs(ranks_path)
+        pairs = byte_pairs(ranks_path)
         for batch in batches:
             sizes = [len(pairs.text(text)) // 4 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

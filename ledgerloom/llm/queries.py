@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mtree, oracles as sql, packing, pii, token_rollups, url_filter
+from ledgerloom.llm import mtree, oracles as sql, packing, pii, sentencepieces, token_rollups, url_filter
 from ledgerloom.llm.common import documents
 from ledgerloom.operators.slices import cut, ensure_checkpoint_dir
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.digests(_table(spark, folder, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Totals after three batches: all documents come in, exact copies of a document with a
     lesser id go, and the white space of the rest is squeezed. One batch is sent twice."""
@@ -82,6 +86,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
     "op4_url_filter": (op4_url_filter, sql.URL_FILTER),
     "op5_top_k": (op5_top_k, sql.TOP_K),
