@@ -6,7 +6,17 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mtree, oracles as sql, packing, pii, sentencepieces, token_rollups, url_filter
+from ledgerloom.llm import (
+    mtree,
+    oracles as sql,
+    packing,
+    pii,
+    sentencepieces,
+    syncmers,
+    token_rollups,
+    toxicity,
+    url_filter,
+)
 from ledgerloom.llm.common import documents
 from ledgerloom.operators.slices import cut, ensure_checkpoint_dir
 
@@ -70,6 +80,10 @@ def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return mtree.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.fingerprints(_table(spark, folder, "documents"))
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(documents(_table(spark, folder, "documents")))
     counts = [pii.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE]
@@ -85,11 +99,18 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, folder, "labels")))
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
     "op4_url_filter": (op4_url_filter, sql.URL_FILTER),
     "op5_top_k": (op5_top_k, sql.TOP_K),
+    "op6_fingerprints": (op6_fingerprints, None),
     "op7_pii": (op7_pii, sql.PII),
     "op8_packing": (op8_packing, None),
+    "op9_toxicity": (op9_toxicity, None),
 }
