@@ -34,31 +34,36 @@ REPORTING = frozenset(
 )
 ADDRESS = frozenset("you your youre du dich dein ihr tu te ton vous votre tú usted ustedes".split())
 OPENING, CLOSING = "\"“„«‘", "\"”“»’"
-PREFIX = range(4, 9)
+#: Letters of the beginnings of words that are counted.
+PREFIX = range(4, 11)
 
 #: Weights before anything is learned: constant, any plain match, plain matches, misspelt
-#: ones, quoted ones, those beside an address. Learning starts there and stays near where
-#: the labels say nothing.
-PRIOR = (-3.0, 4.0, 1.0, 1.5, 0.3, 1.0)
+#: ones, quoted ones, those beside an address, weak terms, weak terms per 100 words.
+#: Learning starts there and stays near where the labels say nothing.
+PRIOR = (-3.0, 4.0, 1.0, 1.5, 0.3, 1.0, 0.0, 0.0)
 PRIOR_STRENGTH = 1.0
 
 
 def edits_allowed(term: str) -> int:
-    """Edits up to which a word still counts as ``term``; a final * marks a beginning."""
-    size = len(term.rstrip("*")) - term.endswith("*")
-    return 0 if size < 5 else 1 if size < 9 else 2
+    """Edits up to which a word still counts as ``term``.
+
+    A final * marks a beginning, which some letters must follow; it allows no edits, as
+    beginnings are short and many words start nearly like them.
+    """
+    return 0 if len(term) < 5 or term.endswith("*") else 1 if len(term) < 9 else 2
 
 
 class Lexicon:
     """A trie of terms, walked by words with up to the edits that each term allows."""
 
-    def __init__(self, terms: Sequence[str]) -> None:
-        self.terms = list(terms)
+    def __init__(self, terms: Sequence[str], weak: Sequence[str] = ()) -> None:
+        self.terms = [*terms, *weak]
+        self.strong = len(terms)  # terms from there on are weak
         self.next: list[dict[str, int]] = [{}]
         self.end: list[tuple[int, bool] | None] = [None]  # term, and whether it is a beginning
         self.reach = [0]  # edits that some term below allows
         for t, term in enumerate(self.terms):
-            node, most = 0, edits_allowed(term)
+            node, most = 0, self._allowed(t)
             self.reach[0] = max(self.reach[0], most)
             for char in term.rstrip("*"):
                 if char not in self.next[node]:
@@ -78,6 +83,9 @@ class Lexicon:
         self.start = self._state({0: 0})
         self.known: dict[str, tuple[int, int] | None] = {}
 
+    def _allowed(self, term: int) -> int:
+        return edits_allowed(self.terms[term]) if term < self.strong else 0
+
     def _state(self, nodes: dict[int, int]) -> int:
         todo = list(nodes.items())
         while todo:  # a letter of the term may be missing from the word
@@ -95,7 +103,7 @@ class Lexicon:
             for node, edits in nodes.items():
                 if self.end[node]:
                     term, begins = self.end[node]
-                    if edits <= edits_allowed(self.terms[term]):
+                    if edits <= self._allowed(term):
                         ends[begins].append((edits, term))
             self.whole.append(min(ends[0], default=None))
             self.begun.append(min(ends[1], default=None))
@@ -121,14 +129,15 @@ class Lexicon:
             return self.known[word]
         state, best = self.start, None
         for char in word:
+            # a beginning counts if a letter follows
+            if self.begun[state] and (best is None or self.begun[state] < best):
+                best = self.begun[state]
             if char not in self.letters:
                 char = ""  # all other letters are alike
             step = self.steps[state].get(char)
             state = self._step(state, char) if step is None else step
             if not self.members[state]:
                 break
-            if self.begun[state] and (best is None or self.begun[state] < best):
-                best = self.begun[state]
         else:
             if self.whole[state] and (best is None or self.whole[state] < best):
                 best = self.whole[state]
@@ -145,12 +154,15 @@ def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
     words = WORD.findall(text)
     if not any([lexicon.match(word) for word in set(words)]):
         return (1.0,) + (0.0,) * (len(PRIOR) - 1)
-    plain = misspelt = quoted = addressed = 0
+    plain = misspelt = quoted = addressed = weak = 0
     spans = [m.span() for m in WORD.finditer(text)]
     for i, word in enumerate(words):
         found = lexicon.match(word)
         if not found:
             continue
+        if found[1] >= lexicon.strong:
+            weak += 1
+            continue
         before, after = words[max(0, i - WINDOW) : i], words[i + 1 : i + 1 + WINDOW]
         left = text[spans[max(0, i - WINDOW)][0] : spans[i][0]]
         right = text[spans[i][1] : spans[min(len(words) - 1, i + WINDOW)][1] + 1]
@@ -165,15 +177,16 @@ def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
         else:
             plain += 1
         addressed += bool(ADDRESS.intersection(before[-2:] + after[:2]))
-    counts = (plain, misspelt, quoted, addressed)
-    return (1.0, float(plain > 0), *(math.log1p(n) for n in counts))
+    counts = (plain, misspelt, quoted, addressed, weak)
+    return (1.0, float(plain > 0), *(math.log1p(n) for n in counts), 100 * weak / len(words))
 
 
 @dataclass
 class Model:
-    """What is learned: at most MAX_TERMS terms and a weight per input."""
+    """What is learned: at most MAX_TERMS terms of either kind and a weight per input."""
 
     terms: list[str] = field(default_factory=list)
+    weak: list[str] = field(default_factory=list)
     weights: tuple[float, ...] = PRIOR
 
     def score(self, inputs: Sequence[float]) -> float:
@@ -182,10 +195,12 @@ class Model:
 
 
 MAX_TERMS = 400
+#: Log-odds from which a term marks a text by itself, or together with others.
+STRONG, WEAK = 3.0, 1.2
 
 
 def pick_terms(
-    counts: dict[str, tuple[int, int]], toxic: int, clean: int, support: int, odds: float = 3.0
+    counts: dict[str, tuple[int, int]], toxic: int, clean: int, support: int, odds: float
 ) -> list[str]:
     """Terms from (toxic documents, others) per word and per beginning (with a final *).
 
@@ -248,7 +263,7 @@ def _terms_of(words: set[str]) -> set[str]:
     """Words and their beginnings, each of which is to be counted once a document."""
     found = {word for word in words if len(word) > 2}
     for n in PREFIX:
-        found.update([f"{word[:n]}*" for word in words if len(word) >= n])
+        found.update([f"{word[:n]}*" for word in words if len(word) > n])
     return found
 
 
@@ -317,12 +332,21 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
     in_toxic = {r.term: r.n for r in often.orderBy(F.desc("n"), "term").limit(50_000).collect()}
     in_clean = {r.term: r.n for r in totals(sample.where("toxic = 0"), set(in_toxic)).collect()}
     counts = {term: (n, in_clean.get(term, 0)) for term, n in in_toxic.items()}
-    terms = pick_terms(counts, toxic, clean, support)
+    terms = pick_terms(counts, toxic, clean, support, STRONG)
+    # a beginning of a strong word would take its misspellings
+    words = [term for term in terms if not term.endswith("*")]
+    rest = {
+        term: n
+        for term, n in counts.items()
+        if not any(term.startswith(strong.rstrip("*")) for strong in terms)
+        and not any(word.startswith(term.rstrip("*")) for word in words)
+    }
+    weak = pick_terms(rest, toxic, clean, max(support, toxic // 50), WEAK)
 
     def inputs(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, weak)
         for batch in batches:
             found = [features(text, lexicon) for text in batch.column("text").to_pylist()]
             kind = pa.list_(pa.float64())
@@ -331,7 +355,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
             )
 
     rows = sample.mapInArrow(inputs, "inputs array<double>, toxic int").collect()
-    return Model(terms, fit([(r.inputs, int(r.toxic != 0)) for r in rows]))
+    return Model(terms, weak, fit([(r.inputs, int(r.toxic != 0)) for r in rows]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -344,7 +368,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        lexicon = Lexicon(model.terms)
+        lexicon = Lexicon(model.terms, model.weak)
         for batch in batches:
             scores = [
                 model.score(features(text, lexicon)) for text in batch.column("text").to_pylist()
