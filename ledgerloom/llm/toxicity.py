@@ -333,13 +333,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
     in_clean = {r.term: r.n for r in totals(sample.where("toxic = 0"), set(in_toxic)).collect()}
     counts = {term: (n, in_clean.get(term, 0)) for term, n in in_toxic.items()}
     terms = pick_terms(counts, toxic, clean, support, STRONG)
-    # a beginning of a strong word would take its misspellings
+    # a beginning that is hardly more than one strong word would take its misspellings
     words = [term for term in terms if not term.endswith("*")]
     rest = {
         term: n
         for term, n in counts.items()
         if not any(term.startswith(strong.rstrip("*")) for strong in terms)
-        and not any(word.startswith(term.rstrip("*")) for word in words)
+        and not any(
+            word.startswith(term.rstrip("*")) and counts[word][0] >= 0.9 * n[0] for word in words
+        )
     }
     weak = pick_terms(rest, toxic, clean, max(support, toxic // 50), WEAK)
 
