@@ -16,6 +16,7 @@ from ledgerloom.llm import (
     token_rollups,
     toxicity,
     url_filter,
+    weighted_minhash,
 )
 from ledgerloom.llm.common import documents
 from ledgerloom.operators.slices import cut, ensure_checkpoint_dir
@@ -70,6 +71,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.totals()
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Rules, and a list of the canonical URLs that several pages have."""
     pages = _table(spark, folder, "pages")
@@ -107,6 +112,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
+    "op3_near_duplicates": (op3_near_duplicates, None),
     "op4_url_filter": (op4_url_filter, sql.URL_FILTER),
     "op5_top_k": (op5_top_k, sql.TOP_K),
     "op6_fingerprints": (op6_fingerprints, None),
