@@ -24,7 +24,7 @@ from ledgerloom.llm.common import pick
 from ledgerloom.operators.slices import cut
 
 #: Entries of a page.
-PAGE = 64
+PAGE = 512
 #: Children of an inner page.
 FANOUT = 8
 #: The share of |q|^2 + M^2 by which bounds on scores are widened against rounding.
@@ -120,7 +120,8 @@ class Tree:
         parents = nodes["parent"].to_numpy()
         self.children = [np.flatnonzero(parents == n) for n in range(len(parents))]
         self.ids = [np.frombuffer(x, "i8") for x in nodes["ids"]]
-        self.vectors = [np.frombuffer(x, "i8").reshape(-1, dim) for x in nodes["vectors"]]
+        kept = [np.frombuffer(x, "i8").reshape(-1, dim) for x in nodes["vectors"]]
+        self.vectors = [v.astype(float) if self.exact else v for v in kept]
         self.dists = [np.frombuffer(x) for x in nodes["dists"]]
 
     def scores(self, vectors, q):
@@ -128,15 +129,17 @@ class Tree:
         import numpy as np
 
         if self.exact:
-            return (vectors.astype(float) @ q.astype(float)).astype("i8")
+            return (vectors @ q).astype("i8")
         return np.array([sum(int(a) * int(b) for a, b in zip(x, q)) for x in vectors], "i8")
 
     def search(self, query_id: int, q, k: int, bound: int | None) -> list[tuple[int, int]]:
         """(score, vec_id) of the k best, ties to the smaller vec_id, none below ``bound``."""
         import numpy as np
 
-        size = float((q.astype(float) ** 2).sum())
-        point = np.concatenate([q.astype(float), [0.0]])
+        point = np.append(q.astype(float), 0.0)
+        size = float(point @ point)
+        if self.exact:
+            q = point[:-1]
         wide = SLACK * (size + self.top) + 1e-6
 
         def most(least_distance):
@@ -153,8 +156,12 @@ class Tree:
                 break
             if self.leaf[node]:
                 may = most(np.abs(at - self.dists[node])) >= floor
-                ids, vectors = self.ids[node][may], self.vectors[node][may]
-                for score, vec_id in zip(self.scores(vectors, q).tolist(), ids.tolist()):
+                ids, vectors = self.ids[node], self.vectors[node]
+                if not may.all():
+                    ids, vectors = ids[may], vectors[may]
+                scores = self.scores(vectors, q)
+                high = np.flatnonzero(scores >= floor)
+                for score, vec_id in zip(scores[high].tolist(), ids[high].tolist()):
                     if score < floor or vec_id == query_id:
                         continue
                     if len(best) < k:
