@@ -131,3 +131,21 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
     vec_id, score
 FROM s QUALIFY rank <= 10
 """
+
+CONVERSATIONS = """
+WITH m AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), t AS (
+    SELECT conv_id, turn, bool_or(trim(text) <> '') AS says FROM m GROUP BY ALL
+), o AS (
+    SELECT conv_id, turn, lag(turn) OVER w AS parent_turn, first_value(turn) OVER w AS root_turn,
+        row_number() OVER w - 1 AS depth
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+), q AS (
+    SELECT a.conv_id, a.turn, count(*) AS n FROM t a JOIN t b
+    ON a.conv_id = b.conv_id AND b.turn IN (a.turn - 1, a.turn - 2) AND b.says GROUP BY ALL
+)
+SELECT m.conv_id, m.turn, role, trim(text, chr(10)) AS text, parent_turn, root_turn, depth,
+    coalesce(n, 0) AS n_quotes, coalesce(n, 0) AS n_linked
+FROM m LEFT JOIN o USING (conv_id, turn) LEFT JOIN q USING (conv_id, turn)
+"""

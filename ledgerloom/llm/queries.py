@@ -11,6 +11,7 @@ from ledgerloom.llm import (
     oracles as sql,
     packing,
     pii,
+    quotes,
     sentencepieces,
     syncmers,
     token_rollups,
@@ -109,6 +110,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, _table(spark, folder, "labels")))
 
 
+def op10_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations, sent as mail with quotes of the two turns before, and read back."""
+    return quotes.conversations(quotes.as_mail(_table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
@@ -119,4 +125,5 @@ QUERIES = {
     "op7_pii": (op7_pii, sql.PII),
     "op8_packing": (op8_packing, None),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_conversations": (op10_conversations, sql.CONVERSATIONS),
 }

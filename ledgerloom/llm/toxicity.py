@@ -386,3 +386,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the model does not call toxic."""
+    schema = docs.schema
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        lexicon = Lexicon(model.terms, model.weak)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            kept = [model.score(features(text or "", lexicon)) < 0.5 for text in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, schema)

@@ -415,6 +415,19 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return own.join(named, "class").select("doc_id", "class_id", "class_size")
 
 
+def one_per_class(df: DataFrame) -> DataFrame:
+    """Of the rows of ``df`` one per near-duplicate class, that of its least doc_id.
+
+    doc_id is the key: of rows that repeat it one stays. Rows without one cannot stand for
+    a class; of those with equal texts one stays.
+    """
+    classes = near_duplicates(df)
+    named = classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("doc_id"))
+    kept = df.join(named.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = df.where("doc_id IS NULL").dropDuplicates(["text"])
+    return kept.unionByName(nameless)
+
+
 def _rest_pairs(placed: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of one bucket and different classes that no pivot was part of."""
     kept = placed.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
