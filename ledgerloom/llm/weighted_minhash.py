@@ -116,30 +116,40 @@ def _shingle_block(texts: Sequence[str]):
     return doc[kept], _mix(runs[kept])
 
 
-def shingles(texts: Sequence[str]) -> Iterator[tuple]:
-    """Blocks of (first text, texts, text of each run, run, count): distinct runs per text.
-
-    Runs are sorted by text, then by hash. A block has about BLOCK bytes, or one text.
-    """
+def _blocks(*columns) -> Iterator[tuple[int, int]]:
+    """(first row, end) of parts of Arrow columns of text with about BLOCK bytes, or one row."""
     import numpy as np
+    import pyarrow.compute as pc
 
+    sizes = sum(pc.binary_length(c).to_numpy(zero_copy_only=False) for c in columns)
+    ends = np.cumsum(sizes)
     at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK):
-            size += len(texts[end])
-            end += 1
-        doc, runs = _shingle_block(texts[at:end])
-        order = np.lexsort((runs, doc))
-        doc, runs = doc[order], runs[order]
-        new = np.ones(len(runs), bool)
-        new[1:] = (runs[1:] != runs[:-1]) | (doc[1:] != doc[:-1])
-        places = np.flatnonzero(new)
-        counts = np.diff(places, append=len(runs))
-        yield at, end - at, doc[places], runs[places], counts
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(ends.searchsorted(before + BLOCK, "right")))
+        yield at, end
         at = end
 
 
+def _distinct(texts: Sequence[str]) -> tuple:
+    """(text of each run, run, count): distinct runs, sorted by text, then by hash."""
+    import numpy as np
+
+    doc, runs = _shingle_block(texts)
+    order = np.lexsort((runs, doc))
+    doc, runs = doc[order], runs[order]
+    new = np.ones(len(runs), bool)
+    new[1:] = (runs[1:] != runs[:-1]) | (doc[1:] != doc[:-1])
+    places = np.flatnonzero(new)
+    return doc[places], runs[places], np.diff(places, append=len(runs))
+
+
+def shingles(column) -> Iterator[tuple]:
+    """For parts of an Arrow column of texts: number of texts, and their distinct runs."""
+    for at, end in _blocks(column):
+        yield end - at, *_distinct(column.slice(at, end - at).to_pylist())
+
+
 class Weights:
     """Inverse document frequencies: of ``runs`` their own, of all others the greatest."""
 
@@ -187,12 +197,11 @@ def document_frequencies(df: DataFrame) -> Weights:
             return pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for _, count, _, runs, _ in shingles(texts):
+            for count, _, runs, _ in shingles(batch.column("text")):
                 seen.append(runs)
                 docs += count
                 # large texts: a chunk ends early, which only makes smaller chunks
-                if docs >= CHUNK_DOCS or sum(map(len, seen)) > 4_000_000:
+                if docs >= CHUNK_DOCS or sum(map(len, seen)) > 2_500_000:
                     yield found()
                     docs, seen = 0, []
         if seen:
@@ -220,7 +229,7 @@ def document_frequencies(df: DataFrame) -> Weights:
 
         held, size = [], 0
         for batch in batches:
-            for _, _, _, runs, _ in shingles(batch.column("text").to_pylist()):
+            for _, _, runs, _ in shingles(batch.column("text")):
                 place = (runs >> np.uint64(64 - MAP_BITS)).astype("i8")
                 mark = (flags.value[place >> 6] >> (place & 63)) & 1
                 held.append(runs[mark == 1])
@@ -291,9 +300,8 @@ def signatures(df: DataFrame, weights: Weights) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             parts = []
-            for _, count, doc, runs, counts in shingles(texts):
+            for count, doc, runs, counts in shingles(batch.column("text")):
                 parts.append(draws(doc, runs, weights.of(runs, counts), count))
             drawn = np.concatenate(parts) if parts else np.zeros((0, BANDS * ROWS), "u8")
             bands = np.empty((len(drawn), BANDS), "u8")
@@ -334,8 +342,8 @@ def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weight
 
     sides = []
     for texts in (texts_a, texts_b):
-        parts = [(at + doc, runs, weights.of(runs, n)) for at, _, doc, runs, n in shingles(texts)]
-        sides.append([np.concatenate(x) for x in zip(*parts)])
+        doc, runs, counts = _distinct(texts)
+        sides.append((doc, runs, weights.of(runs, counts)))
     doc = np.concatenate([side[0] for side in sides])
     runs = np.concatenate([side[1] for side in sides])
     weight = np.concatenate([side[2] for side in sides])
@@ -360,13 +368,13 @@ def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for batch in batches:
-            sides = [batch.column(c).to_pylist() for c in ("text_a", "text_b")]
-            if sides[0]:
-                alike = pa.array(similarities(*sides, weights) >= SIMILARITY)
-                yield batch.select(["a", "b"]).filter(alike)
+            sides = [batch.column(c) for c in ("text_a", "text_b")]
+            for at, end in _blocks(*sides):
+                texts = [side.slice(at, end - at).to_pylist() for side in sides]
+                alike = pa.array(similarities(*texts, weights) >= SIMILARITY)
+                yield batch.select(["a", "b"]).slice(at, end - at).filter(alike)
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
