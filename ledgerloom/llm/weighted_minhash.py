@@ -38,6 +38,8 @@ CHUNK_DOCS = 4096
 MAP_BITS = 25
 #: Bytes of text that are worked on at once.
 BLOCK = 1 << 20
+#: Bits of a run's hash; the other bits of a word number the texts of a block.
+RUN_BITS = 52
 #: Buckets of more members are cut up by a second band before their rest is compared.
 LARGE_BUCKET = 256
 #: Share of equal draws below which a rest pair is not worth reading; at a similarity of
@@ -127,6 +129,7 @@ def _blocks(*columns) -> Iterator[tuple[int, int]]:
     while at < len(ends):
         before = ends[at - 1] if at else 0
         end = max(at + 1, int(ends.searchsorted(before + BLOCK, "right")))
+        end = min(end, at + (1 << (64 - RUN_BITS)))
         yield at, end
         at = end
 
@@ -136,12 +139,14 @@ def _distinct(texts: Sequence[str]) -> tuple:
     import numpy as np
 
     doc, runs = _shingle_block(texts)
-    order = np.lexsort((runs, doc))
-    doc, runs = doc[order], runs[order]
-    new = np.ones(len(runs), bool)
-    new[1:] = (runs[1:] != runs[:-1]) | (doc[1:] != doc[:-1])
+    keys = (doc.astype("u8") << np.uint64(RUN_BITS)) | (runs >> np.uint64(64 - RUN_BITS))
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
     places = np.flatnonzero(new)
-    return doc[places], runs[places], np.diff(places, append=len(runs))
+    keys = keys[places]
+    doc, runs = keys >> np.uint64(RUN_BITS), keys & np.uint64((1 << RUN_BITS) - 1)
+    return doc.astype("i8"), runs, np.diff(places, append=len(new))
 
 
 def shingles(column) -> Iterator[tuple]:
@@ -193,7 +198,7 @@ def document_frequencies(df: DataFrame) -> Weights:
             # a run in `least` of all documents is in as large a share of some chunk
             runs, counts = np.unique(np.concatenate(seen), return_counts=True)
             most = runs[counts >= max(1.0, least * docs / total)]
-            places = np.unique(most >> np.uint64(64 - MAP_BITS)).astype("i8")
+            places = np.unique(most >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
             return pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
 
         for batch in batches:
@@ -230,7 +235,7 @@ def document_frequencies(df: DataFrame) -> Weights:
         held, size = [], 0
         for batch in batches:
             for _, _, runs, _ in shingles(batch.column("text")):
-                place = (runs >> np.uint64(64 - MAP_BITS)).astype("i8")
+                place = (runs >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
                 mark = (flags.value[place >> 6] >> (place & 63)) & 1
                 held.append(runs[mark == 1])
                 size += len(held[-1])
@@ -344,15 +349,14 @@ def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weight
     for texts in (texts_a, texts_b):
         doc, runs, counts = _distinct(texts)
         sides.append((doc, runs, weights.of(runs, counts)))
-    doc = np.concatenate([side[0] for side in sides])
-    runs = np.concatenate([side[1] for side in sides])
-    weight = np.concatenate([side[2] for side in sides])
-    order = np.lexsort((runs, doc))
-    doc, runs, weight = doc[order], runs[order], weight[order]
-    both = np.flatnonzero((runs[1:] == runs[:-1]) & (doc[1:] == doc[:-1]))
+    keys = [(doc.astype("u8") << np.uint64(RUN_BITS)) | runs for doc, runs, _ in sides]
+    (doc, _, weight), (doc_b, _, weight_b) = sides
     count = len(texts_a)
-    common = np.bincount(doc[both], np.minimum(weight[both], weight[both + 1]), count)
-    total = np.bincount(doc, weight, count) - common
+    at = np.minimum(keys[0].searchsorted(keys[1]), max(len(keys[0]) - 1, 0))
+    both = np.flatnonzero(keys[0][at] == keys[1]) if len(keys[0]) else at[:0]
+    least = np.minimum(weight[at[both]], weight_b[both])
+    common = np.bincount(doc_b[both], least, count)
+    total = np.bincount(doc, weight, count) + np.bincount(doc_b, weight_b, count) - common
     return np.where(total > 0, common / np.where(total > 0, total, 1), 1.0)
 
 
