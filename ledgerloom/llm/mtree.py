@@ -120,7 +120,10 @@ class Tree:
         parents = nodes["parent"].to_numpy()
         self.children = [np.flatnonzero(parents == n) for n in range(len(parents))]
         self.ids = [np.frombuffer(x, "i8") for x in nodes["ids"]]
-        kept = [np.frombuffer(x, "i8").reshape(-1, dim) for x in nodes["vectors"]]
+        kept = [
+            np.frombuffer(x, "i8").reshape(len(own), dim)
+            for x, own in zip(nodes["vectors"], self.ids)
+        ]
         self.vectors = [v.astype(float) if self.exact else v for v in kept]
         self.dists = [np.frombuffer(x) for x in nodes["dists"]]
 

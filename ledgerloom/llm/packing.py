@@ -72,8 +72,8 @@ def packing_plan(counts: dict[int, int], window: int) -> list[tuple[int, list[in
     """(copies, lengths) of window patterns that hold every piece counted.
 
     The longest length left opens a window; each gap takes the longest that fits. One
-    pattern is used as often as its rarest length allows, so each pattern uses up a
-    length and there are no more patterns than lengths.
+    pattern is used as often as its rarest length allows, after which fewer pieces of that
+    length are left than the pattern holds. So there are a few patterns per length.
     """
     left = {length: n for length, n in counts.items() if n}
     order, plan = sorted(left), []

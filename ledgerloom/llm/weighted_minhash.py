@@ -391,8 +391,8 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
     Documents whose texts are equal, or linked by chains of similarities of SIMILARITY or
     more within buckets, have one class; class_id is its least doc_id, null if it has
-    none. Null texts are empty, and empty texts are equal. Repeated rows count each. A text
-    of fewer than five words is one run. An empty table gives no rows.
+    none. Null texts are empty; texts without words are alike only if equal. Repeated rows
+    count each. A text of fewer than five words is one run. An empty table gives no rows.
     """
     df = documents(df)
     weights = document_frequencies(df)
