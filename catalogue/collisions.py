@@ -162,13 +162,9 @@ QUERIES = {
         over(lambda r: collide.flatten_collisions(named(r))),
         sql(
             "items",
-            "SELECT normalized_name, record_count, 0 AS slice, COUNT(*) AS n_values, "
-            "STRING_AGG(CAST(entity_id AS STRING), ' | ' ORDER BY CAST(entity_id AS STRING)) AS entity_ids, "
-            + ", ".join(
-                f"STRING_AGG(COALESCE({c}, 'NULL'), ' | ' ORDER BY CAST(entity_id AS STRING)) AS {c}_texts"
-                for c in ("label", "status", "gender")
-            )
-            + " FROM named JOIN names USING (normalized_name) GROUP BY ALL",
+            "SELECT normalized_name, record_count, CAST(entity_id AS STRING) AS entity_id, "
+            + ", ".join(f"COALESCE({c}, 'NULL') AS {c}" for c in ("label", "status", "gender"))
+            + ", COUNT(*) AS copies FROM named JOIN names USING (normalized_name) GROUP BY ALL",
             NAMED,
             GROUPS,
         ),
@@ -200,7 +196,7 @@ QUERIES = {
     ),
     "label_collision_values": (
         over(
-            lambda r: listing.joined_values(
+            lambda r: listing.member_values(
                 collide.with_key(r.items, names.norm_label, "normalized_label").where("normalized_label <> ''"),
                 ["normalized_label"],
                 "label",
@@ -208,9 +204,8 @@ QUERIES = {
         ),
         sql(
             "items",
-            "SELECT normalized_label, 0 AS slice, COUNT(*) AS n_values, STRING_AGG(label, '|' ORDER BY label) AS text "
-            "FROM (SELECT DISTINCT normalized_label, label FROM keyed WHERE normalized_label <> '' "
-            "AND label IS NOT NULL) GROUP BY 1",
+            "SELECT DISTINCT normalized_label, label AS value FROM keyed WHERE normalized_label <> '' "
+            "AND label IS NOT NULL",
             KEYED,
         ),
     ),
@@ -379,11 +374,10 @@ QUERIES = {
         ),
     ),
     "qids_of_entities": (
-        over(lambda r: listing.joined_values(r.links, ["entity_id"], "qid")),
+        over(lambda r: listing.member_values(r.links, ["entity_id"], "qid")),
         sql(
             "links",
-            "SELECT entity_id, 0 AS slice, COUNT(DISTINCT qid) AS n_values, STRING_AGG(DISTINCT qid, '|' ORDER BY qid) "
-            "AS text FROM links GROUP BY entity_id",
+            "SELECT DISTINCT entity_id, qid AS value FROM links WHERE qid IS NOT NULL",
         ),
     ),
     "linked_items_per_entity": (

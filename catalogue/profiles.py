@@ -72,12 +72,12 @@ QUERIES = {
         ),
     ),
     "exact_duplicates": (
-        over(lambda r: profile.exact_duplicates(r.order_xids.drop("external_id", "rank"))),
+        over(lambda r: profile.exact_duplicates(r.order_xids)),
         sql(
             "order_xids",
             "SELECT COUNT(*) AS duplicate_groups, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS extra_rows "
             "FROM (SELECT COUNT(*) AS n FROM order_xids GROUP BY entity_id, provider, property, "
-            "confidence, dob_check, qid HAVING COUNT(*) > 1)",
+            "external_id, rank, confidence, dob_check, qid HAVING COUNT(*) > 1)",
         ),
     ),
     "blank_counts": (

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, functions as F
 
 from catalogue.registers import over
+from ledgerloom.operators.slices import ensure_checkpoint_dir
 from ledgerloom.streaming import publish
 
 
@@ -57,10 +60,33 @@ def plan(r) -> DataFrame:
 
 
 def fingerprint_columns() -> list:
-    return [F.col("event_id"), F.date_format("ts", "yyyyMMddHHmmssSSSSSS"), F.col("user_id"), F.col("event_type"), F.col("props")]
+    """All columns of events."""
+    moment = F.date_format("ts", "yyyyMMddHHmmssSSSSSS")
+    value = publish.exact_double(F.col("value"))
+    return [F.col("event_id"), moment, F.col("user_id"), F.col("event_type"), value, F.col("props")]
+
+
+VALUE = "CONCAT(CAST(FLOOR(value) AS BIGINT), '/', CAST(FLOOR((value - FLOOR(value)) * 1152921504606846976) AS BIGINT))"
+ROW_TEXT = f"CONCAT_WS(CHR(31), event_id, STRFTIME(ts, '%Y%m%d%H%M%S%f'), user_id, event_type, {VALUE}, props)"
+
+
+def order_columns() -> list:
+    """All columns of orders."""
+    moment = F.date_format("o_orderdate", "yyyyMMddHHmmssSSSSSS")
+    price = publish.exact_double(F.col("o_totalprice"))
+    return [F.col("o_orderkey"), F.col("entity_id"), F.col("o_orderstatus"), price, moment, F.col("o_orderpriority")]
+
+
+def closed(orders: DataFrame) -> DataFrame:
+    """A later snapshot: pending orders are closed, and urgent ones are gone to another customer."""
+    moved = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("entity_id") + 1).otherwise(F.col("entity_id"))
+    status = F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))
+    return orders.withColumn("entity_id", moved).withColumn("o_orderstatus", status)
 
 
-ROW_TEXT = "CONCAT_WS(CHR(31), event_id, STRFTIME(ts, '%Y%m%d%H%M%S%f'), user_id, event_type, props)"
+def snapshots(r) -> list[DataFrame]:
+    orders = r.table("orders").withColumnRenamed("o_custkey", "entity_id")
+    return [publish.record_fingerprints(df, order_columns()) for df in (orders, closed(orders))]
 
 
 def history(r) -> DataFrame:
@@ -83,16 +109,49 @@ HISTORY = (
     "feed_sha256, CASE WHEN value > 0.05 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS next_offset, CASE WHEN value < 10 "
     "THEN 'FAILED' WHEN value < 60 THEN 'READY_TO_RESUME' ELSE 'RUNNING' END AS status FROM events), stepped AS (SELECT *, "
     "LAG(feed_sha256) OVER w AS psha, LAG(next_offset) OVER w AS poff FROM history WINDOW w AS (PARTITION BY feed ORDER BY ts, "
-    "event_id)), violations AS (SELECT * EXCLUDE (psha, poff), COALESCE(next_offset IS NULL OR next_offset < 0, true) AS "
+    "event_id)), violations AS (SELECT * EXCLUDE (psha, poff, records), COALESCE(next_offset IS NULL OR next_offset < 0, true) AS "
     "invalid_offset, COALESCE(LENGTH(feed_sha256) <> 64, true) AS invalid_fingerprint, (psha IS NOT NULL OR poff IS NOT NULL) AND "
     "feed_sha256 IS DISTINCT FROM psha AS fingerprint_changed, COALESCE(next_offset < poff, false) AS offset_regression, "
-    "COALESCE(next_offset - poff > 40, false) AS oversize_batch, status NOT IN ('FAILED', 'READY_TO_RESUME') AS bad_status FROM "
-    "stepped)"
+    "COALESCE(next_offset - poff > 40, false) AS oversize_batch, status NOT IN ('FAILED', 'READY_TO_RESUME') AS bad_status, "
+    "COALESCE(next_offset > records, false) AS offset_past_end FROM stepped LEFT JOIN (SELECT event_type AS feed, COUNT(DISTINCT "
+    "props) AS records FROM events GROUP BY 1) USING (feed))"
 )
 
 
 def violations(r) -> DataFrame:
-    return publish.progress_violations(history(r), 40, ("ts", "event_id"))
+    sizes = r.table("events").groupBy(F.col("event_type").alias("feed")).agg(
+        F.count_distinct("props").alias("records")
+    )
+    return publish.progress_violations(history(r), 40, ("ts", "event_id"), records=sizes)
+
+
+def published_run(r) -> str:
+    """Publish all events as a feed, in three batches, the last of them twice; the folder."""
+    sink = f"{ensure_checkpoint_dir(r.spark)}/published-{uuid4().hex}"
+    payloads = publish.sync_payload(feed(r))
+    size = -(-payloads.count() // 3)
+    for batch in (0, 1, 2, 2):
+        publish.publish_batch(publish.feed_slice(payloads, batch * size, size), batch, sink)
+    return sink
+
+
+STATE = ("feed", "next_offset", "selected", "created", "updated", "failed", "status", "batch")
+
+
+def run_progress(r) -> DataFrame:
+    """The progress of that run, with what its audit says."""
+    sink = published_run(r)
+    progress = r.spark.read.parquet(f"{sink}/progress")
+    sizes = r.table("events").agg(F.lit("feed").alias("feed"), F.count("*").alias("records"))
+    size = -(-r.table("events").count() // 3)
+    told = publish.progress_violations(progress, size, ("batch",), records=sizes)
+    flags = ("invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression",
+             "oversize_batch", "offset_past_end", "bad_status")
+    return told.select(*STATE, *flags)
+
+
+def run_state(r) -> DataFrame:
+    return publish.published_state(r.spark, published_run(r))
 
 
 
@@ -131,6 +190,26 @@ QUERIES = {
         "SELECT o_orderkey AS publish_id, o_custkey AS sent_id, CAST(p_size AS BIGINT) AS returned_id FROM orders LEFT JOIN part "
         "ON p_partkey = o_orderkey WHERE o_custkey IS DISTINCT FROM CAST(p_size AS BIGINT)",
     ),
+    "publish_progress": (
+        over(run_progress),
+        f"WITH {PLAN.replace('user_id IN (SELECT doc_id FROM labels)', 'false')}, z AS (SELECT (COUNT(*) + 2) // 3 AS size FROM "
+        "events), b AS (SELECT feed_index // size AS batch, MAX(feed_index) + 1 AS next_offset, COUNT(*) AS n, COUNT(*) FILTER "
+        "(action = 'CREATE') AS c FROM plan, z GROUP BY 1) SELECT 'feed' AS feed, next_offset, CAST(SUM(n) OVER w AS BIGINT) AS "
+        "selected, CAST(SUM(c) OVER w AS BIGINT) AS created, CAST(SUM(n - c) OVER w AS BIGINT) AS updated, CAST(0 AS BIGINT) AS "
+        "failed, 'READY_TO_RESUME' AS status, CAST(batch AS INT) AS batch, "
+        + ", ".join(
+            f"false AS {c}"
+            for c in (
+                "invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression", "oversize_batch",
+                "offset_past_end", "bad_status",
+            )
+        )
+        + " FROM b WINDOW w AS (ORDER BY batch)",
+    ),
+    "publish_state": (
+        over(run_state),
+        f"WITH {PAYLOAD} SELECT * FROM payload QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY feed_index DESC) = 1",
+    ),
     "record_fingerprints": (
         over(
             lambda r: publish.record_fingerprints(r.table("events"), fingerprint_columns()).select(
@@ -144,32 +223,20 @@ QUERIES = {
         f"WITH d AS (SELECT SHA256({ROW_TEXT}) AS d FROM events), s AS (SELECT SUBSTRING(d, 1, 2) AS b, COUNT(*) AS n, "
         + ", ".join(
             f"SUM(CAST(CONCAT('0x', SUBSTRING(d, {start}, 12)) AS BIGINT)) AS s{i}"
-            for i, start in enumerate((1, 13, 25, 37))
+            for i, start in enumerate(range(1, 64, 12))
         )
-        + " FROM d GROUP BY 1) SELECT CAST(SUM(n) AS BIGINT) AS records, SHA256(STRING_AGG(CONCAT_WS(':', b, n, s0, s1, s2, s3), "
+        + " FROM d GROUP BY 1) SELECT CAST(SUM(n) AS BIGINT) AS records, SHA256(STRING_AGG(CONCAT_WS(':', b, n, s0, s1, s2, s3, s4, s5), "
         "'|' ORDER BY b)) AS feed_sha256 FROM s",
     ),
     "changed_records": (
         over(
-            lambda r: publish.changed_records(
-                publish.record_fingerprints(
-                    r.table("orders").withColumnRenamed("o_custkey", "entity_id"), [F.col("o_orderpriority")]
-                ),
-                publish.record_fingerprints(
-                    r.table("orders").where("o_orderstatus <> 'P'").withColumnRenamed("o_custkey", "entity_id"),
-                    [F.col("o_orderpriority")],
-                ).unionByName(
-                    publish.record_fingerprints(
-                        r.table("events").withColumnRenamed("user_id", "entity_id"), [F.col("event_type")]
-                    ),
-                    allowMissingColumns=True,
-                ),
-            )
+            lambda r: publish.changed_records(*snapshots(r))
         ),
-        "WITH t AS (SELECT o_custkey AS entity_id, o_orderpriority AS f, 1 AS b, 0 AS a FROM orders UNION ALL SELECT o_custkey, "
-        "o_orderpriority, 0, 1 FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT user_id, event_type, 0, 1 FROM events), c AS "
-        "(SELECT entity_id, f, SUM(b) AS b, SUM(a) AS a FROM t GROUP BY ALL) SELECT entity_id, CASE WHEN SUM(b) = 0 THEN 'added' "
-        "WHEN SUM(a) = 0 THEN 'removed' ELSE 'changed' END AS change FROM c GROUP BY 1 HAVING BOOL_OR(a <> b)",
+        "WITH t AS (SELECT o_custkey AS entity_id, o_orderkey, o_orderstatus AS status, 1 AS b, 0 AS a FROM orders UNION ALL "
+        "SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey + 1 ELSE o_custkey END, o_orderkey, CASE WHEN o_orderstatus "
+        "= 'P' THEN 'F' ELSE o_orderstatus END, 0, 1 FROM orders), c AS (SELECT entity_id, o_orderkey, status, SUM(b) AS b, "
+        "SUM(a) AS a FROM t GROUP BY ALL) SELECT entity_id, CASE WHEN SUM(b) = 0 THEN 'added' WHEN SUM(a) = 0 THEN 'removed' ELSE "
+        "'changed' END AS change FROM c GROUP BY 1 HAVING BOOL_OR(a <> b)",
     ),
     "progress_violations": (
         over(violations),
@@ -178,6 +245,6 @@ QUERIES = {
     "recoverable_steps": (
         over(lambda r: publish.recoverable_steps(violations(r))),
         f"WITH {HISTORY} SELECT * REPLACE ('READY_TO_RESUME' AS status) FROM violations WHERE status = 'FAILED' AND NOT "
-        "(invalid_offset OR invalid_fingerprint OR fingerprint_changed OR offset_regression OR oversize_batch)",
+        "(invalid_offset OR invalid_fingerprint OR fingerprint_changed OR offset_regression OR oversize_batch OR offset_past_end)",
     ),
 }

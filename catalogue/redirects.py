@@ -6,7 +6,7 @@ from catalogue.profiles import bucket
 from catalogue.registers import over, sql
 from ledgerloom.operators import redirects, relate
 from ledgerloom.operators.collide import class_counts
-from ledgerloom.operators.listing import joined_values
+from ledgerloom.operators.listing import member_values
 
 SCOPE = (
     "scoped AS (SELECT *, from_id IN (SELECT entity_id FROM master) AS from_known, COALESCE(to_id IN (SELECT entity_id FROM "
@@ -167,11 +167,11 @@ QUERIES = {
         ),
     ),
     "fan_in_sources": (
-        over(lambda r: joined_values(r.redirects.where("to_id IS NOT NULL"), ["to_id"], "from_id")),
+        over(lambda r: member_values(r.redirects.where("to_id IS NOT NULL"), ["to_id"], "from_id")),
         sql(
             "redirects",
-            "SELECT to_id, 0 AS slice, COUNT(DISTINCT from_id) AS n_values, STRING_AGG(DISTINCT CAST(from_id AS STRING), '|' "
-            "ORDER BY CAST(from_id AS STRING)) AS text FROM redirects WHERE to_id IS NOT NULL GROUP BY 1",
+            "SELECT DISTINCT to_id, CAST(from_id AS STRING) AS value FROM redirects WHERE to_id IS NOT NULL AND from_id "
+            "IS NOT NULL",
         ),
     ),
     "redirect_detail": (

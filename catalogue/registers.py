@@ -2,8 +2,7 @@
 
 A role is a projection of one given table (or a union of two). Its expressions are plain
 SQL that Spark and the checking engine both read, so that both sides see the same rows.
-No role drops rows to make a query cheaper; where a role has a condition, it is what makes
-a row that kind of record.
+Every role takes all rows of its tables.
 """
 
 from __future__ import annotations
@@ -13,24 +12,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.sources.register import spread
-
 
 @dataclass(frozen=True)
 class Role:
     table: str
     columns: dict[str, str]
-    where: str | None = None
 
     def frame(self, spark: SparkSession, folder: str) -> DataFrame:
         df = spark.read.parquet(f"{folder}/{self.table}.parquet")
-        if self.where:
-            df = df.where(self.where)
         return df.selectExpr(*[f"{e} AS {name}" for name, e in self.columns.items()])
 
     def sql(self) -> str:
         picked = ", ".join(f"{e} AS {name}" for name, e in self.columns.items())
-        return f"SELECT {picked} FROM {self.table}" + (f" WHERE {self.where}" if self.where else "")
+        return f"SELECT {picked} FROM {self.table}"
 
 
 YEAR = "CAST(EXTRACT(YEAR FROM o_orderdate) AS STRING)"
@@ -55,12 +49,13 @@ ROLES: dict[str, list[Role]] = {
             },
         )
     ],
-    # the entity table: customers with some other values, and suppliers of another type
+    # the entity table: customers with some other values (those of MACHINERY under ids that the
+    # master does not have), and suppliers of another type
     "entities": [
         Role(
             "customer",
             {
-                "entity_id": "c_custkey",
+                "entity_id": "CASE WHEN c_mktsegment = 'MACHINERY' THEN -1000000000 - c_custkey ELSE c_custkey END",
                 "entity_type": "'player'",
                 "status": f"CASE WHEN c_acctbal BETWEEN 5000 AND 5500 THEN 'retired' ELSE {STATUS} END",
                 "label": "CASE WHEN c_nationkey = 7 THEN NULL ELSE c_name END",
@@ -70,7 +65,6 @@ ROLES: dict[str, list[Role]] = {
                 "corroboration_count": "CAST(c_nationkey AS BIGINT)",
                 "source_tier_band": "CASE WHEN c_acctbal > 0 THEN 'A' END",
             },
-            where="c_mktsegment <> 'MACHINERY'",
         ),
         Role(
             "supplier",
@@ -184,16 +178,16 @@ ROLES: dict[str, list[Role]] = {
             "lineitem", {"from_id": "l_partkey", "to_id": "l_orderkey", "kind": "l_returnflag"}
         )
     ],
-    # parts that were replaced by others; PROMO parts were not replaced
+    # parts that were replaced by others, those of PROMO by the next one
     "redirects": [
         Role(
             "part",
             {
                 "from_id": "p_partkey",
-                "to_id": "CASE WHEN p_type = 'ECONOMY' THEN NULL ELSE CAST(p_size AS BIGINT) END",
+                "to_id": "CASE WHEN p_type = 'ECONOMY' THEN NULL WHEN p_type = 'PROMO' THEN p_partkey + 1 "
+                "ELSE CAST(p_size AS BIGINT) END",
                 "reason": "p_type",
             },
-            where="p_type <> 'PROMO'",
         )
     ],
     "search": [
@@ -265,10 +259,6 @@ ROLES: dict[str, list[Role]] = {
 }
 
 
-# roles with long texts that are worked on row by row
-HEAVY = ("aliases", "texts")
-
-
 class Register:
     """The role frames over one folder of the given tables."""
 
@@ -279,8 +269,6 @@ class Register:
         if role not in ROLES:
             raise AttributeError(role)
         frames = [r.frame(self.spark, self.folder) for r in ROLES[role]]
-        if role in HEAVY:
-            frames = [spread(f) for f in frames]
         return reduce(DataFrame.unionByName, frames)
 
     def table(self, name: str) -> DataFrame:

@@ -106,7 +106,7 @@ def share(part: Column, total: Column) -> Column:
 
 def join_set(column: Column, sep: str = "|") -> Column:
     """Aggregate: sorted distinct values as text. Only for columns with a small domain;
-    sets of ids, labels or external ids go through ``operators.listing.joined_values``."""
+    sets of ids, labels or external ids go through ``operators.listing.member_values``."""
     return F.array_join(F.array_sort(F.collect_set(as_text(column))), sep)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.exprs import count_if, ends, is_present, merged_ends, relation
-from ledgerloom.operators.listing import joined_records
+from ledgerloom.operators.listing import member_records
 from ledgerloom.operators.relate import ID, value_count, value_marks
 from ledgerloom.operators.skew import beside, key_counts, lookup_join
 
@@ -115,11 +115,10 @@ def flatten_collisions(
     named: DataFrame,
     key: str = "normalized_name",
     columns: Sequence[str] = ("label", "status", "gender"),
-    slice_size: int = 10_000,
 ) -> DataFrame:
-    """Colliding names with their ids, labels, statuses and genders as parallel texts."""
+    """Colliding names with the ids, labels, statuses and genders of their members, one per row."""
     members = name_collisions(named, key)
-    return joined_records(members, [key, "record_count"], ID, columns, slice_size=slice_size)
+    return member_records(members, [key, "record_count"], ID, columns)
 
 
 # --- labels -------------------------------------------------------------------------------

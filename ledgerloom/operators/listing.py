@@ -1,9 +1,7 @@
-"""Sets per key as text, in slices of bounded size.
+"""Values and records per key as flat rows, and counts of small domains as text.
 
 A row per key that holds all ids of the key breaks when one key owns a third of the ids.
-Here a key with many values gets several rows, one per slice, none of them larger than
-about ``slice_size`` values. Together the slices hold every value exactly once; a key of
-ordinary size has one slice, numbered 0, with all its values.
+Members are therefore one row each; whoever needs a text per key collects a key's rows.
 """
 
 from __future__ import annotations
@@ -13,75 +11,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.exprs import as_text
-from ledgerloom.operators.skew import lookup_join
 
-SLICE_VALUES = 10_000
 
+def member_values(pairs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct non-null values of each key, as text: ``keys, value``."""
+    known = pairs.where(F.col(value).isNotNull())
+    return known.select(*keys, as_text(F.col(value)).alias("value")).distinct()
 
-def _sliced(
-    rows: DataFrame, keys: Sequence[str], spread: str, slice_size: int
-) -> DataFrame:
-    """Add ``slice``: rows of a large key are dealt out by the hash of ``spread``."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > slice_size).select(
-        *keys, F.ceil(F.col("n") / slice_size).cast("int").alias("_slices")
-    )
-    dealt = F.pmod(F.xxhash64(spread), F.coalesce("_slices", F.lit(1))).cast("int")
-    return (
-        lookup_join(rows, large, keys, "left", sizes, distinct=True)
-        .withColumn("slice", dealt)
-        .drop("_slices")
-    )
-
-
-def joined_values(
-    pairs: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    sep: str = "|",
-    slice_size: int = SLICE_VALUES,
-) -> DataFrame:
-    """Distinct non-null values of each (non-null) key: ``keys, slice, n_values, text``."""
-    values = (
-        pairs.where(F.col(value).isNotNull())
-        .select(*keys, as_text(F.col(value)).alias("_value"))
-        .distinct()
-    )
-    return _sliced(values, keys, "_value", slice_size).groupBy(*keys, "slice").agg(
-        F.count("*").alias("n_values"),
-        F.array_join(F.array_sort(F.collect_list("_value")), sep).alias("text"),
-    )
 
-
-def joined_records(
+def member_records(
     rows: DataFrame,
     keys: Sequence[str],
     entity: str,
     columns: Sequence[str],
-    sep: str = " | ",
     null_label: str = "NULL",
-    slice_size: int = SLICE_VALUES,
 ) -> DataFrame:
-    """Records of each (non-null) key as parallel texts, in the order of the ids.
-
-    ``columns`` become one text each, so the i-th entries of all texts belong together.
-    Copies of a whole record are listed once.
-    """
-    records = rows.select(
-        *keys,
-        as_text(F.col(entity)).alias("_id"),
-        *[F.coalesce(as_text(F.col(c)), F.lit(null_label)).alias(f"_{c}") for c in columns],
-    ).distinct()
-    fields = ["_id", *[f"_{c}" for c in columns]]
-    listed = _sliced(records, keys, "_id", slice_size).groupBy(*keys, "slice").agg(
-        F.count("*").alias("n_values"),
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_records"),
-    )
-    texts = [
-        F.array_join(F.col(f"_records.{field}"), sep).alias(name)
-        for field, name in zip(fields, [f"{entity}s", *[f"{c}_texts" for c in columns]])
-    ]
-    return listed.select(*keys, "slice", "n_values", *texts)
+    """Distinct records of each key, as text, with the number of their copies."""
+    texts = [F.coalesce(as_text(F.col(c)), F.lit(null_label)).alias(c) for c in columns]
+    records = rows.select(*keys, as_text(F.col(entity)).alias(entity), *texts)
+    return records.groupBy(*keys, entity, *columns).agg(F.count("*").alias("copies"))
 
 
 def value_counts_text(

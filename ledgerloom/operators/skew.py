@@ -16,8 +16,8 @@ from math import ceil
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-# A key with fewer rows than this cannot hold up a task, however small the table.
-HOT_FLOOR = 10_000
+#: A key is hot from this many average partitions on.
+HOT_SHARE = 1.0
 
 
 def partitions(df: DataFrame) -> int:
@@ -41,7 +41,6 @@ def measure_hot(counts: DataFrame, keys: Sequence[str], n: str = "n") -> dict[in
     top = (
         counts.select(F.xxhash64(*keys).alias("h"), F.col(n).alias("n"))
         .observe(seen, F.sum("n").alias("total"))
-        .where(F.col("n") > HOT_FLOOR)
         .orderBy(F.desc("n"))
         .limit(parts)
         .collect()
@@ -49,7 +48,7 @@ def measure_hot(counts: DataFrame, keys: Sequence[str], n: str = "n") -> dict[in
     if not top:
         return {}
     total = seen.get["total"]
-    return {row.h: ceil(row.n * parts / total) for row in top if row.n * parts > total}
+    return {row.h: ceil(row.n * parts / total) for row in top if row.n * parts > HOT_SHARE * total}
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

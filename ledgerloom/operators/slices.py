@@ -10,8 +10,10 @@ written to the shared checkpoint folder before anything is computed from them.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 from collections.abc import Sequence
+from contextlib import suppress
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -39,18 +41,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder and go on from there.
 
     For frames that several later steps read, and to end a growing plan. Being Parquet in
     shared storage, the table outlives its executors, and later steps read only their columns.
+    ``release`` deletes the tables; it runs by itself when the driver's Python ends.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/ledgerloom-{uuid4().hex}"
+    _written.append((spark, folder))
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession | None = None) -> int:
+    """Delete the tables that ``cut`` wrote, of one session or of all that still run.
+
+    Frames built on them cannot be read afterwards. Returns the number of tables.
+    """
+    gone = 0
+    for session, folder in list(_written):
+        if spark is not None and session is not spark:
+            continue
+        _written.remove((session, folder))
+        if session.sparkContext._jsc is not None:  # a stopped session can delete nothing
+            path = session._jvm.org.apache.hadoop.fs.Path(folder)
+            files = path.getFileSystem(session._jsc.hadoopConfiguration())
+            gone += bool(files.delete(path, True))
+    return gone
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    with suppress(Exception):  # the JVM may be gone before Python is
+        release()
+
+
 def range_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Cut the order into even slices, numbered in order, and fix them by writing them."""
     ranged = df.repartitionByRange(partitions(df), *order)

@@ -34,16 +34,6 @@ def load_register(
     return register
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than the cluster has cores over all cores.
-
-    For heavy work per row on tables of a few large files. Tables of many splits, as large
-    tables are, come back unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def load_catalog(spark: SparkSession, database: str, tables: Iterable[str]) -> dict[str, DataFrame]:
     """The same from a catalogue, so that source and output can be two of its databases."""
     missing = [t for t in tables if not spark.catalog.tableExists(f"{database}.{t}")]

@@ -8,15 +8,16 @@ checkpoint; a batch that is replayed after a crash writes the same folder again.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
+from hashlib import sha256
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.exprs import count_if, display_label, is_present, or_blank
 from ledgerloom.operators.relate import ID
-from ledgerloom.operators.skew import lookup_join
-from ledgerloom.operators.slices import cut, with_previous
+from ledgerloom.operators.skew import beside, lookup_join
+from ledgerloom.operators.slices import cut, folder_exists, number_rows, with_previous
 
 # Actions and states of a publishing run.
 CREATE, UPDATE = "CREATE", "UPDATE"
@@ -118,47 +119,86 @@ def identity_mismatches(
 # --- the running job ------------------------------------------------------------------------------
 
 
-def _published(spark: SparkSession, folder: str, schema, before: int) -> DataFrame:
-    """What batches before this one have published."""
-    try:
-        return spark.read.parquet(folder).where(F.col("batch") < before)
-    except AnalysisException:  # nothing was published yet
-        return spark.createDataFrame([], schema).withColumn("batch", F.lit(0))
+# One row per batch; counters run over all batches so far.
+PROGRESS = (
+    "feed string, feed_sha256 string, next_offset bigint, selected bigint, created bigint, updated bigint, "
+    "failed bigint, status string, started_at timestamp, last_success_at timestamp, completed_at timestamp"
+)
 
 
-def publish_batch(batch: DataFrame, batch_id: int, sink: str, position: str = "feed_index") -> None:
+def _earlier(spark: SparkSession, folder: str, schema: str, before: int) -> DataFrame:
+    """Rows of the batches before this one."""
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], f"{schema}, batch int")
+    return spark.read.schema(f"{schema}, batch int").parquet(folder).where(F.col("batch") < before)
+
+
+def publish_batch(
+    batch: DataFrame,
+    batch_id: int,
+    sink: str,
+    position: str = "feed_index",
+    feed: str = "feed",
+    feed_sha256: str | None = None,
+) -> None:
     """Publish one batch into folders of its own; doing it again changes nothing.
 
-    Records without a position get one from their place in the batch, fixed by a checkpoint.
+    Records without a position go on counting where the batch before has stopped. ``known``
+    holds every published id once, in the batch that created it, so a batch reads ids but no
+    earlier payloads. ``progress`` is the state to resume from and the history to audit:
+    feed and its fingerprint (that of the feed's name if none is given), next offset,
+    counters over all batches, status and times.
     """
     spark = batch.sparkSession
+    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    state = _earlier(spark, f"{sink}/progress", PROGRESS, batch_id).orderBy(F.desc("batch")).first()
+    before = state.asDict() if state else {}
     if position not in batch.columns:
-        batch = cut(batch.withColumn(position, F.monotonically_increasing_id()))
-    published = _published(spark, f"{sink}/published", batch.select(ID).schema, batch_id)
-    plan = upsert_plan(batch, published.select(ID), position)
+        placed = number_rows(batch.withColumn("_order", F.monotonically_increasing_id()), ["_order"], position)
+        base = before.get("next_offset") or 0
+        batch = placed.withColumn(position, F.col(position) - 1 + base).drop("_order")
+    id_type = batch.schema[ID].dataType.simpleString()
+    known = _earlier(spark, f"{sink}/known", f"{ID} {id_type}", batch_id)
+    plan = cut(upsert_plan(batch, known.select(ID), position))
     good = plan.where(F.col("action") != FAILED)
-    counts = action_counts(plan).withColumn("status", F.when(F.col("failed") > 0, FAILED).otherwise(READY))
-    last = batch.agg(F.max(position)).scalar()
 
     def write(df: DataFrame, table: str) -> None:
         df.write.mode("overwrite").parquet(f"{sink}/{table}/batch={batch_id}")
 
     write(latest_payloads(good.drop("action"), position), "published")
+    write(plan.where(F.col("action") == CREATE).select(ID), "known")
     events = plan.select(
         ID, position, "action", F.when(F.col("action") == FAILED, "failure").otherwise("success").alias("event")
     )
     write(events.withColumn("logged_at", F.current_timestamp()), "events")
-    progress = counts.withColumn("next_offset", last + 1)
-    write(progress.withColumn("finished_at", F.current_timestamp()), "progress")
+    now = beside(action_counts(plan), plan.agg(F.max(position).alias("last"))).first()
+    ended = datetime.now(timezone.utc).replace(tzinfo=None)
+    status = FAILED if now.failed else READY
+    row = (
+        feed,
+        feed_sha256 or sha256(feed.encode()).hexdigest(),
+        before.get("next_offset") if now.last is None else int(now.last) + 1,
+        *[(before.get(n) or 0) + now[n] for n in ("selected", "created", "updated", "failed")],
+        status,
+        started,
+        ended if status == READY else before.get("last_success_at"),
+        ended,
+    )
+    write(spark.createDataFrame([row], PROGRESS), "progress")
 
 
 def publish_stream(
-    feed: DataFrame, sink: str, checkpoint: str, position: str = "feed_index", available_now: bool = False
+    feed: DataFrame,
+    sink: str,
+    checkpoint: str,
+    position: str = "feed_index",
+    available_now: bool = False,
+    name: str = "feed",
 ) -> StreamingQuery:
     """Publish a streaming feed. ``sink`` and ``checkpoint`` are folders all executors share."""
     writer = (
         feed.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, batch_id: publish_batch(df, batch_id, sink, position))
+        .foreachBatch(lambda df, batch_id: publish_batch(df, batch_id, sink, position, name))
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -179,6 +219,13 @@ def row_text(columns: Sequence[Column]) -> Column:
     return F.concat_ws("\u001f", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns])
 
 
+def exact_double(value: Column) -> Column:
+    """A double as two whole numbers, which every engine writes alike: floor, and 2^60 of the rest."""
+    whole = F.floor(value)
+    rest = F.floor((value - whole) * F.lit(2.0**60))
+    return F.concat_ws("/", whole.cast("string"), rest.cast("string"))
+
+
 def record_fingerprints(feed: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return feed.withColumn("fingerprint", F.sha2(row_text(columns), 256))
 
@@ -190,13 +237,14 @@ def feed_fingerprint(feed: DataFrame, columns: Sequence[Column], buckets: int =
     first, and the sums are hashed. No list of digests is ever built.
     """
     digests = feed.select(F.sha2(row_text(columns), 256).alias("d"))
+    # all 64 digits, twelve at a time, so that sums of many records do not overflow
     parts = [
-        F.conv(F.substring("d", start, 12), 16, 10).cast("decimal(38,0)") for start in (1, 13, 25, 37)
+        F.conv(F.substring("d", start, 12), 16, 10).cast("decimal(38,0)") for start in range(1, 64, 12)
     ]
     sums = digests.groupBy(F.substring("d", 1, 2).alias("b")).agg(
         F.count("*").alias("n"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)]
     )
-    line = F.concat_ws(":", "b", F.col("n").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)])
+    line = F.concat_ws(":", "b", F.col("n").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(len(parts))])
     return sums.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
         F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "|"), 256).alias("feed_sha256"),
@@ -225,18 +273,29 @@ def changed_records(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def progress_violations(
-    history: DataFrame, batch_size: int, order: Sequence[str] = ("ts",), key: str = "feed"
+    history: DataFrame,
+    batch_size: int,
+    order: Sequence[str] = ("ts",),
+    key: str = "feed",
+    records: DataFrame | None = None,
 ) -> DataFrame:
     """Each step of a progress history with what is wrong about it.
 
     ``history``: feed, feed_sha256, next_offset, status and the columns of ``order``, which
-    must order the steps of a feed fully.
+    must order the steps of a feed fully; the progress table of ``publish_batch`` ordered by
+    ``batch`` is one. ``records`` (feed, records) has the size of each feed, beyond which no
+    offset may lie; offsets of feeds that it lacks are not held against it.
     """
+    if records is None:
+        history = history.withColumn("records", F.lit(None).cast("long"))
+    else:
+        history = lookup_join(history, records.select(key, F.col("records").cast("long")), key, "left")
     stepped = with_previous(history, key, order, ["feed_sha256", "next_offset"])
     offset, before = F.col("next_offset"), F.col("previous_next_offset")
     later = F.col("previous_feed_sha256").isNotNull() | before.isNotNull()
     return stepped.select(
-        *history.columns,
+        *[c for c in history.columns if c != "records"],
+        F.coalesce(offset > F.col("records"), F.lit(False)).alias("offset_past_end"),
         F.coalesce(offset.isNull() | (offset < 0), F.lit(True)).alias("invalid_offset"),
         F.coalesce(F.length("feed_sha256") != 64, F.lit(True)).alias("invalid_fingerprint"),
         (later & ~F.col("feed_sha256").eqNullSafe(F.col("previous_feed_sha256"))).alias(
@@ -256,5 +315,6 @@ def recoverable_steps(violations: DataFrame) -> DataFrame:
         | F.col("fingerprint_changed")
         | F.col("offset_regression")
         | F.col("oversize_batch")
+        | F.col("offset_past_end")
     )
     return violations.where(clean & (F.col("status") == FAILED)).withColumn("status", F.lit(READY))

@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -16,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -27,7 +28,7 @@ def all_hot(monkeypatch):
     """Let small keys count as hot, so that small frames take the skewed paths."""
     from ledgerloom.operators import skew
 
-    monkeypatch.setattr(skew, "HOT_FLOOR", 0)
+    monkeypatch.setattr(skew, "HOT_SHARE", 0)
 
 
 def rows(df, *columns):

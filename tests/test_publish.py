@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import slices
 from ledgerloom.sources import register, sinks
 from ledgerloom.streaming import publish
 from tests.conftest import by, rows
@@ -30,7 +31,38 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert rows(publish.published_state(spark, sink), "entity_id", "label") == before
     assert before == [("a", "A"), ("b", "B2"), ("c", "C")]
     progress = spark.read.parquet(f"{sink}/progress").where("batch = 1").first()
-    assert (progress.created, progress.updated, progress.next_offset) == (1, 1, 4)
+    assert (progress.selected, progress.created, progress.updated, progress.next_offset) == (4, 3, 1, 4)
+    assert progress.status == "READY_TO_RESUME" and progress.last_success_at == progress.completed_at
+    assert spark.read.parquet(f"{sink}/known").count() == 3
+
+
+def test_positions_go_on_and_the_audit_reads_the_progress(spark, tmp_path):
+    sink = str(tmp_path)
+    for batch in range(3):
+        records = [(f"e{(7 * batch + i) % 11}" if i else None, f"L{i}") for i in range(8)]
+        df = spark.createDataFrame(records, "entity_id string, label string").repartition(4)
+        publish.publish_batch(df, batch, sink)
+    progress = spark.read.parquet(f"{sink}/progress")
+    assert by(progress, "batch", "next_offset") == {0: 8, 1: 16, 2: 24}
+    assert by(progress, "batch", "failed") == {0: 1, 1: 2, 2: 3}
+    events = spark.read.parquet(f"{sink}/events")
+    assert sorted(r.feed_index for r in events.collect()) == list(range(24))
+    for size, past in ((24, False), (20, True)):
+        sizes = spark.createDataFrame([("feed", size)], "feed string, records long")
+        told = publish.progress_violations(progress, 8, ("batch",), records=sizes).orderBy("batch").collect()
+        assert told[2].offset_past_end is past
+        wrong = ("invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression", "oversize_batch", "bad_status")
+        assert not any(r[c] for r in told for c in wrong)
+    assert publish.recoverable_steps(publish.progress_violations(progress, 8, ("batch",))).count() == 3
+
+
+def test_cut_tables_are_deleted(spark):
+    df = slices.cut(spark.range(3))
+    folder = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 3 and slices.folder_exists(spark, folder)
+    slices._written[:], kept = [x for x in slices._written if x[1] in folder or folder.endswith(x[1][-30:])], slices._written[:]
+    assert slices.release(spark) == 1 and not slices.folder_exists(spark, folder)
+    slices._written[:] = [x for x in kept if not folder.endswith(x[1][-30:])]
 
 
 def test_stream_publishes_a_feed_and_resumes(spark, tmp_path):
