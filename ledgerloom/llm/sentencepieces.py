@@ -26,6 +26,8 @@ from ledgerloom.llm.common import CACHE_ENTRIES, documents, pick, shrink
 
 SPACE = "▁"
 LONG_WORD = 48
+#: Words of the texts whose new words are encoded together; about 100 MB.
+GROUP_WORDS = 1_000_000
 #: Words that advance together at most.
 TOGETHER = 8192
 #: Places for known pairs of pieces, a power of two; a pair may push another out.
@@ -242,8 +244,6 @@ class Pieces:
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet."""
-        if len(self.words) + len(words) > CACHE_ENTRIES:
-            shrink(self.words)
         by_length: dict[int, list[str]] = {}
         for word in words:
             if len(word) <= LONG_WORD:
@@ -273,20 +273,18 @@ class Pieces:
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         found: list[bytes] = []
-        # texts in groups whose words fit the cache together
         group: list[list[str]] = []
-        size = 0
+        size, known = 0, self.words
         for i, text in enumerate(texts):
             group.append(self.split(text))
             size += len(group[-1])
-            if size > CACHE_ENTRIES // 2 or i == len(texts) - 1:
-                known = self.words
-                self.learn({word for words in group for word in words if word not in known})
-                for words in group:
-                    missing = {word for word in words if word not in known}
-                    if missing:  # the cache was shrunk meanwhile
-                        self.learn(missing)
-                    found.append(b"".join(map(known.__getitem__, words)))
+            if size > GROUP_WORDS or i == len(texts) - 1:
+                new = {word for words in group for word in words if word not in known}
+                if len(known) + len(new) > CACHE_ENTRIES:
+                    shrink(known)
+                    new = {word for words in group for word in words if word not in known}
+                self.learn(new)
+                found += [b"".join(map(known.__getitem__, words)) for words in group]
                 group, size = [], 0
         return found
 
