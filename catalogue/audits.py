@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
 from catalogue.profiles import FIELDS, present
 from catalogue.registers import over, pct, sql
 from ledgerloom.operators import search
@@ -31,7 +35,40 @@ def register(r):
 def built(r):
     tables = master.build_relational_master(register(r))
     counts = master.build_counts(tables, r.master)
-    return {**tables, "metadata": metadata_table(counts)}
+    return {**tables, "metadata": metadata_table(counts, FACTS)}
+
+
+# What the caller knows about its build.
+FACTS = {"database_name": "given tables", "database_version": "1", "source_database": "customer"}
+
+
+def expected(r):
+    """The counts that the source tables lead one to expect of a build."""
+    parts = {"master": ["customer"], "aliases": ["conversations", "part"], "external_ids": ["lineitem"]}
+    counts = [
+        reduce(DataFrame.unionAll, [r.table(t).select(F.lit(1)) for t in tables]).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("expected")
+        )
+        for name, tables in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def unrestricted(r):
+    """A build whose children were not held to the master, as a check that gates can fail."""
+    return {**built(r), "aliases": r.aliases, "external_ids": r.bridges, "clubs": r.clubs}
+
+
+EXPECTED = (
+    "expected AS (SELECT 'master' AS table_name, (SELECT COUNT(*) FROM customer) AS expected UNION ALL SELECT 'aliases', (SELECT "
+    "COUNT(*) FROM conversations) + (SELECT COUNT(*) FROM part) UNION ALL SELECT 'external_ids', (SELECT COUNT(*) FROM lineitem))"
+)
+COUNTED = (
+    "counted AS (SELECT 'expected_counts' AS check_name, COUNT(*) FILTER (expected <> n) = 0 AS passed, COUNT(*) FILTER (expected "
+    "<> n) AS found FROM expected JOIN (SELECT 'master' AS table_name, (SELECT COUNT(*) FROM projected) AS n UNION ALL SELECT "
+    "'aliases', (SELECT COUNT(*) FROM m_aliases) UNION ALL SELECT 'external_ids', (SELECT COUNT(*) FROM m_external_ids)) USING "
+    "(table_name))"
+)
 
 
 def zero(name: str, query: str) -> str:
@@ -78,6 +115,15 @@ def checks(names) -> str:
 FINAL = " UNION ALL ".join(
     f"SELECT '{name}' AS check_name, BOOL_AND(passed) AS passed, CAST(SUM(found) AS BIGINT) AS found FROM ({checks(parts)})"
     for name, parts in gates.FINAL_CHECKS.items()
+) + (
+    " UNION ALL SELECT 'required_tables', true, CAST(0 AS BIGINT) UNION ALL SELECT 'schemas', true, CAST(0 AS BIGINT) UNION ALL "
+    "SELECT * FROM counted"
+)
+STRUCTURAL = " UNION ALL ".join(
+    f"SELECT '{t}_table_exists' AS check_name, true AS passed, CAST(0 AS BIGINT) AS found" for t in master.TABLE_COLUMNS
+) + " UNION ALL " + checks(
+    "duplicate_players null_player_ids non_player_rows null_labels null_status aliases_orphans "
+    "external_ids_orphans clubs_orphans club_null_ids external_null_values".split()
 )
 COUNTS = {
     "source_player_count": "SELECT COUNT(*) FROM master",
@@ -153,7 +199,7 @@ QUERIES = {
             " UNION ALL ".join(f"SELECT '{k}' AS key, CAST(({q}) AS STRING) AS value" for k, q in COUNTS.items())
             + " UNION ALL "
             + " UNION ALL ".join(
-                "SELECT '{}', '{}'".format(k, v.replace("'", "''")) for k, v in BUILD_CONSTANTS.items()
+                "SELECT '{}', '{}'".format(k, v.replace("'", "''")) for k, v in {**BUILD_CONSTANTS, **FACTS}.items()
             ),
             *CHILDREN,
         ),
@@ -206,64 +252,60 @@ QUERIES = {
         ),
     ),
     "validate_counts": (
-        over(lambda r: gates.validate_counts(register(r), {"master": 1500, "aliases": 1, "bridges": 60000})),
+        over(lambda r: gates.validate_counts({**register(r), "external_ids": r.order_xids}, expected(r))),
         sql(
-            ROLES,
-            "SELECT *, expected = actual AS passed FROM ("
-            + " UNION ALL ".join(
-                f"SELECT '{t}' AS table_name, CAST({n} AS BIGINT) AS expected, (SELECT COUNT(*) FROM {t}) AS actual"
-                for t, n in (("master", 1500), ("aliases", 1), ("bridges", 60000))
-            )
-            + ")",
+            ROLES + " order_xids",
+            "SELECT *, expected = actual AS passed FROM expected JOIN (SELECT 'master' AS table_name, (SELECT COUNT(*) FROM master) "
+            "AS actual UNION ALL SELECT 'aliases', (SELECT COUNT(*) FROM aliases) UNION ALL SELECT 'external_ids', (SELECT COUNT(*) "
+            "FROM order_xids)) USING (table_name)",
+            EXPECTED,
         ),
     ),
     "build_checks": (
         over(lambda r: gates.build_checks(built(r))),
         sql(ROLES, checks(COUNTERS), *CHILDREN),
     ),
+    "build_checks_failing": (
+        over(lambda r: gates.build_checks(unrestricted(r))),
+        sql(
+            ROLES,
+            checks(COUNTERS),
+            PROJECTED,
+            "m_aliases AS (SELECT * FROM aliases)",
+            "m_external_ids AS (SELECT * FROM bridges)",
+            "m_clubs AS (SELECT * FROM clubs)",
+        ),
+    ),
     "build_status": (
-        over(lambda r: gates.build_status(built(r), r.master)),
+        over(lambda r: gates.build_status(built(r), r.master, expected(r))),
         sql(
             ROLES,
             "SELECT COUNT(*) AS checks, COUNT(*) FILTER (NOT passed) AS failed, CASE WHEN BOOL_AND(passed) THEN 'PASS' ELSE "
             "'REVIEW_REQUIRED' END AS status FROM (" + checks(gates.BUILD_CONDITIONS) + " UNION ALL "
             + zero("source_count_difference", "SELECT ABS((SELECT COUNT(*) FROM projected) - (SELECT COUNT(*) FROM master))")
-            + ")",
+            + " UNION ALL SELECT * FROM counted)",
             *CHILDREN,
+            EXPECTED,
+            COUNTED,
         ),
     ),
     "structural_checks": (
         over(lambda r: gates.structural_checks(built(r))),
-        sql(
-            ROLES,
-            " UNION ALL ".join(
-                f"SELECT '{t}_table_exists' AS check_name, true AS passed, CAST(0 AS BIGINT) AS found"
-                for t in master.TABLE_COLUMNS
-            )
-            + " UNION ALL "
-            + checks(
-                "duplicate_players null_player_ids non_player_rows null_labels null_status aliases_orphans "
-                "external_ids_orphans clubs_orphans club_null_ids external_null_values".split()
-            ),
-            *CHILDREN,
-        ),
+        sql(ROLES, STRUCTURAL, *CHILDREN),
     ),
     "final_audit": (
-        over(lambda r: gates.final_audit(built(r))),
-        sql(
-            ROLES,
-            FINAL
-            + " UNION ALL SELECT 'required_tables', true, CAST(0 AS BIGINT) UNION ALL SELECT 'schemas', true, CAST(0 AS BIGINT)",
-            *CHILDREN,
-        ),
+        over(lambda r: gates.final_audit(built(r), expected(r))),
+        sql(ROLES, FINAL, *CHILDREN, EXPECTED, COUNTED),
     ),
     "final_verdict": (
-        over(lambda r: gates.verdict(gates.final_audit(built(r)))),
+        over(lambda r: gates.final_verdict(built(r), expected(r))),
         sql(
             ROLES,
-            "SELECT COUNT(*) + 2 AS checks, COUNT(*) FILTER (NOT passed) AS failed, CASE WHEN BOOL_AND(passed) THEN 'PASS' "
-            f"ELSE 'FAIL' END AS status FROM ({FINAL})",
+            "SELECT COUNT(*) AS checks, COUNT(*) FILTER (NOT passed) AS failed, CASE WHEN BOOL_AND(passed) THEN 'PASS' "
+            f"ELSE 'FAIL' END AS status FROM ({STRUCTURAL} UNION ALL {FINAL})",
             *CHILDREN,
+            EXPECTED,
+            COUNTED,
         ),
     ),
     "search_coverage": (
@@ -325,7 +367,7 @@ QUERIES = {
         ),
     ),
     "sample_without_search": (
-        over(lambda r: search.problem_samples(r.master, found(r), r.entities)["without_search"]),
+        over(lambda r: search.sample_without_search(r.master, found(r))),
         sql(
             "master search",
             "SELECT entity_id, label FROM master WHERE entity_id NOT IN (SELECT entity_id FROM found) ORDER BY entity_id LIMIT 25",
@@ -333,7 +375,7 @@ QUERIES = {
         ),
     ),
     "sample_orphan_search": (
-        over(lambda r: search.problem_samples(r.master, found(r), r.entities)["orphans"]),
+        over(lambda r: search.sample_orphans(found(r), r.entities)),
         sql(
             "entities search",
             "SELECT entity_id, entity_type, label, search_text FROM found WHERE entity_id NOT IN (SELECT entity_id FROM entities) "
@@ -342,7 +384,7 @@ QUERIES = {
         ),
     ),
     "sample_type_mismatches": (
-        over(lambda r: search.problem_samples(r.master, found(r), r.entities)["type_mismatches"]),
+        over(lambda r: search.sample_type_mismatches(found(r), r.entities)),
         sql(
             "entities search",
             "SELECT f.entity_id, e.entity_type AS known_entity_type, f.entity_type, e.label AS known_label FROM found f JOIN "
@@ -351,7 +393,7 @@ QUERIES = {
         ),
     ),
     "sample_label_mismatches": (
-        over(lambda r: search.problem_samples(r.master, found(r), r.entities)["label_mismatches"]),
+        over(lambda r: search.sample_label_mismatches(found(r), r.entities)),
         sql(
             "entities search",
             "SELECT f.entity_id, e.label AS known_label, f.label FROM found f JOIN entities e USING (entity_id) WHERE "
@@ -360,7 +402,7 @@ QUERIES = {
         ),
     ),
     "sample_duplicate_search": (
-        over(lambda r: search.problem_samples(r.master, found(r), r.entities)["duplicates"]),
+        over(lambda r: search.sample_duplicates(found(r))),
         sql("search", "SELECT * FROM doubles ORDER BY n DESC, entity_id, digest LIMIT 25", FOUND, DOUBLES),
     ),
 }

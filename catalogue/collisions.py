@@ -241,6 +241,15 @@ QUERIES = {
             ALIASES,
         ),
     ),
+    "alias_collision_members": (
+        over(lambda r: collide.pair_members(keyed_aliases(r), ["normalized_alias"])),
+        sql(
+            "aliases master",
+            "SELECT normalized_alias, entity_id, COUNT(*) OVER (PARTITION BY normalized_alias) AS group_size FROM (SELECT "
+            "DISTINCT normalized_alias, entity_id FROM keyed) QUALIFY group_size > 1",
+            ALIASES,
+        ),
+    ),
     "alias_label_relations": (
         over(lambda r: aliases.alias_label_relations(keyed_aliases(r), r.master)),
         sql(
@@ -368,11 +377,18 @@ QUERIES = {
             "links xids master",
             "SELECT m.entity_id, m.label, m.status, m.gender, l.* EXCLUDE (entity_id), COALESCE(x.n, 0) AS xid_qid_count "
             "FROM master m JOIN (SELECT entity_id, COUNT(*) AS link_rows, COUNT(DISTINCT qid) AS qid_count, "
-            "COALESCE(STRING_AGG(DISTINCT CAST(confidence AS STRING), '|' ORDER BY CAST(confidence AS STRING)), '') AS confidence_values, "
             "COALESCE(STRING_AGG(DISTINCT dob_check, '|' ORDER BY dob_check), '') AS check_values FROM links GROUP BY 1) l "
             "USING (entity_id) LEFT JOIN (SELECT entity_id, COUNT(DISTINCT qid) AS n FROM xids GROUP BY 1) x USING (entity_id)",
         ),
     ),
+    "link_confidences": (
+        over(lambda r: listing.value_counts(r.links, ["entity_id"], "confidence")),
+        sql("links", "SELECT entity_id, confidence AS value, COUNT(*) AS n FROM links GROUP BY ALL"),
+    ),
+    "entity_confidences": (
+        over(lambda r: listing.value_counts(r.order_xids, ["entity_id"], "confidence")),
+        sql("order_xids", "SELECT entity_id, confidence AS value, COUNT(*) AS n FROM order_xids GROUP BY ALL"),
+    ),
     "qids_of_entities": (
         over(lambda r: listing.member_values(r.links, ["entity_id"], "qid")),
         sql(
@@ -406,11 +422,29 @@ QUERIES = {
             "'qid_consistent' END AS qid_consistency FROM held GROUP BY ALL HAVING COUNT(DISTINCT entity_id) > 1) "
             + " ".join(
                 f"JOIN {counts_text(c, EXACT, 'held', 'NULL')} USING ({EXACT})"
-                for c in ("confidence", "dob_check", "status", "gender")
+                for c in ("dob_check", "status", "gender")
             ),
             ROWS,
         ),
     ),
+    "xid_collision_members": (
+        over(lambda r: xids.collision_members(order_rows(r))),
+        sql(
+            "order_xids orders_master",
+            f"SELECT {EXACT}, entity_id, COUNT(*) OVER (PARTITION BY {EXACT}) AS group_size FROM (SELECT DISTINCT {EXACT}, "
+            "entity_id FROM held) QUALIFY group_size > 1",
+            ROWS,
+        ),
+    ),
+    "xid_collision_confidences": (
+        over(lambda r: xids.collision_confidences(order_rows(r))),
+        sql(
+            "order_xids orders_master",
+            f"SELECT {EXACT}, confidence AS value, COUNT(*) AS n FROM held WHERE ({EXACT}) IN (SELECT ({EXACT}) FROM held GROUP "
+            f"BY {EXACT} HAVING COUNT(DISTINCT entity_id) > 1) GROUP BY ALL",
+            ROWS,
+        ),
+    ),
     "xid_collision_totals": (
         over(lambda r: xids.xid_collision_totals(order_rows(r))),
         sql(
@@ -527,14 +561,14 @@ QUERIES = {
             "COALESCE(q, 0) AS qid_count, "
             + ", ".join(
                 f"COALESCE({c}_counts, '') AS {c}_counts"
-                for c in ("provider", "provider_property", "confidence", "dob_check")
+                for c in ("provider", "provider_property", "dob_check")
             )
             + " FROM orders_master m LEFT JOIN (SELECT entity_id, COUNT(*) AS n, COUNT(DISTINCT (provider, property, "
             "external_id)) AS k, COUNT(DISTINCT provider) AS p, COUNT(DISTINCT qid) AS q FROM order_xids GROUP BY 1) "
             "USING (entity_id) "
             + " ".join(
                 f"LEFT JOIN {counts_text(c, 'entity_id', 'pp', '<NULL>')} USING (entity_id)"
-                for c in ("provider", "provider_property", "confidence", "dob_check")
+                for c in ("provider", "provider_property", "dob_check")
             ),
             "pp AS (SELECT *, CONCAT(provider, '|', property) AS provider_property FROM order_xids)",
         ),

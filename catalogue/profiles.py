@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from catalogue.registers import over, pct, sql
-from ledgerloom.functions.exprs import is_provider_name
+from ledgerloom.functions.exprs import cardinality_class, is_provider_name, json_cell, unique_sorted
 from ledgerloom.operators import aliases, profile, ranking, relate
 from ledgerloom.operators.collide import collision_members
-from ledgerloom.sources import register as reg
+from ledgerloom.operators.slices import ensure_checkpoint_dir
+from ledgerloom.sources import register as reg, sinks
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -16,6 +19,11 @@ TABLES = (
 ).split()
 FIELDS = ["entity_id", "status", "label", "gender", "country"]
 NUMBERED = {"entity_id"}
+# Types of the checking engine under the names that Spark gives them.
+TYPE = (
+    "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'FLOAT[]' THEN 'array<float>' WHEN "
+    "'TIMESTAMP' THEN {time} ELSE LOWER(column_type) END"
+).format(time="'timestamp_ntz'")
 
 
 def present(c: str) -> str:
@@ -35,6 +43,29 @@ PAIR = "pairs AS (SELECT m.entity_id, {} FROM master m JOIN entities e USING (en
 )
 SAME = " AND ".join(f"{f}_l IS NOT DISTINCT FROM {f}_r" for f in FIELDS[1:])
 
+def cells(r):
+    """Per entity the bases of its club evidence, as sorted sets and counters in JSON cells."""
+    counted = r.clubs.groupBy("entity_id", "basis").agg(F.count("*").alias("n"))
+    # five bases at most
+    per = counted.groupBy("entity_id").agg(
+        unique_sorted(F.collect_list("basis")).alias("set"),
+        F.array_sort(F.collect_list(F.struct("basis", "n"))).alias("counts"),
+    )
+    return per.select(
+        "entity_id",
+        json_cell(F.col("set")).alias("bases"),
+        cardinality_class(F.col("set")).alias("basis_class"),
+        json_cell(F.col("counts")).alias("basis_counts"),
+    )
+
+
+def round_trip(r):
+    """Club evidence written as JSON records, and read back from there."""
+    path = f"{ensure_checkpoint_dir(r.spark)}/records-{uuid4().hex}"
+    sinks.write_records_json(r.clubs, path)
+    return r.spark.read.schema(r.clubs.schema).json(path)
+
+
 QUERIES = {
     "table_counts": (
         over(lambda r: profile.table_counts({t: r.table(t) for t in TABLES})),
@@ -43,11 +74,33 @@ QUERIES = {
     "catalog_profile": (
         over(lambda r: reg.catalog_profile({t: r.table(t) for t in TABLES})),
         " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, column_name, CAST(ROW_NUMBER() OVER () - 1 AS INT) AS ordinal, "
+            f"SELECT '{t}' AS table_name, column_name, {TYPE} AS data_type, CAST(ROW_NUMBER() OVER () - 1 AS INT) AS ordinal, "
             f"(SELECT COUNT(*) FROM {t}) AS n_rows FROM (DESCRIBE {t})"
             for t in TABLES
         ),
     ),
+    "entity_cells": (
+        over(cells),
+        sql(
+            "clubs",
+            "SELECT entity_id, CAST(to_json(list_sort(list(DISTINCT basis))) AS VARCHAR) AS bases, CASE COUNT(DISTINCT basis) "
+            "WHEN 1 THEN 'single' ELSE 'multiple' END AS basis_class, (SELECT CAST(to_json(list({'basis': basis, 'n': n} ORDER "
+            "BY basis)) AS VARCHAR) FROM (SELECT basis, COUNT(*) AS n FROM clubs d WHERE d.entity_id = c.entity_id GROUP BY "
+            "basis)) AS basis_counts FROM clubs c GROUP BY entity_id",
+        ),
+    ),
+    "table_columns": (
+        over(lambda r: reg.describe_tables({t: r.table(t) for t in TABLES})),
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, column_name, {TYPE} AS data_type, CAST(ROW_NUMBER() OVER () - 1 AS INT) AS ordinal "
+            f"FROM (DESCRIBE {t})"
+            for t in TABLES
+        ),
+    ),
+    "written_and_read": (
+        over(round_trip),
+        sql("clubs", "SELECT * FROM clubs"),
+    ),
     "distinct_entities": (
         over(lambda r: profile.distinct_entities(r.links)),
         sql("links", f"SELECT COUNT(DISTINCT entity_id) AS entities FROM links WHERE {present('entity_id')}"),

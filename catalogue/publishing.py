@@ -125,6 +125,15 @@ def violations(r) -> DataFrame:
     return publish.progress_violations(history(r), 40, ("ts", "event_id"), records=sizes)
 
 
+def returned(r) -> DataFrame:
+    """What came back of the published orders: pending ones of two priorities under another id, or none."""
+    pending, kind = F.col("o_orderstatus") == "P", F.col("o_orderpriority")
+    known = F.when(pending & (kind == "1-URGENT"), F.col("o_custkey") + 1).when(
+        ~(pending & (kind == "5-LOW")), F.col("o_custkey")
+    )
+    return r.table("orders").select(F.col("o_orderkey").alias("publish_id"), known.alias("entity_id"))
+
+
 def published_run(r) -> str:
     """Publish all events as a feed, in three batches, the last of them twice; the folder."""
     sink = f"{ensure_checkpoint_dir(r.spark)}/published-{uuid4().hex}"
@@ -161,6 +170,10 @@ QUERIES = {
         "SELECT event_id // 250 AS slice, MIN(event_id) AS first_index, MAX(event_id) AS last_index, COUNT(*) AS records FROM "
         "events GROUP BY 1",
     ),
+    "feed_slice": (
+        over(lambda r: publish.feed_slice(feed(r).select("feed_index", "entity_id"), 300, 450)),
+        "SELECT event_id AS feed_index, user_id AS entity_id FROM events WHERE event_id BETWEEN 300 AND 749",
+    ),
     "sync_payload": (
         over(lambda r: publish.sync_payload(feed(r))),
         f"WITH {PAYLOAD} SELECT * FROM payload",
@@ -182,13 +195,12 @@ QUERIES = {
         over(
             lambda r: publish.identity_mismatches(
                 r.table("orders").select(F.col("o_orderkey").alias("publish_id"), F.col("o_custkey").alias("entity_id")),
-                r.table("part").select(
-                    F.col("p_partkey").alias("publish_id"), F.col("p_size").cast("long").alias("entity_id")
-                ),
+                returned(r),
             )
         ),
-        "SELECT o_orderkey AS publish_id, o_custkey AS sent_id, CAST(p_size AS BIGINT) AS returned_id FROM orders LEFT JOIN part "
-        "ON p_partkey = o_orderkey WHERE o_custkey IS DISTINCT FROM CAST(p_size AS BIGINT)",
+        "SELECT * FROM (SELECT o_orderkey AS publish_id, o_custkey AS sent_id, CASE WHEN o_orderpriority = '1-URGENT' AND "
+        "o_orderstatus = 'P' THEN o_custkey + 1 WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL ELSE o_custkey "
+        "END AS returned_id FROM orders) WHERE sent_id IS DISTINCT FROM returned_id",
     ),
     "publish_progress": (
         over(run_progress),

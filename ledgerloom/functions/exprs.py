@@ -123,6 +123,11 @@ def unique_sorted(values: Column) -> Column:
     return F.array_sort(kept, order)
 
 
+def json_cell(value: Column) -> Column:
+    """A set, a counter or a struct as one JSON text; fields that are NULL stay."""
+    return F.to_json(value, {"ignoreNullFields": "false"})
+
+
 def cardinality_class(values: Column) -> Column:
     return ladder([(F.size(values) == 0, "none"), (F.size(values) == 1, "single")], "multiple")
 

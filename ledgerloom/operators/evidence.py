@@ -13,12 +13,13 @@ from ledgerloom.functions.exprs import (
     is_present,
     ladder,
     null_bucket,
+    pct,
     present_names,
     yes_no,
 )
 from ledgerloom.functions.names import norm_space
 from ledgerloom.operators.collide import pair_members
-from ledgerloom.operators.profile import distinct_entities, field_profile
+from ledgerloom.operators.profile import distinct_entities
 from ledgerloom.operators.relate import (
     ID,
     evidence_counts,
@@ -308,11 +309,11 @@ def field_source_summary(
     master: DataFrame, entities: DataFrame, fields: Sequence[str]
 ) -> DataFrame:
     """Per field: filled in the master, filled in the entity table, equal and different."""
-    own = field_profile(master, fields, "approx").select(
-        "field",
-        F.col("populated").alias("present"),
-        (F.col("total") - F.col("populated")).alias("missing"),
-        F.col("populated_pct").alias("coverage_pct"),
+    filled = [F.struct(F.lit(f).alias("field"), is_present(F.col(f)).alias("filled")) for f in fields]
+    own = master.select(F.inline(F.array(*filled))).groupBy("field").agg(
+        count_if(F.col("filled")).alias("present"),
+        count_if(~F.col("filled")).alias("missing"),
+        pct(count_if(F.col("filled")), F.count("*")).alias("coverage_pct"),
     )
     pairs = master.select(ID, *[F.col(f).alias(f"{f}_m") for f in fields]).join(
         entities.select(ID, *[F.col(f).alias(f"{f}_e") for f in fields]), ID

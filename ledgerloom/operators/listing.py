@@ -32,6 +32,11 @@ def member_records(
     return records.groupBy(*keys, entity, *columns).agg(F.count("*").alias("copies"))
 
 
+def value_counts(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How often each value, NULL too, occurs per key: ``keys, value, n``, one row each."""
+    return rows.groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("n"))
+
+
 def value_counts_text(
     rows: DataFrame,
     keys: Sequence[str],

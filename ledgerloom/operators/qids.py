@@ -90,11 +90,10 @@ def qid_disagreements(links: DataFrame, xids: DataFrame) -> DataFrame:
 
 
 def qid_profile(links: DataFrame, xids: DataFrame, master: DataFrame) -> DataFrame:
-    """Each linked entity: QIDs, confidences and checks of its links, QIDs of its external ids."""
+    """Each linked entity: QIDs and checks of its links, QIDs of its external ids."""
     linked = links.where(is_present(F.col("qid"))).groupBy(ID).agg(
         F.count("*").alias("link_rows"),
         F.count_distinct(F.col("qid")).alias("qid_count"),
-        join_set(F.col("confidence")).alias("confidence_values"),
         join_set(F.col("dob_check")).alias("check_values"),
     )
     other = (

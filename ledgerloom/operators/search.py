@@ -103,26 +103,28 @@ def search_cardinality(search: DataFrame) -> DataFrame:
     )
 
 
-def problem_samples(
-    master: DataFrame, search: DataFrame, entities: DataFrame, n: int = 25
-) -> dict[str, DataFrame]:
-    """The first n examples of each problem, in a stable order."""
-    linked = _linked(search, entities)
-    return {
-        "without_search": missing_parents(master, search).select(ID, "label").orderBy(ID).limit(n),
-        "orphans": orphans(search, entities)
-        .select(ID, "entity_type", "label", "search_text")
-        .orderBy(ID, "search_text")
-        .limit(n),
-        "type_mismatches": linked.where(F.col("entity_type") != F.col("known_entity_type"))
-        .select(ID, "known_entity_type", "entity_type", "known_label")
-        .orderBy(ID, "entity_type")
-        .limit(n),
-        "label_mismatches": linked.where(differs_blank(F.col("label"), F.col("known_label")))
-        .select(ID, "known_label", "label")
-        .orderBy(ID, "label")
-        .limit(n),
-        "duplicates": search_duplicates(search)
-        .orderBy(F.desc("n"), ID, "digest")
-        .limit(n),
-    }
+# --- the first n examples of each problem, in a stable order -----------------------------------
+
+
+def sample_without_search(master: DataFrame, search: DataFrame, n: int = 25) -> DataFrame:
+    return missing_parents(master, search).select(ID, "label").orderBy(ID).limit(n)
+
+
+def sample_orphans(search: DataFrame, entities: DataFrame, n: int = 25) -> DataFrame:
+    rows = orphans(search, entities).select(ID, "entity_type", "label", "search_text")
+    return rows.orderBy(ID, "search_text").limit(n)
+
+
+def sample_type_mismatches(search: DataFrame, entities: DataFrame, n: int = 25) -> DataFrame:
+    rows = _linked(search, entities).where(F.col("entity_type") != F.col("known_entity_type"))
+    picked = rows.select(ID, "known_entity_type", "entity_type", "known_label")
+    return picked.orderBy(ID, "entity_type").limit(n)
+
+
+def sample_label_mismatches(search: DataFrame, entities: DataFrame, n: int = 25) -> DataFrame:
+    rows = _linked(search, entities).where(differs_blank(F.col("label"), F.col("known_label")))
+    return rows.select(ID, "known_label", "label").orderBy(ID, "label").limit(n)
+
+
+def sample_duplicates(search: DataFrame, n: int = 25) -> DataFrame:
+    return search_duplicates(search).orderBy(F.desc("n"), ID, "digest").limit(n)

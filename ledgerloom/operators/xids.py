@@ -25,7 +25,7 @@ from ledgerloom.operators.collide import (
     pair_members,
     relation_of,
 )
-from ledgerloom.operators.listing import value_counts_text
+from ledgerloom.operators.listing import value_counts, value_counts_text
 from ledgerloom.operators.relate import ID, with_master
 from ledgerloom.operators.skew import beside, lookup_join
 
@@ -60,7 +60,11 @@ def master_xids(
 
 
 def xid_collisions(rows: DataFrame) -> DataFrame:
-    """Keys (provider, property, id) of several entities: labels, QIDs, distributions."""
+    """Keys (provider, property, id) of several entities: labels, QIDs, distributions.
+
+    Distributions are of attributes with few values; confidences, which may all differ, are
+    rows of ``collision_confidences``. Only rows of colliding keys are taken apart.
+    """
     labelled = rows.withColumn("label", F.coalesce("label", F.lit("")))
     stats = labelled.groupBy(*EXACT).agg(
         F.count("*").alias("n_rows"),
@@ -78,12 +82,22 @@ def xid_collisions(rows: DataFrame) -> DataFrame:
         .otherwise("qid_consistent")
         .alias("qid_consistency"),
     )
-    texts = value_counts_text(
-        rows, EXACT, ["confidence", "dob_check", "status", "gender"], null_label="NULL"
-    )
+    held = rows.join(groups.select(*EXACT), EXACT, "left_semi")
+    texts = value_counts_text(held, EXACT, ["dob_check", "status", "gender"], null_label="NULL")
     return groups.join(texts, EXACT)
 
 
+def collision_members(rows: DataFrame) -> DataFrame:
+    """Members of the keys (provider, property, id) that several entities hold, one per row."""
+    return pair_members(rows, EXACT)
+
+
+def collision_confidences(rows: DataFrame) -> DataFrame:
+    """How often each confidence occurs under a key that several entities hold."""
+    held = collision_members(rows).select(*EXACT).distinct()
+    return value_counts(rows.join(held, EXACT, "left_semi"), EXACT, "confidence")
+
+
 def xid_collision_totals(rows: DataFrame) -> DataFrame:
     """One row: distinct keys, groups, memberships and entities for both kinds of key."""
     exact = collision_totals(rows, EXACT, "exact_")
@@ -321,7 +335,6 @@ def xid_quality(xids: DataFrame, master: DataFrame) -> DataFrame:
             F.col("provider").isNotNull(),
             F.concat_ws("|", "provider", F.coalesce("property", F.lit("<NULL>"))),
         ).alias("provider_property"),
-        F.coalesce(as_text(F.col("confidence")), F.lit("<NULL>")).alias("confidence"),
         F.coalesce("dob_check", F.lit("<NULL>")).alias("dob_check"),
         F.when(is_present(F.col("qid")), F.trim(as_text(F.col("qid")))).alias("qid"),
     )
@@ -332,7 +345,7 @@ def xid_quality(xids: DataFrame, master: DataFrame) -> DataFrame:
         F.count_distinct(F.col("qid")).alias("qid_count"),
     )
     texts = value_counts_text(
-        rows, [ID], ["provider", "provider_property", "confidence", "dob_check"], null_label=None
+        rows, [ID], ["provider", "provider_property", "dob_check"], null_label=None
     )
     joined = master.join(totals, ID, "left").join(texts, ID, "left")
     return joined.fillna(0, ["xid_rows", "xid_keys", "providers", "qid_count"]).fillna(

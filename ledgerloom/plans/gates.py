@@ -113,15 +113,25 @@ def validate_references(built: Mapping[str, DataFrame]) -> DataFrame:
     return union_checks(*parts)
 
 
-def validate_counts(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
-    """Row counts against expected ones: ``table_name, expected, actual, passed``."""
-    wanted = F.create_map(*[part for k, v in expected.items() for part in (F.lit(k), F.lit(v))])
-    counted = table_counts({name: tables[name] for name in expected})
-    return counted.select(
+Expected = Mapping[str, int] | DataFrame
+
+
+def validate_counts(tables: Mapping[str, DataFrame], expected: Expected) -> DataFrame:
+    """Row counts against expected ones: ``table_name, expected, actual, passed``.
+
+    ``expected`` is a mapping, or a table (table_name, expected). A table that it names and
+    that is not there has no actual count and does not pass.
+    """
+    if not isinstance(expected, DataFrame):
+        spark = next(iter(tables.values())).sparkSession
+        expected = spark.createDataFrame(list(expected.items()), "table_name string, expected bigint")
+    counted = table_counts(tables)
+    return expected.join(counted, "table_name", "left").select(
         "table_name",
-        wanted[F.col("table_name")].cast("long").alias("expected"),
+        F.col("expected").cast("long").alias("expected"),
         F.col("n").alias("actual"),
-    ).withColumn("passed", F.col("expected") == F.col("actual"))
+        F.coalesce(F.col("expected") == F.col("n"), F.lit(False)).alias("passed"),
+    )
 
 
 def validate_schema(
@@ -189,7 +199,7 @@ BUILD_CONDITIONS = (
 )
 
 
-def _count_checks(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
+def _count_checks(tables: Mapping[str, DataFrame], expected: Expected) -> DataFrame:
     counted = validate_counts(tables, expected)
     return counted.select(
         F.concat(F.lit("expected_count_"), "table_name").alias("check_name"),
@@ -198,10 +208,19 @@ def _count_checks(tables: Mapping[str, DataFrame], expected: Mapping[str, int])
     )
 
 
+def _counts_match(tables: Mapping[str, DataFrame], expected: Expected) -> DataFrame:
+    """All expected counts as one check."""
+    return _count_checks(tables, expected).agg(
+        F.lit("expected_counts").alias("check_name"),
+        F.bool_and("passed").alias("passed"),
+        count_if(~F.col("passed")).alias("found"),
+    )
+
+
 def build_status(
     built: Mapping[str, DataFrame],
     source: DataFrame,
-    expected: Mapping[str, int] | None = None,
+    expected: Expected | None = None,
 ) -> DataFrame:
     """PASS when all conditions hold, else REVIEW_REQUIRED."""
     conditions = build_checks(built).where(F.col("check_name").isin(*BUILD_CONDITIONS))
@@ -209,8 +228,8 @@ def build_status(
         F.abs(F.col("n") - source.agg(F.count("*")).scalar()).alias("source_count_difference")
     )
     parts = [conditions, checks(rows, rows.columns)]
-    if expected:
-        parts.append(_count_checks(built, expected))
+    if expected is not None:
+        parts.append(_counts_match(built, expected))
     return verdict(union_checks(*parts), "PASS", "REVIEW_REQUIRED")
 
 
@@ -260,7 +279,7 @@ def structural_checks(built: Mapping[str, DataFrame], metadata: bool = True) ->
 
 
 def final_audit(
-    built: Mapping[str, DataFrame], expected: Mapping[str, int] | None = None
+    built: Mapping[str, DataFrame], expected: Expected | None = None
 ) -> DataFrame:
     """The final checks: required tables, schemas, five groups of counters, expected counts."""
     counters = build_checks(built)
@@ -286,12 +305,13 @@ def final_audit(
         counted.schema,
     )
     parts = [fixed, counted]
-    if expected:
-        parts.append(
-            _count_checks(built, expected).agg(
-                F.lit("expected_counts").alias("check_name"),
-                F.bool_and("passed").alias("passed"),
-                count_if(~F.col("passed")).alias("found"),
-            )
-        )
+    if expected is not None:
+        parts.append(_counts_match(built, expected))
     return union_checks(*parts)
+
+
+def final_verdict(
+    built: Mapping[str, DataFrame], expected: Expected | None = None
+) -> DataFrame:
+    """PASS when all structural and all final checks hold, else FAIL."""
+    return verdict(union_checks(structural_checks(built), final_audit(built, expected)))

@@ -56,7 +56,7 @@ def describe_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def catalog_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every column of every table with the number of the table's rows."""
+    """Every column of every table with its type and the number of the table's rows."""
     require_tables(tables, tables)
     parts = []
     for name, df in tables.items():
@@ -65,6 +65,7 @@ def catalog_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
                 F.struct(
                     F.lit(name).alias("table_name"),
                     F.lit(field.name).alias("column_name"),
+                    F.lit(field.dataType.simpleString()).alias("data_type"),
                     F.lit(place).alias("ordinal"),
                     F.col("n_rows").alias("n_rows"),
                 )
