@@ -54,7 +54,7 @@ def alias_collisions(keyed: DataFrame) -> DataFrame:
 def alias_label_relations(keyed: DataFrame, master: DataFrame) -> DataFrame:
     """Colliding aliases by whether their entities all carry one label."""
     members = keyed.select(ID, "normalized_alias").distinct()
-    named = members.join(master.select(ID, "label"), ID)
+    named = lookup_join(members, master.select(ID, "label"), ID, distinct=True)
     groups = colliding(key_stats(named, ["normalized_alias"], ["label"]))
     return groups.select(
         "normalized_alias",
@@ -75,7 +75,8 @@ def _held_in_common(members: DataFrame, xids: DataFrame) -> DataFrame:
         clean_or_null(F.col("external_id")).alias("_x"),
     ).where(F.col("_x").isNotNull() & F.col(ID).isNotNull())
     shared = pair_members(pairs, ["_p", "_x"]).select(ID, "_p", "_x")
-    meets = members.select(ID, "normalized_alias").join(shared, ID)
+    # an entity with many aliases meets its ids in slices
+    meets = lookup_join(members.select(ID, "normalized_alias"), shared, ID, distinct=True)
     counted = meets.groupBy("normalized_alias", "_p", "_x").agg(F.count("*").alias("_n"))
     return (
         counted.where(F.col("_n") > 1)

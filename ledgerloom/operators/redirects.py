@@ -159,7 +159,9 @@ def _met(edges: DataFrame, held: DataFrame) -> DataFrame:
     The source's keys are carried along its edges and looked up at the target, so no set
     of keys is ever held in memory, however many keys a node has.
     """
-    carried = _ends(edges).join(held.withColumnRenamed(ID, "from_id"), "from_id")
+    carried = lookup_join(
+        _ends(edges), held.withColumnRenamed(ID, "from_id"), "from_id", distinct=True
+    )
     at_target = held.withColumnRenamed(ID, "to_id")
     on = ["to_id", *[c for c in held.columns if c != ID]]
     return lookup_join(carried, at_target, on, "left_semi", distinct=True)
@@ -185,10 +187,12 @@ def redirect_detail(
     """
     qids = links.where(is_present(F.col("qid"))).select(ID, as_text(F.col("qid")).alias("key"))
     keys = _xid_key(xids)
-    held = (
-        qids.where(F.col(ID).isNotNull())
-        .withColumn("what", F.lit("qid"))
-        .unionByName(keys.where(F.col(ID).isNotNull()).withColumn("what", F.lit("xid")))
+    # keys of ids that lie on an edge: all else plays no part, and the rest reads them four times
+    on_edge = edges.select(F.explode(F.array("from_id", "to_id")).alias(ID)).distinct()
+    held = cut(
+        qids.withColumn("what", F.lit("qid"))
+        .unionByName(keys.withColumn("what", F.lit("xid")))
+        .join(on_edge, ID, "left_semi")
         .distinct()
     )
     facts = evidence_counts(

@@ -79,8 +79,9 @@ def lookup_join(
     The table is read once for each of the two halves.
 
     ``distinct=True`` suits derived rows without copies: rows of a hot key are dealt over
-    as many slices as the key would fill partitions, by their hash, and the lookup row is
-    repeated once per slice. ``rows`` is worked out once, which matters for long plans.
+    as many slices as the key would fill partitions, by their hash, and the lookup rows are
+    repeated once per slice. ``rows`` is worked out once, which matters for long plans. This
+    way takes a lookup with several rows per key as well.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):

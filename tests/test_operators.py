@@ -227,3 +227,18 @@ def test_gates_fail_and_pass(spark, people):
     entities = good.selectExpr("*", "'player' AS entity_type", "'A' AS corroboration_grade", "1L AS corroboration_count", "'B' AS source_tier_band")
     extract = build.extract_master(good, entities)
     assert extract.columns == build.MASTER_COLUMNS and extract.count() == good.count()
+
+
+def test_hot_entity_on_both_sides(spark):
+    """One entity has 40 percent of the aliases and of the external ids."""
+    names = [("hot", f"name {i}") for i in range(40)] + [(f"e{i}", f"name {i}") for i in range(60)]
+    held = [("hot", "p", f"x{i}") for i in range(40)] + [(f"e{i}", "p", f"x{i if i % 2 else i + 100}") for i in range(60)]
+    keyed = spark.createDataFrame(names, "entity_id string, normalized_alias string").withColumn("alias", F.col("normalized_alias"))
+    ids = spark.createDataFrame(held, "entity_id string, provider string, external_id string")
+    members = aliases.pair_members(keyed, ["normalized_alias"])
+    got = {r.normalized_alias for r in aliases._held_in_common(members, ids).collect()}
+    assert got == {f"name {i}" for i in range(40) if i % 2}
+    labels = [("hot", "A")] + [(f"e{i}", "A" if i % 2 else "B") for i in range(60)]
+    master = spark.createDataFrame(labels, "entity_id string, label string")
+    told = {r.normalized_alias: r.label_relation for r in aliases.alias_label_relations(keyed, master).collect()}
+    assert told == {f"name {i}": "same_label" if i % 2 else "different_label" for i in range(40)}
