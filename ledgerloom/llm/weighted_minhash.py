@@ -5,20 +5,24 @@ document frequency. Improved consistent weighted sampling draws, for each of BAN
 hash functions, one run of a text; two texts draw alike with the probability of their
 weighted Jaccard similarity. Texts that agree in all rows of a band share a bucket.
 
-No bucket gives out all its pairs. Each bucket has a pivot, and every member is compared
-to it with its whole text; links make classes. Only where one bucket then still holds
-several classes are members of different classes compared with each other. So every pair
-of a bucket that is not compared is in one class already.
+No bucket gives out all its pairs. Each bucket has a pivot, the member that shares buckets
+with most others: among edited copies that is what they were copied from. Every member is
+compared to it with its whole text; links make classes. Only where one bucket then still
+holds several classes do members of different classes meet, by a longer sketch of one bit
+for each of BITS further draws, and those that may be similar enough are compared with
+their whole texts. Pairs of one class need no comparison.
 
 Document frequencies are exact where they matter and floored below: a run counts as being
-in at least 1 / FLOOR of all documents. Frequent runs are then at most FLOOR times the runs
-of a mean document, however many documents there are. A run that is frequent in all is so
-in some chunk of the documents; a first pass notes those in a bitmap of fixed size, and a
-second one counts all runs that the bitmap holds.
+in at least 1 / FLOOR of all documents, so that runs of a group of thousands of copies do
+not lose weight by it. Frequent runs are then at most FLOOR times the runs of a mean
+document, however many documents there are. A first pass counts runs
+within chunks of the documents and notes, in a bitmap of fixed size, where the counts leave
+it possible that a run is frequent in all; a second one counts the runs that it marks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -31,7 +35,7 @@ from ledgerloom.operators.slices import cut
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
-FLOOR = 1024
+FLOOR = 16
 #: Documents of a chunk in which frequent runs are looked for.
 CHUNK_DOCS = 4096
 #: Bits of the map of runs that may be frequent (as a power of two).
@@ -40,11 +44,13 @@ MAP_BITS = 25
 BLOCK = 1 << 20
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
 RUN_BITS = 52
-#: Buckets of more members are cut up by a second band before their rest is compared.
-LARGE_BUCKET = 256
-#: Share of equal draws below which a rest pair is not worth reading; at a similarity of
-#: 0.8 the share of 48 draws lies below it once in ten million times.
+#: Share of equal draws below which a pair is not worth reading; at a similarity of 0.8 the
+#: share of 48 draws lies below it once in a million times.
 LEAST_DRAWS = 0.5
+#: Bits of the sketch by which members of different classes meet, and the least similarity
+#: that it must show; at a similarity of 0.8 it shows less once in a thousand times.
+BITS = 512
+LEAST_SHOWN = 0.72
 BLOOM_BLOCKS = 1 << 16
 
 PRIME = 0x100000001B3
@@ -187,36 +193,50 @@ def document_frequencies(df: DataFrame) -> Weights:
     chunks = df.select("text").coalesce(max(1, -(-total // CHUNK_DOCS)))
 
     def candidates(batches: Iterator) -> Iterator:
-        """Places in the map of runs that are frequent in this chunk."""
+        """Places in the map with the greatest count of a run there, if it is large for the
+        chunk, and what a run that is not told may have at most. Place -1 is for the chunk."""
         import numpy as np
         import pyarrow as pa
 
-        docs, size = 0, 1 << MAP_BITS
-        seen: list = []
+        docs, seen = 0, []
 
         def found():
-            # a run in `least` of all documents is in as large a share of some chunk
+            share = max(1, math.ceil(least * docs / total))
             runs, counts = np.unique(np.concatenate(seen), return_counts=True)
-            most = runs[counts >= max(1.0, least * docs / total)]
-            places = np.unique(most >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
-            return pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
+            often = counts >= share
+            places = (runs[often] >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
+            first = np.flatnonzero(np.diff(places, prepend=-1))
+            most = np.maximum.reduceat(counts[often], first) if len(first) else counts[:0]
+            columns = [
+                np.append(places[first], -1),
+                np.append(most, 0),
+                np.full(len(first) + 1, share - 1),
+            ]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c.astype("i8")) for c in columns], ["place", "most", "untold"]
+            )
 
         for batch in batches:
             for count, _, runs, _ in shingles(batch.column("text")):
                 seen.append(runs)
                 docs += count
-                # large texts: a chunk ends early, which only makes smaller chunks
+                # long texts make smaller chunks
                 if docs >= CHUNK_DOCS or sum(map(len, seen)) > 2_500_000:
                     yield found()
                     docs, seen = 0, []
         if seen:
             yield found()
 
-    places = chunks.mapInArrow(candidates, "place bigint").distinct()
-    word = F.expr("place div 64")
-    bits = places.groupBy(word.alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))).alias("bits")
+    told = chunks.mapInArrow(candidates, "place bigint, most bigint, untold bigint")
+    told = cut(told.groupBy("place").agg(F.sum("most").alias("most"), F.sum("untold").alias("untold")))
+    untold = told.where("place = -1").agg(F.sum("untold")).first()[0] or 0
+    # at most: what the chunks told, and in each other one what it need not tell
+    places = told.where(F.col("place") >= 0).where(
+        F.col("most") + F.lit(untold) - F.col("untold") >= F.lit(least)
     )
+    word = F.expr("place div 64")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))
+    bits = places.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
     marked = np.zeros((1 << MAP_BITS) // 64, "i8")
     for batch in bits.coalesce(8).toArrow().to_batches():
         marked[batch.column("word").to_numpy()] = batch.column("bits").to_numpy()
@@ -266,18 +286,18 @@ def _gamma():
     return low, np.log(low)
 
 
-def draws(doc, runs, weights, count: int):
+def draws(doc, runs, weights, count: int, functions: range = range(BANDS * ROWS)):
     """Matrix (text, hash function) of what each of ``count`` texts draws; 0 without runs."""
     import numpy as np
 
     table, logs = _gamma()
-    found = np.zeros((count, BANDS * ROWS), "u8")
+    found = np.zeros((count, len(functions)), "u8")
     if not len(runs):
         return found
     starts = np.flatnonzero(np.diff(doc, prepend=-1))
     own, sizes = doc[starts], np.diff(starts, append=len(doc))
     log_weight, low = np.log(weights), np.uint64(0xFFFF)
-    for k in range(BANDS * ROWS):
+    for column, k in enumerate(functions):
         seed = np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64))
         bits = _mix(runs ^ seed)
         r = table[(bits & low).astype("i4")]
@@ -288,7 +308,7 @@ def draws(doc, runs, weights, count: int):
         least = np.minimum.reduceat(log_a, starts)
         hit = np.flatnonzero(log_a == np.repeat(least, sizes))
         first = hit[np.flatnonzero(np.diff(doc[hit], prepend=-1))]
-        found[own, k] = _mix(runs[first] + t[first].astype("i8").view("u8") * np.uint64(PRIME))
+        found[own, column] = _mix(runs[first] + t[first].astype("i8").view("u8") * np.uint64(PRIME))
     return found
 
 
@@ -360,15 +380,19 @@ def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weight
     return np.where(total > 0, common / np.where(total > 0, total, 1), 1.0)
 
 
-def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole texts are similar enough."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    keys = wanted.select(F.hex("node").alias("key"))
-    bloom = cut(blocked_bloom(keys, BLOOM_BLOCKS))
+def _texts(nodes: DataFrame, df: DataFrame) -> DataFrame:
+    """node, text of the wanted nodes."""
+    wanted = cut(nodes.select("node").distinct())
+    bloom = cut(blocked_bloom(wanted.select(F.hex("node").alias("key")), BLOOM_BLOCKS))
     near = df.select("text", text_key(F.col("text")).alias("node")).withColumn("key", F.hex("node"))
     # the filter keeps texts that nobody asks for from being moved
     near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted, "node", "left_semi")
-    texts = cut(near.groupBy("node").agg(F.first("text").alias("text")))
+    return cut(near.groupBy("node").agg(F.first("text").alias("text")))
+
+
+def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole texts are similar enough."""
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), df)
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -400,21 +424,23 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     nodes = signed.where("bands IS NOT NULL").groupBy("node")
     nodes = cut(nodes.agg(F.first("bands").alias("bands"), F.first("draws").alias("draws")))
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    pivot = F.min(F.struct(F.xxhash64("node", "bucket").alias("order"), "node"))
-    buckets = (
-        members.groupBy("bucket")
-        .agg(F.count("*").alias("n"), pivot.alias("pivot"))
-        .where("n > 1")
-        .select("bucket", "n", F.col("pivot.node").alias("pivot"))
-    )
-    placed = cut(members.join(buckets, "bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    placed = cut(members.join(sizes, "bucket"))
+    shared = placed.groupBy("node").agg(F.sum("n").alias("shared"))
+    order = F.struct("shared", F.xxhash64("node").alias("order"), "node")
+    pivots = placed.join(shared, "node").groupBy("bucket").agg(F.max(order).alias("best"))
+    placed = cut(placed.join(pivots.select("bucket", F.col("best.node").alias("pivot")), "bucket"))
+
     pairs = placed.where("node <> pivot").select(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
     )
-    links = _linked(cut(pairs.distinct()), df, weights)
+    drawn = nodes.select(F.col("node").alias("a"), F.col("draws").alias("draws_a"))
+    drawn_b = drawn.select(F.col("a").alias("b"), F.col("draws_a").alias("draws_b"))
+    pairs = pairs.distinct().join(drawn, "a").join(drawn_b, "b")
+    links = _linked(cut(pairs.where(_draws_alike()).select("a", "b")), df, weights)
     classes = linked_classes(links)
 
-    rest = _rest_pairs(placed.where("n > 2"), classes, nodes)
+    rest = _rest_pairs(placed.where("n > 2"), classes, df, weights)
     if not rest.isEmpty():
         links = links.unionByName(_linked(rest, df, weights))
         classes = linked_classes(links)
@@ -440,27 +466,55 @@ def one_per_class(df: DataFrame) -> DataFrame:
     return kept.unionByName(nameless)
 
 
-def _rest_pairs(placed: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different classes that no pivot was part of."""
+def _draws_alike() -> Column:
+    """Whether enough of draws_a and draws_b, four bytes each, are equal."""
+    equal = [
+        F.substring("draws_a", at, 4) == F.substring("draws_b", at, 4)
+        for at in range(1, 4 * BANDS * ROWS, 4)
+    ]
+    return sum((e.cast("int") for e in equal), F.lit(0)) >= LEAST_DRAWS * BANDS * ROWS
+
+
+def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
+    """node, bits (array of 64-bit words): the lowest bit of BITS further draws of a text."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        functions = range(BANDS * ROWS, BANDS * ROWS + BITS)
+        for batch in batches:
+            parts = [np.zeros((0, BITS // 8), "u1")]
+            for count, doc, runs, counts in shingles(batch.column("text")):
+                drawn = draws(doc, runs, weights.of(runs, counts), count, functions)
+                parts.append(np.packbits((drawn & np.uint64(1)).astype(bool), axis=1))
+            words = np.ascontiguousarray(np.concatenate(parts)).view("i8")
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(words) + 1, dtype="i4") * (BITS // 64)), pa.array(words.ravel())
+            )
+            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, bits array<bigint>")
+
+
+def _rest_pairs(placed: DataFrame, classes: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
+    """Pairs of one bucket and different classes that no pivot was part of and that may be similar."""
     kept = placed.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    kept = cut(kept.where("node <> pivot"))
     mixed = kept.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     mixed = mixed.where("low <> high").select("bucket")
-    open_ = cut(kept.join(mixed, "bucket", "left_semi").join(nodes, "node"))
-    # of a large bucket, members must share a second band as well
-    large = open_.where(F.col("n") > LARGE_BUCKET).withColumn("other", F.explode("bands"))
-    large = large.where("other <> bucket").withColumn("bucket", F.xxhash64("bucket", "other"))
-    keyed = open_.where(F.col("n") <= LARGE_BUCKET).unionByName(large.drop("other"))
-    keyed = keyed.select("bucket", "node", "class", "pivot", "draws", "n")
-
-    a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "class", "draws", "pivot")])
-    b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "class", "draws")])
-    # whether the four bytes of each draw are alike, summed up
-    size = 4
-    alike = None
-    for k in range(BANDS * ROWS):
-        same = F.substring("draws_a", k * size + 1, size) == F.substring("draws_b", k * size + 1, size)
-        alike = same.cast("int") if alike is None else alike + same.cast("int")
+    open_ = cut(kept.join(mixed, "bucket", "left_semi"))
+    bits = cut(_bit_sketches(_texts(open_, df), weights))
+    keyed = open_.join(bits, "node").select("bucket", "node", "class", "bits")
+    a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "class", "bits")])
+    b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "class", "bits")])
+    apart = sum(
+        (
+            F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i]))
+            for i in range(BITS // 64)
+        ),
+        F.lit(0),
+    )
     fresh = (F.col("node_a") < F.col("node_b")) & (F.col("class_a") != F.col("class_b"))
-    fresh &= (F.col("node_a") != F.col("pivot_a")) & (F.col("node_b") != F.col("pivot_a"))
-    met = a.join(b, "bucket").where(fresh & (alike >= LEAST_DRAWS * BANDS * ROWS))
+    met = a.join(b, "bucket").where(fresh & (apart <= (1 - LEAST_SHOWN) / 2 * BITS))
     return cut(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())

@@ -110,21 +110,39 @@ def test_near_duplicates(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
 
 
-def test_rest_pairs_reach_every_pair_of_a_bucket(spark, monkeypatch):
-    """Members of a bucket whose classes differ from the pivot's meet each other."""
-    monkeypatch.setattr(wm, "LARGE_BUCKET", 3)
-    bands = [list(range(100, 100 + wm.BANDS)), list(range(100, 100 + wm.BANDS))]
-    draws = bytes(range(4)) * (wm.BANDS * wm.ROWS)
-    names = [b"a", b"b", b"c", b"d"]
-    nodes = spark.createDataFrame(
-        [(n, bands[0], draws) for n in names], "node binary, bands array<bigint>, draws binary"
-    )
+def test_rest_pairs_are_of_different_classes_and_alike(spark):
+    """Members of a bucket other than the pivot meet if their classes differ and sketches agree."""
+    rng = random.Random(9)
+    base = " ".join(f"v{rng.randrange(5000)}" for _ in range(200))
+    texts = [base, *near_copies(rng, base, 3, 2), " ".join(f"z{i}" for i in range(200))]
+    df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
+    keyed = df.select("doc_id", wm.text_key(F.col("text")).alias("node"))
+    key = {r.doc_id: bytes(r.node) for r in keyed.collect()}
     placed = spark.createDataFrame(
-        [(n, 100, 4, b"a") for n in names], "node binary, bucket bigint, n bigint, pivot binary"
+        [(key[i], 100, 5, key[0]) for i in range(5)], "node binary, bucket bigint, n bigint, pivot binary"
+    )
+    classes = spark.createDataFrame(
+        [(key[0], key[0]), (key[1], key[0]), (key[2], key[0])], "node binary, class binary"
     )
-    classes = spark.createDataFrame([(b"b", b"a"), (b"a", b"a")], "node binary, class binary")
-    got = wm._rest_pairs(placed, classes, nodes).collect()
-    assert sorted((bytes(r.a), bytes(r.b)) for r in got) == [(b"b", b"c"), (b"b", b"d"), (b"c", b"d")]
+    got = wm._rest_pairs(placed, classes, df, NO_WEIGHTS).collect()
+    names = {v: k for k, v in key.items()}
+    assert {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in got} == {frozenset((1, 3)), frozenset((2, 3))}
+
+
+def test_star_of_copies_is_one_class(spark):
+    """Copies that are like their original but not like each other are linked through it."""
+    rng = random.Random(11)
+    base = " ".join(f"s{rng.randrange(9000)}" for _ in range(150))
+    copies = list(near_copies(rng, base, 60, 2))
+    far = list(near_copies(rng, base, 10, 12))
+    texts = [*copies[:30], base, *copies[30:], *far]
+    # so many others that no run of the copies is frequent
+    texts += [" ".join(f"o{rng.randrange(10**6)}" for _ in range(8)) for _ in range(1500)]
+    docs = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in wm.near_duplicates(documents(spark, docs)).collect()}
+    for i, text in enumerate(texts[:71]):
+        linked = weighted_jaccard(text, base) >= 0.8
+        assert (got[i] == 0) or not linked
 
 
 def test_near_duplicates_of_awkward_rows(spark):
