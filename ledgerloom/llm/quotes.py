@@ -150,7 +150,7 @@ def roots(replies: DataFrame) -> DataFrame:
             F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint").alias("depth"),
         )
     )
-    while not state.where("up IS NOT NULL").isEmpty():
+    while not (moving := state.where("up IS NOT NULL")).isEmpty():
         above = state.select(
             "conv_id",
             F.col("turn").alias("up"),
@@ -158,15 +158,15 @@ def roots(replies: DataFrame) -> DataFrame:
             F.col("root_turn").alias("root"),
             F.col("depth").alias("more"),
         )
-        state = cut(
-            state.join(above, ["conv_id", "up"], "left").select(
-                "conv_id",
-                "turn",
-                F.col("next").alias("up"),
-                F.coalesce("root", "root_turn").alias("root_turn"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            )
+        moved = moving.join(above, ["conv_id", "up"], "left").select(
+            "conv_id",
+            "turn",
+            F.col("next").alias("up"),
+            F.coalesce("root", "root_turn").alias("root_turn"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
         )
+        # messages that have reached their root stay as they are
+        state = cut(state.where("up IS NULL").unionByName(moved))
     return state.drop("up")
 
 
