@@ -102,7 +102,7 @@ def token_counts(df: DataFrame, ranks_path: str | None = None) -> DataFrame:
 def linked_classes(edges: DataFrame) -> DataFrame:
     """(a, b) links -> (node, class): the least node that a chain of links reaches.
 
-    Large-star and small-star steps in turn (Kiverz et al., Connected Components in
+    Large-star and small-star steps in turn (Kiveris et al., Connected Components in
     MapReduce and Beyond): every node hooks its neighbours to the least node it knows.
     Each round is written to the shared folder, and rounds end when nothing changes.
     Nothing but two counts reaches the driver.
