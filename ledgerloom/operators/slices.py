@@ -60,7 +60,23 @@ def cut(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/ledgerloom-{uuid4().hex}"
     _written.append((spark, folder))
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    table = spark.read.schema(df.schema).parquet(folder)
+    table._cut_folder = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once nothing that is still to run reads them."""
+    for table in tables:
+        entry = (table.sparkSession, table._cut_folder)
+        if entry in _written:
+            _written.remove(entry)
+            _delete(*entry)
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession | None = None) -> int:
@@ -74,9 +90,7 @@ def release(spark: SparkSession | None = None) -> int:
             continue
         _written.remove((session, folder))
         if session.sparkContext._jsc is not None:  # a stopped session can delete nothing
-            path = session._jvm.org.apache.hadoop.fs.Path(folder)
-            files = path.getFileSystem(session._jsc.hadoopConfiguration())
-            gone += bool(files.delete(path, True))
+            gone += bool(_delete(session, folder))
     return gone
 
 

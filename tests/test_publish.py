@@ -57,12 +57,14 @@ def test_positions_go_on_and_the_audit_reads_the_progress(spark, tmp_path):
 
 
 def test_cut_tables_are_deleted(spark):
-    df = slices.cut(spark.range(3))
-    folder = df.inputFiles()[0].rsplit("/", 1)[0]
-    assert df.count() == 3 and slices.folder_exists(spark, folder)
-    slices._written[:], kept = [x for x in slices._written if x[1] in folder or folder.endswith(x[1][-30:])], slices._written[:]
-    assert slices.release(spark) == 1 and not slices.folder_exists(spark, folder)
-    slices._written[:] = [x for x in kept if not folder.endswith(x[1][-30:])]
+    one, two = slices.cut(spark.range(3)), slices.cut(spark.range(4))
+    assert one.count() == 3 and slices.folder_exists(spark, one._cut_folder)
+    slices.discard(one)
+    assert not slices.folder_exists(spark, one._cut_folder) and two.count() == 4
+    others = [x for x in slices._written if x[1] != two._cut_folder]
+    slices._written[:] = [(spark, two._cut_folder)]
+    assert slices.release(spark) == 1 and not slices.folder_exists(spark, two._cut_folder)
+    slices._written[:] = others
 
 
 def test_stream_publishes_a_feed_and_resumes(spark, tmp_path):
