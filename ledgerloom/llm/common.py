@@ -9,7 +9,7 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.operators.slices import cut
+from ledgerloom.operators.slices import cut, discard
 
 #: Entries of a worker's word cache before it is cut down; about 100 MB.
 CACHE_ENTRIES = 400_000
@@ -132,7 +132,8 @@ def linked_classes(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        links = cut(small)
+        old, links = links, cut(small)
+        discard(old)
         seen = links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if seen == before:
             break

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.common import documents, linked_classes
 from ledgerloom.llm.url_filter import blocked_bloom, may_contain
-from ledgerloom.operators.slices import cut
+from ledgerloom.operators.slices import cut, discard
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -387,7 +387,9 @@ def _texts(nodes: DataFrame, df: DataFrame) -> DataFrame:
     near = df.select("text", text_key(F.col("text")).alias("node")).withColumn("key", F.hex("node"))
     # the filter keeps texts that nobody asks for from being moved
     near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted, "node", "left_semi")
-    return cut(near.groupBy("node").agg(F.first("text").alias("text")))
+    texts = cut(near.groupBy("node").agg(F.first("text").alias("text")))
+    discard(wanted, bloom)
+    return texts
 
 
 def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
@@ -407,7 +409,9 @@ def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     read = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return cut(read.mapInArrow(compare, "a binary, b binary"))
+    links = cut(read.mapInArrow(compare, "a binary, b binary"))
+    discard(texts)
+    return links
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -429,7 +433,9 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     shared = placed.groupBy("node").agg(F.sum("n").alias("shared"))
     order = F.struct("shared", F.xxhash64("node").alias("order"), "node")
     pivots = placed.join(shared, "node").groupBy("bucket").agg(F.max(order).alias("best"))
-    placed = cut(placed.join(pivots.select("bucket", F.col("best.node").alias("pivot")), "bucket"))
+    sized = placed
+    placed = cut(sized.join(pivots.select("bucket", F.col("best.node").alias("pivot")), "bucket"))
+    discard(sized)
 
     pairs = placed.where("node <> pivot").select(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
@@ -445,6 +451,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
         links = links.unionByName(_linked(rest, df, weights))
         classes = linked_classes(links)
 
+    discard(placed, nodes)
     own = signed.select("doc_id", "node").join(classes, "node", "left")
     own = own.select("doc_id", F.coalesce("class", "node").alias("class"))
     named = own.groupBy("class").agg(
@@ -504,7 +511,9 @@ def _rest_pairs(placed: DataFrame, classes: DataFrame, df: DataFrame, weights: W
     mixed = kept.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     mixed = mixed.where("low <> high").select("bucket")
     open_ = cut(kept.join(mixed, "bucket", "left_semi"))
-    bits = cut(_bit_sketches(_texts(open_, df), weights))
+    texts = _texts(open_, df)
+    bits = cut(_bit_sketches(texts, weights))
+    discard(texts)
     keyed = open_.join(bits, "node").select("bucket", "node", "class", "bits")
     a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "class", "bits")])
     b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "class", "bits")])
