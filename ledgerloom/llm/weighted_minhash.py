@@ -34,7 +34,7 @@ from ledgerloom.operators.slices import cut, discard
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 3
+BANDS, ROWS = 18, 4
 FLOOR = 16
 #: Documents of a chunk in which frequent runs are looked for.
 CHUNK_DOCS = 4096
@@ -45,12 +45,12 @@ BLOCK = 1 << 20
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
 RUN_BITS = 52
 #: Share of equal draws below which a pair is not worth reading; at a similarity of 0.8 the
-#: share of 48 draws lies below it once in a million times.
+#: share of 72 draws lies below it once in a hundred million times.
 LEAST_DRAWS = 0.5
 #: Bits of the sketch by which members of different classes meet, and the least similarity
 #: that it must show; at a similarity of 0.8 it shows less once in a thousand times.
-BITS = 512
-LEAST_SHOWN = 0.72
+BITS = 1024
+LEAST_SHOWN = 0.74
 BLOOM_BLOCKS = 1 << 16
 
 PRIME = 0x100000001B3
@@ -380,21 +380,22 @@ def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weight
     return np.where(total > 0, common / np.where(total > 0, total, 1), 1.0)
 
 
-def _texts(nodes: DataFrame, df: DataFrame) -> DataFrame:
-    """node, text of the wanted nodes."""
-    wanted = cut(nodes.select("node").distinct())
+def _texts(ids: DataFrame, nodes: DataFrame, df: DataFrame) -> DataFrame:
+    """id, text of the wanted nodes."""
+    wanted = cut(nodes.select("id", "node").join(ids.select("id").distinct(), "id", "left_semi"))
     bloom = cut(blocked_bloom(wanted.select(F.hex("node").alias("key")), BLOOM_BLOCKS))
     near = df.select("text", text_key(F.col("text")).alias("node")).withColumn("key", F.hex("node"))
     # the filter keeps texts that nobody asks for from being moved
-    near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted, "node", "left_semi")
-    texts = cut(near.groupBy("node").agg(F.first("text").alias("text")))
+    near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted, "node").select("id", "text")
+    texts = cut(near.groupBy("id").agg(F.first("text").alias("text")))
     discard(wanted, bloom)
     return texts
 
 
-def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole texts are similar enough."""
-    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), df)
+def _linked(pairs: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
+    """The pairs (a, b) of ids whose whole texts are similar enough."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    texts = _texts(ids, nodes, df)
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -406,10 +407,10 @@ def _linked(pairs: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
                 alike = pa.array(similarities(*texts, weights) >= SIMILARITY)
                 yield batch.select(["a", "b"]).slice(at, end - at).filter(alike)
 
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     read = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    links = cut(read.mapInArrow(compare, "a binary, b binary"))
+    links = cut(read.mapInArrow(compare, "a bigint, b bigint"))
     discard(texts)
     return links
 
@@ -426,34 +427,42 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     weights = document_frequencies(df)
     signed = cut(signatures(df, weights))
     nodes = signed.where("bands IS NOT NULL").groupBy("node")
-    nodes = cut(nodes.agg(F.first("bands").alias("bands"), F.first("draws").alias("draws")))
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = nodes.agg(F.first("bands").alias("bands"), F.first("draws").alias("draws"))
+    # short names for what is moved most; writing the table fixes them
+    nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
+    members = nodes.select("id", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    placed = cut(members.join(sizes, "bucket"))
-    shared = placed.groupBy("node").agg(F.sum("n").alias("shared"))
-    order = F.struct("shared", F.xxhash64("node").alias("order"), "node")
-    pivots = placed.join(shared, "node").groupBy("bucket").agg(F.max(order).alias("best"))
-    sized = placed
-    placed = cut(sized.join(pivots.select("bucket", F.col("best.node").alias("pivot")), "bucket"))
+    sized = cut(members.join(sizes, "bucket"))
+    shared = sized.groupBy("id").agg(F.sum("n").alias("shared"))
+    order = F.struct("shared", F.xxhash64("id").alias("order"), "id")
+    pivots = sized.join(shared, "id").groupBy("bucket").agg(F.max(order).alias("best"))
+    placed = cut(sized.join(pivots.select("bucket", F.col("best.id").alias("pivot")), "bucket"))
     discard(sized)
 
-    pairs = placed.where("node <> pivot").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    pairs = placed.where("id <> pivot").select(
+        F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")
     )
-    drawn = nodes.select(F.col("node").alias("a"), F.col("draws").alias("draws_a"))
+    drawn = nodes.select(F.col("id").alias("a"), F.col("draws").alias("draws_a"))
     drawn_b = drawn.select(F.col("a").alias("b"), F.col("draws_a").alias("draws_b"))
     pairs = pairs.distinct().join(drawn, "a").join(drawn_b, "b")
-    links = _linked(cut(pairs.where(_draws_alike()).select("a", "b")), df, weights)
+    links = _linked(cut(pairs.where(_draws_alike()).select("a", "b")), nodes, df, weights)
     classes = linked_classes(links)
 
-    rest = _rest_pairs(placed.where("n > 2"), classes, df, weights)
+    rest = _rest_pairs(placed.where("n > 2"), classes, nodes, df, weights)
     if not rest.isEmpty():
-        links = links.unionByName(_linked(rest, df, weights))
+        links = links.unionByName(_linked(rest, nodes, df, weights))
         classes = linked_classes(links)
 
-    discard(placed, nodes)
-    own = signed.select("doc_id", "node").join(classes, "node", "left")
-    own = own.select("doc_id", F.coalesce("class", "node").alias("class"))
+    discard(placed)
+    # the class of a text goes by the key of its least member; texts without links are their own
+    keys = nodes.select("id", "node")
+    heads = keys.select(F.col("id").alias("class"), F.col("node").alias("head"))
+    known = keys.withColumnRenamed("id", "member").join(
+        classes.select(F.col("node").alias("member"), "class"), "member"
+    )
+    named_by = known.join(heads, "class").select("node", "head")
+    own = signed.select("doc_id", "node").join(named_by, "node", "left")
+    own = own.select("doc_id", F.coalesce("head", "node").alias("class"))
     named = own.groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")
     )
@@ -483,7 +492,7 @@ def _draws_alike() -> Column:
 
 
 def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
-    """node, bits (array of 64-bit words): the lowest bit of BITS further draws of a text."""
+    """id, bits (array of 64-bit words): the lowest bit of BITS further draws of a text."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -499,24 +508,27 @@ def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(words) + 1, dtype="i4") * (BITS // 64)), pa.array(words.ravel())
             )
-            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "bits"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, bits array<bigint>")
+    return texts.select("id", "text").mapInArrow(run, "id bigint, bits array<bigint>")
 
 
-def _rest_pairs(placed: DataFrame, classes: DataFrame, df: DataFrame, weights: Weights) -> DataFrame:
+def _rest_pairs(
+    placed: DataFrame, classes: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights
+) -> DataFrame:
     """Pairs of one bucket and different classes that no pivot was part of and that may be similar."""
-    kept = placed.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    kept = cut(kept.where("node <> pivot"))
+    classes = classes.withColumnRenamed("node", "id")
+    kept = placed.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    kept = cut(kept.where("id <> pivot"))
     mixed = kept.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     mixed = mixed.where("low <> high").select("bucket")
     open_ = cut(kept.join(mixed, "bucket", "left_semi"))
-    texts = _texts(open_, df)
+    texts = _texts(open_, nodes, df)
     bits = cut(_bit_sketches(texts, weights))
-    discard(texts)
-    keyed = open_.join(bits, "node").select("bucket", "node", "class", "bits")
-    a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "class", "bits")])
-    b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "class", "bits")])
+    discard(texts, kept)
+    keyed = open_.join(bits, "id").select("bucket", "id", "class", "bits")
+    a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "class", "bits")])
+    b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "class", "bits")])
     apart = sum(
         (
             F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i]))
@@ -524,6 +536,8 @@ def _rest_pairs(placed: DataFrame, classes: DataFrame, df: DataFrame, weights: W
         ),
         F.lit(0),
     )
-    fresh = (F.col("node_a") < F.col("node_b")) & (F.col("class_a") != F.col("class_b"))
+    fresh = (F.col("id_a") < F.col("id_b")) & (F.col("class_a") != F.col("class_b"))
     met = a.join(b, "bucket").where(fresh & (apart <= (1 - LEAST_SHOWN) / 2 * BITS))
-    return cut(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    rest = cut(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+    discard(open_, bits)
+    return rest

@@ -116,17 +116,11 @@ def test_rest_pairs_are_of_different_classes_and_alike(spark):
     base = " ".join(f"v{rng.randrange(5000)}" for _ in range(200))
     texts = [base, *near_copies(rng, base, 3, 2), " ".join(f"z{i}" for i in range(200))]
     df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
-    keyed = df.select("doc_id", wm.text_key(F.col("text")).alias("node"))
-    key = {r.doc_id: bytes(r.node) for r in keyed.collect()}
-    placed = spark.createDataFrame(
-        [(key[i], 100, 5, key[0]) for i in range(5)], "node binary, bucket bigint, n bigint, pivot binary"
-    )
-    classes = spark.createDataFrame(
-        [(key[0], key[0]), (key[1], key[0]), (key[2], key[0])], "node binary, class binary"
-    )
-    got = wm._rest_pairs(placed, classes, df, NO_WEIGHTS).collect()
-    names = {v: k for k, v in key.items()}
-    assert {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in got} == {frozenset((1, 3)), frozenset((2, 3))}
+    nodes = df.select(F.col("doc_id").alias("id"), wm.text_key(F.col("text")).alias("node"))
+    placed = spark.createDataFrame([(i, 100, 5, 0) for i in range(5)], "id bigint, bucket bigint, n bigint, pivot bigint")
+    classes = spark.createDataFrame([(0, 0), (1, 0), (2, 0)], "node bigint, class bigint")
+    got = wm._rest_pairs(placed, classes, nodes, df, NO_WEIGHTS).collect()
+    assert {(r.a, r.b) for r in got} == {(1, 3), (2, 3)}
 
 
 def test_star_of_copies_is_one_class(spark):
