@@ -146,7 +146,7 @@ def test_register_reads_describes_and_keeps_provenance(spark, tmp_path):
     tables = register.load_register(spark, root, ["people"], views=True)
     assert spark.sql("SELECT COUNT(*) AS n FROM people").first().n == 3
     assert rows(register.describe_tables(tables)) == [("people", "entity_id", "bigint", 0)]
-    assert rows(register.catalog_profile(tables)) == [("people", "entity_id", 0, 3)]
+    assert rows(register.catalog_profile(tables)) == [("people", "entity_id", "bigint", 0, 3)]
     assert register.sample_tables(tables, 2)["people"].count() == 2
     report = register.with_provenance(people.agg(F.count("*").alias("n")), tables["people"]).first()
     assert report.n == 3 and report.input_files >= 1 and report.input_bytes > 0 and report.generated_at
