@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.slices import cut, discard
 
-#: Entries of a worker's word cache before it is cut down; about 100 MB.
-CACHE_ENTRIES = 400_000
+#: Entries of a worker's word cache before it is cut down; about 40 MB.
+CACHE_ENTRIES = 150_000
+#: Rows of an Arrow batch that are turned into Python objects at once.
+PART_ROWS = 512
 
 
 def pick(df: DataFrame, *columns: tuple[str, str]) -> DataFrame:
@@ -25,6 +27,13 @@ def documents(df: DataFrame) -> DataFrame:
     return pick(df, ("doc_id", "bigint"), ("text", "string")).na.fill("", ["text"])
 
 
+def parts(batches: Iterator) -> Iterator:
+    """Arrow batches in parts of few rows, so that only these are held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def shrink(cache: dict) -> None:
     """Keep the quarter of a word cache that was met first: frequent words come early."""
     kept = list(islice(cache.items(), CACHE_ENTRIES // 4))
@@ -90,7 +99,7 @@ def token_counts(df: DataFrame, ranks_path: str | None = None) -> DataFrame:
         import pyarrow as pa
 
         pairs = byte_pairs(ranks_path)
-        for batch in batches:
+        for batch in parts(batches):
             sizes = [len(pairs.text(text)) // 4 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "tokens"]

@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import byte_pairs, documents
+from ledgerloom.llm.common import byte_pairs, documents, parts
 from ledgerloom.operators.skew import partitions
 from ledgerloom.operators.slices import cut
 
@@ -53,7 +53,7 @@ def document_pieces(
         import pyarrow as pa
 
         pairs, end = byte_pairs(ranks_path), end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for doc_id, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text")]):
                 ids = memoryview(pairs.text(text) + end)

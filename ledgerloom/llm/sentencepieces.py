@@ -26,8 +26,8 @@ from ledgerloom.llm.common import CACHE_ENTRIES, documents, pick, shrink
 
 SPACE = "▁"
 LONG_WORD = 48
-#: Words of the texts whose new words are encoded together; about 100 MB.
-GROUP_WORDS = 1_000_000
+#: Words of the texts whose new words are encoded together; about 50 MB.
+GROUP_WORDS = 500_000
 #: Words that advance together at most.
 TOGETHER = 8192
 #: Places for known pairs of pieces, a power of two; a pair may push another out.

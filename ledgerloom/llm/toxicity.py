@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import CACHE_ENTRIES, documents, pick, shrink
+from ledgerloom.llm.common import CACHE_ENTRIES, documents, parts, pick, shrink
 from ledgerloom.operators.slices import cut
 
 WORD = re.compile(r"\w+")
@@ -289,7 +289,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
 
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in parts(batches):
             keys = []
             for text in batch.column("text").to_pylist():
                 words = text.lower().split()
@@ -311,7 +311,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            for batch in batches:
+            for batch in parts(batches):
                 counts: Counter = Counter()
                 for text in batch.column("text").to_pylist():
                     terms = _terms_of(set(WORD.findall(text.lower())))
@@ -349,7 +349,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
         import pyarrow as pa
 
         lexicon = Lexicon(terms, weak)
-        for batch in batches:
+        for batch in parts(batches):
             found = [features(text, lexicon) for text in batch.column("text").to_pylist()]
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -371,7 +371,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         lexicon = Lexicon(model.terms, model.weak)
-        for batch in batches:
+        for batch in parts(batches):
             scores = [
                 model.score(features(text, lexicon)) for text in batch.column("text").to_pylist()
             ]
@@ -396,7 +396,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         lexicon = Lexicon(model.terms, model.weak)
-        for batch in batches:
+        for batch in parts(batches):
             texts = batch.column("text").to_pylist()
             kept = [model.score(features(text or "", lexicon)) < 0.5 for text in texts]
             yield batch.filter(pa.array(kept, pa.bool_()))

@@ -37,11 +37,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
 FLOOR = 16
 #: Documents of a chunk in which frequent runs are looked for.
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 2048
 #: Bits of the map of runs that may be frequent (as a power of two).
 MAP_BITS = 25
 #: Bytes of text that are worked on at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
 RUN_BITS = 52
 #: Share of equal draws below which a pair is not worth reading; at a similarity of 0.8 the
@@ -221,7 +221,7 @@ def document_frequencies(df: DataFrame) -> Weights:
                 seen.append(runs)
                 docs += count
                 # long texts make smaller chunks
-                if docs >= CHUNK_DOCS or sum(map(len, seen)) > 2_500_000:
+                if docs >= CHUNK_DOCS or sum(map(len, seen)) > 1_500_000:
                     yield found()
                     docs, seen = 0, []
         if seen:
@@ -259,7 +259,7 @@ def document_frequencies(df: DataFrame) -> Weights:
                 mark = (flags.value[place >> 6] >> (place & 63)) & 1
                 held.append(runs[mark == 1])
                 size += len(held[-1])
-                if size > 1_000_000:
+                if size > 500_000:
                     yield told(held)
                     held, size = [], 0
         if held:
