@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.slices import cut, discard
 
-#: Entries of a worker's word cache before it is cut down; about 40 MB.
-CACHE_ENTRIES = 150_000
+#: Entries of a worker's word cache before it is cut down; about 60 MB.
+CACHE_ENTRIES = 250_000
 #: Rows of an Arrow batch that are turned into Python objects at once.
 PART_ROWS = 512
 
