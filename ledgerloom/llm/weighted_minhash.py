@@ -12,17 +12,15 @@ holds several classes do members of different classes meet, by a longer sketch o
 for each of BITS further draws, and those that may be similar enough are compared with
 their whole texts. Pairs of one class need no comparison.
 
-Document frequencies are exact where they matter and floored below: a run counts as being
-in at least 1 / FLOOR of all documents, so that runs of a group of thousands of copies do
-not lose weight by it. Frequent runs are then at most FLOOR times the runs of a mean
-document, however many documents there are. A first pass counts runs
-within chunks of the documents and notes, in a bitmap of fixed size, where the counts leave
-it possible that a run is frequent in all; a second one counts the runs that it marks.
+Document frequencies of all runs are counted. Texts are dealt to chunks by a hash; every
+chunk asks for each of its distinct runs once, packed into one row per range of run hashes.
+The rows of a range meet, are summed, and each chunk is answered with the sums. So a run
+that all documents share is one number per chunk, no run makes rows of its own, and nothing
+but sizes reaches the driver. A run of one document weighs as one of two.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -30,16 +28,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.common import documents, linked_classes
 from ledgerloom.llm.url_filter import blocked_bloom, may_contain
+from ledgerloom.operators.skew import partitions
 from ledgerloom.operators.slices import cut, discard
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
-FLOOR = 16
-#: Documents of a chunk in which frequent runs are looked for.
-CHUNK_DOCS = 2048
-#: Bits of the map of runs that may be frequent (as a power of two).
-MAP_BITS = 25
+#: Bytes of text, and for every document as many as DOC_BYTES, of a chunk and of all that a
+#: range of run hashes is asked for.
+CHUNK_BYTES, RANGE_BYTES, DOC_BYTES = 1 << 22, 1 << 23, 1000
 #: Bytes of text that are worked on at once.
 BLOCK = 1 << 19
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
@@ -162,20 +159,27 @@ def shingles(column) -> Iterator[tuple]:
 
 
 class Weights:
-    """Inverse document frequencies: of ``runs`` their own, of all others the greatest."""
+    """Inverse document frequencies: by counts that come with the runs (u4 each, 0 for one
+    document), else of ``runs`` their own, of all others the greatest."""
 
     def __init__(self, documents: int, runs, counts) -> None:
         import numpy as np
 
         order = np.argsort(runs)
-        self.runs = runs[order]
-        least = max(2.0, documents / FLOOR)
-        self.idf = 1 + np.log((documents + 1) / (np.maximum(counts[order], least) + 1))
-        self.most = 1 + float(np.log((documents + 1) / (least + 1)))
+        self.documents, self.runs = documents, runs[order]
+        self.idf = self._idf(counts[order])
+        self.most = float(self._idf(np.zeros(1))[0])
 
-    def of(self, runs, counts):
+    def _idf(self, counts):
         import numpy as np
 
+        return 1 + np.log((self.documents + 1) / (np.maximum(counts, 2.0) + 1))
+
+    def of(self, runs, counts, found=None):
+        import numpy as np
+
+        if found is not None:
+            return counts * self._idf(np.frombuffer(found, "<u4"))
         idf = np.full(len(runs), self.most)
         if len(self.runs):
             at = np.minimum(self.runs.searchsorted(runs), len(self.runs) - 1)
@@ -184,92 +188,105 @@ class Weights:
         return counts * idf
 
 
-def document_frequencies(df: DataFrame) -> Weights:
-    """Weights of all runs of a frame (doc_id, text), which is read twice."""
+def _found(column, at: int, end: int) -> bytes | None:
+    """Counts of the runs of some texts, one after the other; None where there are none."""
+    parts = column.slice(at, end - at).to_pylist()
+    return None if None in parts else b"".join(parts)
+
+
+def _pack(runs) -> bytes:
+    """Rising 64-bit numbers as the planes of the bytes of their differences, which compress."""
+    import numpy as np
+
+    return np.diff(runs, prepend=runs.dtype.type(0)).astype("<u8").view("u1").reshape(-1, 8).T.tobytes()
+
+
+def _unpack(packed: bytes):
     import numpy as np
 
-    total = df.count()
-    least = max(2.0, total / FLOOR)
-    chunks = df.select("text").coalesce(max(1, -(-total // CHUNK_DOCS)))
+    planes = np.frombuffer(packed, "u1").reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view("<u8").ravel(), dtype="u8")
 
-    def candidates(batches: Iterator) -> Iterator:
-        """Places in the map with the greatest count of a run there, if it is large for the
-        chunk, and what a run that is not told may have at most. Place -1 is for the chunk."""
+
+def _summed(rows: list[tuple[bytes, bytes]]) -> tuple:
+    """Of rows of (packed runs, counts): distinct runs, their sums, and where each row's are."""
+    import numpy as np
+
+    runs = [_unpack(packed) for packed, _ in rows]
+    counts = np.concatenate([np.frombuffer(c, "<u4") for _, c in rows])
+    distinct, places = np.unique(np.concatenate(runs), return_inverse=True)
+    sums = np.bincount(places, counts).astype("<u4")
+    return distinct, sums, np.split(places, np.cumsum([len(r) for r in runs])[:-1])
+
+
+def _chunked(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """(chunk, doc_id, node, text), number of documents, number of ranges of run hashes."""
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + DOC_BYTES * F.count("*")
+    total, work = df.agg(F.count("*"), size).first()
+    chunks = max(4 * partitions(df), work // CHUNK_BYTES)
+    node = text_key(F.col("text"))
+    chunk = F.pmod(F.xxhash64("doc_id", "node"), F.lit(chunks)).alias("chunk")
+    keyed = df.select("doc_id", node.alias("node"), "text").select(chunk, "doc_id", "node", "text")
+    return keyed, total, max(partitions(df), work // RANGE_BYTES)
+
+
+def _asked(keyed: DataFrame, ranges: int) -> DataFrame:
+    """chunk, place (of a range), runs (packed), counts: distinct runs of every chunk, with
+    the number of its documents that hold each."""
+    width = -(-(1 << RUN_BITS) // ranges)
+
+    def ask(key, table):
         import numpy as np
         import pyarrow as pa
 
-        docs, seen = 0, []
-
-        def found():
-            share = max(1, math.ceil(least * docs / total))
-            runs, counts = np.unique(np.concatenate(seen), return_counts=True)
-            often = counts >= share
-            places = (runs[often] >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
-            first = np.flatnonzero(np.diff(places, prepend=-1))
-            most = np.maximum.reduceat(counts[often], first) if len(first) else counts[:0]
-            columns = [
-                np.append(places[first], -1),
-                np.append(most, 0),
-                np.full(len(first) + 1, share - 1),
-            ]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c.astype("i8")) for c in columns], ["place", "most", "untold"]
-            )
-
-        for batch in batches:
-            for count, _, runs, _ in shingles(batch.column("text")):
-                seen.append(runs)
-                docs += count
-                # long texts make smaller chunks
-                if docs >= CHUNK_DOCS or sum(map(len, seen)) > 1_500_000:
-                    yield found()
-                    docs, seen = 0, []
-        if seen:
-            yield found()
-
-    told = chunks.mapInArrow(candidates, "place bigint, most bigint, untold bigint")
-    told = cut(told.groupBy("place").agg(F.sum("most").alias("most"), F.sum("untold").alias("untold")))
-    untold = told.where("place = -1").agg(F.sum("untold")).first()[0] or 0
-    # at most: what the chunks told, and in each other one what it need not tell
-    places = told.where(F.col("place") >= 0).where(
-        F.col("most") + F.lit(untold) - F.col("untold") >= F.lit(least)
-    )
-    word = F.expr("place div 64")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))
-    bits = places.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    marked = np.zeros((1 << MAP_BITS) // 64, "i8")
-    for batch in bits.coalesce(8).toArrow().to_batches():
-        marked[batch.column("word").to_numpy()] = batch.column("bits").to_numpy()
-    flags = df.sparkSession.sparkContext.broadcast(marked)
-
-    def counted(batches: Iterator) -> Iterator:
+        seen = [runs for b in table.to_batches() for _, _, runs, _ in shingles(b.column("text"))]
+        runs, counts = np.unique(np.concatenate([np.zeros(0, "u8"), *seen]), return_counts=True)
+        counts = counts.astype("<u4")
+        borders = runs.searchsorted(np.arange(ranges + 1, dtype="u8") * np.uint64(width))
+        held = np.flatnonzero(np.diff(borders))
+        spans = [slice(borders[place], borders[place + 1]) for place in held]
+        return pa.table(
+            {
+                "chunk": pa.array([key[0].as_py()] * len(held), pa.int64()),
+                "place": pa.array(held, pa.int64()),
+                "runs": pa.array([_pack(runs[span]) for span in spans], pa.binary()),
+                "counts": pa.array([counts[span].tobytes() for span in spans], pa.binary()),
+            }
+        )
+
+    schema = "chunk bigint, place bigint, runs binary, counts binary"
+    return keyed.groupBy("chunk").applyInArrow(ask, schema)
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    """chunk, place, found: in how many documents of all each run that was asked for is, 0
+    standing for one."""
+
+    def answer(table):
         import numpy as np
         import pyarrow as pa
 
-        def told(parts: list):
-            runs, counts = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(runs.view("i8")), pa.array(counts.astype("i8"))], ["run", "n"]
-            )
+        rows = list(zip(*[table.column(c).to_pylist() for c in ("runs", "counts")]))
+        _, sums, places = _summed(rows)
+        sums[sums == 1] = 0
+        found = pa.array([sums[at].astype("<u4").tobytes() for at in places], pa.binary())
+        return table.select(["chunk", "place"]).append_column("found", found)
 
-        held, size = [], 0
-        for batch in batches:
-            for _, _, runs, _ in shingles(batch.column("text")):
-                place = (runs >> np.uint64(RUN_BITS - MAP_BITS)).astype("i8")
-                mark = (flags.value[place >> 6] >> (place & 63)) & 1
-                held.append(runs[mark == 1])
-                size += len(held[-1])
-                if size > 500_000:
-                    yield told(held)
-                    held, size = [], 0
-        if held:
-            yield told(held)
-
-    counts = chunks.mapInArrow(counted, "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n"))
-    # at most FLOOR x the runs of a mean document
-    often = counts.where(F.col("n") >= least).coalesce(8).toArrow()
-    runs = often.column("run").to_numpy().astype("i8").view("u8")
-    return Weights(total, runs, often.column("n").to_numpy().astype(float))
+    return asked.groupBy("place").applyInArrow(answer, "chunk bigint, place bigint, found binary")
+
+
+def document_frequencies(df: DataFrame) -> Weights:
+    """Weights of the runs of a small frame (doc_id, text), all held in one place.
+
+    ``signatures`` counts the same without that.
+    """
+    import numpy as np
+
+    keyed, total, ranges = _chunked(df)
+    rows = [(r.runs, r.counts) for r in _asked(keyed, ranges).select("runs", "counts").collect()]
+    runs, sums, _ = _summed([(b"", b""), *map(lambda r: (bytes(r[0]), bytes(r[1])), rows)])
+    often = sums > 1
+    return Weights(total, runs[often], sums[often].astype(float))
 
 
 @lru_cache(maxsize=1)
@@ -317,58 +334,79 @@ def text_key(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
-def signatures(df: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id, node (the text's key), bands (hash of each), draws (four bytes of each)."""
+def signatures(df: DataFrame) -> tuple[DataFrame, Weights]:
+    """doc_id, node (the text's key), bands (hash of each), draws (four bytes of each), found
+    (documents that hold each distinct run); and the weights, for runs that come with these."""
+    import numpy as np
 
-    def run(batches: Iterator) -> Iterator:
+    keyed, total, ranges = _chunked(df)
+    weights = Weights(total, np.zeros(0, "u8"), np.zeros(0))
+
+    def run(table, answers):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            parts = []
-            for count, doc, runs, counts in shingles(batch.column("text")):
-                parts.append(draws(doc, runs, weights.of(runs, counts), count))
-            drawn = np.concatenate(parts) if parts else np.zeros((0, BANDS * ROWS), "u8")
-            bands = np.empty((len(drawn), BANDS), "u8")
-            for b in range(BANDS):
-                rows = drawn[:, b * ROWS : (b + 1) * ROWS]
-                key = np.full(len(drawn), b + 1, "u8")
-                for row in range(ROWS):
-                    key = _mix(key * np.uint64(PRIME) + rows[:, row])
-                bands[:, b] = key
-            short = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4"))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(drawn) + 1, dtype="i4") * BANDS),
-                pa.array(bands.view("i8").ravel()),
-            )
-            # a text without runs has no bands
-            empty = ~drawn.any(1)
-            if empty.any():
-                lists = pa.array(
-                    [None if e else x for e, x in zip(empty, lists.to_pylist())], pa.list_(pa.int64())
-                )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("node"),
-                    lists,
-                    pa.array([row.tobytes() for row in short], pa.binary()),
-                ],
-                ["doc_id", "node", "bands", "draws"],
+        blocks, texts = [], table.column("text")
+        for at, end in _blocks(texts):
+            blocks.append((end - at, *_distinct(texts.slice(at, end - at).to_pylist())))
+        # answers are in the order of the chunk's runs
+        told = b"".join(answers.sort_by("place").column("found").to_pylist())
+        told = np.frombuffer(told, "<u4")
+        known = np.unique(np.concatenate([np.zeros(0, "u8"), *[runs for _, _, runs, _ in blocks]]))
+        if len(known) != len(told):
+            raise ValueError("the texts of a chunk changed while their runs were counted")
+        drawn, found = [np.zeros((0, BANDS * ROWS), "u8")], []
+        for count, doc, runs, counts in blocks:
+            held = told[known.searchsorted(runs)]
+            drawn.append(draws(doc, runs, weights.of(runs, counts, held), count))
+            ends = np.cumsum(np.bincount(doc, minlength=count))
+            found += [part.tobytes() for part in np.split(held, ends[:-1])]
+        drawn = np.concatenate(drawn)
+        bands = np.empty((len(drawn), BANDS), "u8")
+        for b in range(BANDS):
+            rows = drawn[:, b * ROWS : (b + 1) * ROWS]
+            key = np.full(len(drawn), b + 1, "u8")
+            for row in range(ROWS):
+                key = _mix(key * np.uint64(PRIME) + rows[:, row])
+            bands[:, b] = key
+        short = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4"))
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(drawn) + 1, dtype="i4") * BANDS),
+            pa.array(bands.view("i8").ravel()),
+        )
+        # a text without runs has no bands
+        empty = ~drawn.any(1)
+        if empty.any():
+            lists = pa.array(
+                [None if e else x for e, x in zip(empty, lists.to_pylist())], pa.list_(pa.int64())
             )
-
-    keyed = df.select("doc_id", "text", text_key(F.col("text")).alias("node"))
-    return keyed.mapInArrow(run, "doc_id bigint, node binary, bands array<bigint>, draws binary")
+        return pa.table(
+            {
+                "doc_id": table.column("doc_id"),
+                "node": table.column("node"),
+                "bands": lists,
+                "draws": pa.array([row.tobytes() for row in short], pa.binary()),
+                "found": pa.array(found, pa.binary()),
+            }
+        )
+
+    answers = _answered(_asked(keyed, ranges))
+    signed = keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        run, "doc_id bigint, node binary, bands array<bigint>, draws binary, found binary"
+    )
+    return signed, weights
 
 
-def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weights):
+def similarities(
+    texts_a: Sequence[str], texts_b: Sequence[str], weights: Weights, found_a=None, found_b=None
+):
     """Weighted Jaccard similarity of each pair of texts; 1 for two without runs."""
     import numpy as np
 
     sides = []
-    for texts in (texts_a, texts_b):
+    for texts, found in ((texts_a, found_a), (texts_b, found_b)):
         doc, runs, counts = _distinct(texts)
-        sides.append((doc, runs, weights.of(runs, counts)))
+        sides.append((doc, runs, weights.of(runs, counts, found)))
     keys = [(doc.astype("u8") << np.uint64(RUN_BITS)) | runs for doc, runs, _ in sides]
     (doc, _, weight), (doc_b, _, weight_b) = sides
     count = len(texts_a)
@@ -381,13 +419,15 @@ def similarities(texts_a: Sequence[str], texts_b: Sequence[str], weights: Weight
 
 
 def _texts(ids: DataFrame, nodes: DataFrame, df: DataFrame) -> DataFrame:
-    """id, text of the wanted nodes."""
-    wanted = cut(nodes.select("id", "node").join(ids.select("id").distinct(), "id", "left_semi"))
+    """id, text, found of the wanted nodes."""
+    found = F.col("found") if "found" in nodes.columns else F.lit(None).cast("binary")
+    wanted = cut(nodes.select("id", "node", found.alias("found")).join(ids.select("id").distinct(), "id", "left_semi"))
     bloom = cut(blocked_bloom(wanted.select(F.hex("node").alias("key")), BLOOM_BLOCKS))
     near = df.select("text", text_key(F.col("text")).alias("node")).withColumn("key", F.hex("node"))
     # the filter keeps texts that nobody asks for from being moved
-    near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted, "node").select("id", "text")
-    texts = cut(near.groupBy("id").agg(F.first("text").alias("text")))
+    near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted.select("id", "node"), "node")
+    texts = near.groupBy("id").agg(F.first("text").alias("text"))
+    texts = cut(texts.join(wanted.select("id", "found"), "id"))
     discard(wanted, bloom)
     return texts
 
@@ -404,12 +444,15 @@ def _linked(pairs: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights)
             sides = [batch.column(c) for c in ("text_a", "text_b")]
             for at, end in _blocks(*sides):
                 texts = [side.slice(at, end - at).to_pylist() for side in sides]
-                alike = pa.array(similarities(*texts, weights) >= SIMILARITY)
+                found = [_found(batch.column(c), at, end) for c in ("found_a", "found_b")]
+                alike = pa.array(similarities(*texts, weights, *found) >= SIMILARITY)
                 yield batch.select(["a", "b"]).slice(at, end - at).filter(alike)
 
-    a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    read = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    a, b = (
+        texts.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("text", "found")])
+        for c in ("a", "b")
+    )
+    read = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b", "found_a", "found_b")
     links = cut(read.mapInArrow(compare, "a bigint, b bigint"))
     discard(texts)
     return links
@@ -424,10 +467,10 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     count each. A text of fewer than five words is one run. An empty table gives no rows.
     """
     df = documents(df)
-    weights = document_frequencies(df)
-    signed = cut(signatures(df, weights))
+    signed, weights = signatures(df)
+    signed = cut(signed)
     nodes = signed.where("bands IS NOT NULL").groupBy("node")
-    nodes = nodes.agg(F.first("bands").alias("bands"), F.first("draws").alias("draws"))
+    nodes = nodes.agg(*[F.first(c).alias(c) for c in ("bands", "draws", "found")])
     # short names for what is moved most; writing the table fixes them
     nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
     members = nodes.select("id", F.explode("bands").alias("bucket"))
@@ -500,9 +543,11 @@ def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
 
         functions = range(BANDS * ROWS, BANDS * ROWS + BITS)
         for batch in batches:
-            parts = [np.zeros((0, BITS // 8), "u1")]
-            for count, doc, runs, counts in shingles(batch.column("text")):
-                drawn = draws(doc, runs, weights.of(runs, counts), count, functions)
+            parts, texts = [np.zeros((0, BITS // 8), "u1")], batch.column("text")
+            for at, end in _blocks(texts):
+                doc, runs, counts = _distinct(texts.slice(at, end - at).to_pylist())
+                held = weights.of(runs, counts, _found(batch.column("found"), at, end))
+                drawn = draws(doc, runs, held, end - at, functions)
                 parts.append(np.packbits((drawn & np.uint64(1)).astype(bool), axis=1))
             words = np.ascontiguousarray(np.concatenate(parts)).view("i8")
             lists = pa.ListArray.from_arrays(
@@ -510,7 +555,7 @@ def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "bits"])
 
-    return texts.select("id", "text").mapInArrow(run, "id bigint, bits array<bigint>")
+    return texts.select("id", "text", "found").mapInArrow(run, "id bigint, bits array<bigint>")
 
 
 def _rest_pairs(

@@ -70,6 +70,38 @@ def test_document_frequencies_are_exact(spark):
     assert weights.of(np.array([12345], "u8"), np.array([2])) == pytest.approx([2 * weights.most])
 
 
+def test_every_run_has_its_document_frequency(spark):
+    """Runs of 2 to 40 of 400 documents, a tenth and less, weigh by their own counts."""
+    rng = random.Random(13)
+    docs = []
+    for i in range(400):
+        shared = [f"p{size}x{k}" for size in (2, 3, 7, 40) if i < size for k in range(9)]
+        docs.append((i, " ".join(shared + [f"t{rng.randrange(10**6)}" for _ in range(20)]), "en", "a", 0))
+    df = documents(spark, docs + docs[:1] * 3).select("doc_id", "text")
+    texts = [r.text for r in df.collect()]
+    held = {}
+    for text in texts:
+        [(_, _, runs, _)] = wm.shingles(pa.array([text]))
+        for run in runs.tolist():
+            held[run] = held.get(run, 0) + 1
+    signed, weights = wm.signatures(df)
+    key = F.sha2("text", 256).substr(1, 32)
+    by_node = {r.k: r.text for r in df.select("text", F.lower(key).alias("k")).collect()}
+    seen = 0
+    for r in signed.collect():
+        [(_, _, runs, n)] = wm.shingles(pa.array([by_node[bytes(r.node).hex()]]))
+        want = [1 + np.log((len(texts) + 1) / (max(held[run], 2) + 1)) for run in runs.tolist()]
+        assert weights.of(runs, n, bytes(r.found)) == pytest.approx(n * want)
+        seen += 1
+    assert seen == len(texts) and set(held.values()) >= {1, 3, 5, 6, 10, 43} - {1, 3}
+
+
+def test_packed_runs_come_back():
+    runs = np.unique(np.random.default_rng(1).integers(0, 1 << 52, 1000).astype("u8"))
+    for some in (runs, runs[:1], runs[:0]):
+        assert (wm._unpack(wm._pack(some)) == some).all()
+
+
 def near_copies(rng, text, n, changes):
     words = text.split()
     for _ in range(n):
