@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
@@ -48,6 +51,9 @@ class BytePairs(dict):
     join of its space-separated chunks, each encoded with its leading space. A chunk that
     is empty or has white space at an end breaks that rule and is kept as None; texts that
     hold one are encoded as a whole.
+
+    ``text`` takes all of a text as ordinary; ``ids`` gives the added tokens that the JSON
+    file beside the ranks names their own ids, as the tokenizer does.
     """
 
     def __init__(self, ranks_path: str | None = None) -> None:
@@ -60,6 +66,14 @@ class BytePairs(dict):
         self.encoding = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        beside, added = f"{path.removesuffix('.tiktoken')}.json", []
+        if os.path.exists(beside):
+            with open(beside, encoding="utf-8") as file:
+                added = json.load(file)["added_tokens"]
+        self.added = {t["content"]: int(t["id"]).to_bytes(4, "little") for t in added}
+        # of tokens that begin at one place the longest
+        longest = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(map(re.escape, longest))})") if added else None
 
     def encode(self, text: str) -> bytes:
         import numpy as np
@@ -85,6 +99,13 @@ class BytePairs(dict):
         except TypeError:  # a None: white space beside a space
             return self.encode(text)
 
+    def ids(self, text: str) -> bytes:
+        """All ids of ``text``, added tokens being one id each."""
+        if not self.marks or not self.marks.search(text):
+            return self.text(text)
+        parts = self.marks.split(text)
+        return b"".join(self.added[p] if i % 2 else self.text(p) for i, p in enumerate(parts))
+
 
 @lru_cache(maxsize=1)
 def byte_pairs(ranks_path: str | None) -> BytePairs:
@@ -100,7 +121,7 @@ def token_counts(df: DataFrame, ranks_path: str | None = None) -> DataFrame:
 
         pairs = byte_pairs(ranks_path)
         for batch in parts(batches):
-            sizes = [len(pairs.text(text)) // 4 for text in batch.column("text").to_pylist()]
+            sizes = [len(pairs.ids(text)) // 4 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "tokens"]
             )

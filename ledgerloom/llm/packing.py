@@ -56,7 +56,7 @@ def document_pieces(
         for batch in parts(batches):
             rows = []
             for doc_id, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text")]):
-                ids = memoryview(pairs.text(text) + end)
+                ids = memoryview(pairs.ids(text) + end)
                 tokens = len(ids) // 4
                 for start, length in cut_points(tokens, window, tiers):
                     crc = crc32(ids[4 * start : 4 * (start + length)])

@@ -90,6 +90,20 @@ def test_byte_pairs_are_those_of_the_tokenizer():
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_have_their_ids(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pairs, end = BytePairs(), "<|endoftext|>"
+    odd = [f"a {end} x", end, f"{end}{end}", f" {end}  b\n", f"a{end}b <|endoftext| >", f"é {end}\n\n {end} it's "]
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in TEXTS + odd]
+    assert want[len(TEXTS)] == [64, 220, 50256, 2124]
+    assert [np.frombuffer(pairs.ids(text), "<u4").tolist() for text in TEXTS + odd] == want
+    docs = documents(spark, [(i, text, "en", "a", 0) for i, text in enumerate(odd)])
+    ids = {i: np.array(w + [1], "<u4") for i, w in enumerate(want[len(TEXTS) :])}
+    packed = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack(docs).collect()}
+    assert packed == {i: (len(w), crc32(w.tobytes())) for i, w in ids.items()}
+    assert {r.doc_id: r.tokens for r in token_counts(docs).collect()} == {i: len(w) - 1 for i, w in ids.items()}
+
+
 def test_plan_holds_every_piece():
     random = np.random.default_rng(3)
     for _ in range(50):
