@@ -149,3 +149,91 @@ SELECT m.conv_id, m.turn, role, trim(text, chr(10)) AS text, parent_turn, root_t
     coalesce(n, 0) AS n_quotes, coalesce(n, 0) AS n_linked
 FROM m LEFT JOIN o USING (conv_id, turn) LEFT JOIN q USING (conv_id, turn)
 """
+
+
+# --- spelling variants ---------------------------------------------------------------------------
+
+
+def _crc32_table() -> list[int]:
+    """The table of the CRC-32 checksum, by its rule."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+def _lower(text: str) -> str:
+    """A to Z in lower case, all else as it is."""
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+SPELLING = f"""
+WITH RECURSIVE crc AS (SELECT {_crc32_table()}::BIGINT[] AS t),
+runs AS (
+  SELECT doc_id, run, COUNT(*) AS k FROM (
+    SELECT doc_id, UNNEST(regexp_extract_all({_lower('text')}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY 1, 2),
+bytes AS (SELECT *, hex(encode(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_transform(range(0, length(x) // 2),
+    lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT))) AS h
+  FROM bytes, crc),
+slipped AS (
+  SELECT CASE WHEN h % 97 <> 0 THEN run
+    ELSE substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word, k FROM hashed),
+words AS (
+  SELECT word, CAST(SUM(k) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY 1 HAVING SUM(k) >= 3),
+holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, UNNEST(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.rest
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.rest),
+best AS (
+  SELECT word, COUNT(*) AS n_near, FIRST(other ORDER BY other_n DESC, other) AS other, MAX(other_n) AS other_n
+  FROM near GROUP BY 1),
+formed AS (
+  SELECT word, n, COALESCE(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS at FROM words
+  UNION SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL),
+roots AS (SELECT s.word, s.at AS root FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+
+# --- phrases -------------------------------------------------------------------------------------
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, UNNEST(string_split_regex({_lower("COALESCE(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+runs AS (SELECT lang, UNNEST(list_zip(ws, ws[2:], ws[3:])) AS t FROM lists),
+words AS (SELECT lang, t[1] AS x, t[2] AS y, t[3] AS z FROM runs),
+sizes AS (SELECT lang, COUNT(*) AS n FROM words GROUP BY 1),
+f1 AS (SELECT lang, x, COUNT(*) AS f FROM words GROUP BY ALL HAVING COUNT(*) >= 10),
+f2 AS (SELECT lang, x, y, COUNT(*) AS f FROM words WHERE y IS NOT NULL GROUP BY ALL HAVING COUNT(*) >= 10),
+f3 AS (SELECT lang, x, y, z, COUNT(*) AS f FROM words WHERE z IS NOT NULL GROUP BY ALL HAVING COUNT(*) >= 10),
+inside AS (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3),
+longer AS (SELECT lang, x, y, MAX(f) AS f FROM inside GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, 1 AS k, p.f AS l, q.f AS r
+  FROM f2 c JOIN f1 p ON p.lang = c.lang AND p.x = c.x JOIN f1 q ON q.lang = c.lang AND q.x = c.y
+  LEFT JOIN longer i ON i.lang = c.lang AND i.x = c.x AND i.y = c.y WHERE i.f IS NULL OR 100 * i.f < 50 * c.f
+  UNION ALL SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 1, p.f, q.f
+  FROM f3 c JOIN f1 p ON p.lang = c.lang AND p.x = c.x JOIN f2 q ON q.lang = c.lang AND q.x = c.y AND q.y = c.z
+  UNION ALL SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 2, p.f, q.f
+  FROM f3 c JOIN f2 p ON p.lang = c.lang AND p.x = c.x AND p.y = c.y JOIN f1 q ON q.lang = c.lang AND q.x = c.z),
+scored AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+low AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, CAST(ROW_NUMBER() OVER w AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM low JOIN sizes USING (lang) WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY ROW_NUMBER() OVER w <= 2000
+"""

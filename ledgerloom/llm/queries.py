@@ -10,9 +10,11 @@ from ledgerloom.llm import (
     mtree,
     oracles as sql,
     packing,
+    phrases,
     pii,
     quotes,
     sentencepieces,
+    spelling,
     syncmers,
     token_rollups,
     toxicity,
@@ -115,6 +117,14 @@ def op10_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(quotes.as_mail(_table(spark, folder, "conversations")))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
@@ -126,4 +136,6 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_conversations": (op10_conversations, sql.CONVERSATIONS),
+    "op12_spelling": (op12_spelling, sql.SPELLING),
+    "op13_phrases": (op13_phrases, sql.PHRASES),
 }
