@@ -237,3 +237,24 @@ SELECT lang, CAST(ROW_NUMBER() OVER w AS BIGINT) AS rank, phrase, a, l, r, n, sc
 FROM low JOIN sizes USING (lang) WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY ROW_NUMBER() OVER w <= 2000
 """
+
+
+# --- near-duplicate vectors ----------------------------------------------------------------------
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a AS vec_id, MIN(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, COUNT(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM lowest LEFT JOIN counts USING (vec_id)
+"""

@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import (
+    flat_graph,
     mtree,
     oracles as sql,
     packing,
@@ -117,6 +118,10 @@ def op10_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(quotes.as_mail(_table(spark, folder, "conversations")))
 
 
+def op11_vector_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_graph.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(_table(spark, folder, "documents"))
 
@@ -136,6 +141,7 @@ QUERIES = {
     "op8_packing": (op8_packing, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_conversations": (op10_conversations, sql.CONVERSATIONS),
+    "op11_vector_classes": (op11_vector_classes, sql.EMBEDDINGS),
     "op12_spelling": (op12_spelling, sql.SPELLING),
     "op13_phrases": (op13_phrases, sql.PHRASES),
 }
