@@ -7,10 +7,13 @@ weighted Jaccard similarity. Texts that agree in all rows of a band share a buck
 
 No bucket gives out all its pairs. Each bucket has a pivot, the member that shares buckets
 with most others: among edited copies that is what they were copied from. Every member is
-compared to it with its whole text; links make classes. Only where one bucket then still
-holds several classes do members of different classes meet, by a longer sketch of one bit
-for each of BITS further draws, and those that may be similar enough are compared with
-their whole texts. Pairs of one class need no comparison.
+compared to it with its whole text; links make classes. Where a bucket then still holds
+several classes, members of its largest class become pivots in turn, one a round, which the
+members of other classes are compared to; that costs a row per member, and goes on while it
+links. Members that are still apart then meet in blocks, all but those of the largest class
+with each other and with that class: their whole texts are compared by the runs that they
+share, and a spanning forest of the links comes out of a block, not its pairs. Pairs of one
+class need no comparison, and no pair of a bucket is left out but for draws far apart.
 
 Document frequencies of all runs are counted. Texts are dealt to chunks by a hash; every
 chunk asks for each of its distinct runs once, packed into one row per range of run hashes.
@@ -24,19 +27,20 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import documents, linked_classes
 from ledgerloom.llm.url_filter import blocked_bloom, may_contain
-from ledgerloom.operators.skew import partitions
+from ledgerloom.operators.skew import lookup_join, partitions
 from ledgerloom.operators.slices import cut, discard
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
-#: Bytes of text, and for every document as many as DOC_BYTES, of a chunk and of all that a
-#: range of run hashes is asked for.
-CHUNK_BYTES, RANGE_BYTES, DOC_BYTES = 1 << 22, 1 << 23, 1000
+#: Bytes of text, and for every document as many as DOC_BYTES, of a chunk.
+CHUNK_BYTES, DOC_BYTES = 1 << 22, 1000
+#: Ranges of run hashes per shuffle partition; a chunk asks each of them in one row.
+RANGES = 4
 #: Bytes of text that are worked on at once.
 BLOCK = 1 << 19
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
@@ -44,10 +48,10 @@ RUN_BITS = 52
 #: Share of equal draws below which a pair is not worth reading; at a similarity of 0.8 the
 #: share of 72 draws lies below it once in a hundred million times.
 LEAST_DRAWS = 0.5
-#: Bits of the sketch by which members of different classes meet, and the least similarity
-#: that it must show; at a similarity of 0.8 it shows less once in a thousand times.
-BITS = 1024
-LEAST_SHOWN = 0.74
+#: A round of further pivots must link one of so many members for another to follow.
+FRUITFUL = 8
+#: Members of a bucket in a block, of which two meet at once.
+MET = 256
 BLOOM_BLOCKS = 1 << 16
 
 PRIME = 0x100000001B3
@@ -227,7 +231,7 @@ def _chunked(df: DataFrame) -> tuple[DataFrame, int, int]:
     node = text_key(F.col("text"))
     chunk = F.pmod(F.xxhash64("doc_id", "node"), F.lit(chunks)).alias("chunk")
     keyed = df.select("doc_id", node.alias("node"), "text").select(chunk, "doc_id", "node", "text")
-    return keyed, total, max(partitions(df), work // RANGE_BYTES)
+    return keyed, total, RANGES * partitions(df)
 
 
 def _asked(keyed: DataFrame, ranges: int) -> DataFrame:
@@ -275,20 +279,6 @@ def _answered(asked: DataFrame) -> DataFrame:
     return asked.groupBy("place").applyInArrow(answer, "chunk bigint, place bigint, found binary")
 
 
-def document_frequencies(df: DataFrame) -> Weights:
-    """Weights of the runs of a small frame (doc_id, text), all held in one place.
-
-    ``signatures`` counts the same without that.
-    """
-    import numpy as np
-
-    keyed, total, ranges = _chunked(df)
-    rows = [(r.runs, r.counts) for r in _asked(keyed, ranges).select("runs", "counts").collect()]
-    runs, sums, _ = _summed([(b"", b""), *map(lambda r: (bytes(r[0]), bytes(r[1])), rows)])
-    often = sums > 1
-    return Weights(total, runs[often], sums[often].astype(float))
-
-
 @lru_cache(maxsize=1)
 def _gamma():
     """65,536 quantiles of the Gamma(2, 1) distribution, and their logarithms."""
@@ -424,10 +414,9 @@ def _texts(ids: DataFrame, nodes: DataFrame, df: DataFrame) -> DataFrame:
     wanted = cut(nodes.select("id", "node", found.alias("found")).join(ids.select("id").distinct(), "id", "left_semi"))
     bloom = cut(blocked_bloom(wanted.select(F.hex("node").alias("key")), BLOOM_BLOCKS))
     near = df.select("text", text_key(F.col("text")).alias("node")).withColumn("key", F.hex("node"))
-    # the filter keeps texts that nobody asks for from being moved
-    near = may_contain(near, bloom, BLOOM_BLOCKS).join(wanted.select("id", "node"), "node")
-    texts = near.groupBy("id").agg(F.first("text").alias("text"))
-    texts = cut(texts.join(wanted.select("id", "found"), "id"))
+    # the filter keeps texts that nobody asks for from being moved, the first aggregation copies
+    near = may_contain(near, bloom, BLOOM_BLOCKS).groupBy("node").agg(F.first("text").alias("text"))
+    texts = cut(near.join(wanted, "node").select("id", "text", "found"))
     discard(wanted, bloom)
     return texts
 
@@ -436,6 +425,13 @@ def _linked(pairs: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights)
     """The pairs (a, b) of ids whose whole texts are similar enough."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     texts = _texts(ids, nodes, df)
+    links = _compared(pairs, texts, weights)
+    discard(texts)
+    return links
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """The pairs (a, b) whose texts (id, text, found) are similar enough."""
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -453,20 +449,11 @@ def _linked(pairs: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights)
         for c in ("a", "b")
     )
     read = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b", "found_a", "found_b")
-    links = cut(read.mapInArrow(compare, "a bigint, b bigint"))
-    discard(texts)
-    return links
+    return cut(read.mapInArrow(compare, "a bigint, b bigint"))
 
 
-def near_duplicates(df: DataFrame) -> DataFrame:
-    """doc_id, class_id, class_size of every row of (doc_id, text).
-
-    Documents whose texts are equal, or linked by chains of similarities of SIMILARITY or
-    more within buckets, have one class; class_id is its least doc_id, null if it has
-    none. Null texts are empty; texts without words are alike only if equal. Repeated rows
-    count each. A text of fewer than five words is one run. An empty table gives no rows.
-    """
-    df = documents(df)
+def _classes(df: DataFrame) -> DataFrame:
+    """doc_id, node (the text's key), class (a text's key) of every row of documents."""
     signed, weights = signatures(df)
     signed = cut(signed)
     nodes = signed.where("bands IS NOT NULL").groupBy("node")
@@ -491,10 +478,9 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     links = _linked(cut(pairs.where(_draws_alike()).select("a", "b")), nodes, df, weights)
     classes = linked_classes(links)
 
-    rest = _rest_pairs(placed.where("n > 2"), classes, nodes, df, weights)
-    if not rest.isEmpty():
-        links = links.unionByName(_linked(rest, nodes, df, weights))
-        classes = linked_classes(links)
+    rest = _rest_links(placed.where("n > 2"), classes, nodes, df, weights)
+    if rest is not None:
+        classes = linked_classes(links.unionByName(rest))
 
     discard(placed)
     # the class of a text goes by the key of its least member; texts without links are their own
@@ -504,25 +490,44 @@ def near_duplicates(df: DataFrame) -> DataFrame:
         classes.select(F.col("node").alias("member"), "class"), "member"
     )
     named_by = known.join(heads, "class").select("node", "head")
-    own = signed.select("doc_id", "node").join(named_by, "node", "left")
-    own = own.select("doc_id", F.coalesce("head", "node").alias("class"))
+    own = lookup_join(signed.select("doc_id", "node"), named_by, "node", "left")
+    return cut(own.select("doc_id", "node", F.coalesce("head", "node").alias("class")))
+
+
+def near_duplicates(df: DataFrame) -> DataFrame:
+    """doc_id, class_id, class_size of every row of (doc_id, text).
+
+    Documents whose texts are equal, or linked by chains of similarities of SIMILARITY or
+    more within buckets, have one class; class_id is its least doc_id, null if it has
+    none. Null texts are empty; texts without words are alike only if equal. Repeated rows
+    count each. A text of fewer than five words is one run. An empty table gives no rows.
+    """
+    own = _classes(documents(df)).select("doc_id", "class")
     named = own.groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")
     )
-    return own.join(named, "class").select("doc_id", "class_id", "class_size")
+    return lookup_join(own, named, "class", distinct=True).select("doc_id", "class_id", "class_size")
 
 
 def one_per_class(df: DataFrame) -> DataFrame:
     """Of the rows of ``df`` one per near-duplicate class, that of its least doc_id.
 
-    doc_id is the key: of rows that repeat it one stays. Rows without one cannot stand for
-    a class; of those with equal texts one stays.
+    Rows that repeat a doc_id with other texts are documents of their own: of each class the
+    row with the least doc_id stays, of these the one with the least key of its text, of rows
+    alike in both the one with the least hash of all columns. A class without any doc_id keeps
+    a row too.
     """
-    classes = near_duplicates(df)
-    named = classes.where("class_id IS NOT NULL").select(F.col("class_id").alias("doc_id"))
-    kept = df.join(named.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = df.where("doc_id IS NULL").dropDuplicates(["text"])
-    return kept.unionByName(nameless)
+    own = _classes(documents(df))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("first")
+    heads = own.groupBy("class").agg(first).select("first.doc_id", "first.node")
+    heads = heads.select(F.col("doc_id").alias("_head"), F.col("node").alias("_node"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = df.withColumn("_node", text_key(text)).withColumn("_head", F.col("doc_id").cast("bigint"))
+    same = F.col("k._node").eqNullSafe(F.col("h._node")) & F.col("k._head").eqNullSafe(F.col("h._head"))
+    kept = keyed.alias("k").join(heads.alias("h"), same, "left_semi")
+    order = Window.partitionBy("_node", "_head").orderBy(F.xxhash64(*df.columns))
+    kept = kept.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return kept.select(df.columns)
 
 
 def _draws_alike() -> Column:
@@ -534,55 +539,128 @@ def _draws_alike() -> Column:
     return sum((e.cast("int") for e in equal), F.lit(0)) >= LEAST_DRAWS * BANDS * ROWS
 
 
-def _bit_sketches(texts: DataFrame, weights: Weights) -> DataFrame:
-    """id, bits (array of 64-bit words): the lowest bit of BITS further draws of a text."""
-
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        functions = range(BANDS * ROWS, BANDS * ROWS + BITS)
-        for batch in batches:
-            parts, texts = [np.zeros((0, BITS // 8), "u1")], batch.column("text")
-            for at, end in _blocks(texts):
-                doc, runs, counts = _distinct(texts.slice(at, end - at).to_pylist())
-                held = weights.of(runs, counts, _found(batch.column("found"), at, end))
-                drawn = draws(doc, runs, held, end - at, functions)
-                parts.append(np.packbits((drawn & np.uint64(1)).astype(bool), axis=1))
-            words = np.ascontiguousarray(np.concatenate(parts)).view("i8")
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(words) + 1, dtype="i4") * (BITS // 64)), pa.array(words.ravel())
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "bits"])
-
-    return texts.select("id", "text", "found").mapInArrow(run, "id bigint, bits array<bigint>")
-
-
-def _rest_pairs(
+def _rest_links(
     placed: DataFrame, classes: DataFrame, nodes: DataFrame, df: DataFrame, weights: Weights
-) -> DataFrame:
-    """Pairs of one bucket and different classes that no pivot was part of and that may be similar."""
+) -> DataFrame | None:
+    """Links (a, b) between members of one bucket and different classes, enough to join the
+    classes that any links join."""
     classes = classes.withColumnRenamed("node", "id")
     kept = placed.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
-    kept = cut(kept.where("id <> pivot"))
-    mixed = kept.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    mixed = mixed.where("low <> high").select("bucket")
-    open_ = cut(kept.join(mixed, "bucket", "left_semi"))
-    texts = _texts(open_, nodes, df)
-    bits = cut(_bit_sketches(texts, weights))
-    discard(texts, kept)
-    keyed = open_.join(bits, "id").select("bucket", "id", "class", "bits")
-    a = keyed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "class", "bits")])
-    b = keyed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "class", "bits")])
-    apart = sum(
-        (
-            F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i]))
-            for i in range(BITS // 64)
-        ),
-        F.lit(0),
-    )
-    fresh = (F.col("id_a") < F.col("id_b")) & (F.col("class_a") != F.col("class_b"))
-    met = a.join(b, "bucket").where(fresh & (apart <= (1 - LEAST_SHOWN) / 2 * BITS))
-    rest = cut(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    discard(open_, bits)
+    kept = cut(kept.where("id <> pivot").select("bucket", "id", "class"))
+    members = cut(_mixed(kept))
+    discard(kept)
+    if members.isEmpty():
+        return None
+    texts = _texts(members, nodes, df)
+    found = []
+    while True:
+        sizes = members.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("largest"))
+        marked = members.join(largest.select("bucket", F.col("largest.class").alias("largest")), "bucket")
+        marked = cut(marked)
+        pivots = marked.where("class = largest").groupBy("bucket").agg(
+            F.min(F.struct(F.xxhash64("id", F.lit(len(found))).alias("order"), "id")).alias("pivot")
+        )
+        pivots = pivots.select("bucket", F.col("pivot.id").alias("pivot"))
+        strays = marked.where("class <> largest").join(pivots, "bucket")
+        pairs = cut(strays.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct())
+        new = _compared(pairs, texts, weights)
+        found.append(new)
+        compared, linked = pairs.count(), new.count()
+        # a pivot has met all that is not of its class
+        left = marked.drop("largest").join(pivots.withColumnRenamed("pivot", "id"), ["bucket", "id"], "left_anti")
+        before, members = members, cut(_mixed(_renamed(left, marked, new)))
+        discard(before, marked, pairs)
+        if linked * FRUITFUL < compared or members.isEmpty():
+            break
+    found.append(_met(members, texts, weights))
+    discard(members, texts)
+    rest = found[0]
+    for part in found[1:]:
+        rest = rest.unionByName(part)
     return rest
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members (bucket, id, class) of buckets with more than one class."""
+    spans = members.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return members.join(spans.where("low <> high").select("bucket"), "bucket", "left_semi")
+
+
+def _renamed(left: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members that are left, with the classes that the links among all of them leave."""
+    known = members.select("id", "class").distinct()
+    a, b = (known.select(F.col("id").alias(c), F.col("class").alias(f"class_{c}")) for c in ("a", "b"))
+    edges = links.join(a, "a").join(b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    joined = linked_classes(edges).toDF("class", "joined")
+    renamed = left.join(joined, "class", "left")
+    return renamed.select("bucket", "id", F.coalesce("joined", "class").alias("class"))
+
+
+def _met(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Links (a, b) among the members (bucket, id, class) of different classes, as a forest of
+    each two blocks. Blocks of the largest class of a bucket meet those of others only."""
+    sizes = members.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("l"), F.sum("n").alias("all"))
+    largest = largest.select(
+        "bucket",
+        F.col("l.class").alias("largest"),
+        F.ceil((F.col("all") - F.col("l.n")) / MET).cast("int").alias("strays"),
+        F.ceil(F.col("l.n") / MET).cast("int").alias("same"),
+    )
+    own = F.col("class") == F.col("largest")
+    block = F.pmod(F.xxhash64("id"), F.when(own, F.col("same")).otherwise(F.col("strays"))).cast("int")
+    # strays take the numbers from 0 on, the largest class those after them
+    dealt = members.join(largest, "bucket").withColumn("block", F.when(own, block + F.col("strays")).otherwise(block))
+    alone = F.sequence(F.lit(0), F.col("strays") - 1)
+    both = F.sequence(F.lit(0), F.col("strays") + F.col("same") - 1)
+    dealt = dealt.withColumn("other", F.explode(F.when(own, alone).otherwise(both)))
+    meeting = dealt.select(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "id", "class"
+    )
+
+    def meet(table):
+        import numpy as np
+        import pyarrow as pa
+
+        ids = np.array(table.column("id").to_pylist(), "i8")
+        groups = np.unique(table.column("class").to_pylist(), return_inverse=True)[1]
+        doc, runs, weight, at = [], [], [], 0
+        for first, end in _blocks(table.column("text").combine_chunks()):
+            part = table.slice(first, end - first)
+            d, r, c = _distinct(part.column("text").to_pylist())
+            doc.append(d + at)
+            runs.append(r)
+            weight.append(weights.of(r, c, _found(part.column("found").combine_chunks(), 0, end - first)))
+            at += end - first
+        doc, runs, weight = (np.concatenate(x) for x in (doc, runs, weight))
+        total = np.bincount(doc, weight, len(ids))
+        order = np.argsort(runs, kind="stable")
+        doc, runs, weight = doc[order], runs[order], weight[order]
+        starts = np.flatnonzero(np.diff(runs, prepend=runs[:1] + np.uint64(1)))
+        common = np.zeros((len(ids), len(ids)))
+        for start, stop in zip(starts, np.append(starts[1:], len(runs))):
+            if stop - start > 1:
+                d, w = doc[start:stop], weight[start:stop]
+                common[np.ix_(d, d)] += np.minimum(w[:, None], w)
+        union = total[:, None] + total - common
+        alike = common >= SIMILARITY * union
+        alike &= groups[:, None] != groups
+        one, two = np.nonzero(np.triu(alike, 1))
+        kept, parent = [], list(range(groups.max() + 1))
+
+        def root(g):
+            while parent[g] != g:
+                parent[g] = g = parent[parent[g]]
+            return g
+
+        for a, b in zip(one.tolist(), two.tolist()):
+            x, y = root(groups[a]), root(groups[b])
+            if x != y:
+                parent[x] = y
+                kept.append((a, b))
+        a, b = (ids[[p[k] for p in kept]] if kept else ids[:0] for k in (0, 1))
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    read = meeting.join(texts, "id").select("bucket", "one", "two", "id", "class", "text", "found")
+    return cut(read.groupBy("bucket", "one", "two").applyInArrow(meet, "a bigint, b bigint"))

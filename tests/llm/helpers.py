@@ -1,7 +1,10 @@
 """Frames of small documents with the awkward cases that every operator must take."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import weighted_minhash as wm
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = "lorem ipsum dolor sit amet consectetur " * 3000
 
@@ -40,3 +43,15 @@ def clashing(df):
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=str)
+
+
+def document_frequencies(df):
+    """Weights of the runs of a small frame (doc_id, text), all held in one place.
+
+    ``signatures`` counts the same without that.
+    """
+    keyed, total, ranges = wm._chunked(df)
+    rows = [(r.runs, r.counts) for r in wm._asked(keyed, ranges).select("runs", "counts").collect()]
+    runs, sums, _ = wm._summed([(b"", b""), *map(lambda r: (bytes(r[0]), bytes(r[1])), rows)])
+    often = sums > 1
+    return wm.Weights(total, runs[often], sums[often].astype(float))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import mtree, url_filter, weighted_minhash as wm
 from ledgerloom.llm.common import linked_classes
-from tests.llm.helpers import AWKWARD, DOCUMENTS, clashing, documents, rows
+from tests.llm.helpers import AWKWARD, DOCUMENTS, clashing, document_frequencies, documents, rows
 
 
 def weighted_jaccard(a, b):
@@ -60,7 +60,7 @@ def test_document_frequencies_are_exact(spark):
     for i in range(400):
         text = " ".join(f"t{rng.randrange(10**6)}" for _ in range(20))
         docs.append((i, text + " " + passage * (i % 3 == 0), "en", "a", 0))
-    weights = wm.document_frequencies(documents(spark, docs).select("doc_id", "text"))
+    weights = document_frequencies(documents(spark, docs).select("doc_id", "text"))
     [(_, _, runs, n)] = wm.shingles(pa.array([passage]))
     inside = set(weights.runs.tolist())
     # runs of the passage alone, without the word before it
@@ -142,17 +142,76 @@ def test_near_duplicates(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
 
 
-def test_rest_pairs_are_of_different_classes_and_alike(spark):
-    """Members of a bucket other than the pivot meet if their classes differ and sketches agree."""
+def classes_of(texts, linked):
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, j in linked:
+        a, b = sorted((root(i), root(j)))
+        least[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("fruitful", [0, 8, 10**9])
+def test_rest_links_join_what_any_links_join(spark, monkeypatch, fruitful):
+    """By further pivots only, by both ways, or by blocks only: as comparing all pairs of a bucket."""
+    monkeypatch.setattr(wm, "FRUITFUL", fruitful)
+    monkeypatch.setattr(wm, "MET", 7)
     rng = random.Random(9)
-    base = " ".join(f"v{rng.randrange(5000)}" for _ in range(200))
-    texts = [base, *near_copies(rng, base, 3, 2), " ".join(f"z{i}" for i in range(200))]
+    base = [" ".join(f"v{rng.randrange(5000)}" for _ in range(120)) for _ in range(3)]
+    texts = [t for b in base for k in (1, 2, 3, 5) for t in near_copies(rng, b, 6, k)]
+    texts += [" ".join(f"z{i}{k}" for i in range(100)) for k in range(5)]
     df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
     nodes = df.select(F.col("doc_id").alias("id"), wm.text_key(F.col("text")).alias("node"))
-    placed = spark.createDataFrame([(i, 100, 5, 0) for i in range(5)], "id bigint, bucket bigint, n bigint, pivot bigint")
-    classes = spark.createDataFrame([(0, 0), (1, 0), (2, 0)], "node bigint, class bigint")
-    got = wm._rest_pairs(placed, classes, nodes, df, NO_WEIGHTS).collect()
-    assert {(r.a, r.b) for r in got} == {(1, 3), (2, 3)}
+    places = [(i, b, 100, -1) for i in range(len(texts)) for b in (7, 8 + i % 2)]
+    placed = spark.createDataFrame(places, "id bigint, bucket bigint, n bigint, pivot bigint")
+    known = spark.createDataFrame([(i, 0) for i in range(4)], "node bigint, class bigint")
+    got = wm._rest_links(placed, known, nodes, df, NO_WEIGHTS).collect()
+    alike = {(i, j): weighted_jaccard(texts[i], texts[j]) >= 0.8 for i in range(len(texts)) for j in range(i)}
+    assert all(alike[max(r.a, r.b), min(r.a, r.b)] for r in got)
+    given = [(0, i) for i in range(4)]
+    want = classes_of(texts, given + [pair for pair, near in alike.items() if near])
+    assert classes_of(texts, given + [(r.a, r.b) for r in got]) == want
+    assert wm._rest_links(placed.where("id < 4"), known, nodes, df, NO_WEIGHTS) is None
+
+
+def test_classes_and_recall_under_the_weights_of_the_whole_table(spark):
+    """All pairs compared by brute force with TF-IDF weights, near the threshold too."""
+    rng = random.Random(12)
+    common = " ".join(f"p{i}" for i in range(60))
+    texts = []
+    for g in range(25):
+        base = " ".join(f"g{rng.randrange(9000)}" for _ in range(rng.randrange(40, 200)))
+        base = f"{common} {base}" if g % 3 == 0 else base
+        texts += [base, *near_copies(rng, base, 4, rng.choice([1, 2, 4, 8]))]
+    texts += texts[:10] + ["", "a b", "a b"]
+    df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
+    weights = document_frequencies(df)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    alike = []
+    for at in range(0, len(pairs), 1000):
+        sides = zip(*[(texts[i], texts[j]) for i, j in pairs[at : at + 1000]])
+        alike += wm.similarities(*map(list, sides), weights).tolist()
+    words = [bool(t.split()) for t in texts]
+    links = [(i, j) for (i, j), s in zip(pairs, alike) if s >= 0.8 and (texts[i] == texts[j] or words[i] and words[j])]
+    got = {r.doc_id: r.class_id for r in wm.near_duplicates(df).collect()}
+    found = sum(got[i] == got[j] for i, j in links)
+    assert len(links) > 100 and found >= 0.99 * len(links)
+    # nothing is in one class that no chain of links joins
+    want = classes_of(texts, links)
+    assert all(want[i] == want[got[i]] for i in got)
+
+
+def test_no_document_is_lost_where_ids_repeat(spark):
+    rng = random.Random(13)
+    one, two, three = (" ".join(f"r{rng.randrange(9000)}" for _ in range(60)) for _ in range(3))
+    docs = [(1, one, "en", "a", 1), (1, two, "en", "b", 2), (1, one, "en", "a", 1), (2, three, "de", "c", 3), (None, three, "de", None, 3), (None, None, None, None, None), (3, two, "es", "d", 4)]
+    kept = wm.one_per_class(clashing(documents(spark, docs)))
+    assert rows(kept, "doc_id", "text", "source") == sorted([(1, one, "a"), (1, two, "b"), (2, three, "c"), (None, None, None)], key=str)
 
 
 def test_star_of_copies_is_one_class(spark):
