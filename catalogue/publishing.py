@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from catalogue.registers import over
 from ledgerloom.operators.slices import ensure_checkpoint_dir
-from ledgerloom.streaming import publish
+from ledgerloom.sources import register
+from ledgerloom.streaming import hashtree, publish
 
 
 def feed(r) -> DataFrame:
@@ -134,34 +135,105 @@ def returned(r) -> DataFrame:
     return r.table("orders").select(F.col("o_orderkey").alias("publish_id"), known.alias("entity_id"))
 
 
-def published_run(r) -> str:
-    """Publish all events as a feed, in three batches, the last of them twice; the folder."""
-    sink = f"{ensure_checkpoint_dir(r.spark)}/published-{uuid4().hex}"
-    payloads = publish.sync_payload(feed(r))
-    size = -(-payloads.count() // 3)
-    for batch in (0, 1, 2, 2):
-        publish.publish_batch(publish.feed_slice(payloads, batch * size, size), batch, sink)
-    return sink
+RUNS = 3
+SCHEMA = register.FEED_SCHEMA.replace("entity_id string", "entity_id bigint")
+
+
+def write_lines(r, source: str, run: int) -> None:
+    """One third of the events as lines of JSON, in order, in files of their own."""
+    size = -(-r.table("events").count() // RUNS)
+    third = publish.feed_slice(feed(r), run * size, size)
+    line = F.to_json(F.struct(*[c for c in third.columns if c != "feed_index"]), {"ignoreNullFields": "false"})
+    ordered = third.repartitionByRange(4, "feed_index").sortWithinPartitions("feed_index")
+    ordered.select(line.alias("value")).write.text(f"{source}/{run}")
+
+
+def changed(payloads: DataFrame) -> DataFrame:
+    """The feed with other titles for retired records in its first half."""
+    half = payloads.agg(F.floor(F.max("feed_index") / 2)).scalar()
+    other = (F.col("status") == "retired") & (F.col("feed_index") < half)
+    return payloads.withColumn("title", F.when(other, "renamed").otherwise(F.col("title")))
+
+
+def published_run(r, change: bool = False) -> tuple[str, DataFrame]:
+    """Publish all events as a feed of lines, by a query that is started anew for each third of
+    them; the sink, and the feed as it is at the end. ``change``: it is another one by then."""
+    folder = f"{ensure_checkpoint_dir(r.spark)}/publishing-{uuid4().hex}"
+    source, sink = f"{folder}/feed", f"{folder}/sink"
+    for run in range(RUNS):
+        write_lines(r, source, run)
+        present = publish.sync_payload(register.read_feed(r.spark, f"{source}/*", schema=SCHEMA))
+        if change and run == RUNS - 1:
+            present = changed(present)
+        stream = publish.sync_payload(register.read_feed(r.spark, f"{source}/*", stream=True, schema=SCHEMA))
+        query = publish.publish_stream(
+            stream, sink, f"{folder}/checkpoint", available_now=True, published=present if run else None
+        )
+        query.awaitTermination()
+    return sink, present
 
 
 STATE = ("feed", "next_offset", "selected", "created", "updated", "failed", "status", "batch")
+FLAGS = ("invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression",
+         "oversize_batch", "offset_past_end", "bad_status")
 
 
-def run_progress(r) -> DataFrame:
+def progress_sql(change: bool) -> str:
+    flags = ", ".join(f"{'batch = 2' if change and c == 'fingerprint_changed' else 'false'} AS {c}" for c in FLAGS)
+    return (
+        f"WITH {PLAN.replace('user_id IN (SELECT doc_id FROM labels)', 'false')}, z AS (SELECT (COUNT(*) + 2) // 3 AS size FROM "
+        "events), b AS (SELECT feed_index // size AS batch, MAX(feed_index) + 1 AS next_offset, COUNT(*) AS n, COUNT(*) FILTER "
+        "(action = 'CREATE') AS c FROM plan, z GROUP BY 1) SELECT 'feed' AS feed, next_offset, CAST(SUM(n) OVER w AS BIGINT) AS "
+        "selected, CAST(SUM(c) OVER w AS BIGINT) AS created, CAST(SUM(n - c) OVER w AS BIGINT) AS updated, CAST(0 AS BIGINT) AS "
+        f"failed, 'READY_TO_RESUME' AS status, CAST(batch AS INT) AS batch, {flags} FROM b WINDOW w AS (ORDER BY batch)"
+    )
+
+
+def run_progress(r, change: bool = False) -> DataFrame:
     """The progress of that run, with what its audit says."""
-    sink = published_run(r)
+    sink, _ = published_run(r, change)
     progress = r.spark.read.parquet(f"{sink}/progress")
     sizes = r.table("events").agg(F.lit("feed").alias("feed"), F.count("*").alias("records"))
-    size = -(-r.table("events").count() // 3)
+    size = -(-r.table("events").count() // RUNS)
     told = publish.progress_violations(progress, size, ("batch",), records=sizes)
-    flags = ("invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression",
-             "oversize_batch", "offset_past_end", "bad_status")
-    return told.select(*STATE, *flags)
+    return told.select(*STATE, *FLAGS)
 
 
 def run_state(r) -> DataFrame:
-    return publish.published_state(r.spark, published_run(r))
+    return publish.published_state(r.spark, published_run(r)[0])
+
 
+def run_changes(r) -> DataFrame:
+    """Where a feed that was published is another one now."""
+    sink, present = published_run(r)
+    return publish.changed_positions(r.spark, sink, changed(present))
+
+
+def run_events(r) -> DataFrame:
+    """The event log of that run."""
+    events = r.spark.read.parquet(f"{published_run(r)[0]}/events")
+    return events.select("entity_id", "feed_index", "action", "event", "batch")
+
+
+def snapshot_changes(r) -> DataFrame:
+    """Two snapshots of orders, compared by their hash trees."""
+    folder = f"{ensure_checkpoint_dir(r.spark)}/snapshots-{uuid4().hex}"
+    orders = r.table("orders").withColumnRenamed("o_custkey", "entity_id")
+    for name, df in (("before", orders), ("after", closed(orders))):
+        hashtree.write_snapshot(df, f"{folder}/{name}", order_columns(), SNAPSHOT_RANGES)
+    return hashtree.snapshot_changes(r.spark, f"{folder}/before", f"{folder}/after", SNAPSHOT_RANGES)
+
+
+def positions(r) -> DataFrame:
+    """Positions of records in files of lines, read in small blocks."""
+    source = f"{ensure_checkpoint_dir(r.spark)}/lines-{uuid4().hex}"
+    for run in range(RUNS):
+        write_lines(r, source, run)
+    lines = register.feed_lines(r.spark, f"{source}/*")
+    return register.parse_lines(register.place_lines(lines), SCHEMA).select("feed_index", "entity_id", "label", "index.alias_count")
+
+
+SNAPSHOT_RANGES = 256
 
 
 QUERIES = {
@@ -202,21 +274,33 @@ QUERIES = {
         "o_orderstatus = 'P' THEN o_custkey + 1 WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL ELSE o_custkey "
         "END AS returned_id FROM orders) WHERE sent_id IS DISTINCT FROM returned_id",
     ),
-    "publish_progress": (
-        over(run_progress),
-        f"WITH {PLAN.replace('user_id IN (SELECT doc_id FROM labels)', 'false')}, z AS (SELECT (COUNT(*) + 2) // 3 AS size FROM "
-        "events), b AS (SELECT feed_index // size AS batch, MAX(feed_index) + 1 AS next_offset, COUNT(*) AS n, COUNT(*) FILTER "
-        "(action = 'CREATE') AS c FROM plan, z GROUP BY 1) SELECT 'feed' AS feed, next_offset, CAST(SUM(n) OVER w AS BIGINT) AS "
-        "selected, CAST(SUM(c) OVER w AS BIGINT) AS created, CAST(SUM(n - c) OVER w AS BIGINT) AS updated, CAST(0 AS BIGINT) AS "
-        "failed, 'READY_TO_RESUME' AS status, CAST(batch AS INT) AS batch, "
-        + ", ".join(
-            f"false AS {c}"
-            for c in (
-                "invalid_offset", "invalid_fingerprint", "fingerprint_changed", "offset_regression", "oversize_batch",
-                "offset_past_end", "bad_status",
-            )
-        )
-        + " FROM b WINDOW w AS (ORDER BY batch)",
+    "publish_progress": (over(run_progress), progress_sql(False)),
+    "publish_changed_feed": (over(lambda r: run_progress(r, True)), progress_sql(True)),
+    "changed_positions": (
+        over(run_changes),
+        "WITH c AS (SELECT event_id AS feed_index FROM events WHERE event_type = 'error' AND event_id < (SELECT MAX(event_id) // 2 "
+        "FROM events)) SELECT feed_index, 'changed' AS change, (SELECT COUNT(DISTINCT feed_index // 65536) FROM c) AS ranges_read "
+        "FROM c",
+    ),
+    "publish_events": (
+        over(run_events),
+        f"WITH {PLAN.replace('user_id IN (SELECT doc_id FROM labels)', 'false')} SELECT entity_id, feed_index, action, 'success' AS "
+        "event, CAST(feed_index // (((SELECT COUNT(*) FROM events) + 2) // 3) AS INT) AS batch FROM plan",
+    ),
+    "feed_positions": (
+        over(positions),
+        "SELECT event_id AS feed_index, user_id AS entity_id, CASE WHEN event_type <> 'signup' THEN event_type END AS label, "
+        "LENGTH(props) AS alias_count FROM events",
+    ),
+    "snapshot_changes": (
+        over(snapshot_changes),
+        "WITH t AS (SELECT o_custkey AS entity_id, o_orderkey, o_orderstatus AS status, 1 AS b, 0 AS a FROM orders UNION ALL "
+        "SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey + 1 ELSE o_custkey END, o_orderkey, CASE WHEN o_orderstatus "
+        "= 'P' THEN 'F' ELSE o_orderstatus END, 0, 1 FROM orders), c AS (SELECT entity_id, o_orderkey, status, SUM(b) AS b, "
+        "SUM(a) AS a FROM t GROUP BY ALL), m AS (SELECT entity_id, CASE WHEN SUM(b) = 0 THEN 'added' WHEN SUM(a) = 0 THEN "
+        "'removed' ELSE 'changed' END AS change, CAST('0x' || SUBSTRING(SHA256(CAST(entity_id AS VARCHAR)), 1, 8) AS BIGINT) * "
+        f"{SNAPSHOT_RANGES} // 4294967296 AS leaf FROM c GROUP BY 1 HAVING BOOL_OR(a <> b)) SELECT entity_id, change, (SELECT "
+        "COUNT(DISTINCT leaf) FROM m) AS ranges_read FROM m",
     ),
     "publish_state": (
         over(run_state),

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import sys
+from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ledgerloom.roles import require_tables
 
+# The batch functions travel to the executors whole, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The shape of one record of the profile feed.
 FEED_SCHEMA = (
     "entity_id string, label string, profile_feed_version string, schema_version string, "
@@ -89,11 +94,69 @@ def read_records_json(spark: SparkSession, path: str, schema: T.StructType | str
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
-def read_feed(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
-    """The profile feed, one JSON record per line, with the place it came from."""
+#: Where a line of a feed was read: enough to give it its position later on.
+PLACE = ("source_file", "block", "line", "blank")
+
+
+def feed_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
+    """The lines of a feed (value) with their file, the block of it that a task read, and a
+    number that rises within the block."""
     reader = spark.readStream if stream else spark.read
-    feed = reader.schema(FEED_SCHEMA).options(**options).json(path)
-    return feed.withColumn("source_file", F.col("_metadata.file_path"))
+    lines = reader.options(**options).text(path, lineSep="\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        (F.trim("value") == "").alias("blank"),
+    )
+    if not stream:
+        return lines.withColumn("line", F.monotonically_increasing_id())
+    # streams have no such number; a task reads its lines in order
+    return lines.mapInArrow(_numbered, "value string, source_file string, block bigint, blank boolean, line bigint")
+
+
+def _numbered(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    number = 0
+    for batch in batches:
+        lines = pa.array(range(number, number + batch.num_rows), pa.int64())
+        number += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, lines], [*batch.schema.names, "line"])
+
+
+def place_lines(lines: DataFrame, base: int = 0, position: str = "feed_index") -> DataFrame:
+    """``lines`` with their positions, blank lines (which count) left out.
+
+    Positions run through the files in the order of their names, from ``base`` on. They hang
+    neither on how files are cut into blocks nor on how many files are read at once: with the
+    number of lines read before as ``base``, later files get what they would get in one go.
+    Nothing is moved but one row per block.
+    """
+    blocks = lines.groupBy("source_file", "block").agg(F.min("line").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy("source_file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = lines.where("NOT blank").join(blocks, ["source_file", "block"])
+    index = F.lit(base) + F.col("_skip") + F.col("line") - F.col("_first")
+    return placed.withColumn(position, index.cast("bigint")).drop("_first", "_skip", "block", "line", "blank")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType | str = FEED_SCHEMA) -> DataFrame:
+    """The records of feed lines; a line that is no JSON record fails while it is read."""
+    record = F.from_json("value", schema, {"mode": "FAILFAST"})
+    others = [c for c in lines.columns if c != "value"]
+    return lines.withColumn("_record", F.when(F.trim("value") != "", record)).select("_record.*", *others)
+
+
+def read_feed(
+    spark: SparkSession, path: str, stream: bool = False, schema: T.StructType | str = FEED_SCHEMA, **options: str
+) -> DataFrame:
+    """The profile feed, one JSON record per line, with its file and its position ``feed_index``.
+
+    A stream gives all lines, with PLACE in place of the position, which ``publish_batch`` works
+    out by the number of lines published before.
+    """
+    lines = feed_lines(spark, path, stream, **options)
+    return parse_lines(lines if stream else place_lines(lines), schema)
 
 
 def with_provenance(report: DataFrame, source: DataFrame) -> DataFrame:

@@ -1,15 +1,17 @@
 """Publishing the profile feed: slices, payloads, create or update, progress and its audit.
 
-The feed is an append-only set of records. A batch is published by joining it to what was
-published before, never record by record. The streaming job keeps its place in Spark's own
-checkpoint; a batch that is replayed after a crash writes the same folder again.
+The feed is an append-only set of records. A batch is published as a whole, never record by
+record. The streaming job keeps its place in Spark's own checkpoint and the published ids in
+the state store, where a batch looks up its own ids only; a batch that is replayed after a
+crash writes the same folder again. Beside the published records lie the digests of ranges of
+positions, so that a feed whose published part has changed is found out and the changes are
+found without reading all of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
-from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +20,8 @@ from ledgerloom.functions.exprs import count_if, display_label, is_present, or_b
 from ledgerloom.operators.relate import ID
 from ledgerloom.operators.skew import beside, lookup_join
 from ledgerloom.operators.slices import cut, folder_exists, number_rows, with_previous
+from ledgerloom.sources.register import PLACE, place_lines
+from ledgerloom.streaming import hashtree, known as keyed
 
 # Actions and states of a publishing run.
 CREATE, UPDATE = "CREATE", "UPDATE"
@@ -60,7 +64,7 @@ def sync_payload(feed: DataFrame) -> DataFrame:
         "club_evidence",
         F.col("index.alias_count").alias("alias_count"),
         F.col("index.external_id_count").alias("external_id_count"),
-        *[c for c in ("feed_index",) if c in feed.columns],
+        *[c for c in ("feed_index", *PLACE) if c in feed.columns],
     )
 
 
@@ -121,9 +125,12 @@ def identity_mismatches(
 
 # One row per batch; counters run over all batches so far.
 PROGRESS = (
-    "feed string, feed_sha256 string, next_offset bigint, selected bigint, created bigint, updated bigint, "
-    "failed bigint, status string, started_at timestamp, last_success_at timestamp, completed_at timestamp"
+    "feed string, feed_sha256 string, published_sha256 string, last_file string, next_offset bigint, selected bigint, created bigint, "
+    "updated bigint, failed bigint, status string, started_at timestamp, last_success_at timestamp, completed_at timestamp"
 )
+RANGE_SUMS = "leaf bigint, n bigint, " + ", ".join(f"{s} decimal(38,0)" for s in hashtree.SUMS)
+#: Positions of a range whose records share a digest.
+RANGE = 1 << 16
 
 
 def _earlier(spark: SparkSession, folder: str, schema: str, before: int) -> DataFrame:
@@ -133,6 +140,17 @@ def _earlier(spark: SparkSession, folder: str, schema: str, before: int) -> Data
     return spark.read.schema(f"{schema}, batch int").parquet(folder).where(F.col("batch") < before)
 
 
+def _fingerprint(records: DataFrame, position: str) -> Column:
+    """The digest of a record at its position, whatever the order of its columns."""
+    fields = sorted(c for c in records.columns if c not in (position, "known", "action", *PLACE))
+    packed = [F.to_json(F.struct(c)) for c in fields]
+    return hashtree.record_digest([F.col(position), *packed])
+
+
+def _ranges(records: DataFrame, position: str, fingerprint: Column) -> DataFrame:
+    return hashtree.leaves(records, F.floor(F.col(position) / F.lit(RANGE)), fingerprint)
+
+
 def publish_batch(
     batch: DataFrame,
     batch_id: int,
@@ -143,41 +161,61 @@ def publish_batch(
 ) -> None:
     """Publish one batch into folders of its own; doing it again changes nothing.
 
-    Records without a position go on counting where the batch before has stopped. ``known``
-    holds every published id once, in the batch that created it, so a batch reads ids but no
-    earlier payloads. ``progress`` is the state to resume from and the history to audit:
-    feed and its fingerprint (that of the feed's name if none is given), next offset,
-    counters over all batches, status and times.
+    Lines of a feed (``read_feed`` as a stream) get their positions after the lines of the
+    batches before, so files come in the order of their names; other records without a position go on counting where the batch before has
+    stopped. A batch with a column ``known`` brings what the state store said of its ids, and
+    reads no earlier batch. Otherwise ``known`` in the sink, which holds every published id once,
+    is read. ``progress`` is the state to resume from and the history to audit: feed, next
+    offset, counters over all batches, status and times. ``published_sha256`` is the hash of all
+    that was published so far. ``feed_sha256`` is that of the first batch, until a run finds
+    (``resumed_sha256``) that the feed no longer begins with what was published.
     """
     spark = batch.sparkSession
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     state = _earlier(spark, f"{sink}/progress", PROGRESS, batch_id).orderBy(F.desc("batch")).first()
     before = state.asDict() if state else {}
-    if position not in batch.columns:
+    base, ending, last_file = before.get("next_offset") or 0, None, None
+    if position not in batch.columns and "line" in batch.columns:
+        batch = cut(batch)
+        first, last_file, lines = batch.agg(F.min("source_file"), F.max("source_file"), F.count("*")).first()
+        if first is not None and (before.get("last_file") or "") >= first:
+            raise ValueError(f"{first} comes after {before['last_file']}: files of a feed come in the order of their names")
+        ending = base + lines
+        batch = place_lines(batch, base, position).drop("source_file")
+    elif position not in batch.columns:
         placed = number_rows(batch.withColumn("_order", F.monotonically_increasing_id()), ["_order"], position)
-        base = before.get("next_offset") or 0
         batch = placed.withColumn(position, F.col(position) - 1 + base).drop("_order")
-    id_type = batch.schema[ID].dataType.simpleString()
-    known = _earlier(spark, f"{sink}/known", f"{ID} {id_type}", batch_id)
-    plan = cut(upsert_plan(batch, known.select(ID), position))
-    good = plan.where(F.col("action") != FAILED)
+    if "known" in batch.columns:
+        batch = cut(batch)
+        known, batch = batch.where("known").select(ID), batch.drop("known")
+    else:
+        id_type = batch.schema[ID].dataType.simpleString()
+        known = _earlier(spark, f"{sink}/known", f"{ID} {id_type}", batch_id).select(ID)
+    planned = upsert_plan(batch, known, position)
+    plan = cut(planned.withColumn("fingerprint", _fingerprint(batch, position)))
+    good = plan.where(F.col("action") != FAILED).drop("fingerprint")
 
     def write(df: DataFrame, table: str) -> None:
         df.write.mode("overwrite").parquet(f"{sink}/{table}/batch={batch_id}")
 
     write(latest_payloads(good.drop("action"), position), "published")
     write(plan.where(F.col("action") == CREATE).select(ID), "known")
-    events = plan.select(
-        ID, position, "action", F.when(F.col("action") == FAILED, "failure").otherwise("success").alias("event")
-    )
+    event = F.when(F.col("action") == FAILED, "failure").otherwise("success").alias("event")
+    events = plan.select(ID, position, "action", event, "fingerprint")
     write(events.withColumn("logged_at", F.current_timestamp()), "events")
+    write(_ranges(plan, position, F.col("fingerprint")), "ranges")
+    published = hashtree.root_sha256(_published_ranges(spark, sink, batch_id + 1)).first().sha256
     now = beside(action_counts(plan), plan.agg(F.max(position).alias("last"))).first()
+    if ending is None:
+        ending = before.get("next_offset") if now.last is None else int(now.last) + 1
     ended = datetime.now(timezone.utc).replace(tzinfo=None)
     status = FAILED if now.failed else READY
     row = (
         feed,
-        feed_sha256 or sha256(feed.encode()).hexdigest(),
-        before.get("next_offset") if now.last is None else int(now.last) + 1,
+        feed_sha256 or before.get("feed_sha256") or published,
+        published,
+        last_file or before.get("last_file"),
+        ending,
         *[(before.get(n) or 0) + now[n] for n in ("selected", "created", "updated", "failed")],
         status,
         started,
@@ -187,6 +225,56 @@ def publish_batch(
     write(spark.createDataFrame([row], PROGRESS), "progress")
 
 
+def _published_ranges(spark: SparkSession, sink: str, before: int) -> DataFrame:
+    """The ranges of all batches up to one; a row for each range, not for each record."""
+    return hashtree.added(_earlier(spark, f"{sink}/ranges", RANGE_SUMS, before))
+
+
+def _last_progress(spark: SparkSession, sink: str) -> dict:
+    row = _earlier(spark, f"{sink}/progress", PROGRESS, 1 << 30).orderBy(F.desc("batch")).first()
+    return row.asDict() if row else {}
+
+
+def resumed_sha256(spark: SparkSession, sink: str, feed: DataFrame, position: str = "feed_index") -> str | None:
+    """The fingerprint for the steps of a run that goes on with ``feed`` (payloads with positions).
+
+    As long as the feed begins with what was published that is the one of the steps before;
+    otherwise it is the hash of what the feed now has there. None before the first batch.
+    """
+    last = _last_progress(spark, sink)
+    if not last:
+        return None
+    begin = feed.where(F.col(position) < (last["next_offset"] or 0))
+    now = hashtree.root_sha256(_ranges(begin, position, _fingerprint(feed, position))).first().sha256
+    return last["feed_sha256"] if now == last["published_sha256"] else now
+
+
+def changed_positions(spark: SparkSession, sink: str, feed: DataFrame, position: str = "feed_index") -> DataFrame:
+    """position, change, ranges_read: where ``feed`` differs from what was published of it.
+
+    The digests of ranges are compared from the root down; the events and the records of the
+    ranges that differ are read.
+    """
+    last = _last_progress(spark, sink)
+    offset = last.get("next_offset") or 0
+    now = feed.where(F.col(position) < offset).select(position, _fingerprint(feed, position).alias("fingerprint"))
+    moved = hashtree.differing(
+        _published_ranges(spark, sink, 1 << 30),
+        _ranges(now, position, F.col("fingerprint")),
+        max(1, -(-offset // RANGE)),
+    )
+    moved = cut(moved)
+    told = _earlier(spark, f"{sink}/events", f"{position} bigint, fingerprint string", 1 << 30)
+    leaf = F.floor(F.col(position) / F.lit(RANGE)).alias("leaf")
+    sides = [
+        df.select(F.col(position).alias(ID), "fingerprint", leaf).join(moved, "leaf", "left_semi").drop("leaf")
+        for df in (told, now)
+    ]
+    counted = moved.agg(F.count("*").alias("ranges_read"))
+    changes = changed_records(*sides).withColumnRenamed(ID, position)
+    return changes.withColumn("ranges_read", counted.scalar())
+
+
 def publish_stream(
     feed: DataFrame,
     sink: str,
@@ -194,13 +282,26 @@ def publish_stream(
     position: str = "feed_index",
     available_now: bool = False,
     name: str = "feed",
+    published: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Publish a streaming feed. ``sink`` and ``checkpoint`` are folders all executors share."""
+    """Publish a streaming feed. ``sink`` and ``checkpoint`` are folders all executors share.
+
+    Published ids are state of the query. ``published`` is the feed as a batch frame, read anew:
+    with it a run tells in its steps if the part published before is no longer the same.
+    """
+    spark = feed.sparkSession
+    sha256 = resumed_sha256(spark, sink, published, position) if published is not None else None
     writer = (
-        feed.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, batch_id: publish_batch(df, batch_id, sink, position, name))
+        keyed.with_known(feed)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, batch_id: publish_batch(df, batch_id, sink, position, name, sha256))
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    provider = spark.conf.get(keyed.PROVIDER)
+    spark.conf.set(keyed.PROVIDER, keyed.ROCKSDB)  # a query keeps the provider it starts with
+    try:
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+    finally:
+        spark.conf.set(keyed.PROVIDER, provider)
 
 
 def published_state(spark: SparkSession, sink: str) -> DataFrame:
