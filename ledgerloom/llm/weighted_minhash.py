@@ -39,8 +39,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
 #: Bytes of text, and for every document as many as DOC_BYTES, of a chunk.
 CHUNK_BYTES, DOC_BYTES = 1 << 22, 1000
-#: Ranges of run hashes per shuffle partition; a chunk asks each of them in one row.
-RANGES = 4
+#: Chunks per shuffle partition at least. A chunk asks each range of run hashes in one row, and
+#: there are as many ranges as partitions.
+CHUNKS = 2
 #: Bytes of text that are worked on at once.
 BLOCK = 1 << 19
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
@@ -227,11 +228,11 @@ def _chunked(df: DataFrame) -> tuple[DataFrame, int, int]:
     """(chunk, doc_id, node, text), number of documents, number of ranges of run hashes."""
     size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + DOC_BYTES * F.count("*")
     total, work = df.agg(F.count("*"), size).first()
-    chunks = max(4 * partitions(df), work // CHUNK_BYTES)
+    chunks = max(CHUNKS * partitions(df), work // CHUNK_BYTES)
     node = text_key(F.col("text"))
     chunk = F.pmod(F.xxhash64("doc_id", "node"), F.lit(chunks)).alias("chunk")
     keyed = df.select("doc_id", node.alias("node"), "text").select(chunk, "doc_id", "node", "text")
-    return keyed, total, RANGES * partitions(df)
+    return keyed, total, partitions(df)
 
 
 def _asked(keyed: DataFrame, ranges: int) -> DataFrame:
