@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
 from catalogue.profiles import FIELDS, present
 from catalogue.registers import over, pct, sql
 from ledgerloom.operators import search
-from ledgerloom.plans import gates, master
-from ledgerloom.sources.sinks import BUILD_CONSTANTS, metadata_table
+from ledgerloom.operators.slices import ensure_checkpoint_dir
+from ledgerloom.plans import gates, master, reconcile
+from ledgerloom.sources.register import load_register
+from ledgerloom.sources.sinks import BUILD_CONSTANTS, metadata_table, write_tables
 
 QUALITY = "corroboration_grade, corroboration_count, source_tier_band"
 ROLES = "master entities aliases bridges clubs"
@@ -38,6 +41,23 @@ def built(r):
     return {**tables, "metadata": metadata_table(counts, FACTS)}
 
 
+def written(r):
+    """The build as it was written, which is what an audit reads."""
+    root = f"{ensure_checkpoint_dir(r.spark)}/build-{uuid4().hex}"
+    tables = built(r)
+    write_tables(tables, root)
+    return load_register(r.spark, root, tables)
+
+
+def orders_before_and_after(r):
+    """Orders, and the same with some left out, some changed and some twice."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    before = r.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", cents)
+    status = F.when(F.col("o_orderkey") % 97 == 0, "X").otherwise(F.col("o_orderstatus"))
+    kept = before.where("o_orderkey % 101 <> 1").withColumn("o_orderstatus", status)
+    return before, kept.unionByName(before.where("o_orderkey % 89 = 2"))
+
+
 # What the caller knows about its build.
 FACTS = {"database_name": "given tables", "database_version": "1", "source_database": "customer"}
 
@@ -230,6 +250,27 @@ QUERIES = {
             "b AS (SELECT entity_id, label, status FROM entities WHERE entity_type = 'player')",
         ),
     ),
+    "lost_and_added": (
+        over(
+            lambda r: reconcile.lost_and_added(
+                *(df.select("entity_id", "label", "status") for df in (r.master, r.entities.where("entity_type = 'player'")))
+            )
+        ),
+        sql(
+            "master entities",
+            "SELECT entity_id, label, status, 'lost' AS change, COUNT(*) AS copies FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL "
+            "UNION ALL SELECT entity_id, label, status, 'added', COUNT(*) FROM (FROM b EXCEPT ALL FROM a) GROUP BY ALL",
+            "a AS (SELECT entity_id, label, status FROM master)",
+            "b AS (SELECT entity_id, label, status FROM entities WHERE entity_type = 'player')",
+        ),
+    ),
+    "lost_and_added_orders": (
+        over(lambda r: reconcile.lost_and_added(*orders_before_and_after(r))),
+        "WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents FROM orders), a AS "
+        "(SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END, cents FROM b WHERE o_orderkey % "
+        "101 <> 1 UNION ALL SELECT * FROM b WHERE o_orderkey % 89 = 2) SELECT *, 'lost' AS change, COUNT(*) AS copies FROM (FROM b EXCEPT "
+        "ALL FROM a) GROUP BY ALL UNION ALL SELECT *, 'added', COUNT(*) FROM (FROM a EXCEPT ALL FROM b) GROUP BY ALL",
+    ),
     "validate_entities": (
         over(lambda r: gates.validate_entities(r.master, r.entities)),
         sql(
@@ -277,7 +318,7 @@ QUERIES = {
         ),
     ),
     "build_status": (
-        over(lambda r: gates.build_status(built(r), r.master, expected(r))),
+        over(lambda r: gates.build_status(written(r), r.master, expected(r))),
         sql(
             ROLES,
             "SELECT COUNT(*) AS checks, COUNT(*) FILTER (NOT passed) AS failed, CASE WHEN BOOL_AND(passed) THEN 'PASS' ELSE "
@@ -290,15 +331,15 @@ QUERIES = {
         ),
     ),
     "structural_checks": (
-        over(lambda r: gates.structural_checks(built(r))),
+        over(lambda r: gates.structural_checks(written(r))),
         sql(ROLES, STRUCTURAL, *CHILDREN),
     ),
     "final_audit": (
-        over(lambda r: gates.final_audit(built(r), expected(r))),
+        over(lambda r: gates.final_audit(written(r), expected(r))),
         sql(ROLES, FINAL, *CHILDREN, EXPECTED, COUNTED),
     ),
     "final_verdict": (
-        over(lambda r: gates.final_verdict(built(r), expected(r))),
+        over(lambda r: gates.final_verdict(written(r), expected(r))),
         sql(
             ROLES,
             "SELECT COUNT(*) AS checks, COUNT(*) FILTER (NOT passed) AS failed, CASE WHEN BOOL_AND(passed) THEN 'PASS' "

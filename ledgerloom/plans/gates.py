@@ -1,7 +1,8 @@
 """Gates: frames of ``check_name, passed, found`` and the verdict over them.
 
-A gate is one aggregate per table, turned into rows. ``require_passed`` is the only place
-that runs a job; it reads back the failed checks, of which there are as many as checks.
+A gate is one aggregate per table, turned into rows; the gates on a build share one row of
+counters, which a single scan of each table gives. Where several gates read that row it is
+written first. ``require_passed`` reads back the failed checks, as many as there are checks.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ledgerloom.functions.exprs import count_if, is_present
 from ledgerloom.operators.profile import table_counts
 from ledgerloom.operators.relate import ID, split_by_master
 from ledgerloom.operators.skew import key_counts
+from ledgerloom.operators.slices import cut
 from ledgerloom.plans.master import TABLE_COLUMNS
 from ledgerloom.roles import MASTER_TYPE
 
@@ -122,10 +124,12 @@ def validate_counts(tables: Mapping[str, DataFrame], expected: Expected) -> Data
     ``expected`` is a mapping, or a table (table_name, expected). A table that it names and
     that is not there has no actual count and does not pass.
     """
+    return _against(expected, table_counts(tables))
+
+
+def _against(expected: Expected, counted: DataFrame) -> DataFrame:
     if not isinstance(expected, DataFrame):
-        spark = next(iter(tables.values())).sparkSession
-        expected = spark.createDataFrame(list(expected.items()), "table_name string, expected bigint")
-    counted = table_counts(tables)
+        expected = counted.sparkSession.createDataFrame(list(expected.items()), "table_name string, expected bigint")
     return expected.join(counted, "table_name", "left").select(
         "table_name",
         F.col("expected").cast("long").alias("expected"),
@@ -144,43 +148,64 @@ def validate_schema(
     }
 
 
-def _master_counters(master: DataFrame) -> DataFrame:
-    return master.agg(
-        count_if(~is_present(F.col(ID))).alias("null_player_ids"),
-        count_if(~F.col("entity_type").eqNullSafe(F.lit(MASTER_TYPE))).alias("non_player_rows"),
-        count_if(~is_present(F.col("label"))).alias("null_labels"),
-        count_if(~is_present(F.col("status"))).alias("null_status"),
-    ).withColumn("duplicate_players", _duplicate_ids(master))
-
+def _flags() -> dict[str, dict[str, Column]]:
+    """Per table the conditions that no row may meet, by the name of their counter."""
 
-def _child_counters(built: Mapping[str, DataFrame]) -> list[DataFrame]:
-    def missing(table: str, names: Mapping[str, str]) -> DataFrame:
-        return built[table].agg(
-            *[count_if(~is_present(F.col(c))).alias(alias) for alias, c in names.items()]
-        )
+    def missing(**names: str) -> dict[str, Column]:
+        return {alias: ~is_present(F.col(c)) for alias, c in names.items()}
 
-    clubs = missing(
-        "clubs", {"club_null_ids": ID, "club_null_evidence": "observed_clubs"}
-    ).withColumn("club_duplicate_ids", _duplicate_ids(built["clubs"]))
-    return [
-        missing("aliases", {"alias_null_ids": ID, "alias_null_values": "alias"}),
-        missing(
-            "external_ids",
-            {
-                "external_null_ids": ID,
-                "external_null_values": "external_id",
-                "external_null_providers": "provider",
-                "external_null_namespaces": "namespace",
-            },
+    return {
+        "master": {
+            **missing(null_player_ids=ID, null_labels="label", null_status="status"),
+            "non_player_rows": ~F.col("entity_type").eqNullSafe(F.lit(MASTER_TYPE)),
+        },
+        "aliases": missing(alias_null_ids=ID, alias_null_values="alias"),
+        "external_ids": missing(
+            external_null_ids=ID,
+            external_null_values="external_id",
+            external_null_providers="provider",
+            external_null_namespaces="namespace",
         ),
-        clubs,
-    ]
+        "clubs": missing(club_null_ids=ID, club_null_evidence="observed_clubs"),
+    }
+
+
+def build_counters(built: Mapping[str, DataFrame]) -> DataFrame:
+    """One row with all counters of a build, and ``rows_<table>``, from one scan of each table.
+
+    Rows of all tables become counters under their id and are folded by id, in the map tasks
+    first; an id that the master has more than once, or not at all, shows in its one row.
+    """
+    flags = _flags()
+    tables = ["master", *[n for n in built if n not in ("master", "metadata")]]
+    names = [f"rows_{t}" for t in tables] + [n for t in tables for n in flags.get(t, {})]
+    parts = []
+    for table in tables:
+        own = {f"rows_{table}": F.lit(True), **flags.get(table, {})}
+        # a condition that is null is not met
+        told = [F.coalesce(own.get(n, F.lit(False)).cast("bigint"), F.lit(0).cast("bigint")).alias(n) for n in names]
+        parts.append(built[table].select(ID, *told))
+    by_id = reduce(DataFrame.unionByName, parts).groupBy(ID).agg(*[F.sum(n).alias(n) for n in names])
+    outside = F.col(ID).isNull() | (F.col("rows_master") == 0)
+
+    def repeated(table: str) -> Column:
+        return count_if(F.col(ID).isNotNull() & (F.col(f"rows_{table}") > 1))
+
+    return by_id.agg(
+        *[F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias(n) for n in names],
+        repeated("master").alias("duplicate_players"),
+        *[repeated(t).alias("club_duplicate_ids") for t in tables if t == "clubs"],
+        *[
+            F.coalesce(F.sum(F.when(outside, F.col(f"rows_{t}"))), F.lit(0).cast("bigint")).alias(f"{t}_orphans")
+            for t in tables[1:]
+        ],
+    )
 
 
-def build_checks(built: Mapping[str, DataFrame]) -> DataFrame:
+def build_checks(built: Mapping[str, DataFrame], counters: DataFrame | None = None) -> DataFrame:
     """All counters of the build that must be zero, one check each."""
-    frames = [_master_counters(built["master"]), *_child_counters(built)]
-    return union_checks(*[checks(f, f.columns) for f in frames], validate_references(built))
+    counted = build_counters(built) if counters is None else counters
+    return checks(counted, [c for c in counted.columns if not c.startswith("rows_")])
 
 
 # The counters that decide the status of a build.
@@ -199,18 +224,15 @@ BUILD_CONDITIONS = (
 )
 
 
-def _count_checks(tables: Mapping[str, DataFrame], expected: Expected) -> DataFrame:
-    counted = validate_counts(tables, expected)
-    return counted.select(
-        F.concat(F.lit("expected_count_"), "table_name").alias("check_name"),
-        "passed",
-        F.col("actual").alias("found"),
-    )
-
-
-def _counts_match(tables: Mapping[str, DataFrame], expected: Expected) -> DataFrame:
-    """All expected counts as one check."""
-    return _count_checks(tables, expected).agg(
+def _counts_match(built: Mapping[str, DataFrame], expected: Expected, counters: DataFrame) -> DataFrame:
+    """All expected counts as one check; the counters have those of most tables."""
+    rows = [c for c in counters.columns if c.startswith("rows_")]
+    known = [F.struct(F.lit(c.removeprefix("rows_")).alias("table_name"), F.col(c).alias("n")) for c in rows]
+    counted = counters.select(F.inline(F.array(*known)))
+    others = {name: df for name, df in built.items() if f"rows_{name}" not in rows}
+    if others:
+        counted = counted.unionByName(table_counts(others))
+    return _against(expected, counted).agg(
         F.lit("expected_counts").alias("check_name"),
         F.bool_and("passed").alias("passed"),
         count_if(~F.col("passed")).alias("found"),
@@ -223,13 +245,12 @@ def build_status(
     expected: Expected | None = None,
 ) -> DataFrame:
     """PASS when all conditions hold, else REVIEW_REQUIRED."""
-    conditions = build_checks(built).where(F.col("check_name").isin(*BUILD_CONDITIONS))
-    rows = built["master"].agg(F.count("*").alias("n")).select(
-        F.abs(F.col("n") - source.agg(F.count("*")).scalar()).alias("source_count_difference")
-    )
-    parts = [conditions, checks(rows, rows.columns)]
+    counters = cut(build_counters(built))
+    difference = F.abs(F.col("rows_master") - source.agg(F.count("*")).scalar())
+    counted = counters.withColumn("source_count_difference", difference)
+    parts = [checks(counted, [*BUILD_CONDITIONS, "source_count_difference"])]
     if expected is not None:
-        parts.append(_counts_match(built, expected))
+        parts.append(_counts_match(built, expected, counters))
     return verdict(union_checks(*parts), "PASS", "REVIEW_REQUIRED")
 
 
@@ -254,7 +275,9 @@ FINAL_CHECKS = {
 }
 
 
-def structural_checks(built: Mapping[str, DataFrame], metadata: bool = True) -> DataFrame:
+def structural_checks(
+    built: Mapping[str, DataFrame], metadata: bool = True, counters: DataFrame | None = None
+) -> DataFrame:
     """Presence of the tables, and the counters of single conditions."""
     names = [*TABLE_COLUMNS] if metadata else [t for t in TABLE_COLUMNS if t != "metadata"]
     spark = built["master"].sparkSession
@@ -274,27 +297,17 @@ def structural_checks(built: Mapping[str, DataFrame], metadata: bool = True) ->
         "club_null_ids",
         "external_null_values",
     )
-    counters = build_checks(built).where(F.col("check_name").isin(*single))
-    return exists.unionByName(counters)
+    counted = build_counters(built) if counters is None else counters
+    return exists.unionByName(checks(counted, single))
 
 
 def final_audit(
-    built: Mapping[str, DataFrame], expected: Expected | None = None
+    built: Mapping[str, DataFrame], expected: Expected | None = None, counters: DataFrame | None = None
 ) -> DataFrame:
     """The final checks: required tables, schemas, five groups of counters, expected counts."""
-    counters = build_checks(built)
-    groups = F.array(
-        *[
-            F.struct(F.lit(name).alias("check_name"), F.array(*map(F.lit, parts)).alias("parts"))
-            for name, parts in FINAL_CHECKS.items()
-        ]
-    )
-    counted = (
-        counters.withColumn("_g", F.explode(groups))
-        .where(F.array_contains("_g.parts", F.col("check_name")))
-        .groupBy(F.col("_g.check_name").alias("check_name"))
-        .agg(F.bool_and("passed").alias("passed"), F.sum("found").alias("found"))
-    )
+    counters = cut(build_counters(built)) if counters is None else counters
+    sums = {name: sum((F.col(p) for p in parts), F.lit(0)) for name, parts in FINAL_CHECKS.items()}
+    counted = checks(counters.select(*[total.alias(name) for name, total in sums.items()]), list(sums))
     schemas = validate_schema(built)
     spark = built["master"].sparkSession
     fixed = spark.createDataFrame(
@@ -306,7 +319,7 @@ def final_audit(
     )
     parts = [fixed, counted]
     if expected is not None:
-        parts.append(_counts_match(built, expected))
+        parts.append(_counts_match(built, expected, counters))
     return union_checks(*parts)
 
 
@@ -314,4 +327,5 @@ def final_verdict(
     built: Mapping[str, DataFrame], expected: Expected | None = None
 ) -> DataFrame:
     """PASS when all structural and all final checks hold, else FAIL."""
-    return verdict(union_checks(structural_checks(built), final_audit(built, expected)))
+    counters = cut(build_counters(built))
+    return verdict(union_checks(structural_checks(built, True, counters), final_audit(built, expected, counters)))
