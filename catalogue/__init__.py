@@ -10,6 +10,7 @@ MODULES = (
     "audits",
     "names",
     "publishing",
+    "files",
 )
 
 

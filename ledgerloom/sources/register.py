@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ledgerloom.roles import require_tables
+from ledgerloom.sources import documents
 
 # The batch functions travel to the executors whole, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -85,13 +86,44 @@ def sample_tables(tables: Mapping[str, DataFrame], n: int = 5) -> dict[str, Data
     return {name: df.limit(n) for name, df in tables.items()}
 
 
-def read_records_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A JSON file that holds a list of records; anything else fails while it is read.
+def stable_samples(strata: Mapping[str, tuple[DataFrame, Sequence[str]]], n: int = 5) -> DataFrame:
+    """stratum, place, row (JSON): the first ``n`` rows of each stratum (frame, order), all from
+    one pass.
 
-    A record file of one array is a single document, which one task must parse. Large
-    record sets belong in Parquet or JSON lines (``read_feed``).
+    Every task keeps the ``n`` least rows of each stratum, and only these are moved and merged.
+    Frames may be tables, or the problems of one table; rows alike in their order go by all columns.
     """
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    parts, most = [], max(len(order) for _, order in strata.values())
+    for name, (df, order) in strata.items():
+        row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        parts.append(
+            df.select(
+                F.lit(name).alias("stratum"),
+                *[c.alias(f"_{k}") for k, c in enumerate(_order_keys(df, order, most))],
+                row.alias("row"),
+            )
+        )
+    first = Window.partitionBy("stratum").orderBy(*[f"_{k}" for k in range(2 * most)], "row")
+    united = reduce(DataFrame.unionByName, parts)
+    return united.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n).select("stratum", "place", "row")
+
+
+def _order_keys(df: DataFrame, order: Sequence[str], most: int) -> list[Column]:
+    """Two keys for each column of the order: numbers go by the first, all else by the second."""
+    keys = []
+    for name in [*order, *[None] * (most - len(order))]:
+        numeric = name and isinstance(df.schema[name].dataType, T.NumericType)
+        keys += [
+            (F.col(name) if numeric else F.lit(None)).cast("decimal(38,6)"),
+            (F.col(name) if name and not numeric else F.lit(None)).cast("string"),
+        ]
+    return keys
+
+
+def read_records_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A JSON file, or a folder of parts, that holds a list of records, read in splits; anything
+    else fails."""
+    return documents.read_json_array(spark, path, schema)
 
 
 #: Where a line of a feed was read: enough to give it its position later on.
