@@ -65,21 +65,6 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM d LEFT JOIN j USING (rid)
 """
 
-TOKEN_COUNTS = r"""
-WITH d AS (
-    SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents
-), kept AS (
-    SELECT source, lang, trim(regexp_replace(t, '[ \t\n\r\f]+', ' ', 'g')) AS t FROM d
-    WHERE doc_id IS NOT DISTINCT FROM (SELECT min(e.doc_id) FROM d e WHERE e.t = d.t)
-), c AS (
-    SELECT source, lang, 'bytes-1' AS tokenizer_version, octet_length(encode(t)) AS n FROM kept
-    UNION ALL
-    SELECT source, lang, 'words-1', len(regexp_extract_all(t, '[^ \t\n\r\f]+')) FROM kept
-)
-SELECT source, lang, tokenizer_version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
-FROM c GROUP BY ALL
-"""
-
 
 def _fits(host: str, path: str) -> str:
     return (

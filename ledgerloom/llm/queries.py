@@ -23,6 +23,7 @@ from ledgerloom.llm import (
     weighted_minhash,
 )
 from ledgerloom.llm.common import documents
+from ledgerloom.operators.skew import lookup_join
 from ledgerloom.operators.slices import cut, ensure_checkpoint_dir
 
 
@@ -36,24 +37,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Totals after three batches: all documents come in, exact copies of a document with a
-    lesser id go, and the white space of the rest is squeezed. One batch is sent twice."""
-    docs = _table(spark, folder, "documents")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    slim = token_rollups.squeezed(text)
-    counts = F.array(
-        *[
-            F.struct(
-                F.lit(version).alias("tokenizer_version"),
-                count(text).alias("n"),
-                count(slim).alias("slim"),
-            )
-            for version, count in token_rollups.COUNTERS.items()
-        ]
-    )
-    seen = cut(docs.select("doc_id", "source", "lang", F.sha2(text, 256).alias("h"), counts.alias("counts")))
+    lesser id go, and the white space of the rest is squeezed. One batch is sent twice, and
+    the first two are compacted before the third."""
+    seen = cut(token_rollups.counted(_table(spark, folder, "documents")))
     first = seen.groupBy("h").agg(F.min("doc_id").alias("first_id"))
     stays = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    told = seen.join(first, "h").withColumn("stays", stays)
+    told = lookup_join(seen, first, "h").withColumn("stays", stays)
 
     def changes(rows: DataFrame, op: str, tokens: str, old: str | None = None) -> DataFrame:
         each = rows.select("source", "lang", F.explode("counts").alias("c"))
@@ -71,6 +60,8 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     rollup.commit("load", changes(seen, "insert", "c.n"))
     rollup.commit("copies", copies)
     rollup.commit("copies", copies)
+    rollup.compact()
+    rollup.commit("copies", copies)
     rollup.commit("squeeze", changes(told.where("stays"), "revise", "c.slim", "c.n"))
     return rollup.totals()
 
@@ -132,7 +123,7 @@ def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
-    "op2_token_counts": (op2_token_counts, sql.TOKEN_COUNTS),
+    "op2_token_counts": (op2_token_counts, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
     "op4_url_filter": (op4_url_filter, sql.URL_FILTER),
     "op5_top_k": (op5_top_k, sql.TOP_K),

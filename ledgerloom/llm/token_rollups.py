@@ -4,16 +4,25 @@ A batch of changes is summed per source, language and tokenizer version and adde
 store as one small table. A batch is written to a staging folder and renamed to a name made
 from its id; the rename is the commit. A batch whose folder exists was committed before and
 is skipped, so replaying one, whole or after a crash, changes nothing. The totals are sums
-over committed batches; ``compact`` folds them into one table.
+over committed batches. ``compact`` folds them into a snapshot, a table of one row per key with
+the list of the batches in it; a batch that a snapshot lists counts as committed, and its
+folder, if it is still there, is not read.
+
+Tokens are those of byte-pair vocabularies, one tokenizer version each.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
+from functools import partial
 from hashlib import sha256
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.llm.common import BytePairs, parts, pick
+
 KEYS = ("source", "lang", "tokenizer_version")
 DELTAS = "source string, lang string, tokenizer_version string, docs bigint, tokens bigint"
 
@@ -56,7 +65,57 @@ class TokenRollup:
         return f"{self.folder}/batches/{sha256(batch_id.encode()).hexdigest()}"
 
     def committed(self, batch_id: str) -> bool:
-        return self._fs.exists(self._path(self._home(batch_id)))
+        home = self._home(batch_id)
+        return self._fs.exists(self._path(home)) or home.rpartition("/")[2] in self._folded()
+
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(f"{self.folder}/{folder}")
+        if not self._fs.exists(path):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(path))
+
+    def _snapshot(self) -> str | None:
+        """The newest snapshot; they are numbered."""
+        names = self._names("snapshots")
+        return f"{self.folder}/snapshots/{names[-1]}" if names else None
+
+    def _folded(self) -> set[str]:
+        """The names of the batches in the newest snapshot, one short name for each."""
+        snapshot = self._snapshot()
+        if not snapshot:
+            return set()
+        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{snapshot}/batches").collect()}
+
+    def compact(self) -> int:
+        """Fold all committed batches into a new snapshot and delete their folders; how many.
+
+        The rename of the snapshot commits it. If it breaks off before, nothing has changed;
+        after it, the folders that are left are not read and go with the next compaction.
+        """
+        folded, there = self._folded(), self._names("batches")
+        new = [n for n in there if n not in folded]
+        if new:
+            number = len(self._names("snapshots"))
+            staged = f"{self.folder}/staging/{uuid4().hex}"
+            self._deltas().groupBy(*KEYS).agg(
+                F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
+            ).coalesce(8).write.parquet(f"{staged}/deltas")
+            listed = [(n,) for n in sorted(folded | set(new))]
+            self.spark.createDataFrame(listed, "batch string").coalesce(1).write.parquet(f"{staged}/batches")
+            if not self._rename(staged, f"{self.folder}/snapshots/{number:09}"):
+                return 0
+        for name in there:
+            self._fs.delete(self._path(f"{self.folder}/batches/{name}"), True)
+        return len(new)
+
+    def _deltas(self) -> DataFrame:
+        """The deltas of the newest snapshot and of the batches that it does not list."""
+        folded, snapshot = self._folded(), self._snapshot()
+        folders = [f"{self.folder}/batches/{n}" for n in self._names("batches") if n not in folded]
+        folders += [f"{snapshot}/deltas"] if snapshot else []
+        if not folders:
+            return self.spark.createDataFrame([], DELTAS)
+        return self.spark.read.schema(DELTAS).parquet(*folders)
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch; False if it was committed before, in which case nothing is read."""
@@ -87,30 +146,66 @@ class TokenRollup:
 
         No batches, or empty ones, give no rows. Null sources and languages are keys.
         """
-        if not self._fs.exists(self._path(f"{self.folder}/batches")):
-            return self.spark.createDataFrame([], DELTAS)
-        deltas = self.spark.read.schema(DELTAS).parquet(f"{self.folder}/batches/*")
+        deltas = self._deltas()
         sums = deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs <> 0 OR tokens <> 0")
 
 
-#: What white space is to the word counter.
-SPACE = r"[ \t\n\r\f]"
-
+#: Tokenizer versions: byte-pair vocabularies, by the names of their rank files.
+VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
+SPACE = "[ \t\n\r\f]+"
+COUNTED = (
+    "doc_id bigint, source string, lang string, h binary, "
+    "counts array<struct<tokenizer_version: string, n: bigint, slim: bigint>>"
+)
 
-def count_bytes(text):
-    """Tokens of a byte-level vocabulary."""
-    return F.octet_length(text).cast("bigint")
+_vocabularies: dict[str, BytePairs] = {}
 
 
-def count_words(text):
-    """Tokens of a vocabulary of words between white space."""
-    return F.regexp_count(text, F.lit(SPACE.replace("[", "[^") + "+")).cast("bigint")
+def vocabulary(version: str, folder: str | None) -> BytePairs:
+    """A worker's vocabulary, which it keeps from task to task."""
+    import public_tokenizers
 
+    if version not in _vocabularies:
+        name = f"{version}.tiktoken"
+        _vocabularies[version] = BytePairs(f"{folder}/{name}" if folder else public_tokenizers.path(name))
+    return _vocabularies[version]
 
-COUNTERS = {"bytes-1": count_bytes, "words-1": count_words}
 
-
-def squeezed(text):
+def squeezed(text: str) -> str:
     """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    return re.sub(SPACE, " ", text).strip(" ")
+
+
+def _count(batches: Iterator, versions: Sequence[str], folder: str | None) -> Iterator:
+    import pyarrow as pa
+
+    vocabularies = {v: vocabulary(v, folder) for v in versions}
+    kind = pa.list_(pa.struct([("tokenizer_version", pa.string()), ("n", pa.int64()), ("slim", pa.int64())]))
+    for batch in batches:
+        for part in parts([batch]):
+            keys, counts = [], []
+            for text in part.column("text").to_pylist():
+                text = text or ""
+                slim = squeezed(text)
+                told = []
+                for version, pairs in vocabularies.items():
+                    n = len(pairs.ids(text)) // 4
+                    less = n if slim == text else len(pairs.ids(slim)) // 4
+                    told.append({"tokenizer_version": version, "n": n, "slim": less})
+                keys.append(sha256(text.encode()).digest())
+                counts.append(told)
+            arrays = [part.column(c) for c in ("doc_id", "source", "lang")]
+            arrays += [pa.array(keys, pa.binary()), pa.array(counts, kind)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "source", "lang", "h", "counts"])
+
+
+def counted(df: DataFrame, versions: Sequence[str] = VERSIONS, folder: str | None = None) -> DataFrame:
+    """doc_id, source, lang, h (digest of the text), counts of (doc_id, text, source, lang): tokens
+    of the text, and of the text with its white space squeezed, for each tokenizer version.
+
+    Null texts are empty and have no tokens; repeated rows are counted each; further columns are
+    left aside. ``folder`` holds the rank files.
+    """
+    rows = pick(df, ("doc_id", "bigint"), ("source", "string"), ("lang", "string"), ("text", "string"))
+    return rows.mapInArrow(partial(_count, versions=tuple(versions), folder=folder), COUNTED)

@@ -1,15 +1,19 @@
 """SentencePiece, packing and token totals."""
 
+import base64
+import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import tiktoken
 from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import packing, sentencepieces, token_rollups
+from ledgerloom.llm import packing, queries, sentencepieces, token_rollups
 from ledgerloom.llm.common import BytePairs, token_counts
 from tests.llm.helpers import AWKWARD, DOCUMENTS, clashing, documents, rows
 
@@ -179,6 +183,57 @@ def test_rollup_adds_signed_batches_once(spark, tmp_path):
     assert rows(rollup.totals()) == sorted(want, key=str)
 
 
+def test_compaction_keeps_totals_and_batch_ids(spark, tmp_path):
+    rollup = token_rollups.TokenRollup(spark, str(tmp_path / "rollup"))
+    assert rollup.compact() == 0
+    for batch in range(5):
+        rollup.commit(str(batch), spark.createDataFrame([("insert", "a", None, "v1", batch, None)], CHANGES))
+        if batch in (1, 3):
+            assert rollup.compact() == 2 and rollup.compact() == 0
+    assert rows(rollup.totals()) == [("a", None, "v1", 5, 10)]
+    for batch in range(5):
+        assert not rollup.commit(str(batch), spark.createDataFrame([("insert", "a", None, "v1", 99, None)], CHANGES))
+    # folders that a compaction which broke off has left are not read
+    token_rollups.signed(spark.createDataFrame([("insert", "a", None, "v1", 7, None)], CHANGES)).write.parquet(rollup._home("0"))
+    assert rows(rollup.totals()) == [("a", None, "v1", 5, 10)]
+    assert rollup.compact() == 1 and rows(rollup.totals()) == [("a", None, "v1", 5, 10)]
+
+
+@pytest.mark.parametrize("data", ["given", "awkward"])
+def test_token_totals_equal_brute_force(spark, tmp_path, data):
+    """Vocabularies of the libraries over all documents, copies taken off, white space squeezed."""
+    if data == "given":
+        folder = "/root/testdata/sf0.001"
+        docs = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    else:
+        folder = str(tmp_path)
+        some = [*AWKWARD, (20, "a  b\n\nc <|endoftext|> d", "en", "b", 0), (21, "a  b\n\nc <|endoftext|> d", "de", None, 0)]
+        clashing(documents(spark, some)).write.parquet(f"{folder}/documents.parquet")
+        docs = [r[:4] for r in some]
+    main = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    multi = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    count = {
+        "byte_bpe_50k": lambda t: len(main.encode(t, add_special_tokens=False).ids),
+        "byte_bpe_multi_50k": lambda t: len(multi.encode_ordinary(t)),
+    }
+    least: dict = {}
+    for doc_id, text, *_ in docs:
+        known = [x for x in (least.get(text or ""), doc_id) if x is not None]
+        least[text or ""] = min(known, default=None)
+    want = Counter()
+    sizes = Counter()
+    for doc_id, text, lang, source in docs:
+        if doc_id == least[text or ""]:
+            for version, n in count.items():
+                slim = re.sub("[ \t\n\r\f]+", " ", text or "").strip(" ")
+                want[source, lang, version] += n(slim)
+                sizes[source, lang, version] += 1
+    got = rows(queries.op2_token_counts(spark, folder), "source", "lang", "tokenizer_version", "docs", "tokens")
+    assert got == sorted(((*k, sizes[k], want[k]) for k in sizes), key=str)
+
+
 def test_rollup_refuses_unknown_changes(spark, tmp_path):
     rollup = token_rollups.TokenRollup(spark, str(tmp_path / "rollup"))
     with pytest.raises(Exception, match="unknown op"):
