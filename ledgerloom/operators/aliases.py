@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,27 +65,79 @@ def alias_label_relations(keyed: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
+#: An entity is heavy if its aliases times its shared ids are more than this; so many of the
+#: heaviest get a bit each.
+LIGHT, HEAVY = 1024, 1024
+
+
 def _held_in_common(members: DataFrame, xids: DataFrame) -> DataFrame:
     """Alias groups of which two entities hold one (provider, external id).
 
-    Only ids and aliases that several entities hold can make the link, so both sides are
-    cut down to colliding keys before they meet.
+    Only ids and aliases that several entities hold can make the link, so both sides are cut
+    down to colliding keys before they meet. Light entities meet their ids row by row. A heavy
+    one is a bit instead, in the bitmap of each of its aliases and of each of its ids, so that
+    nothing grows with the product of the two: a pair (alias, id) of a light entity has a heavy
+    holder if the bitmaps of both share a bit, and two heavy holders of one alias hold an id
+    together if the one is among those that share any id with the other.
     """
     pairs = xids.select(
         ID,
         clean(F.col("provider")).alias("_p"),
         clean_or_null(F.col("external_id")).alias("_x"),
     ).where(F.col("_x").isNotNull() & F.col(ID).isNotNull())
-    shared = pair_members(pairs, ["_p", "_x"]).select(ID, "_p", "_x")
-    # an entity with many aliases meets its ids in slices
-    meets = lookup_join(members.select(ID, "normalized_alias"), shared, ID, distinct=True)
-    counted = meets.groupBy("normalized_alias", "_p", "_x").agg(F.count("*").alias("_n"))
-    return (
-        counted.where(F.col("_n") > 1)
-        .select("normalized_alias")
-        .distinct()
-        .withColumn("_shared", F.lit(True))
+    shared = cut(pair_members(pairs, ["_p", "_x"]).select(ID, "_p", "_x"))
+    named = cut(members.select(ID, "normalized_alias"))
+    by_name = named.groupBy(ID).agg(F.count("*").alias("a"))
+    weighed = by_name.join(shared.groupBy(ID).agg(F.count("*").alias("x")), ID)
+    weight = F.col("a").cast("double") * F.col("x")
+    heavy = weighed.where(weight > LIGHT).orderBy(F.desc(weight), ID).limit(HEAVY).select(ID).collect()
+    if not heavy:
+        return _flagged(_light_pairs(named, shared).where(F.col("_n") > 1))
+    listed = named.sparkSession.createDataFrame(
+        [(row[0], bit) for bit, row in enumerate(heavy)], f"{ID} {named.schema[ID].dataType.simpleString()}, _bit int"
     )
+    few = F.broadcast(listed)  # at most HEAVY rows
+    words = range(-(-len(heavy) // 64))
+    own = [
+        F.bit_or(F.when(F.floor(F.col("_bit") / 64) == w, _mask()).otherwise(F.lit(0).cast("bigint")))
+        for w in words
+    ]
+    names, ids = named.join(few, ID), shared.join(few, ID)
+    name_bits = cut(names.groupBy("normalized_alias").agg(*[c.alias(f"_a{w}") for w, c in zip(words, own)]))
+    id_bits = cut(ids.groupBy("_p", "_x").agg(*[c.alias(f"_x{w}") for w, c in zip(words, own)]))
+
+    def meet(left: str, right: str) -> Column:
+        return reduce(or_, [F.col(f"{left}{w}").bitwiseAND(F.col(f"{right}{w}")) != 0 for w in words])
+
+    light = cut(_light_pairs(named.join(few, ID, "left_anti"), shared.join(few, ID, "left_anti")))
+    beside_heavy = light.join(name_bits, "normalized_alias").join(id_bits, ["_p", "_x"]).where(meet("_a", "_x"))
+    # per heavy entity the others that share an id with it
+    partners = ids.join(id_bits, ["_p", "_x"]).groupBy("_bit").agg(*[F.bit_or(f"_x{w}").alias(f"_m{w}") for w in words])
+    others = [
+        F.when(F.floor(F.col("_bit") / 64) == w, F.col(f"_m{w}").bitwiseAND(F.bitwise_not(_mask())))
+        .otherwise(F.col(f"_m{w}"))
+        .alias(f"_m{w}")
+        for w in words
+    ]
+    partners = F.broadcast(partners.select("_bit", *others))  # at most HEAVY rows
+    both_heavy = names.join(partners, "_bit").join(name_bits, "normalized_alias").where(meet("_m", "_a"))
+    parts = [light.where(F.col("_n") > 1), beside_heavy, both_heavy]
+    return _flagged(reduce(DataFrame.union, [p.select("normalized_alias") for p in parts]))
+
+
+def _mask() -> Column:
+    """The bit of ``_bit`` in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit") % 64)
+
+
+def _light_pairs(named: DataFrame, shared: DataFrame) -> DataFrame:
+    """normalized_alias, _p, _x, _n: how many of these entities hold both."""
+    meets = lookup_join(named, shared, ID, distinct=True)
+    return meets.groupBy("normalized_alias", "_p", "_x").agg(F.count("*").alias("_n"))
+
+
+def _flagged(groups: DataFrame) -> DataFrame:
+    return groups.select("normalized_alias").distinct().withColumn("_shared", F.lit(True))
 
 
 def alias_collision_profile(
