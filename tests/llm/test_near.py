@@ -66,7 +66,7 @@ def test_vector_classes_equal_brute_force(spark):
     assert rows(got) == vector_classes(data)
 
 
-@pytest.mark.parametrize("limit", [{"HOMES": 24, "GUESTS": 20}, {"HOMES": 16, "ROUNDS": 1}, {"CANDIDATES": 4, "DEGREE": 2, "BEAM": 2}])
+@pytest.mark.parametrize("limit", [{"HOMES": 24, "GUESTS": 20}, {"HOMES": 64, "ROUNDS": 0, "CANDIDATES": 4, "DEGREE": 2, "BEAM": 2}])
 def test_vector_classes_of_split_cells(spark, monkeypatch, limit):
     """Cells that are split in rounds, and by hashes; graphs of few edges, where the audit widens the margin."""
     for name, value in {**limit, "RECALL": 1.0, "AUDITED": 1000}.items():
