@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, functions as F
 
 from catalogue.registers import over
+from ledgerloom.operators.skew import partitions
 from ledgerloom.operators.slices import ensure_checkpoint_dir
 from ledgerloom.sources import register
 from ledgerloom.streaming import hashtree, publish
@@ -144,7 +145,7 @@ def write_lines(r, source: str, run: int) -> None:
     size = -(-r.table("events").count() // RUNS)
     third = publish.feed_slice(feed(r), run * size, size)
     line = F.to_json(F.struct(*[c for c in third.columns if c != "feed_index"]), {"ignoreNullFields": "false"})
-    ordered = third.repartitionByRange(4, "feed_index").sortWithinPartitions("feed_index")
+    ordered = third.repartitionByRange(partitions(third), "feed_index").sortWithinPartitions("feed_index")
     ordered.select(line.alias("value")).write.text(f"{source}/{run}")
 
 

@@ -167,7 +167,7 @@ def place_lines(lines: DataFrame, base: int = 0, position: str = "feed_index") -
     blocks = lines.groupBy("source_file", "block").agg(F.min("line").alias("_first"), F.count("*").alias("_n"))
     before = Window.orderBy("source_file", "block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    placed = lines.where("NOT blank").join(blocks, ["source_file", "block"])
+    placed = lines.where("NOT blank").join(F.broadcast(blocks), ["source_file", "block"])
     index = F.lit(base) + F.col("_skip") + F.col("line") - F.col("_first")
     return placed.withColumn(position, index.cast("bigint")).drop("_first", "_skip", "block", "line", "blank")
 

@@ -36,11 +36,17 @@ def record_digest(columns: Sequence[Column]) -> Column:
 
 
 def digest_sums(digest: Column) -> list[Column]:
-    """Sums of the 64 digits of digests, twelve at a time, under the names of SUMS."""
-    return [
-        F.sum(F.conv(F.substring(digest, start, 12), 16, 10).cast("decimal(38,0)")).alias(name)
-        for name, start in zip(SUMS, range(1, 64, 12))
-    ]
+    """Sums of the 64 digits of digests, twelve at a time, under the names of SUMS.
+
+    Summed as halves of 24 bits, which fit whole numbers of 64 bits for 2^39 records.
+    """
+    found = []
+    for name, start in zip(SUMS, range(1, 64, 12)):
+        part = F.conv(F.substring(digest, start, 12), 16, 10).cast("bigint")
+        high = F.sum(F.shiftright(part, 24)).cast("decimal(20,0)")
+        low = F.sum(part.bitwiseAND(F.lit((1 << 24) - 1))).cast("decimal(20,0)")
+        found.append((high * F.lit(1 << 24).cast("decimal(10,0)") + low).cast("decimal(38,0)").alias(name))
+    return found
 
 
 def leaves(records: DataFrame, leaf: Column, digest: Column) -> DataFrame:

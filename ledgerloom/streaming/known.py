@@ -1,58 +1,34 @@
 """Known ids as keyed state: which records of a feed have an id that was published before.
 
-The ids live in the state store of the streaming query, partitioned by id. A batch looks up
-and adds its own ids only, so what it reads does not grow with the batches before it.
+The state store of the streaming query holds a count of records per id. A batch counts its own
+ids in its map tasks, and looks up and adds these ids only, so what it reads does not grow with
+the batches before it. An id is known if more records of it were told of than the batch has.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.relate import ID
 
-# The processor travels to the executors whole, which need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Records of an id in this batch and all before it; NULL in the records themselves.
+TOLD = "told"
 
 
-class KnownIds(StatefulProcessor):
-    """Passes the records of an id on, with whether a batch before this one had it."""
-
-    def __init__(self, fields: list[str]) -> None:
-        self.fields = fields
-
-    def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "at boolean")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        nameless = key[0] is None
-        known = not nameless and self.seen.exists()
-        for row in rows:
-            yield Row(*self.fields, "known")(*[row[f] for f in self.fields], known)
-        if not known and not nameless:
-            self.seen.update((True,))
-
-    def close(self) -> None:
-        pass
+def with_told(feed: DataFrame) -> DataFrame:
+    """A streaming feed, and beside its records one row per id of the batch with ``told``.
 
+    Needs the RocksDB state store and the output mode ``update``. Records never pass through the
+    state, so a common id is no load on one task.
+    """
+    counts = feed.where(F.col(ID).isNotNull()).groupBy(ID).agg(F.count("*").alias(TOLD))
+    records = feed.withColumn(TOLD, F.lit(None).cast("bigint"))
+    return records.unionByName(counts, allowMissingColumns=True)
 
-def with_known(feed: DataFrame) -> DataFrame:
-    """A streaming feed with the column ``known``; needs the RocksDB state store.
 
-    All records of an id in one batch meet in one task, as an iterator; a batch is as large
-    as the source's limits (``maxFilesPerTrigger``, ``maxBytesPerTrigger``) let it be.
-    """
-    out = T.StructType([*feed.schema.fields, T.StructField("known", T.BooleanType())])
-    return feed.groupBy(ID).transformWithState(
-        statefulProcessor=KnownIds(feed.columns),
-        outputStructType=out,
-        outputMode="Append",
-        timeMode="None",
-    )
+def known_ids(told: DataFrame, records: DataFrame) -> DataFrame:
+    """The ids of ``records``, a batch, that a batch before had."""
+    own = records.where(F.col(ID).isNotNull()).groupBy(ID).agg(F.count("*").alias("_own"))
+    return told.join(own, ID).where(F.col(TOLD) > F.col("_own")).select(ID)

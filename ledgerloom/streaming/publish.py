@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.exprs import count_if, display_label, is_present, or_blank
@@ -143,10 +143,21 @@ def _earlier(spark: SparkSession, folder: str, schema: str, before: int) -> Data
 def _fingerprint(records: DataFrame, position: str) -> Column:
     """The digest of a record at its position, whatever the order of its columns."""
     fields = sorted(c for c in records.columns if c not in (position, "known", "action", *PLACE))
-    packed = [F.to_json(F.struct(c)) for c in fields]
+    packed = [_packed(c, records.schema[c].dataType) for c in fields]
     return hashtree.record_digest([F.col(position), *packed])
 
 
+def _packed(name: str, kind: T.DataType) -> Column:
+    """``to_json`` of one field; whole numbers and plain texts are put together without it."""
+    json, value = F.to_json(F.struct(name)), F.col(name)
+    if not name.isidentifier() or not isinstance(kind, (T.IntegralType, T.StringType)):
+        return json
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(F.concat(F.lit(f'{{"{name}":'), value.cast("string"), F.lit("}")), F.lit("{}"))
+    plain = F.concat(F.lit(f'{{"{name}":"'), value, F.lit('"}'))
+    return F.when(value.isNull(), "{}").when(value.rlike(r"^[ !#-\[\]-~]*\z"), plain).otherwise(json)
+
+
 def _ranges(records: DataFrame, position: str, fingerprint: Column) -> DataFrame:
     return hashtree.leaves(records, F.floor(F.col(position) / F.lit(RANGE)), fingerprint)
 
@@ -163,7 +174,7 @@ def publish_batch(
 
     Lines of a feed (``read_feed`` as a stream) get their positions after the lines of the
     batches before, so files come in the order of their names; other records without a position go on counting where the batch before has
-    stopped. A batch with a column ``known`` brings what the state store said of its ids, and
+    stopped. A batch with a column ``told`` brings what the state store said of its ids, and
     reads no earlier batch. Otherwise ``known`` in the sink, which holds every published id once,
     is read. ``progress`` is the state to resume from and the history to audit: feed, next
     offset, counters over all batches, status and times. ``published_sha256`` is the hash of all
@@ -175,8 +186,13 @@ def publish_batch(
     state = _earlier(spark, f"{sink}/progress", PROGRESS, batch_id).orderBy(F.desc("batch")).first()
     before = state.asDict() if state else {}
     base, ending, last_file = before.get("next_offset") or 0, None, None
-    if position not in batch.columns and "line" in batch.columns:
+    told, fixed = None, keyed.TOLD in batch.columns
+    if fixed:
         batch = cut(batch)
+        told = batch.where(F.col(keyed.TOLD).isNotNull()).select(ID, keyed.TOLD)
+        batch = batch.where(F.col(keyed.TOLD).isNull()).drop(keyed.TOLD)
+    if position not in batch.columns and "line" in batch.columns:
+        batch = batch if fixed else cut(batch)
         first, last_file, lines = batch.agg(F.min("source_file"), F.max("source_file"), F.count("*")).first()
         if first is not None and (before.get("last_file") or "") >= first:
             raise ValueError(f"{first} comes after {before['last_file']}: files of a feed come in the order of their names")
@@ -185,9 +201,8 @@ def publish_batch(
     elif position not in batch.columns:
         placed = number_rows(batch.withColumn("_order", F.monotonically_increasing_id()), ["_order"], position)
         batch = placed.withColumn(position, F.col(position) - 1 + base).drop("_order")
-    if "known" in batch.columns:
-        batch = cut(batch)
-        known, batch = batch.where("known").select(ID), batch.drop("known")
+    if fixed:
+        known = keyed.known_ids(told, batch)
     else:
         id_type = batch.schema[ID].dataType.simpleString()
         known = _earlier(spark, f"{sink}/known", f"{ID} {id_type}", batch_id).select(ID)
@@ -258,12 +273,9 @@ def changed_positions(spark: SparkSession, sink: str, feed: DataFrame, position:
     last = _last_progress(spark, sink)
     offset = last.get("next_offset") or 0
     now = feed.where(F.col(position) < offset).select(position, _fingerprint(feed, position).alias("fingerprint"))
-    moved = hashtree.differing(
-        _published_ranges(spark, sink, 1 << 30),
-        _ranges(now, position, F.col("fingerprint")),
-        max(1, -(-offset // RANGE)),
-    )
-    moved = cut(moved)
+    # every level reads both trees, so the feed is read once for them
+    trees = [cut(t) for t in (_published_ranges(spark, sink, 1 << 30), _ranges(now, position, F.col("fingerprint")))]
+    moved = cut(hashtree.differing(*trees, max(1, -(-offset // RANGE))))
     told = _earlier(spark, f"{sink}/events", f"{position} bigint, fingerprint string", 1 << 30)
     leaf = F.floor(F.col(position) / F.lit(RANGE)).alias("leaf")
     sides = [
@@ -292,8 +304,9 @@ def publish_stream(
     spark = feed.sparkSession
     sha256 = resumed_sha256(spark, sink, published, position) if published is not None else None
     writer = (
-        keyed.with_known(feed)
-        .writeStream.option("checkpointLocation", checkpoint)
+        keyed.with_told(feed)
+        .writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, batch_id: publish_batch(df, batch_id, sink, position, name, sha256))
     )
     provider = spark.conf.get(keyed.PROVIDER)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.sources import register
-from ledgerloom.streaming import hashtree, publish
+from ledgerloom.streaming import hashtree, known, publish
 from tests.conftest import rows
 
 
@@ -189,3 +189,38 @@ def test_trees_of_ranges_add_up(spark):
     assert sorted(r.leaf for r in hashtree.differing(whole, less, 100).collect()) == [0, 77]
     none = whole.where("false")
     assert hashtree.differing(none, whole, 100).count() == 100 and hashtree.root_sha256(none).first().records == 0
+
+
+def test_records_do_not_pass_through_the_state(spark, tmp_path):
+    """Records go on beside the counts of their ids, which the map tasks fold first."""
+    write_feed(tmp_path / "feed", 4, per_file=40)
+    run(spark, tmp_path / "feed", tmp_path, 2)
+    stream = publish.sync_payload(register.read_feed(spark, str(tmp_path / "feed"), stream=True))
+    told = known.with_told(stream)
+    plan = told._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Union" in plan and "Aggregate" in plan
+    events = spark.read.parquet(f"{tmp_path}/sink/events").where("entity_id = 'hot'").orderBy("feed_index").collect()
+    assert [r.action for r in events] == ["CREATE"] + ["UPDATE"] * (len(events) - 1)
+
+
+def test_fingerprints_are_those_of_to_json(spark):
+    """Fields that are put together by hand, and sums of halves, give what they always gave."""
+    texts = ["", "a", None, 'q"', "b\\", "é", "\n", "a\n", "\x7f", "~ !", " ", "😀", "\x1f", "z[]^"]
+    df = spark.createDataFrame([(i, t, i if i % 3 else None, i % 2 == 0, i / 7) for i, t in enumerate(texts)],
+                               "feed_index long, t string, n int, b boolean, d double")
+    old = hashtree.record_digest([F.col("feed_index"), *[F.to_json(F.struct(c)) for c in "bdnt"]])
+    assert df.where(old != publish._fingerprint(df, "feed_index")).isEmpty()
+    digests = df.select("feed_index", old.alias("x"))
+    got = hashtree.leaves(digests, F.col("feed_index") / 5, F.col("x")).orderBy("leaf").collect()
+    want = {}
+    for r in digests.collect():
+        sums = want.setdefault(r.feed_index // 5, [0] * 6)
+        for i in range(6):
+            sums[i] += int(r.x[12 * i : 12 * i + 12], 16)
+    assert [[int(r[s]) for s in hashtree.SUMS] for r in got] == [want[r.leaf] for r in got]
+
+
+def test_lines_get_their_places_without_being_moved(spark, tmp_path):
+    write_feed(tmp_path / "feed", 3)
+    placed = register.place_lines(register.feed_lines(spark, str(tmp_path / "feed")))
+    assert "SortMergeJoin" not in placed._jdf.queryExecution().executedPlan().toString()
