@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 #: A key is hot from this many average partitions on.
 HOT_SHARE = 1.0
+#: Groups of key hashes that are counted before keys are.
+BUCKETS = 1 << 16
 
 
 def partitions(df: DataFrame) -> int:
@@ -51,6 +53,33 @@ def measure_hot(counts: DataFrame, keys: Sequence[str], n: str = "n") -> dict[in
     return {row.h: ceil(row.n * parts / total) for row in top if row.n * parts > HOT_SHARE * total}
 
 
+def hot_of_rows(rows: DataFrame, keys: Sequence[str]) -> dict[int, int]:
+    """What ``measure_hot`` finds in the rows per key, without a count of every key.
+
+    Rows are counted per bucket of key hashes first, which moves at most ``BUCKETS`` rows per
+    task. A hot key makes its bucket hot, so keys are counted in hot buckets only.
+    """
+    parts = partitions(rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    seen = Observation()
+    top = (
+        rows.groupBy(bucket.alias("bucket"))
+        .agg(F.count("*").alias("n"))
+        .observe(seen, F.sum("n").alias("total"))
+        .orderBy(F.desc("n"))
+        .limit(parts)
+        .collect()
+    )
+    least = HOT_SHARE * seen.get["total"] if top else 0
+    full = [row.bucket for row in top if row.n * parts > least]
+    if not full:
+        return {}
+    counted = key_counts(rows.where(bucket.isin(full)), keys, "n")
+    found = counted.select(F.xxhash64(*keys).alias("h"), "n").orderBy(F.desc("n")).limit(parts).collect()
+    total = seen.get["total"]
+    return {row.h: ceil(row.n * parts / total) for row in found if row.n * parts > least}
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the least by the other columns, so that lookups are unique."""
     rest = [c for c in df.columns if c not in keys]
@@ -67,11 +96,14 @@ def lookup_join(
     how: str = "inner",
     counts: DataFrame | None = None,
     distinct: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a ``lookup`` that is unique on ``on``, without hot partitions.
 
     ``counts`` are rows per key (``on`` and ``n``) when the caller knows them; counts from
-    before a filter or a lookup do as well, as they can only be too high. NULL keys match
+    before a filter or a lookup do as well, as they can only be too high. ``measured`` are the
+    rows from which ``rows`` were worked out, for when these cost more to count: a key that is
+    no hot one of theirs has at most an average partition of them. NULL keys match
     nothing, but they are counted and kept apart like any other key.
 
     ``distinct=False`` suits raw tables, where a third of the rows may be copies of one:
@@ -90,7 +122,10 @@ def lookup_join(
         kinds = rows.schema[key].dataType, lookup.schema[key].dataType
         if kinds[0] != kinds[1]:  # hashes of the two sides must agree
             raise TypeError(f"{key} is {kinds[0]} in the rows and {kinds[1]} in the lookup")
-    hot = measure_hot(key_counts(rows.select(*on), on) if counts is None else counts, on)
+    if counts is None:
+        hot = hot_of_rows((rows if measured is None else measured).select(*on), on)
+    else:
+        hot = measure_hot(counts, on)
     if not hot:
         return rows.join(lookup, on, how)
     spark = rows.sparkSession
