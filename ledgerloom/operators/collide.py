@@ -51,19 +51,41 @@ def collision_members(
 
 def pair_members(rows: DataFrame, keys: Sequence[str], entity: str = ID) -> DataFrame:
     """The same over distinct (key, entity) pairs, one row per member of a group."""
-    return _pair_members(rows.select(*keys, entity).distinct(), keys)
-
-
-def _pair_members(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    counts = key_counts(pairs, keys)
-    groups = counts.where(F.col("n") > 1).withColumnRenamed("n", "group_size")
-    return lookup_join(pairs, groups, keys, "inner", counts, distinct=True)
+    pairs = rows.select(*keys, entity).distinct()
+    groups = key_counts(pairs, keys, "group_size").where(F.col("group_size") > 1)
+    return lookup_join(pairs, groups, keys, "inner", distinct=True, measured=rows)
 
 
 def entities_in(members: DataFrame, entity: str = ID) -> DataFrame:
     return members.agg(F.count_distinct(F.col(entity)).alias("entities"))
 
 
+def shared_keys(rows: DataFrame, keys: Sequence[str], entity: str = ID) -> DataFrame:
+    """Keys of several entities, a NULL one counted too, by the ends of their ids alone."""
+    ends_ = rows.groupBy(*keys).agg(
+        F.min(entity).alias("_low"), F.max(entity).alias("_high"), F.bool_or(F.col(entity).isNull()).alias("_null")
+    )
+    several = (F.col("_low") != F.col("_high")) | (F.col("_null") & F.col("_low").isNotNull())
+    return ends_.where(several).select(*keys)
+
+
+def colliding_entities(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``entities`` in collisions, from distinct (key, entity) pairs, without a join.
+
+    An entity is in one if it holds more keys than it holds alone, and who holds a key alone is
+    the least holder of it. As in joins, NULL keys do not count.
+    """
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    one = F.when(whole, 1).otherwise(0)  # no filter, so that both reads of the pairs are alike
+    held = pairs.groupBy(ID).agg(F.sum(one).alias("n"))
+    holders = pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.min(ID).alias(ID))
+    alone = holders.where(F.col("n") == 1).select(ID, (-one).alias("n"))
+    counted = held.unionByName(alone).groupBy(ID).agg(F.sum("n").alias("n"))
+    return counted.agg(count_if(F.col(ID).isNotNull() & (F.col("n") > 0)).alias("entities"))
+
+
 def collision_totals(rows: DataFrame, keys: Sequence[str], prefix: str = "") -> DataFrame:
     """One row: distinct keys, colliding groups, memberships, and entities involved."""
     pairs = rows.select(*keys, ID).distinct()
@@ -73,7 +95,7 @@ def collision_totals(rows: DataFrame, keys: Sequence[str], prefix: str = "") ->
         count_if(n > 1).alias("groups"),
         F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("memberships"),
     )
-    totals = beside(totals, entities_in(_pair_members(pairs, keys)))
+    totals = beside(totals, colliding_entities(pairs, keys))
     return totals.toDF(*[f"{prefix}{c}" for c in totals.columns])
 
 

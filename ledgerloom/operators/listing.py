@@ -6,9 +6,9 @@ Members are therefore one row each; whoever needs a text per key collects a key'
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.exprs import as_text
 
@@ -43,33 +43,37 @@ def value_counts_text(
     attributes: Sequence[str],
     null_label: str | None = "<NULL>",
     sep: str = "; ",
+    n_rows: str | None = None,
+    sizes: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Per key, each attribute's distribution as ``v=n; v=n``, by value.
 
-    One pass: rows are melted to (attribute, value) and counted before anything is
-    collected, so a list is as long as the attribute's domain, never as the group.
-    ``null_label=None`` leaves NULLs out.
+    Rows are counted per combination of values before anything is collected, so a list is as
+    long as the combinations that occur under a key, never as the group. ``null_label=None``
+    leaves NULLs out. ``n_rows`` and ``sizes`` name columns for the rows of a key and for the
+    number of an attribute's values, which need no pass of their own.
     """
-    melted = rows.select(
+    texts = [as_text(F.col(a)) for a in attributes]
+    if null_label is not None:
+        texts = [F.coalesce(t, F.lit(null_label)) for t in texts]
+    names = [f"_v{i}" for i in range(len(attributes))]
+    counted = rows.groupBy(*keys, *[t.alias(v) for t, v in zip(texts, names)]).agg(F.count("*").alias("_n"))
+    held = counted.groupBy(*keys).agg(F.collect_list(F.struct(*names, "_n")).alias("_held"), F.sum("_n").alias("_rows"))
+
+    def values(name: str) -> Column:
+        return F.array_sort(F.array_distinct(F.array_compact(F.col(f"_held.{name}"))))
+
+    def text(name: str) -> Column:
+        def entry(v: Column) -> Column:
+            same = F.filter("_held", lambda h: h[name] == v)
+            return F.concat(v, F.lit("="), as_text(F.aggregate(same, F.lit(0).cast("bigint"), lambda n, h: n + h["_n"])))
+
+        return F.array_join(F.transform(values(name), entry), sep)
+
+    place = dict(zip(attributes, names))
+    return held.select(
         *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("a"), as_text(F.col(a)).alias("v"))
-                    for a in attributes
-                ]
-            )
-        ).alias("_m"),
-    ).select(*keys, F.col("_m.a").alias("_a"), F.col("_m.v").alias("_v"))
-    if null_label is None:
-        melted = melted.where(F.col("_v").isNotNull())
-    else:
-        melted = melted.withColumn("_v", F.coalesce("_v", F.lit(null_label)))
-    counted = melted.groupBy(*keys, "_a", "_v").agg(F.count("*").alias("_n"))
-    columns = []
-    for a in attributes:
-        entry = F.when(F.col("_a") == a, F.struct("_v", "_n"))
-        entries = F.array_sort(F.collect_list(entry))
-        text = F.transform(entries, lambda e: F.concat(e["_v"], F.lit("="), as_text(e["_n"])))
-        columns.append(F.array_join(text, sep).alias(f"{a}_counts"))
-    return counted.groupBy(*keys).agg(*columns)
+        *[text(place[a]).alias(f"{a}_counts") for a in attributes],
+        *([F.col("_rows").alias(n_rows)] if n_rows else []),
+        *[F.size(values(place[a])).cast("bigint").alias(name) for a, name in (sizes or {}).items()],
+    )

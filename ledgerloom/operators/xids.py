@@ -20,10 +20,12 @@ from ledgerloom.functions.exprs import (
 )
 from ledgerloom.operators.collide import (
     colliding,
+    colliding_entities,
     collision_totals,
     key_stats,
     pair_members,
     relation_of,
+    shared_keys,
 )
 from ledgerloom.operators.listing import value_counts, value_counts_text
 from ledgerloom.operators.relate import ID, with_master
@@ -65,7 +67,8 @@ def xid_collisions(rows: DataFrame) -> DataFrame:
     Distributions are of attributes with few values; confidences, which may all differ, are
     rows of ``collision_confidences``. Only rows of colliding keys are taken apart.
     """
-    labelled = rows.withColumn("label", F.coalesce("label", F.lit("")))
+    held = rows.join(shared_keys(rows, EXACT), EXACT, "left_semi")
+    labelled = held.withColumn("label", F.coalesce("label", F.lit("")))
     stats = labelled.groupBy(*EXACT).agg(
         F.count("*").alias("n_rows"),
         F.count_distinct(F.col(ID)).alias("n_entities"),
@@ -82,7 +85,6 @@ def xid_collisions(rows: DataFrame) -> DataFrame:
         .otherwise("qid_consistent")
         .alias("qid_consistency"),
     )
-    held = rows.join(groups.select(*EXACT), EXACT, "left_semi")
     texts = value_counts_text(held, EXACT, ["dob_check", "status", "gender"], null_label="NULL")
     return groups.join(texts, EXACT)
 
@@ -94,8 +96,7 @@ def collision_members(rows: DataFrame) -> DataFrame:
 
 def collision_confidences(rows: DataFrame) -> DataFrame:
     """How often each confidence occurs under a key that several entities hold."""
-    held = collision_members(rows).select(*EXACT).distinct()
-    return value_counts(rows.join(held, EXACT, "left_semi"), EXACT, "confidence")
+    return value_counts(rows.join(shared_keys(rows, EXACT), EXACT, "left_semi"), EXACT, "confidence")
 
 
 def xid_collision_totals(rows: DataFrame) -> DataFrame:
@@ -226,16 +227,16 @@ def entity_conflicts(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
 def conflict_members(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One row per (provider, id, entity) of the conflict groups, with the group's columns."""
     pairs = rows.select(*PROVIDER, ID).distinct()
-    return lookup_join(pairs, conflicts, PROVIDER, "inner", distinct=True)
+    return lookup_join(pairs, conflicts, PROVIDER, "inner", distinct=True, measured=rows)
 
 
 def exact_collision_entities(rows: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One row: entities that hold a colliding exact key themselves, and the wider count of
     all entities in groups that contain one."""
-    true_members = pair_members(rows, EXACT)
+    pairs = rows.select(*EXACT, ID).distinct()
     wide = conflict_members(rows, conflicts.where(F.col("exact_collision_keys") > 0))
     return beside(
-        true_members.agg(F.count_distinct(F.col(ID)).alias("exact_members")),
+        colliding_entities(pairs, EXACT).withColumnRenamed("entities", "exact_members"),
         wide.agg(F.count_distinct(F.col(ID)).alias("group_members")),
     )
 
@@ -339,15 +340,18 @@ def xid_quality(xids: DataFrame, master: DataFrame) -> DataFrame:
         F.when(is_present(F.col("qid")), F.trim(as_text(F.col("qid")))).alias("qid"),
     )
     totals = rows.groupBy(ID).agg(
-        F.count("*").alias("xid_rows"),
-        F.count_distinct(F.struct(*[f"_{c}" for c in EXACT])).alias("xid_keys"),
-        F.count_distinct(F.col("provider")).alias("providers"),
+        F.count_distinct(*[f"_{c}" for c in EXACT]).alias("xid_keys"),
         F.count_distinct(F.col("qid")).alias("qid_count"),
     )
+    attributes = ["provider", "provider_property", "dob_check"]
     texts = value_counts_text(
-        rows, [ID], ["provider", "provider_property", "dob_check"], null_label=None
+        rows, [ID], attributes, null_label=None, n_rows="xid_rows", sizes={"provider": "providers"}
     )
+    numbers = ["xid_rows", "xid_keys", "providers", "qid_count"]
     joined = master.join(totals, ID, "left").join(texts, ID, "left")
-    return joined.fillna(0, ["xid_rows", "xid_keys", "providers", "qid_count"]).fillna(
-        "", [c for c in texts.columns if c != ID]
+    counts = [f"{a}_counts" for a in attributes]
+    return joined.select(
+        *master.columns,
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers],
+        *[F.coalesce(c, F.lit("")).alias(c) for c in counts],
     )

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from ledgerloom.operators import listing, skew, slices
+from ledgerloom.operators import collide, listing, skew, slices
 from tests.conftest import rows
 
 
@@ -68,3 +68,34 @@ def test_members_come_one_per_row(spark):
 def test_distribution_text(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None)], "k int, v string")
     assert listing.value_counts_text(df, ["k"], ["v"]).first().v_counts == "<NULL>=1; a=1; b=2"
+
+
+def test_hot_keys_are_found_by_their_buckets(spark, skewed, monkeypatch):
+    """As by a count of every key, also if all keys share a few buckets; no key need be hot."""
+    want = skew.measure_hot(skew.key_counts(skewed, ["k"]), ["k"])
+    assert len(want) == 1
+    for buckets in (1, 3, 1 << 16):
+        monkeypatch.setattr(skew, "BUCKETS", buckets)
+        assert skew.hot_of_rows(skewed, ["k"]) == want
+    assert skew.hot_of_rows(spark.range(1000), ["id"]) == {} == skew.hot_of_rows(spark.range(0), ["id"])
+
+
+def test_texts_of_several_attributes(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "a", "y"), (1, None, "y"), (2, None, None)], "k long, v string, w string")
+    got = listing.value_counts_text(df, ["k"], ["v", "w"], None, n_rows="n", sizes={"v": "s"})
+    assert rows(got, "k", "v_counts", "w_counts", "n", "s") == [(1, "a=2", "y=2", 3, 1), (2, "", "", 1, 0)]
+    got = listing.value_counts_text(df, ["k"], ["v", "w"], "-")
+    assert rows(got) == [(1, "-=1; a=2", "-=1; y=2"), (2, "-=1", "-=1")]
+
+
+def test_entities_in_collisions_without_a_join(spark):
+    """Copies, NULL ids and NULL keys; entities with own and shared keys."""
+    data = [("p", "x", 1), ("p", "x", 1), ("p", "x", 2), ("p", "y", 3), ("q", "x", 3), (None, "x", 4), (None, "x", 5),
+            ("q", "z", None), ("q", "z", 6), ("q", "w", None), ("q", "y", 2)]
+    df = spark.createDataFrame(data, "a string, b string, entity_id long")
+    totals = collide.collision_totals(df, ["a", "b"])
+    assert rows(totals) == [(7, 3, 6, 3)]
+    assert "Join" not in collide.colliding_entities(df.distinct(), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert rows(collide.shared_keys(df, ["a", "b"])) == rows(
+        df.distinct().groupBy("a", "b").count().where("count > 1").select("a", "b")
+    )
