@@ -10,7 +10,8 @@ to each closing brace, so that a piece never begins behind a backslash. Of a pie
 by itself how many quotes it has and by how much it changes the depth, once if it begins
 outside a string and once if inside. Running sums over one row per split then tell where each
 split begins, and a second pass cuts the records out. Records that reach over splits are put
-together from their pieces.
+together from their pieces. A task reads many small splits one after the other, so that their
+number, which the session's settings give, costs rows and not tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Iterator, Sequence
+from math import ceil
 from uuid import uuid4
 
 from pyspark import cloudpickle
@@ -32,6 +34,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MANIFEST = "_manifest.json"
 #: Splits whose states may be broadcast, some 100 bytes each.
 BROADCAST_SPLITS = 100_000
+#: Bytes up to which a task reads small splits one after the other.
+TASK_BYTES = 1 << 25
+#: Bytes of pieces that are weighed at once; each takes some 60 meanwhile.
+WEIGHED_BYTES = 1 << 18
 
 
 # --- writing -------------------------------------------------------------------------------------
@@ -195,26 +201,32 @@ def _effects(values: list[str]) -> tuple:
 
 
 def _weighed(batches: Iterator) -> Iterator:
-    """The pieces of lines with their effects."""
+    """The pieces of lines with their effects, of few bytes at a time or of one piece."""
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     for batch in batches:
-        if batch.num_rows:
-            values = batch.column("value").to_pylist()
-            sizes = [len(v.encode()) + 1 for v in values]
-            columns = [pa.array(sizes, pa.int64()), *[pa.array(x, pa.int64()) for x in _effects(values)]]
+        sizes = pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False).astype("i8") + 1
+        ends, at = np.cumsum(sizes), 0
+        while at < len(ends):
+            end = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + WEIGHED_BYTES, "right")))
+            part = batch.slice(at, end - at)
+            columns = [sizes[at:end], *_effects(part.column("value").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *columns], [*batch.schema.names, "size", "quotes", "outside", "inside"]
+                [*part.columns, *[pa.array(x, pa.int64()) for x in columns]],
+                [*part.schema.names, "size", "quotes", "outside", "inside"],
             )
+            at = end
 
 
 def _summed(batches: Iterator) -> Iterator:
-    """One row per split of a task: rows, size, quotes, outside, inside, first character."""
+    """One row per split of a task's lines: size, quotes, outside, inside, first character."""
     import pyarrow as pa
 
     names = ["source_file", "block", "file_size", "size", "quotes", "outside", "inside", "begins"]
     held: dict[tuple, list] = {}
-    for batch in batches:
+    for batch in _weighed(batches):
         columns = [batch.column(c).to_pylist() for c in ("source_file", "block", "file_size", "size", "quotes", "outside", "inside", "value")]
         for name, block, whole, size, quotes, outside, inside, value in zip(*columns):
             own = held.setdefault((name, block), [whole, 0, 0, 0, 0, None])
@@ -274,7 +286,7 @@ def _cut_out(batches: Iterator) -> Iterator:
         piece = []
 
     names = ("value", "number", "open_tail", "parity", "depth", "quotes", "outside", "inside")
-    for batch in batches:
+    for batch in _weighed(batches):
         for value, number, tail, p, d, quotes, outside, inside in zip(*[batch.column(c).to_pylist() for c in names]):
             if number != split:
                 finish()
@@ -301,6 +313,14 @@ def _record_schema():
 RECORD = _record_schema()
 
 
+def _tasks(lines: DataFrame, path: str) -> int:
+    """Tasks for a pass over a document: as many as a shuffle has, more if they would read
+    more than ``TASK_BYTES`` each. Splits that are larger stay tasks of their own."""
+    system, at = _system(lines.sparkSession, path)
+    size = sum(system.getContentSummary(s.getPath()).getLength() for s in system.globStatus(at(path)) or [])
+    return max(partitions(lines), ceil(size / TASK_BYTES))
+
+
 def array_lines(spark: SparkSession, path: str) -> DataFrame:
     """value: the records of a JSON array as texts, in no order. A file or a folder of parts.
 
@@ -312,13 +332,9 @@ def array_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_size").alias("file_size"),
     )
-    weighed = lines.mapInArrow(
-        _weighed,
-        "value string, source_file string, block bigint, file_size bigint, size bigint, quotes bigint, "
-        "outside bigint, inside bigint",
-    )
+    lines = lines.coalesce(_tasks(lines, path))  # the lines of a split stay together, in order
     splits = cut(
-        weighed.mapInArrow(
+        lines.mapInArrow(
             _summed,
             "source_file string, block bigint, file_size bigint, size bigint, quotes bigint, outside bigint, "
             "inside bigint, begins string",
@@ -349,12 +365,12 @@ def array_lines(spark: SparkSession, path: str) -> DataFrame:
     states = fixed.select("source_file", "block", "number", "open_tail", "parity", "depth")
     if told.n <= BROADCAST_SPLITS:
         # lines stay where they were read, in order
-        placed = weighed.join(F.broadcast(states), ["source_file", "block"])
+        placed = lines.join(F.broadcast(states), ["source_file", "block"])
     else:
-        numbered = weighed.withColumn("line", F.monotonically_increasing_id())
+        numbered = lines.withColumn("line", F.monotonically_increasing_id())
         placed = numbered.join(states, ["source_file", "block"]).repartition(partitions(lines), "number")
         placed = placed.sortWithinPartitions("number", "line")
-    columns = ("value", "number", "open_tail", "parity", "depth", "quotes", "outside", "inside")
+    columns = ("value", "number", "open_tail", "parity", "depth")
     cut_out = cut(placed.select(*columns).mapInArrow(_cut_out, "number bigint, kind bigint, value string"))
     # kinds: 0 a record, 1 the end of one, 2 a split inside one, 3 the beginning of one
     marks = cut_out.where("kind > 0").select("number", "kind")

@@ -5,6 +5,7 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,40 @@ def test_one_file_read_in_splits(spark, tmp_path, small_splits, size, indent):
     assert plain(got) == sorted(json.dumps(r, sort_keys=True) for r in data)
 
 
+def test_many_splits_are_few_tasks(spark, tmp_path, small_splits, monkeypatch):
+    files, cut = [], documents.cut
+
+    def counted(df):
+        table = cut(df)
+        files.append(len(table.inputFiles()))  # one per task with rows
+        return table
+
+    monkeypatch.setattr(documents, "cut", counted)
+    data, path = records(60, 4), str(tmp_path / "list.json")
+    (tmp_path / "list.json").write_text(json.dumps(data), encoding="utf-8")
+    small_splits(100)
+    assert spark.read.text(path, lineSep="}").rdd.getNumPartitions() > 100
+    got = documents.read_json_array(spark, path, SCHEMA)
+    assert plain(got) == sorted(json.dumps(r, sort_keys=True) for r in data)
+    assert len(files) == 3 and max(files) <= 4
+    files.clear()
+    monkeypatch.setattr(documents, "TASK_BYTES", 1000)
+    assert documents.read_json_array(spark, path, SCHEMA).count() == 60
+    assert 8 <= max(files) <= 100
+
+
+def test_pieces_are_weighed_a_few_at_a_time(monkeypatch):
+    values = [t for r in records(30, 5) for t in json.dumps(r, ensure_ascii=False).split("}")]
+    batch = pa.RecordBatch.from_pydict({"value": values, "block": list(range(len(values)))})
+    weighed = {}
+    for size in (1, 200, 1 << 18):
+        monkeypatch.setattr(documents, "WEIGHED_BYTES", size)
+        parts = list(documents._weighed(iter([batch.slice(0, 0), batch])))
+        weighed[size] = parts[0].schema.names, [r for p in parts for r in p.to_pylist()]
+        assert len(parts) == len(values) if size == 1 else (len(parts) == 1) == (size > 200)
+    assert weighed[1] == weighed[200] == weighed[1 << 18]
+
+
 def test_states_that_are_not_broadcast(spark, tmp_path, small_splits, monkeypatch):
     monkeypatch.setattr(documents, "BROADCAST_SPLITS", 0)
     data = records(20, 2)
