@@ -20,6 +20,14 @@ chunk asks for each of its distinct runs once, packed into one row per range of
 The rows of a range meet, are summed, and each chunk is answered with the sums. So a run
 that all documents share is one number per chunk, no run makes rows of its own, and nothing
 but sizes reaches the driver. A run of one document weighs as one of two.
+
+The copies of a text would make its runs common and thereby their own edits weigh most, so
+that the larger a group is, the fewer of its copies were alike. A group of more than FEW
+therefore counts as about one document: where more than a third of a text's runs are in some
+number of documents, the text counts as one part of that number. For a copy that is about the
+size of its group; a text with a passage that many others have still counts as one, so such a
+passage keeps its low weight. Runs of more than FEW documents are asked for once more, with
+the sums of these shares.
 """
 
 from __future__ import annotations
@@ -42,8 +50,14 @@ CHUNK_BYTES, DOC_BYTES = 1 << 22, 1000
 #: Chunks per shuffle partition at least. A chunk asks each range of run hashes in one row, and
 #: there are as many ranges as partitions.
 CHUNKS = 2
+#: Documents up to which runs keep their document frequency, and copies count one by one.
+FEW = 16
+#: Runs of more than FEW documents are so much fewer, and get as many times fewer ranges.
+COMMON = 8
+#: What a text of its own counts in sums of shares.
+WHOLE = 1 << 16
 #: Bytes of text that are worked on at once.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 #: Bits of a run's hash; the other bits of a word number the texts of a block.
 RUN_BITS = 52
 #: Share of equal draws below which a pair is not worth reading; at a similarity of 0.8 the
@@ -56,6 +70,7 @@ MET = 256
 BLOOM_BLOCKS = 1 << 16
 
 PRIME = 0x100000001B3
+ASKED = "chunk bigint, place bigint, runs binary, counts binary"
 
 
 def _mix(x):
@@ -213,14 +228,15 @@ def _unpack(packed: bytes):
     return np.cumsum(np.ascontiguousarray(planes).view("<u8").ravel(), dtype="u8")
 
 
-def _summed(rows: list[tuple[bytes, bytes]]) -> tuple:
-    """Of rows of (packed runs, counts): distinct runs, their sums, and where each row's are."""
+def _summed(rows: list[tuple[bytes, bytes]], unit: int = 1) -> tuple:
+    """Of rows of (packed runs, counts): distinct runs, their sums in units, and where each
+    row's are."""
     import numpy as np
 
     runs = [_unpack(packed) for packed, _ in rows]
     counts = np.concatenate([np.frombuffer(c, "<u4") for _, c in rows])
     distinct, places = np.unique(np.concatenate(runs), return_inverse=True)
-    sums = np.bincount(places, counts).astype("<u4")
+    sums = np.rint(np.bincount(places, counts) / unit).astype("<u4")
     return distinct, sums, np.split(places, np.cumsum([len(r) for r in runs])[:-1])
 
 
@@ -238,32 +254,38 @@ def _chunked(df: DataFrame) -> tuple[DataFrame, int, int]:
 def _asked(keyed: DataFrame, ranges: int) -> DataFrame:
     """chunk, place (of a range), runs (packed), counts: distinct runs of every chunk, with
     the number of its documents that hold each."""
-    width = -(-(1 << RUN_BITS) // ranges)
 
     def ask(key, table):
         import numpy as np
-        import pyarrow as pa
 
         seen = [runs for b in table.to_batches() for _, _, runs, _ in shingles(b.column("text"))]
         runs, counts = np.unique(np.concatenate([np.zeros(0, "u8"), *seen]), return_counts=True)
-        counts = counts.astype("<u4")
-        borders = runs.searchsorted(np.arange(ranges + 1, dtype="u8") * np.uint64(width))
-        held = np.flatnonzero(np.diff(borders))
-        spans = [slice(borders[place], borders[place + 1]) for place in held]
-        return pa.table(
-            {
-                "chunk": pa.array([key[0].as_py()] * len(held), pa.int64()),
-                "place": pa.array(held, pa.int64()),
-                "runs": pa.array([_pack(runs[span]) for span in spans], pa.binary()),
-                "counts": pa.array([counts[span].tobytes() for span in spans], pa.binary()),
-            }
-        )
+        return _ranged(key[0].as_py(), runs, counts, ranges)
 
-    schema = "chunk bigint, place bigint, runs binary, counts binary"
-    return keyed.groupBy("chunk").applyInArrow(ask, schema)
+    return keyed.groupBy("chunk").applyInArrow(ask, ASKED)
 
 
-def _answered(asked: DataFrame) -> DataFrame:
+def _ranged(chunk: int, runs, counts, ranges: int):
+    """Rising runs of a chunk and their counts, as a row for each range of run hashes."""
+    import numpy as np
+    import pyarrow as pa
+
+    width = -(-(1 << RUN_BITS) // ranges)
+    counts = counts.astype("<u4")
+    borders = runs.searchsorted(np.arange(ranges + 1, dtype="u8") * np.uint64(width))
+    held = np.flatnonzero(np.diff(borders))
+    spans = [slice(borders[place], borders[place + 1]) for place in held]
+    return pa.table(
+        {
+            "chunk": pa.array([chunk] * len(held), pa.int64()),
+            "place": pa.array(held, pa.int64()),
+            "runs": pa.array([_pack(runs[span]) for span in spans], pa.binary()),
+            "counts": pa.array([counts[span].tobytes() for span in spans], pa.binary()),
+        }
+    )
+
+
+def _answered(asked: DataFrame, unit: int = 1) -> DataFrame:
     """chunk, place, found: in how many documents of all each run that was asked for is, 0
     standing for one."""
 
@@ -272,7 +294,7 @@ def _answered(asked: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         rows = list(zip(*[table.column(c).to_pylist() for c in ("runs", "counts")]))
-        _, sums, places = _summed(rows)
+        _, sums, places = _summed(rows, unit)
         sums[sums == 1] = 0
         found = pa.array([sums[at].astype("<u4").tobytes() for at in places], pa.binary())
         return table.select(["chunk", "place"]).append_column("found", found)
@@ -280,6 +302,63 @@ def _answered(asked: DataFrame) -> DataFrame:
     return asked.groupBy("place").applyInArrow(answer, "chunk bigint, place bigint, found binary")
 
 
+def _told(table, answers) -> tuple:
+    """Of a chunk: distinct runs of each block of its texts, all its runs, what was found of each."""
+    import numpy as np
+
+    blocks, texts = [], table.column("text")
+    for at, end in _blocks(texts):
+        blocks.append((end - at, *_distinct(texts.slice(at, end - at).to_pylist())))
+    known = np.unique(np.concatenate([np.zeros(0, "u8"), *[runs for _, _, runs, _ in blocks]]))
+    told = _in_order(answers)
+    if len(known) != len(told):
+        raise ValueError("the texts of a chunk changed while their runs were counted")
+    return blocks, known, told
+
+
+def _in_order(answers):
+    """What was found, in the order of the chunk's runs."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(answers.sort_by("place").column("found").to_pylist()), "<u4")
+
+
+def _copies(doc, held, count: int):
+    """Of each of ``count`` texts the greatest number of documents that more than a third of its
+    runs are in, by what is held for each run; 1 if that is FEW or less."""
+    import numpy as np
+
+    found = np.ones(count, "i8")
+    sizes = np.bincount(doc, minlength=count)
+    large = 3 * np.bincount(doc, held > FEW, count) > sizes
+    some = large[doc]
+    keys = (doc[some].astype("u8") << np.uint64(32)) | held[some]
+    keys.sort()
+    sizes = sizes[large]
+    found[large] = keys[np.cumsum(sizes) - 1 - sizes // 3] & np.uint64(0xFFFFFFFF)
+    return found
+
+
+def _asked_again(keyed: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
+    """As ``_asked``, of runs of more than FEW documents; of WHOLE, each document counts its part
+    among its copies."""
+
+    def ask(key, table, answers):
+        import numpy as np
+
+        blocks, known, told = _told(table, answers)
+        sums = np.zeros(len(known))
+        for count, doc, runs, _ in blocks:
+            at = known.searchsorted(runs)
+            held = told[at]
+            shares = np.rint(WHOLE / _copies(doc, held, count))
+            np.add.at(sums, at[held > FEW], shares[doc[held > FEW]])
+        often = told > FEW
+        return _ranged(key[0].as_py(), known[often], sums[often], ranges)
+
+    return keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(ask, ASKED)
+
+
 @lru_cache(maxsize=1)
 def _gamma():
     """65,536 quantiles of the Gamma(2, 1) distribution, and their logarithms."""
@@ -343,9 +422,10 @@ def text_key(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
-def signatures(df: DataFrame) -> tuple[DataFrame, Weights]:
+def signatures(df: DataFrame, grouped: bool = False) -> tuple[DataFrame, Weights]:
     """doc_id, node (the text's key), bands (hash of each), draws (four bytes of each), found
-    (documents that hold each distinct run); and the weights, for runs that come with these."""
+    (documents that hold each distinct run, 0 for one; if ``grouped``, those of a large group
+    of copies as about one); and the weights, for runs that come with these."""
     import numpy as np
 
     keyed, total, ranges = _chunked(df)
@@ -354,16 +434,13 @@ def signatures(df: DataFrame) -> tuple[DataFrame, Weights]:
     def run(table, answers):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        blocks, texts = [], table.column("text")
-        for at, end in _blocks(texts):
-            blocks.append((end - at, *_distinct(texts.slice(at, end - at).to_pylist())))
-        # answers are in the order of the chunk's runs
-        told = b"".join(answers.sort_by("place").column("found").to_pylist())
-        told = np.frombuffer(told, "<u4")
-        known = np.unique(np.concatenate([np.zeros(0, "u8"), *[runs for _, _, runs, _ in blocks]]))
-        if len(known) != len(told):
-            raise ValueError("the texts of a chunk changed while their runs were counted")
+        again = answers.column("again")
+        blocks, known, told = _told(table, answers.filter(pc.invert(again)))
+        if grouped:
+            told = told.copy()
+            told[told > FEW] = _in_order(answers.filter(again))
         drawn, found = [np.zeros((0, BANDS * ROWS), "u8")], []
         for count, doc, runs, counts in blocks:
             held = told[known.searchsorted(runs)]
@@ -400,7 +477,14 @@ def signatures(df: DataFrame) -> tuple[DataFrame, Weights]:
         )
 
     answers = _answered(_asked(keyed, ranges))
-    signed = keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    if grouped:
+        # read twice, counted once
+        answers = answers.repartition("chunk")
+    told = answers.withColumn("again", F.lit(False))
+    if grouped:
+        shared = _answered(_asked_again(keyed, answers, -(-ranges // COMMON)), WHOLE)
+        told = told.unionByName(shared.withColumn("again", F.lit(True)))
+    signed = keyed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         run, "doc_id bigint, node binary, bands array<bigint>, draws binary, found binary"
     )
     return signed, weights
@@ -473,7 +557,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
 
 def _classes(df: DataFrame) -> DataFrame:
     """doc_id, node (the text's key), class (a text's key) of every row of documents."""
-    signed, weights = signatures(df)
+    signed, weights = signatures(df, grouped=True)
     signed = cut(signed)
     nodes = signed.where("bands IS NOT NULL").groupBy("node")
     nodes = nodes.agg(*[F.first(c).alias(c) for c in ("bands", "draws", "found")])

@@ -206,6 +206,43 @@ def test_classes_and_recall_under_the_weights_of_the_whole_table(spark):
     assert all(want[i] == want[got[i]] for i in got)
 
 
+def test_copies_of_a_large_group_are_one_class(spark):
+    """A group's own copies do not make its runs common; a passage of other texts stays common."""
+    rng = random.Random(21)
+
+    def text(size):
+        return " ".join(f"l{rng.randrange(9000)}" for _ in range(size))
+
+    base, passage = text(200), text(45)
+    copies = [t for changes in (2, 3) for t in near_copies(rng, base, 80, changes)]
+    texts = [base, *copies, *copies[:20]]
+    # the passage is most of some texts, and little of all others that have it
+    texts += [f"{text(5)} {passage}" for _ in range(6)] + [f"{text(150)} {passage}" for _ in range(100)]
+    texts += [text(30) for _ in range(400)]
+    df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
+    got = {r.doc_id: r.class_id for r in wm.near_duplicates(df).collect()}
+    assert min(weighted_jaccard(base, t) for t in copies) >= 0.84
+    assert min(weighted_jaccard(texts[181], t) for t in texts[182:187]) >= 0.79
+    assert [got[i] for i in range(181)] == [0] * 181
+    assert [got[i] for i in range(181, len(texts))] == list(range(181, len(texts)))
+
+
+def test_large_groups_of_copies_count_as_one_document(spark):
+    rng = random.Random(22)
+    group, passage, few = (" ".join(f"{c}{k}" for k in range(40)) for c in "gpf")
+    texts = [f"{group} x{i}" for i in range(60)] + [f"{few} y{i}" for i in range(wm.FEW)]
+    texts += [f"{passage} {' '.join(f'z{rng.randrange(10**6)}' for _ in range(100))}" for _ in range(50)]
+    df = documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]).select("doc_id", "text")
+    for grouped, many in ((False, 60), (True, 1)):
+        signed, weights = wm.signatures(df, grouped)
+        for r in signed.where("doc_id IN (0, 60, 100)").collect():
+            [(_, _, runs, n)] = wm.shingles(pa.array([texts[r.doc_id]]))
+            [(_, _, inner, _)] = wm.shingles(pa.array([{0: group, 60: few, 100: passage}[r.doc_id]]))
+            idf = weights.of(runs, n, bytes(r.found))[np.isin(runs, inner)]
+            held = {0: many, 60: wm.FEW, 100: 50}[r.doc_id]
+            assert idf == pytest.approx([1 + np.log((len(texts) + 1) / (max(held, 2) + 1))] * 36)
+
+
 def test_no_document_is_lost_where_ids_repeat(spark):
     rng = random.Random(13)
     one, two, three = (" ".join(f"r{rng.randrange(9000)}" for _ in range(60)) for _ in range(3))
